@@ -14,6 +14,7 @@ from tidemark import schemas as S
 from tidemark.functions.values import typed_value
 
 _CORRUPT = "_corrupt_record"
+_MESSAGE_NAMES = ["topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "source_table"]
 
 
 def drop_tombstones(log: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def parse_envelope(log: DataFrame, spec: S.TableSpec | None = None) -> DataFrame
         return F.coalesce(F.col(f"_e.payload.{name}"), F.col(f"_e.{name}"))
 
     return parsed.select(
-        "topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "source_table",
+        *_MESSAGE_NAMES,
         part("op").alias("op"),
         part("ts_ms").try_cast("bigint").alias("ts_ms"),
         part("source.lsn").try_cast("bigint").alias("source_lsn"),
@@ -109,8 +110,22 @@ def quarantine(log: DataFrame, key: str = "id") -> DataFrame:
         .when(key_text.try_cast("bigint").isNull(), "bad_key")
     )
     return (parsed.withColumn("reason", reason).filter(F.col("reason").isNotNull())
-            .select("topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "source_table",
-                    "reason", "value"))
+            .select(*_MESSAGE_NAMES, "reason", "value"))
+
+
+def quarantined(bronze: DataFrame, spec: S.TableSpec) -> DataFrame:
+    """The unusable rows of a bronze table. Only rows whose op or key looks wrong are parsed again."""
+    key = F.coalesce(F.col(f"after_{spec.key}"), F.col(f"before_{spec.key}"))
+    suspect = bronze.filter(F.col("op").isNull() | ~F.col("op").isin(*S.KNOWN_OPS) | key.isNull())
+    return quarantine(as_messages(suspect), spec.key)
+
+
+def as_messages(bronze: DataFrame) -> DataFrame:
+    """Bronze rows as the messages they came from."""
+    return bronze.select(
+        F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), "topic",
+        F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"),
+        F.col("kafka_timestamp").alias("timestamp"))
 
 
 def evolve(bronze: DataFrame, spec: S.TableSpec) -> DataFrame:
@@ -123,8 +138,4 @@ def evolve(bronze: DataFrame, spec: S.TableSpec) -> DataFrame:
 
 def reparse(bronze: DataFrame, spec: S.TableSpec) -> DataFrame:
     """Bronze rows read again from their raw value under a newer spec."""
-    log = bronze.select(
-        F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), "topic",
-        F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"),
-        F.col("kafka_timestamp").alias("timestamp"))
-    return bronze_table(log, spec)
+    return bronze_table(as_messages(bronze), spec)

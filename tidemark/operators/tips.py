@@ -55,9 +55,8 @@ def _mean_pct() -> Column:
     return _mean("pct_sum")
 
 
-def behavior_from_totals(totals: DataFrame) -> DataFrame:
-    """Zone-by-hour behaviour from totals that have zone, hour and payment type."""
-    by_payment = roll_up(totals, "PULocationID", "pickup_hour", "payment_type")
+def behavior_from_totals(by_payment: DataFrame) -> DataFrame:
+    """Zone-by-hour behaviour from totals by zone, hour and payment type."""
     # Most frequent payment type among high tips; a tie goes to the smaller one, NULL counts as smallest.
     rank = F.when(F.col("high_tips") > 0, F.struct((-F.col("high_tips")).alias("n"), "payment_type"))
     grouped = by_payment.groupBy("PULocationID", "pickup_hour").agg(
@@ -99,11 +98,10 @@ def _first_n(rows: DataFrame, group: str, order: list[Column], n: int) -> DataFr
 
 
 def rankings_from_totals(totals: DataFrame, n: int = 10, both: bool = False) -> DataFrame:
-    """Daily rankings from totals that have day, zone and hour."""
-    by_hour = roll_up(totals, "trip_date", "PULocationID", "pickup_hour")
-    zone_day = roll_up(by_hour, "trip_date", "PULocationID").select(
+    """Daily rankings from totals by day, zone, hour and possibly more."""
+    zone_day = roll_up(totals, "trip_date", "PULocationID").select(
         "trip_date", "PULocationID", _mean_pct().alias("avg_tip_pct"))
-    hour_day = roll_up(by_hour, "trip_date", "pickup_hour").select(
+    hour_day = roll_up(totals, "trip_date", "pickup_hour").select(
         "trip_date", "pickup_hour", _mean_pct().alias("pct"))
     # Each side is a plain "rank <= n", which Spark cuts to n rows per day before the shuffle.
     top = _first_n(zone_day, "trip_date", [F.desc("avg_tip_pct"), F.asc("PULocationID")], n)

@@ -10,7 +10,8 @@ from tidemark import schemas as S
 from tidemark.operators.ids import assign_ids
 from tidemark.operators.offsets import offset_ranges, pending
 from tidemark.operators.quality import reconcile
-from tidemark.operators.tips import behavior_from_totals, daily_totals, driver_tip_report, rankings_from_totals
+from tidemark.operators.tips import (
+    behavior_from_totals, daily_totals, driver_tip_report, rankings_from_totals, roll_up)
 from tidemark.operators.trips import clean_trips, enrich_zones
 from tidemark.sinks.tables import replace_table
 from tidemark.sinks.versions import OFFSETS, load_offsets, merge_into_mirror, read_mirror, save_offsets
@@ -81,7 +82,8 @@ def refresh_gold(spark: SparkSession, layout: Layout, drivers: S.TableSpec = S.D
     silver = spark.read.parquet(layout.trips("silver"))
     totals = daily_totals(silver).persist()
     try:
-        replace_table(behavior_from_totals(totals), layout.gold("tipping_behavior"))
+        by_payment = roll_up(totals, "PULocationID", "pickup_hour", "payment_type")
+        replace_table(behavior_from_totals(by_payment), layout.gold("tipping_behavior"))
         replace_table(rankings_from_totals(totals), layout.gold("tip_rankings"))
     finally:
         totals.unpersist()

@@ -205,6 +205,9 @@ FROM ev WHERE user_id % 2 = 0 GROUP BY 1"""),
 SELECT {_HALF_TOPIC} AS topic, CAST(user_id % 4 AS INT) AS kafka_partition, event_id * 2 AS kafka_offset,
        {_QUARANTINE_REASON} AS reason
 FROM ev WHERE k IN (7, 11, 13, 17, 19, 23, 29)"""),
+        "cdc_quarantined_bronze": _with_events(f"""
+SELECT {_QUARANTINE_REASON} AS reason, COUNT(*) AS messages
+FROM ev WHERE k IN (7, 11, 13, 17, 19, 23, 29) AND user_id % 2 = 0 GROUP BY 1"""),
         "cdc_mirror_customers": _with_events(_MIRROR_OF.format(columns=_CUSTOMER, half=0), latest),
         "cdc_mirror_drivers": _with_events(_MIRROR_OF.format(columns=_DRIVER, half=1), latest),
         "cdc_current_state": _with_events(_MIRROR, latest),

@@ -66,6 +66,11 @@ def cdc_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.quarantine(B.damaged_messages(spark, sf_dir)).select("topic", "kafka_partition", "kafka_offset", "reason")
 
 
+def cdc_quarantined_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = E.bronze_table(B.damaged_messages(spark, sf_dir), S.CUSTOMERS)
+    return E.quarantined(bronze, S.CUSTOMERS).groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
 def cdc_mirror_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.current_state(E.bronze_table(B.messages(spark, sf_dir), S.CUSTOMERS), S.CUSTOMERS)
 
@@ -432,8 +437,8 @@ def medallion_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL: tuple[Query, ...] = (
-    cdc_parse_envelope, cdc_route_counts, cdc_undeclared_table, cdc_quarantine, cdc_mirror_customers,
-    cdc_mirror_drivers, cdc_current_state, cdc_latest_ties, cdc_apply_changes, cdc_replay_equals_batch,
+    cdc_parse_envelope, cdc_route_counts, cdc_undeclared_table, cdc_quarantine, cdc_quarantined_bronze,
+    cdc_mirror_customers, cdc_mirror_drivers, cdc_current_state, cdc_latest_ties, cdc_apply_changes, cdc_replay_equals_batch,
     cdc_state_as_of, cdc_state_as_of_offsets, cdc_deleted_keys, cdc_resurrected_keys, cdc_offset_order,
     cdc_run_summary, cdc_snapshot_diff, cdc_diff_applied, cdc_pending_offsets, cdc_offset_range,
     cdc_checkpoint_batches, cdc_reconcile, cdc_row_diff, cdc_schema_evolution, cdc_reparse,

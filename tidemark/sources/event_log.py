@@ -16,10 +16,16 @@ _PREDICATE_PARTITIONS = 200
 
 
 def read_kafka(spark: SparkSession, servers: str, pattern: str = TOPIC_PATTERN,
-               start: Offsets | None = None, end: Offsets | None = None) -> DataFrame:
-    """Bounded read of all topics matching a pattern, from earliest unless a start is given."""
+               start: Offsets | None = None, end: Offsets | None = None,
+               min_partitions: int | None = None) -> DataFrame:
+    """Bounded read of all topics matching a pattern, from earliest unless a start is given.
+
+    ``min_partitions`` lets Spark split the offset range of a topic partition that holds much of the log.
+    """
     reader = (spark.read.format("kafka").option("kafka.bootstrap.servers", servers)
               .option("subscribePattern", pattern))
+    if min_partitions:
+        reader = reader.option("minPartitions", min_partitions)
     return (reader.option("startingOffsets", _kafka_offsets(start, "earliest"))
             .option("endingOffsets", _kafka_offsets(end, "latest")).load())
 

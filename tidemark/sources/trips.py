@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 # Fixed value: trip files share a folder with other files and are told apart by name.
 TRIP_FILES = "yellow_tripdata_*.parquet"
 
 
-def read_trips(spark: SparkSession, path: str, pattern: str = TRIP_FILES) -> DataFrame:
-    """All trip files below ``path``; refuses a missing folder, no matching file and files without rows."""
+def read_trips(spark: SparkSession, path: str, pattern: str = TRIP_FILES,
+               schema: T.StructType | None = None) -> DataFrame:
+    """All trip files below ``path``; refuses a missing folder, no matching file and files without rows.
+
+    The schema is that of one file unless given; a given one saves looking into the files.
+    """
+    reader = spark.read.option("pathGlobFilter", pattern)
     try:
-        trips = spark.read.option("pathGlobFilter", pattern).option("mergeSchema", True).parquet(path)
+        trips = (reader.schema(schema) if schema else reader).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"trip folder missing: {path}") from error

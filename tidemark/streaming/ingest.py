@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas as S
-from tidemark.operators.envelope import bronze_table, quarantine
+from tidemark.operators.envelope import bronze_table
 from tidemark.sinks.tables import append_events
 from tidemark.sinks.versions import merge_into_mirror
 
@@ -34,13 +34,13 @@ def bronze_path(root: str, spec: S.TableSpec) -> str:
 
 
 def ingest_messages(messages: DataFrame, specs: list[S.TableSpec], root: str) -> None:
-    """One batch of messages into the bronze table of each topic, the unusable ones to quarantine as well.
+    """One batch of messages into the bronze table of each topic.
 
-    Safe to repeat: offsets that are stored already are not stored again.
+    Safe to repeat: offsets that are stored already are not stored again. Unusable messages are kept
+    like all others and can be listed from bronze at any time.
     """
     for spec in specs:
         append_events(bronze_table(messages, spec), bronze_path(root, spec))
-    append_events(quarantine(messages), f"{root}/quarantine")
 
 
 def stream_bronze(messages: DataFrame, specs: list[S.TableSpec], root: str, checkpoint: str) -> StreamingQuery:
