@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from tidemark.schemas import EVENT_ID
 from tidemark.sources.files import read_if_present
@@ -37,16 +37,10 @@ def write_run(df: DataFrame, path: str, run_key: str) -> None:
      .partitionBy(run_key).parquet(path))
 
 
-def _from_lowest(events: DataFrame) -> Column:
+def _not_below(lowest: list[Row]) -> Column:
     """Condition on stored rows: not below the lowest new offset of their partition."""
-    lowest = events.groupBy("topic", "kafka_partition").agg(F.min("kafka_offset").alias("low"))
-    rows = lowest.limit(_PREDICATE_PARTITIONS + 1).collect()
-    if not rows:
-        return F.lit(False)
-    if len(rows) > _PREDICATE_PARTITIONS:
-        return F.col("kafka_offset") >= events.agg(F.min("kafka_offset")).first()[0]
     wanted = F.lit(False)
-    for row in rows:
+    for row in lowest:
         wanted = wanted | ((F.col("topic") == row.topic) & (F.col("kafka_partition") == row.kafka_partition)
                            & (F.col("kafka_offset") >= row.low))
     return wanted
@@ -56,14 +50,24 @@ def new_events(events: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Events that are not stored yet, each once.
 
     Only stored rows at or above the lowest offset of the batch can be repeats, and that condition is
-    pushed into the scan, so the check reads the tail of the log and not its history. Both checks look
-    at the three id columns alone; whole rows are shuffled only if there really are repeats.
+    pushed into the scan, so the check reads the tail of the log and not its history. It looks at the
+    three id columns alone; whole rows are shuffled only if there really are repeats.
     """
-    ids = events.select(*EVENT_ID)
-    if not ids.groupBy(*EVENT_ID).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+    counted = events.groupBy(*EVENT_ID).agg(F.count(F.lit(1)).alias("n"))
+    per_partition = counted.groupBy("topic", "kafka_partition").agg(
+        F.min("kafka_offset").alias("low"), F.max("n").alias("most"))
+    bounds = per_partition.limit(_PREDICATE_PARTITIONS + 1).collect()
+    if not bounds:
+        return events
+    tail = _not_below(bounds)
+    most = max(row.most for row in bounds)
+    if len(bounds) > _PREDICATE_PARTITIONS:
+        overall = per_partition.agg(F.min("low").alias("low"), F.max("most").alias("most")).first()
+        tail, most = F.col("kafka_offset") >= overall.low, overall.most
+    if most > 1:
         events = events.dropDuplicates(EVENT_ID)
     if stored is not None:
-        seen = stored.filter(_from_lowest(ids)).select(*EVENT_ID)
+        seen = stored.filter(tail).select(*EVENT_ID)
         if not seen.isEmpty():
             events = events.join(seen, EVENT_ID, "left_anti")
     return events

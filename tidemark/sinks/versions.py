@@ -9,7 +9,8 @@ may be using is overwritten. Each table has one writer at a time.
 from __future__ import annotations
 
 import json
-from datetime import datetime, timezone
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
@@ -32,31 +33,50 @@ MANIFEST = T.StructType([
 ])
 
 
-def _manifest(spark: SparkSession, table: str) -> DataFrame | None:
-    return read_if_present(spark, f"{table}/manifest", MANIFEST)
+def _manifest(spark: SparkSession, table: str) -> DataFrame:
+    found = read_if_present(spark, f"{table}/manifest", MANIFEST)
+    return spark.createDataFrame([], MANIFEST) if found is None else found
 
 
-def latest_version(spark: SparkSession, table: str) -> int | None:
-    manifest = _manifest(spark, table)
-    return manifest.agg(F.max("version")).first()[0] if manifest is not None else None
+@dataclass(frozen=True)
+class Version:
+    """Manifest rows of one version, held by the driver: a header and at most one row per bucket."""
 
+    header: Row
+    entries: list[Row]
 
-def _entries(spark: SparkSession, table: str, version: int) -> tuple[Row, list[Row]]:
-    """Header and bucket rows of a version; there are no more of them than buckets."""
-    rows = _manifest(spark, table).filter(F.col("version") == version).collect()
-    header = [r for r in rows if r.bucket == _HEADER]
-    if not header:
-        raise ValueError(f"{table} has no version {version}")
-    return header[0], [r for r in rows if r.bucket != _HEADER]
+    @property
+    def number(self) -> int:
+        return self.header.version
 
+    @property
+    def schema(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.header.schema))
 
-def _commit(spark: SparkSession, table: str, version: int, entries: list[tuple[int, int, int]], buckets: int,
-            operation: str, run_key: str | None, schema: str) -> int:
-    now = datetime.now(timezone.utc)
-    rows = [(bucket, data_version, n, buckets, operation, run_key, now, schema)
-            for bucket, data_version, n in [(_HEADER, version, 0), *entries]]
-    (spark.createDataFrame(rows, T.StructType(MANIFEST.fields[:-1])).coalesce(1)
-     .write.mode("overwrite").parquet(f"{table}/manifest/version={version}"))
+
+def find_version(spark: SparkSession, table: str, version: int | None = None) -> Version | None:
+    """A version of a table, by default the newest; None before anything was published."""
+    manifest = _manifest(spark, table)
+    wanted = manifest.agg(F.max("version")).scalar() if version is None else F.lit(version)
+    rows = manifest.filter(F.col("version") == wanted).collect()
+    header = [r for r in rows if r.bucket == _HEADER]
+    if not header:
+        if version is not None:
+            raise ValueError(f"{table} has no version {version}")
+        return None
+    return Version(header[0], [r for r in rows if r.bucket != _HEADER])
+
+
+def _commit(table: str, version: int, entries: list[DataFrame], spark: SparkSession, buckets: int,
+            operation: str, run_key: str | None, schema: T.StructType) -> int:
+    """Write the manifest of a version; the version exists from then on."""
+    header = spark.range(1).select(F.lit(_HEADER).alias("bucket"), F.lit(version).cast("bigint").alias("data_version"),
+                                   F.lit(0).cast("bigint").alias("rows"))
+    rows = reduce(DataFrame.unionByName, entries, header)
+    (rows.select("bucket", "data_version", "rows", F.lit(buckets).alias("buckets"), F.lit(operation).alias("operation"),
+                 F.lit(run_key).cast("string").alias("run_key"), F.current_timestamp().alias("committed_at"),
+                 F.lit(schema.json()).alias("schema"))
+     .coalesce(1).write.mode("overwrite").parquet(f"{table}/manifest/version={version}"))
     return version
 
 
@@ -65,52 +85,56 @@ def bucket_of(key: str, buckets: int) -> Column:
 
 
 def publish(df: DataFrame, table: str, operation: str = "overwrite", key: str | None = None, buckets: int = 1,
-            run_key: str | None = None, touched: list[int] | None = None) -> int:
-    """Publish ``df`` as the next version and return its number.
+            run_key: str | None = None) -> int:
+    """Publish ``df`` as the next version and return its number."""
+    previous = find_version(df.sparkSession, table)
+    return _publish(df, table, previous, operation, key, buckets, run_key, touched=None)
+
+
+def _publish(df: DataFrame, table: str, previous: Version | None, operation: str, key: str | None, buckets: int,
+             run_key: str | None, touched: list[int] | None) -> int:
+    """With ``touched``, ``df`` replaces those buckets only and the others are taken over.
 
-    With ``touched``, ``df`` replaces those buckets only and the others are taken over. A retry after a
-    failure writes the same data_version again; readers see a version only once its manifest is there.
+    A retry after a failure writes the same data_version again; readers see a version only once its
+    manifest is there.
     """
     spark = df.sparkSession
-    previous = latest_version(spark, table)
-    version = 0 if previous is None else previous + 1
+    version = 0 if previous is None else previous.number + 1
     bucket = bucket_of(key, buckets) if key else F.lit(0)
     data = f"{table}/data/data_version={version}"
     (df.withColumn("bucket", bucket).hint("rebalance", "bucket")
      .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(data))
+    entries = []
     written = read_if_present(spark, data)
-    sizes = ([] if written is None or "bucket" not in written.columns
-             else written.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect())
-    entries = [(r.bucket, version, r.n) for r in sizes]
+    if written is not None and "bucket" in written.columns:
+        entries.append(written.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
+                       .withColumn("data_version", F.lit(version).cast("bigint")))
     if touched is not None and previous is not None:
-        kept = _entries(spark, table, previous)[1]
-        entries += [(r.bucket, r.data_version, r.rows) for r in kept if r.bucket not in set(touched)]
-    return _commit(spark, table, version, entries, buckets, operation, run_key, df.schema.json())
+        entries.append(_manifest(spark, table).filter(F.col("version") == previous.number)
+                       .filter(~F.col("bucket").isin(_HEADER, *touched)).select("bucket", "data_version", "rows"))
+    return _commit(table, version, entries, spark, buckets, operation, run_key, df.schema)
 
 
-def read_as_of(spark: SparkSession, table: str, version: int | None = None,
-               only_buckets: list[int] | None = None) -> DataFrame:
+def read_as_of(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
     """The table at a version, by default the newest."""
-    if version is None:
-        version = latest_version(spark, table)
-        if version is None:
-            raise ValueError(f"nothing was published to {table}")
-    header, entries = _entries(spark, table, version)
-    schema = T.StructType.fromJson(json.loads(header.schema))
-    wanted = [e for e in entries if only_buckets is None or e.bucket in set(only_buckets)]
+    found = find_version(spark, table, version)
+    if found is None:
+        raise ValueError(f"nothing was published to {table}")
+    return _read(spark, table, found)
+
+
+def _read(spark: SparkSession, table: str, version: Version, only_buckets: list[int] | None = None) -> DataFrame:
+    wanted = [e for e in version.entries if only_buckets is None or e.bucket in set(only_buckets)]
     if not wanted:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], version.schema)
     paths = [f"{table}/data/data_version={e.data_version}/bucket={e.bucket}" for e in wanted]
     # Buckets written before a column was added return it as NULL.
-    return spark.read.schema(schema).parquet(*paths)
+    return spark.read.schema(version.schema).parquet(*paths)
 
 
 def list_snapshots(spark: SparkSession, table: str) -> DataFrame:
     """Versions of a table, newest first, with the time, the operation and the row count."""
-    manifest = _manifest(spark, table)
-    if manifest is None:
-        manifest = spark.createDataFrame([], MANIFEST)
-    return (manifest.groupBy(F.col("version").alias("snapshot_id"))
+    return (_manifest(spark, table).groupBy(F.col("version").alias("snapshot_id"))
             .agg(F.max("committed_at").alias("committed_at"), F.max("operation").alias("operation"),
                  F.sum("rows").alias("rows"))
             .orderBy(F.desc("committed_at"), F.desc("snapshot_id")))
@@ -124,36 +148,35 @@ def previous_version(spark: SparkSession, table: str) -> int | None:
 
 def rollback(spark: SparkSession, table: str, version: int) -> int:
     """Make an earlier version the newest one again, without copying data."""
-    header, entries = _entries(spark, table, version)
-    return _commit(spark, table, latest_version(spark, table) + 1,
-                   [(e.bucket, e.data_version, e.rows) for e in entries],
-                   header.buckets, "rollback", None, header.schema)
+    target, newest = find_version(spark, table, version), find_version(spark, table)
+    entries = _manifest(spark, table).filter((F.col("version") == version) & (F.col("bucket") != _HEADER))
+    return _commit(table, newest.number + 1, [entries.select("bucket", "data_version", "rows")], spark,
+                   target.header.buckets, "rollback", None, target.schema)
 
 
 def merge_into_mirror(bronze: DataFrame, table: str, spec: S.TableSpec, buckets: int = 64,
-                      run_key: str | None = None) -> int:
-    """Merge a batch of events into a published state and return the new version.
+                      run_key: str | None = None) -> int | None:
+    """Merge a batch of events into a published state; returns the version that holds them.
 
     Reads and rewrites only the buckets that hold a changed key. ``run_key`` names the batch: when the
     newest version came from it already, nothing is done.
     """
     spark = bronze.sparkSession
     changes = latest_per_key(keyed_events(bronze, spec), spec.key)
-    current = latest_version(spark, table)
+    current = find_version(spark, table)
     if current is None:
-        return publish(changes, table, "merge", spec.key, buckets, run_key)
-    header, _ = _entries(spark, table, current)
-    if run_key is not None and header.run_key == run_key:
-        return current
+        return _publish(changes, table, None, "merge", spec.key, buckets, run_key, touched=None)
+    if run_key is not None and current.header.run_key == run_key:
+        return current.number
     changes = changes.persist()
     try:
-        hit = changes.select(bucket_of(spec.key, header.buckets).alias("bucket")).distinct()
+        hit = changes.select(bucket_of(spec.key, current.header.buckets).alias("bucket")).distinct()
         touched = [r.bucket for r in hit.collect()]
         if not touched:
-            return current
-        state = read_as_of(spark, table, current, touched)
+            return current.number
+        state = _read(spark, table, current, touched)
         merged = latest_per_key(state.unionByName(changes, allowMissingColumns=True).select(*changes.columns), spec.key)
-        return publish(merged, table, "merge", spec.key, header.buckets, run_key, touched)
+        return _publish(merged, table, current, "merge", spec.key, current.header.buckets, run_key, touched)
     finally:
         changes.unpersist()
 
@@ -177,6 +200,5 @@ OFFSETS = T.StructType([
 
 def load_offsets(spark: SparkSession, table: str) -> DataFrame:
     """The offsets saved last; empty before the first run."""
-    if latest_version(spark, table) is None:
-        return spark.createDataFrame([], OFFSETS)
-    return read_as_of(spark, table)
+    found = find_version(spark, table)
+    return spark.createDataFrame([], OFFSETS) if found is None else _read(spark, table, found)
