@@ -40,7 +40,7 @@ class Layout:
 
 
 def refresh_changes(spark: SparkSession, log: DataFrame, layout: Layout, specs: list[S.TableSpec],
-                    buckets: int = 64) -> int:
+                    buckets: int = 16) -> int:
     """Take in what is new in the log; returns the number of new offsets. An idle run writes nothing.
 
     The offsets recorded at the end are those read in this run, so messages that arrive meanwhile

@@ -154,7 +154,7 @@ def rollback(spark: SparkSession, table: str, version: int) -> int:
                    target.header.buckets, "rollback", None, target.schema)
 
 
-def merge_into_mirror(bronze: DataFrame, table: str, spec: S.TableSpec, buckets: int = 64,
+def merge_into_mirror(bronze: DataFrame, table: str, spec: S.TableSpec, buckets: int = 16,
                       run_key: str | None = None) -> int | None:
     """Merge a batch of events into a published state; returns the version that holds them.
 

@@ -65,7 +65,7 @@ def bronze_stream(spark: SparkSession, root: str, spec: S.TableSpec, files_per_b
 
 
 def stream_silver(events: DataFrame, table: str, spec: S.TableSpec, checkpoint: str,
-                  buckets: int = 64) -> StreamingQuery:
+                  buckets: int = 16) -> StreamingQuery:
     """Bronze rows merged into a published mirror, one version per batch."""
     def batch(df: DataFrame, batch_id: int) -> None:
         merge_into_mirror(df, table, spec, buckets, run_key=f"{checkpoint}#{batch_id}")
