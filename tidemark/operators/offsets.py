@@ -18,16 +18,17 @@ def high_water(bronze: DataFrame) -> DataFrame:
 def pending(log: DataFrame, stored: DataFrame) -> DataFrame:
     """Stored and latest offset of every partition, and how many offsets lie between them.
 
-    ``log`` holds messages, ``stored`` the result of :func:`high_water`. A partition known to one side
-    only counts from zero on the other.
+    ``log`` holds messages, all of them or only those from the stored offsets on, as a Kafka read with
+    starting offsets gives; ``stored`` is the result of :func:`high_water`. A partition seen for the
+    first time counts from zero, one without messages has no news.
     """
     latest = (log.groupBy("topic", F.col("partition").alias("kafka_partition"))
-              .agg((F.max("offset") + 1).alias("to_offset")))
+              .agg((F.max("offset") + 1).alias("latest")))
     known = stored.select("topic", "kafka_partition", F.col("next_offset").alias("from_offset"))
-    both = latest.join(known, ["topic", "kafka_partition"], "full_outer").fillna(0, ["from_offset", "to_offset"])
-    gap = F.col("to_offset") - F.col("from_offset")
-    return both.select("topic", "kafka_partition", "from_offset", "to_offset",
-                       F.greatest(F.lit(0), gap).cast("bigint").alias("new_events"))
+    both = latest.join(known, ["topic", "kafka_partition"], "full_outer").fillna(0, ["from_offset", "latest"])
+    reached = F.greatest("from_offset", "latest")
+    return both.select("topic", "kafka_partition", "from_offset", reached.alias("to_offset"),
+                       (reached - F.col("from_offset")).alias("new_events"))
 
 
 def offset_ranges(gate: list[Row]) -> tuple[Offsets, Offsets]:

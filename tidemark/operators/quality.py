@@ -64,3 +64,8 @@ def describe(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(
         [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema)],
         "position int, column string, type string, nullable boolean")
+
+
+def first_rows(df: DataFrame, key: str, n: int = 5) -> DataFrame:
+    """Spot check: the n rows with the smallest key."""
+    return df.orderBy(key).limit(n)

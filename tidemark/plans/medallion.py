@@ -57,7 +57,7 @@ def refresh_changes(spark: SparkSession, log: DataFrame, layout: Layout, specs:
     for spec in specs:
         bronze = spark.read.schema(spec.bronze_schema).parquet(bronze_path(layout.root, spec))
         merge_into_mirror(_in_ranges(bronze, end, start), layout.mirror(spec), spec, buckets, run_key=key)
-    reached = [(r.topic, r.kafka_partition, max(r.from_offset, r.to_offset)) for r in gate]
+    reached = [(r.topic, r.kafka_partition, r.to_offset) for r in gate]
     save_offsets(spark.createDataFrame(reached, OFFSETS), layout.offsets)
     return sum(end[p] - start[p] for p in end)
 

@@ -211,6 +211,7 @@ FROM ev WHERE k IN (7, 11, 13, 17, 19, 23, 29) AND user_id % 2 = 0 GROUP BY 1"""
         "cdc_mirror_customers": _with_events(_MIRROR_OF.format(columns=_CUSTOMER, half=0), latest),
         "cdc_mirror_drivers": _with_events(_MIRROR_OF.format(columns=_DRIVER, half=1), latest),
         "cdc_current_state": _with_events(_MIRROR, latest),
+        "cdc_first_rows": _with_events(_MIRROR + " ORDER BY user_id LIMIT 5", latest),
         "cdc_latest_ties": _with_events("""
 SELECT user_id AS id, event_type, amount, ts_ms // 86400000 * 86400000 AS updated_ts FROM latest WHERE op <> 'd'""",
                                         _ranked("latest", order="ts_ms // 86400000 DESC, event_id DESC")),

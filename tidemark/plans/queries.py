@@ -83,6 +83,10 @@ def cdc_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.current_state(B.user_log(spark, sf_dir), USERS)
 
 
+def cdc_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.first_rows(cdc_current_state(spark, sf_dir), "id", 5)
+
+
 def cdc_latest_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.lit(86_400_000)
     log = B.user_log(spark, sf_dir).withColumn("ts_ms", F.col("ts_ms") - F.pmod("ts_ms", day))
@@ -438,7 +442,7 @@ def medallion_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ALL: tuple[Query, ...] = (
     cdc_parse_envelope, cdc_route_counts, cdc_undeclared_table, cdc_quarantine, cdc_quarantined_bronze,
-    cdc_mirror_customers, cdc_mirror_drivers, cdc_current_state, cdc_latest_ties, cdc_apply_changes, cdc_replay_equals_batch,
+    cdc_mirror_customers, cdc_mirror_drivers, cdc_current_state, cdc_first_rows, cdc_latest_ties, cdc_apply_changes, cdc_replay_equals_batch,
     cdc_state_as_of, cdc_state_as_of_offsets, cdc_deleted_keys, cdc_resurrected_keys, cdc_offset_order,
     cdc_run_summary, cdc_snapshot_diff, cdc_diff_applied, cdc_pending_offsets, cdc_offset_range,
     cdc_checkpoint_batches, cdc_reconcile, cdc_row_diff, cdc_schema_evolution, cdc_reparse,
