@@ -20,15 +20,18 @@ OFFSET_ORDER = ("kafka_offset", "kafka_partition")
 
 
 def latest_per_key(rows: DataFrame, key: str, order: tuple[str, ...] = ORDER) -> DataFrame:
-    """The row with the greatest ``order`` for every key; NULL sorts lowest.
+    """The row with the greatest ``order`` for every key; NULL sorts lowest, rows without a key go.
 
     ``max`` over a struct is combined before the shuffle, so every task sends one row per key however
-    many events a hot key has. The remaining columns follow the order columns in the struct and make
-    the choice deterministic when even the order ties.
+    many events a hot key has, and one at most for all rows without a key. Those are left out by the
+    aggregate and not by a filter: Catalyst would move a filter below the parsing of the log and parse
+    every message once more for each column it mentions. The remaining columns follow the order
+    columns in the struct and make the choice deterministic when even the order ties.
     """
     names = [*order, *[c for c in rows.columns if c != key and c not in order]]
-    best = rows.groupBy(key).agg(F.max(F.struct(*names)).alias("_best"))
-    return best.select(*[F.col(c) if c == key else F.col(f"_best.{c}").alias(c) for c in rows.columns])
+    best = rows.groupBy(key).agg(F.max(F.when(F.col(key).isNotNull(), F.struct(*names))).alias("_best"))
+    return best.filter(F.col("_best").isNotNull()).select(
+        *[F.col(c) if c == key else F.col(f"_best.{c}").alias(c) for c in rows.columns])
 
 
 def event_key(spec: S.TableSpec) -> Column:
@@ -37,18 +40,13 @@ def event_key(spec: S.TableSpec) -> Column:
 
 
 def keyed_events(bronze: DataFrame, spec: S.TableSpec) -> DataFrame:
-    """Events as state rows, without those that have no op or no key.
-
-    Rows without a key can never appear in a mirror; dropping them here keeps them from gathering in
-    one shuffle partition.
-    """
-    events = bronze.filter(F.col("op").isNotNull()).select(
-        event_key(spec).alias(spec.key),
+    """Events as state rows. One without an op counts as one without a key, and cannot be applied."""
+    return bronze.select(
+        F.when(F.col("op").isNotNull(), event_key(spec)).alias(spec.key),
         *[F.col(f"after_{name}").alias(name) for name in spec.attributes],
         *ORDER,
         (F.col("op") == S.DELETE).alias("deleted"),
     )
-    return events.filter(F.col(spec.key).isNotNull())
 
 
 def fold_state(bronze: DataFrame, spec: S.TableSpec, order: tuple[str, ...] = ORDER) -> DataFrame:

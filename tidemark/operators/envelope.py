@@ -109,8 +109,9 @@ def quarantine(log: DataFrame, key: str = "id") -> DataFrame:
         .when(key_text.isNull(), "missing_key")
         .when(key_text.try_cast("bigint").isNull(), "bad_key")
     )
-    return (parsed.withColumn("reason", reason).filter(F.col("reason").isNotNull())
-            .select(*_MESSAGE_NAMES, "reason", "value"))
+    # The generator holds the filter above the parsing, which would otherwise be repeated inside it.
+    return (parsed.select(*_MESSAGE_NAMES, F.explode(F.array(reason)).alias("reason"), "value")
+            .filter(F.col("reason").isNotNull()))
 
 
 def quarantined(bronze: DataFrame, spec: S.TableSpec) -> DataFrame:
