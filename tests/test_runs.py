@@ -57,6 +57,14 @@ def test_scenarios(spark):
     assert rows(current_state(bronze, CUSTOMERS)) == rows(V.read_mirror(spark, layout.mirror(CUSTOMERS), CUSTOMERS))
 
 
+def test_table_without_events(spark):
+    layout = Layout(scratch_dir(spark, "lake"))
+    refresh_changes(spark, log(spark, FIRST), layout, [CUSTOMERS, DRIVERS], buckets=2)
+    drivers = V.read_mirror(spark, layout.mirror(DRIVERS), DRIVERS)
+    assert drivers.isEmpty() and drivers.columns == [*DRIVERS.columns.names, "updated_ts"]
+    assert spark.read.parquet(I.bronze_path(layout.root, DRIVERS)).isEmpty()
+
+
 def test_drivers_alone_are_news(spark):
     layout = Layout(scratch_dir(spark, "lake"))
     driver = message(0, envelope("c", 5, after={"id": 1, "name": "Tom", "rating": "4.85"}), "drivers")

@@ -55,6 +55,8 @@ def refresh_changes(spark: SparkSession, log: DataFrame, layout: Layout, specs:
     ingest_messages(read_offsets(log, end, start), specs, layout.root)
     key = ",".join(f"{topic}/{partition}:{offset}" for (topic, partition), offset in sorted(end.items()))
     for spec in specs:
+        if not any(topic == spec.topic for topic, _ in end):
+            continue
         bronze = spark.read.schema(spec.bronze_schema).parquet(bronze_path(layout.root, spec))
         merge_into_mirror(_in_ranges(bronze, end, start), layout.mirror(spec), spec, buckets, run_key=key)
     reached = [(r.topic, r.kafka_partition, r.to_offset) for r in gate]

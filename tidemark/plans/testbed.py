@@ -90,16 +90,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "active": k >= 50,
     }, offset)
     wrapped = F.col("op") != S.UPDATE
-    live = to_envelope(customers, S.CUSTOMERS, wrapped).unionByName(to_envelope(drivers, S.DRIVERS, wrapped))
-    even = F.pmod("user_id", F.lit(2)) == 0
-    tombstones = events.filter(F.col("op") == S.DELETE).select(
-        F.to_json(F.struct(F.col("user_id").alias("id"))).cast("binary").alias("key"),
-        F.lit(None).cast("binary").alias("value"),
-        F.when(even, S.CUSTOMERS.topic).otherwise(S.DRIVERS.topic).alias("topic"),
-        F.pmod("user_id", F.lit(4)).cast("int").alias("partition"),
-        (offset + 1).alias("offset"),
-        F.col("ts").alias("timestamp"))
-    return live.unionByName(tombstones)
+    return (to_envelope(customers, S.CUSTOMERS, wrapped, tombstones=True)
+            .unionByName(to_envelope(drivers, S.DRIVERS, wrapped, tombstones=True)))
 
 
 def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

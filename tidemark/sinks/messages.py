@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.values import iso_timestamp, resolve
-from tidemark.schemas import TRIP_EVENT, TableSpec
+from tidemark.schemas import DELETE, TRIP_EVENT, TableSpec
 
 
 def to_events(df: DataFrame, key: str) -> DataFrame:
@@ -23,8 +23,12 @@ def from_events(messages: DataFrame, schema: T.StructType = TRIP_EVENT) -> DataF
     return messages.select(F.from_json(F.col("value").cast("string"), schema).alias("row")).select("row.*")
 
 
-def to_envelope(changes: DataFrame, spec: TableSpec, wrapped: Column | bool = True) -> DataFrame:
-    """Bronze rows as raw messages, the inverse of parsing them."""
+def to_envelope(changes: DataFrame, spec: TableSpec, wrapped: Column | bool = True,
+                tombstones: bool = False) -> DataFrame:
+    """Bronze rows as raw messages, the inverse of parsing them.
+
+    With ``tombstones`` every delete is followed, at the next offset, by a message without a value.
+    """
     def image(side: str) -> Column:
         present = F.col(f"{side}_{spec.key}").isNotNull()
         return F.when(present, F.struct(*[F.col(f"{side}_{c}").alias(c) for c in spec.columns.names])).alias(side)
@@ -34,10 +38,18 @@ def to_envelope(changes: DataFrame, spec: TableSpec, wrapped: Column | bool = Tr
                     F.col("op"), F.col("ts_ms"))
     wrapped = wrapped if isinstance(wrapped, Column) else F.lit(wrapped)
     text = F.when(wrapped, F.to_json(F.struct(body.alias("payload")))).otherwise(F.to_json(body))
+    value = text.cast("binary")
     key = F.coalesce(F.col(f"after_{spec.key}"), F.col(f"before_{spec.key}"))
-    return changes.select(
+    sent = changes.withColumn("value", value)
+    if tombstones:
+        pair = F.array(value, F.lit(None).cast("binary"))
+        # Position 0 is the event itself, position 1 its tombstone.
+        sent = (changes.drop("value").select("*", F.posexplode(pair).alias("_at", "value"))
+                .filter((F.col("_at") == 0) | (F.col("op") == DELETE))
+                .withColumn("kafka_offset", F.col("kafka_offset") + F.col("_at")))
+    return sent.select(
         F.to_json(F.struct(key.alias(spec.key))).cast("binary").alias("key"),
-        text.cast("binary").alias("value"),
+        "value",
         "topic",
         F.col("kafka_partition").alias("partition"),
         F.col("kafka_offset").alias("offset"),

@@ -37,45 +37,52 @@ def write_run(df: DataFrame, path: str, run_key: str) -> None:
      .partitionBy(run_key).parquet(path))
 
 
-def _not_below(lowest: list[Row]) -> Column:
+def batch_bounds(events: DataFrame) -> list[Row]:
+    """Per (topic, kafka_partition) the lowest offset of a batch and how often its most frequent offset occurs."""
+    counted = events.groupBy(*EVENT_ID).agg(F.count(F.lit(1)).alias("n"))
+    return (counted.groupBy("topic", "kafka_partition")
+            .agg(F.min("kafka_offset").alias("low"), F.max("n").alias("most")).collect())
+
+
+def _tail(bounds: list[Row]) -> Column:
     """Condition on stored rows: not below the lowest new offset of their partition."""
+    if len(bounds) > _PREDICATE_PARTITIONS:
+        return F.col("kafka_offset") >= min(row.low for row in bounds)
     wanted = F.lit(False)
-    for row in lowest:
+    for row in bounds:
         wanted = wanted | ((F.col("topic") == row.topic) & (F.col("kafka_partition") == row.kafka_partition)
                            & (F.col("kafka_offset") >= row.low))
     return wanted
 
 
-def new_events(events: DataFrame, stored: DataFrame | None) -> DataFrame:
+def new_events(events: DataFrame, stored: DataFrame | None, bounds: list[Row] | None = None) -> DataFrame:
     """Events that are not stored yet, each once.
 
     Only stored rows at or above the lowest offset of the batch can be repeats, and that condition is
     pushed into the scan, so the check reads the tail of the log and not its history. It looks at the
     three id columns alone; whole rows are shuffled only if there really are repeats.
     """
-    counted = events.groupBy(*EVENT_ID).agg(F.count(F.lit(1)).alias("n"))
-    per_partition = counted.groupBy("topic", "kafka_partition").agg(
-        F.min("kafka_offset").alias("low"), F.max("n").alias("most"))
-    bounds = per_partition.limit(_PREDICATE_PARTITIONS + 1).collect()
-    if not bounds:
-        return events
-    tail = _not_below(bounds)
-    most = max(row.most for row in bounds)
-    if len(bounds) > _PREDICATE_PARTITIONS:
-        overall = per_partition.agg(F.min("low").alias("low"), F.max("most").alias("most")).first()
-        tail, most = F.col("kafka_offset") >= overall.low, overall.most
-    if most > 1:
+    bounds = batch_bounds(events) if bounds is None else bounds
+    if any(row.most > 1 for row in bounds):
         events = events.dropDuplicates(EVENT_ID)
-    if stored is not None:
-        seen = stored.filter(tail).select(*EVENT_ID)
+    if stored is not None and bounds:
+        seen = stored.filter(_tail(bounds)).select(*EVENT_ID)
         if not seen.isEmpty():
             events = events.join(seen, EVENT_ID, "left_anti")
     return events
 
 
-def append_events(events: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Append to an event log. Repeating a batch, or part of it, adds nothing."""
-    fresh = new_events(events, read_if_present(events.sparkSession, path))
+def append_events(events: DataFrame, path: str, partition_by: list[str] | None = None,
+                  bounds: list[Row] | None = None) -> None:
+    """Append to an event log. Repeating a batch, or part of it, adds nothing.
+
+    ``bounds``, from :func:`batch_bounds`, saves looking at the batch again.
+    """
+    stored = read_if_present(events.sparkSession, path)
+    bounds = batch_bounds(events) if bounds is None else bounds
+    if stored is not None and not bounds:
+        return
+    fresh = new_events(events, stored, bounds)
     if partition_by:
         # Evens out file sizes: a source with most of the events is spread over several tasks.
         fresh.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)

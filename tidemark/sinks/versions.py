@@ -182,8 +182,12 @@ def merge_into_mirror(bronze: DataFrame, table: str, spec: S.TableSpec, buckets:
 
 
 def read_mirror(spark: SparkSession, table: str, spec: S.TableSpec, version: int | None = None) -> DataFrame:
-    """Live rows of a published state."""
-    return live_rows(read_as_of(spark, table, version), spec)
+    """Live rows of a published state; none before the first event of the table."""
+    found = find_version(spark, table, version)
+    if found is None:
+        empty = spark.createDataFrame([], spec.bronze_schema)
+        return live_rows(keyed_events(empty, spec), spec)
+    return live_rows(_read(spark, table, found), spec)
 
 
 def save_offsets(offsets: DataFrame, table: str) -> int:

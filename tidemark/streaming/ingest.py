@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas as S
-from tidemark.operators.envelope import bronze_table
-from tidemark.sinks.tables import append_events
+from tidemark.operators.envelope import bronze_table, message_columns
+from tidemark.sinks.tables import append_events, batch_bounds
 from tidemark.sinks.versions import merge_into_mirror
 
 
@@ -39,8 +39,11 @@ def ingest_messages(messages: DataFrame, specs: list[S.TableSpec], root: str) ->
     Safe to repeat: offsets that are stored already are not stored again. Unusable messages are kept
     like all others and can be listed from bronze at any time.
     """
+    ids = message_columns(messages).select(*S.EVENT_ID)
+    bounds = batch_bounds(ids)
     for spec in specs:
-        append_events(bronze_table(messages, spec), bronze_path(root, spec))
+        of_table = [row for row in bounds if row.topic == spec.topic]
+        append_events(bronze_table(messages, spec), bronze_path(root, spec), bounds=of_table)
 
 
 def stream_bronze(messages: DataFrame, specs: list[S.TableSpec], root: str, checkpoint: str) -> StreamingQuery:
