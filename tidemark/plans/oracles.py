@@ -26,10 +26,8 @@ _SILVER = """silver AS (
          CASE WHEN minutes > 0 AND trip_distance > 0 THEN trip_distance / (minutes / 60.0) END AS trip_speed_kmh
   FROM (SELECT *, (epoch_us(tpep_dropoff_datetime) // 1000000 - epoch_us(tpep_pickup_datetime) // 1000000)
                   / CAST(60.0 AS DOUBLE) AS minutes FROM trips) t
-  WHERE fare_amount IS NOT NULL AND tip_amount IS NOT NULL AND trip_distance IS NOT NULL
-    AND tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL
-    AND tpep_dropoff_datetime >= tpep_pickup_datetime
-    AND fare_amount > 0 AND tip_amount >= 0 AND trip_distance > 0)"""
+  WHERE NOT (fare_amount <= 0 OR tip_amount < 0 OR trip_distance <= 0
+             OR tpep_dropoff_datetime < tpep_pickup_datetime))"""
 
 _TIPS = """tips AS (
   SELECT *, CAST(hour(tpep_pickup_datetime) AS INT) AS pickup_hour, CAST(tpep_pickup_datetime AS DATE) AS trip_date,
@@ -45,11 +43,10 @@ def _with_trips(query: str, *ctes: str, zones: int = 25) -> str:
     return _with_events(query, _TRIPS.format(zones=zones), _SILVER, _TIPS, *ctes)
 
 
-def _ranked(name: str, where: str = "TRUE", order: str = "ts_ms DESC, event_id DESC") -> str:
+def _latest(name: str = "latest", where: str = "TRUE", order: str = "ts_ms DESC, event_id DESC") -> str:
     """Latest event per user among some of the events."""
     return f"""{name} AS (
-  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY {order}) AS rn FROM ev WHERE {where}) s
-  WHERE rn = 1)"""
+  SELECT DISTINCT ON (user_id) * FROM ev WHERE {where} ORDER BY user_id, {order})"""
 
 
 _MIRROR = "SELECT user_id AS id, event_type, amount, ts_ms AS updated_ts FROM latest WHERE op <> 'd'"
@@ -62,52 +59,55 @@ _DRIVER = """CAST(user_id AS INT) AS id, 'user-' || user_id AS name, 'TLC-' || e
 
 _HALF_TOPIC = "'dbserver1.public.' || CASE WHEN user_id % 2 = 0 THEN 'customers' ELSE 'drivers' END"
 
-_BEHAVIOR = """behavior AS (
-  SELECT b.PULocationID, b.pickup_hour, AVG(tip_amount) AS avg_tip_amount, AVG(tip_pct) AS avg_tip_percentage,
-         100.0 * AVG(CASE WHEN tip_amount = 0 THEN 1 ELSE 0 END) AS pct_zero_tip,
-         100.0 * AVG(CASE WHEN tip_pct > 20 THEN 1 ELSE 0 END) AS pct_high_tip,
-         m.payment_type AS high_tip_common_payment_type, COUNT(*) AS trips_count
-  FROM tips b LEFT JOIN (
-    SELECT PULocationID, pickup_hour, payment_type,
-           ROW_NUMBER() OVER (PARTITION BY PULocationID, pickup_hour
-                              ORDER BY COUNT(*) DESC, payment_type NULLS FIRST) AS rn
-    FROM tips WHERE tip_pct > 20 GROUP BY PULocationID, pickup_hour, payment_type) m
-  ON b.PULocationID = m.PULocationID AND b.pickup_hour = m.pickup_hour AND m.rn = 1
-  GROUP BY b.PULocationID, b.pickup_hour, m.payment_type)"""
+_MODES = """payments AS (
+  SELECT PULocationID, pickup_hour, payment_type, COUNT(*) AS frequency FROM tips WHERE tip_pct > 20 GROUP BY ALL),
+modes AS (
+  SELECT DISTINCT ON (PULocationID, pickup_hour) * FROM payments
+  ORDER BY PULocationID, pickup_hour, frequency DESC, payment_type NULLS FIRST)"""
+
+_BEHAVIOR = _MODES + """,
+zone_hours AS (
+  SELECT PULocationID, pickup_hour, AVG(tip_amount) AS avg_tip_amount, AVG(tip_pct) AS avg_tip_percentage,
+         COUNT(*) FILTER (WHERE tip_amount = 0) * CAST(100 AS DOUBLE) / COUNT(*) AS pct_zero_tip,
+         COUNT(*) FILTER (WHERE tip_pct > 20) * CAST(100 AS DOUBLE) / COUNT(*) AS pct_high_tip,
+         COUNT(*) AS trips_count
+  FROM tips GROUP BY ALL),
+behavior AS (
+  SELECT z.*, modes.payment_type AS high_tip_common_payment_type
+  FROM zone_hours z LEFT JOIN modes USING (PULocationID, pickup_hour))"""
 
 _BEHAVIOR_COLUMNS = """PULocationID, pickup_hour, ROUND(avg_tip_amount, 9) AS avg_tip_amount,
   ROUND(avg_tip_percentage, 9) AS avg_tip_percentage, ROUND(pct_zero_tip, 9) AS pct_zero_tip,
   ROUND(pct_high_tip, 9) AS pct_high_tip"""
 
-_RANKED_ZONES = """zone_day AS (
-  SELECT trip_date, PULocationID, AVG(tip_pct) AS avg_tip_pct FROM tips GROUP BY trip_date, PULocationID),
-ranked AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY trip_date ORDER BY avg_tip_pct DESC, PULocationID) AS rn_top,
-         ROW_NUMBER() OVER (PARTITION BY trip_date ORDER BY avg_tip_pct, PULocationID) AS rn_bottom
-  FROM zone_day),
-best_hour AS (
-  SELECT trip_date, pickup_hour, AVG(tip_pct) AS pct,
-         ROW_NUMBER() OVER (PARTITION BY trip_date ORDER BY AVG(tip_pct) DESC, pickup_hour) AS rn
-  FROM tips GROUP BY trip_date, pickup_hour)"""
-
-_RANKED_COLUMNS = """CAST(r.trip_date AS VARCHAR) AS trip_date, {label} AS ranking_bucket, PULocationID,
+_PLACES = """places AS (
+  SELECT trip_date, PULocationID, AVG(tip_pct) AS avg_tip_pct,
+         ROW_NUMBER() OVER (PARTITION BY trip_date ORDER BY AVG(tip_pct) DESC, PULocationID) AS from_top,
+         ROW_NUMBER() OVER (PARTITION BY trip_date ORDER BY AVG(tip_pct), PULocationID) AS from_bottom
+  FROM tips GROUP BY trip_date, PULocationID),
+hours AS (SELECT trip_date, pickup_hour, AVG(tip_pct) AS pct FROM tips GROUP BY ALL),
+peaks AS (SELECT DISTINCT ON (trip_date) * FROM hours ORDER BY trip_date, pct DESC, pickup_hour)"""
+
+
+def _places(label: str, where: str) -> str:
+    return f"""SELECT CAST(trip_date AS VARCHAR) AS trip_date, {label} AS ranking_bucket, PULocationID,
   ROUND(avg_tip_pct, 9) AS avg_tip_pct, pickup_hour AS best_hour_global, ROUND(pct, 9) AS best_hour_avg_tip_pct
-FROM ranked r JOIN best_hour h ON r.trip_date = h.trip_date AND h.rn = 1"""
+FROM places JOIN peaks USING (trip_date) WHERE {where}"""
 
-_RANKINGS = ("SELECT " + _RANKED_COLUMNS.format(label="CASE WHEN rn_top <= 10 THEN 'top10' ELSE 'bottom10' END")
-             + " WHERE rn_top <= 10 OR rn_bottom <= 10")
 
-_RANKINGS_BOTH = ("SELECT " + _RANKED_COLUMNS.format(label="'top10'") + " WHERE rn_top <= 10 UNION ALL SELECT "
-                  + _RANKED_COLUMNS.format(label="'bottom10'") + " WHERE rn_bottom <= 10")
+_TOP, _BOTTOM = _places("'top10'", "from_top <= 10"), _places("'bottom10'", "from_bottom <= 10")
+_RANKINGS = _TOP + " UNION ALL " + _places("'bottom10'", "from_bottom <= 10 AND from_top > 10")
+_RANKINGS_BOTH = _TOP + " UNION ALL " + _BOTTOM
 
 
 def _report(drivers: str = "SELECT s_suppkey AS id, s_acctbal AS rating FROM supplier",
-            match: str = "t.trip_id % (SELECT COUNT(*) FROM drivers) + 1 = d.id") -> str:
+            place: str = "id - 1") -> str:
     return f"""drivers AS ({drivers}),
+dealt AS (SELECT *, trip_id % (SELECT COUNT(*) FROM drivers) AS bucket FROM tips),
 report AS (
-  SELECT d.id AS driver_id, d.rating AS driver_rating, AVG(tip_amount) AS avg_tip_amount,
-         AVG(tip_pct) AS avg_tip_pct, COUNT(*) AS trips_count
-  FROM tips t JOIN drivers d ON {match} GROUP BY d.id, d.rating)"""
+  SELECT id AS driver_id, rating AS driver_rating, AVG(tip_amount) AS avg_tip_amount, AVG(tip_pct) AS avg_tip_pct,
+         COUNT(*) AS trips_count
+  FROM drivers JOIN dealt ON bucket = {place} GROUP BY ALL)"""
 
 
 _REPORT_COLUMNS = """driver_id, driver_rating, ROUND(avg_tip_amount, 9) AS avg_tip_amount,
@@ -133,11 +133,9 @@ _GATE = f"""gate AS (
 
 
 def _state_at(name: str, at: int) -> str:
-    return f"""{name} AS (
-  SELECT user_id AS id, event_type, amount FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, event_id DESC) AS rn
-    FROM ev WHERE ts_ms < {at}) s
-  WHERE rn = 1 AND op <> 'd')"""
+    return f"""{name}_latest AS (
+  SELECT DISTINCT ON (user_id) * FROM ev WHERE ts_ms < {at} ORDER BY user_id, ts_ms DESC, event_id DESC),
+{name} AS (SELECT user_id AS id, event_type, amount FROM {name}_latest WHERE op <> 'd')"""
 
 
 _MIRROR_OF = "SELECT {columns}, ts_ms AS updated_ts FROM latest WHERE op <> 'd' AND user_id % 2 = {half}"
@@ -180,12 +178,12 @@ def _layers() -> str:
         count("bronze_trips", "trips"),
         count("silver_trips", "silver"),
         count("gold_tipping_behavior", "(SELECT DISTINCT PULocationID, pickup_hour FROM tips) g"),
-        count("gold_tip_rankings", "ranked WHERE rn_top <= 10 OR rn_bottom <= 10"),
+        count("gold_tip_rankings", "places WHERE LEAST(from_top, from_bottom) <= 10"),
     ])
 
 
 def oracle_sql() -> dict[str, str]:
-    latest = _ranked("latest")
+    latest = _latest()
     image = "CASE WHEN op {sign} 'd' THEN {column} END AS {side}_{column}"
     driver_images = ", ".join(
         image.format(sign=sign, column=column, side=side) for side, sign in (("after", "<>"), ("before", "="))
@@ -214,18 +212,18 @@ FROM ev WHERE k IN (7, 11, 13, 17, 19, 23, 29) AND user_id % 2 = 0 GROUP BY 1"""
         "cdc_first_rows": _with_events(_MIRROR + " ORDER BY user_id LIMIT 5", latest),
         "cdc_latest_ties": _with_events("""
 SELECT user_id AS id, event_type, amount, ts_ms // 86400000 * 86400000 AS updated_ts FROM latest WHERE op <> 'd'""",
-                                        _ranked("latest", order="ts_ms // 86400000 DESC, event_id DESC")),
+                                        _latest("latest", order="ts_ms // 86400000 DESC, event_id DESC")),
         "cdc_apply_changes": _with_events(_MIRROR, latest),
         "cdc_replay_equals_batch": _with_events(_MIRROR, latest),
-        "cdc_state_as_of": _with_events(_MIRROR, _ranked("latest", f"ts_ms < {DAY_15}")),
-        "cdc_state_as_of_offsets": _with_events(_MIRROR, _ranked("latest", f"""event_id < (
+        "cdc_state_as_of": _with_events(_MIRROR, _latest("latest", f"ts_ms < {DAY_15}")),
+        "cdc_state_as_of_offsets": _with_events(_MIRROR, _latest("latest", f"""event_id < (
       SELECT MAX(x.event_id) + 1 FROM ev x WHERE x.user_id % 4 = ev.user_id % 4 AND x.ts_ms < {DAY_15})""")),
         "cdc_deleted_keys": _with_events(
             "SELECT user_id AS id, ts_ms AS deleted_ts FROM latest WHERE op = 'd'", latest),
         "cdc_resurrected_keys": _with_events(
             "SELECT user_id AS id FROM latest WHERE op = 'd' AND user_id IN (SELECT id FROM earlier)",
             latest, _state_at("earlier", DAY_15)),
-        "cdc_offset_order": _with_events(_MIRROR, _ranked("latest", order="event_id DESC")),
+        "cdc_offset_order": _with_events(_MIRROR, _latest("latest", order="event_id DESC")),
         "cdc_run_summary": _with_events("""
 SELECT COUNT(*) AS events_read, MIN(event_id) AS from_offset, MAX(event_id) + 1 AS to_offset, COUNT(*) AS applied,
        (SELECT COUNT(*) FROM latest WHERE op <> 'd') AS live_rows
@@ -286,16 +284,11 @@ SELECT ROW_NUMBER() OVER (ORDER BY tpep_pickup_datetime) - 1 AS trip_id,
 SELECT 'bronze' AS layer, COUNT(*) AS rows FROM trips UNION ALL SELECT 'silver', COUNT(*) FROM silver"""),
         "tips_behavior": _with_trips(
             f"SELECT {_BEHAVIOR_COLUMNS}, high_tip_common_payment_type, trips_count FROM behavior", _BEHAVIOR),
-        "tips_mode_payment": _with_trips("""
-SELECT PULocationID, pickup_hour, payment_type, frequency FROM (
-  SELECT PULocationID, pickup_hour, payment_type, COUNT(*) AS frequency,
-         ROW_NUMBER() OVER (PARTITION BY PULocationID, pickup_hour
-                            ORDER BY COUNT(*) DESC, payment_type NULLS FIRST) AS rn
-  FROM tips WHERE tip_pct > 20 GROUP BY PULocationID, pickup_hour, payment_type) m
-WHERE rn = 1"""),
-        "tips_rankings": _with_trips(_RANKINGS, _RANKED_ZONES),
-        "tips_rankings_overlap": _with_trips(_RANKINGS, _RANKED_ZONES, zones=15),
-        "tips_rankings_both": _with_trips(_RANKINGS_BOTH, _RANKED_ZONES, zones=15),
+        "tips_mode_payment": _with_trips(
+            "SELECT PULocationID, pickup_hour, payment_type, frequency FROM modes", _MODES),
+        "tips_rankings": _with_trips(_RANKINGS, _PLACES),
+        "tips_rankings_overlap": _with_trips(_RANKINGS, _PLACES, zones=15),
+        "tips_rankings_both": _with_trips(_RANKINGS_BOTH, _PLACES, zones=15),
         "tips_best_zone_hour": _with_trips("""
 SELECT PULocationID, pickup_hour, ROUND(AVG(tip_pct), 9) AS avg_tip_pct FROM tips
 GROUP BY PULocationID, pickup_hour ORDER BY AVG(tip_pct) DESC, PULocationID, pickup_hour LIMIT 1"""),
@@ -310,8 +303,8 @@ SELECT pickup_hour, ROUND(AVG(tip_pct), 9) AS avg_tip_pct FROM tips
 GROUP BY pickup_hour ORDER BY AVG(tip_pct) DESC, pickup_hour LIMIT 1"""),
         "tips_driver_report": _with_trips(f"SELECT {_REPORT_COLUMNS}", _report()),
         "tips_driver_report_dense": _with_trips(f"SELECT {_REPORT_COLUMNS}", _report(
-            "SELECT s_suppkey AS id, s_acctbal AS rating, ROW_NUMBER() OVER (ORDER BY s_suppkey) AS place FROM supplier",
-            "t.trip_id % (SELECT COUNT(*) FROM drivers) + 1 = d.place")),
+            "SELECT s_suppkey AS id, s_acctbal AS rating, ROW_NUMBER() OVER (ORDER BY s_suppkey) - 1 AS place FROM supplier",
+            "place")),
         "tips_top_drivers": _with_trips(
             f"SELECT {_REPORT_COLUMNS} ORDER BY driver_rating DESC, report.avg_tip_pct DESC, driver_id LIMIT 20", _report()),
         "tips_driver_by_key": """
@@ -333,8 +326,8 @@ FROM (VALUES (0, 'merge', {DAY_8}), (1, 'merge', {DAY_22}), (2, 'merge', {1 << 6
 SELECT user_id AS id, event_type, amount, ts_ms AS updated_ts, 0 AS version FROM early WHERE op <> 'd'
 UNION ALL
 SELECT user_id, event_type, amount, ts_ms, 2 FROM latest WHERE op <> 'd'""",
-                                    _ranked("early", f"ts_ms < {DAY_8}"), latest),
-        "table_rollback": _with_events(_MIRROR, _ranked("latest", f"ts_ms < {DAY_22}")),
+                                    _latest("early", f"ts_ms < {DAY_8}"), latest),
+        "table_rollback": _with_events(_MIRROR, _latest("latest", f"ts_ms < {DAY_22}")),
         "table_append_twice": _with_events("""
 SELECT event_id AS kafka_offset, op, CASE WHEN op <> 'd' THEN user_id END AS after_id,
        CASE WHEN op = 'd' THEN user_id END AS before_id FROM ev"""),
@@ -354,5 +347,5 @@ FROM ev"""),
         "stream_trips": _with_trips(_EVENT_TRIPS),
         "medallion_driver_report": _with_trips(f"SELECT {_REPORT_COLUMNS}", latest, _report(
             f"SELECT {_DRIVER} FROM latest WHERE op <> 'd' AND user_id % 2 = 1")),
-        "medallion_layers": _with_trips(_layers(), latest, _RANKED_ZONES),
+        "medallion_layers": _with_trips(_layers(), latest, _PLACES),
     }
