@@ -2,6 +2,54 @@
 
 from __future__ import annotations
 
+from tidemark.llm.quality import STOP_WORDS
+
+_QUALITY = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS w
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM texts)
+), repeated AS (
+    SELECT a.doc_id, a.i FROM windows a
+    JOIN (SELECT doc_id, w FROM windows GROUP BY doc_id, w HAVING count(*) > 1) b ON a.doc_id = b.doc_id AND a.w = b.w
+), covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM repeated) GROUP BY doc_id
+), counted AS (
+    SELECT texts.doc_id, len(ws)::BIGINT AS n_words, list_sum(list_transform(ws, lambda x: length(x)))::BIGINT AS chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+        len(ls)::BIGINT AS n_lines, len(list_filter(ws, lambda x: lower(x) IN ({stop})))::BIGINT AS n_stop_words,
+        len(list_filter(ws, lambda x: regexp_matches(x, '\p{L}')))::BIGINT AS n_letter_words,
+        len(list_filter(ls, lambda x: regexp_matches(x, '^[\x20\x09]*[-*•‣◦]')))::BIGINT AS n_bullet_lines,
+        len(list_filter(ls, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09\x0D]*$')))::BIGINT AS n_ellipsis_lines
+    FROM texts LEFT JOIN covered ON texts.doc_id = covered.doc_id
+), judged AS (
+    SELECT *, coalesce(chars, 0)::BIGINT AS word_chars,
+        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+    FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND coalesce(word_chars BETWEEN 2 * n_words AND 15 * n_words AND 10 * n_symbols <= n_words
+        AND n_stop_words >= 2 AND 10 * n_letter_words >= 7 * n_words AND 10 * n_dup_lines <= 3 * n_lines
+        AND 10 * n_bullet_lines <= 9 * n_lines AND 10 * n_ellipsis_lines <= 3 * n_lines, false) AS kept
+FROM judged
+""".replace("{stop}", ", ".join(f"'{w}'" for w in STOP_WORDS))
+
+_TOKEN_COUNTS = r"""
+WITH counted AS (
+    SELECT source, lang, doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS copy,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS words,
+        len(regexp_extract_all(coalesce(text, ''), '\p{L}+|\p{N}|[^\x20\x09-\x0D\p{L}\p{N}]'))::BIGINT AS pieces
+    FROM documents
+)
+SELECT source, lang, CASE WHEN words = pieces THEN 'words-1' ELSE 'pieces-1' END AS tokenizer,
+    count(*)::BIGINT AS n_docs, sum(pieces)::BIGINT AS n_tokens
+FROM counted WHERE NOT copy GROUP BY ALL
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_quality": _QUALITY, "op4_token_counts": _TOKEN_COUNTS}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import bpe, mixing, secrets, simhash, toxicity
+from tidemark.llm import bpe, mixing, quality, secrets, simhash, token_counts, toxicity
 
 #: Vocabulary of the BPE query and of the pipeline's last stage.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +27,16 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                         "kept")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.history(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), SHINGLE, DISTANCE)
     return found.select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -49,5 +59,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_mixing, op5_simhash, op6_secrets, op7_toxicity, op10_bpe)
+    named = (op1_mixing, op3_quality, op4_token_counts, op5_simhash, op6_secrets, op7_toxicity, op10_bpe)
     return {query.__name__: query for query in named}

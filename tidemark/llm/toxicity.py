@@ -275,7 +275,7 @@ def learn_terms(sample: DataFrame, most: int = MOST_TERMS) -> dict[str, float]:
 
 
 def crowded_terms(sample: DataFrame, terms: dict[str, float]) -> frozenset[str]:
-    """Terms of which over one clean document in 500 of the sample holds a misspelling, by the automaton."""
+    """Terms of which over one clean document in 1,500 of the sample holds a misspelling, by the automaton."""
     lexicon = FuzzyLexicon(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +288,7 @@ def crowded_terms(sample: DataFrame, terms: dict[str, float]) -> frozenset[str]:
                                              names=["term", "n"])
 
     clean = sample.filter("toxic = 0")
-    limit = clean.count() / 500
+    limit = clean.count() / 1500
     rows = map_batches(clean.select("text"), run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n")) \
         .filter(F.col("n") > limit).collect()  # at most a row per term
     return frozenset(r["term"] for r in rows)
