@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import bpe, mixing, quality, secrets, simhash, token_counts, toxicity
+from tidemark.llm import (bpe, embeddings, langid, mixing, quality, secrets, simhash, token_counts, toxicity,
+                          url_filter)
 
 #: Vocabulary of the BPE query and of the pipeline's last stage.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +19,11 @@ SHINGLE, DISTANCE = 3, 2
 #: Target weights of the mixture: two sources get more than the others, which share the rest.
 WEIGHTS = {"src0": 0.1, "src1": 0.15}
 
+#: Rules of the URL filter query.
+RULES = (url_filter.Rule("allow", "com"), url_filter.Rule("block", "example.com", "/en/"),
+         url_filter.Rule("allow", "www.example.com", "/en/"), url_filter.Rule("block", "net", "/es/"),
+         url_filter.Rule("block", "net", "/fr/"))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,6 +33,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS)
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -54,10 +64,21 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    return langid.identify(docs, langid.fit(docs)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.transcode(table(spark, sf_dir, "documents"), VOCABULARY))
 
 
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_mixing, op3_quality, op4_token_counts, op5_simhash, op6_secrets, op7_toxicity, op10_bpe)
+    named = (op1_mixing, op2_embeddings, op3_quality, op4_token_counts, op5_simhash, op6_secrets, op7_toxicity,
+             op8_url_filter, op9_language, op10_bpe)
     return {query.__name__: query for query in named}
