@@ -28,7 +28,7 @@ def test_tombstones_go_and_tables_are_routed(spark):
                      message(0, envelope("c", 1, after={"id": 2}), "drivers"), message(0, "{}", "other")])
     routed = E.route(df, [CUSTOMERS, DRIVERS])
     assert {name: frame.count() for name, frame in routed.items()} == {"customers": 1, "drivers": 1}
-    assert rows(E.count_by_table(L.read_event_log(df))) == {("customers", 1), ("drivers", 1)}
+    assert rows(E.count_by_table(L.read_event_log(df, [CUSTOMERS, DRIVERS]))) == {("customers", 1), ("drivers", 1)}
     assert L.read_topic(df, CUSTOMERS.topic).count() == 2
 
 
@@ -63,9 +63,9 @@ def test_quarantine_reasons(spark):
     df = log(spark, [message(i, v) for i, v in enumerate(values)])
     expected = {(0, "unparseable"), (1, "unparseable"), (2, "missing_op"), (3, "truncate"), (4, "unknown_op"),
                 (5, "missing_key"), (6, "bad_key")}
-    assert rows(E.quarantine(df).select("kafka_offset", "reason")) == expected
+    assert rows(E.quarantine(df, [PEOPLE]).select("kafka_offset", "reason")) == expected
     assert rows(E.quarantined(E.bronze_table(df, PEOPLE), PEOPLE).select("kafka_offset", "reason")) == expected
-    assert [r.value for r in E.quarantine(df).filter("kafka_offset = 0").collect()] == ["not json"]
+    assert [r.value for r in E.quarantine(df, [PEOPLE]).filter("kafka_offset = 0").collect()] == ["not json"]
 
 
 def test_undeclared_table_keeps_its_fields(spark):
@@ -102,5 +102,5 @@ def test_checkpoint_batches(spark, tmp_path):
     events = [{"offset": o, "value": envelope("c", o, after={"id": o, "name": str(o)})} for o in (12, 13)]
     (tmp_path / "bronze_1.json").write_text(json.dumps({"from": 12, "to": 14, "events": events}, indent=1))
     (tmp_path / "bronze_2.json").write_text(json.dumps({"from": 14, "to": 14, "events": []}))
-    read = L.read_checkpoint_batches(spark, str(tmp_path), PEOPLE.topic)
+    read = L.read_checkpoint_batches(spark, str(tmp_path), PEOPLE.topic, 0)
     assert rows(current_state(E.bronze_table(read, PEOPLE), PEOPLE)) == {(12, "12", 12), (13, "13", 13)}

@@ -6,10 +6,11 @@ from logs import EDGES, EDGES_MIRROR, PEOPLE, edge_log, envelope, log, message,
 from test_trips import COLUMNS, trip
 from tidemark.operators.changelog import current_state
 from tidemark.operators.envelope import bronze_table
-from tidemark.plans.medallion import Layout, refresh_changes, run_medallion
+from tidemark.plans.medallion import (
+    Layout, MirrorsDiffer, backfill, file_log, refresh_changes, return_to_run, run_medallion)
 from tidemark.schemas import CUSTOMERS, DRIVERS
 from tidemark.session import scratch_dir
-from tidemark.sinks import versions as V
+from tidemark.sinks import mirrors as V, runs as U
 from tidemark.sinks.messages import to_events
 from tidemark.streaming import ingest as I
 
@@ -29,48 +30,88 @@ CHANGES = customers((3, "c", 4, "David"), (4, "u", 1, "Alice2"), (5, "d", 3, "Ca
 LATER = customers((6, "c", 5, "Eva"))
 
 
-def names(spark, layout, version=None):
-    return {r.name for r in V.read_mirror(spark, layout.mirror(CUSTOMERS), CUSTOMERS, version).collect()}
+def names(spark, layout):
+    return {r.name for r in V.read_mirror(spark, layout.mirror(CUSTOMERS), CUSTOMERS, layout.buckets).collect()}
 
 
 def test_scenarios(spark):
-    layout = Layout(scratch_dir(spark, "lake"))
-    run = lambda messages: refresh_changes(spark, log(spark, messages), layout, [CUSTOMERS], buckets=4)
+    layout = Layout(scratch_dir(spark, "lake"), 4)
+
+    def run(messages):
+        summary = refresh_changes(spark, file_log(log(spark, messages)), layout, [CUSTOMERS])
+        return None if summary is None else summary.first().events_read
+
     assert run(FIRST) == 3
     # insert, update and delete reach the mirror
     assert run(FIRST + CHANGES) == 3
     assert names(spark, layout) == {"Alice2", "Bob", "David"}
     # an idle run changes nothing
-    before = V.find_version(spark, layout.mirror(CUSTOMERS)).number
-    assert run(FIRST + CHANGES) == 0
-    assert V.find_version(spark, layout.mirror(CUSTOMERS)).number == before
+    assert run(FIRST + CHANGES) is None
+    assert U.newest_run(spark, layout.runs) == 1
     # a new row after an idle run arrives
     assert run(FIRST + CHANGES + LATER) == 1
     assert names(spark, layout) == {"Alice2", "Bob", "David", "Eva"}
-    assert names(spark, layout, 0) == {"Alice", "Bob", "Carol"}
+    # back to the first run, and forward again
+    return_to_run(spark, layout, [CUSTOMERS], 0)
+    assert names(spark, layout) == {"Alice", "Bob", "Carol"}
+    assert run(FIRST + CHANGES + LATER) == 4
+    assert names(spark, layout) == {"Alice2", "Bob", "David", "Eva"}
     # a backfill from offset zero changes nothing either
-    V.save_offsets(spark.createDataFrame([], V.OFFSETS), layout.offsets)
+    backfill(spark, layout, [CUSTOMERS], from_log=True)
     assert run(FIRST + CHANGES + LATER) == 7
     assert names(spark, layout) == {"Alice2", "Bob", "David", "Eva"}
     bronze = spark.read.parquet(I.bronze_path(layout.root, CUSTOMERS))
     assert bronze.count() == 7
-    assert rows(current_state(bronze, CUSTOMERS)) == rows(V.read_mirror(spark, layout.mirror(CUSTOMERS), CUSTOMERS))
+    assert rows(current_state(bronze, CUSTOMERS)) == rows(V.read_mirror(spark, layout.mirror(CUSTOMERS), CUSTOMERS, 4))
 
 
-def test_table_without_events(spark):
-    layout = Layout(scratch_dir(spark, "lake"))
-    refresh_changes(spark, log(spark, FIRST), layout, [CUSTOMERS, DRIVERS], buckets=2)
-    drivers = V.read_mirror(spark, layout.mirror(DRIVERS), DRIVERS)
-    assert drivers.isEmpty() and drivers.columns == [*DRIVERS.columns.names, "updated_ts"]
-    assert spark.read.parquet(I.bronze_path(layout.root, DRIVERS)).isEmpty()
+def test_idle_run_reads_no_messages(spark, monkeypatch):
+    from tidemark.plans import medallion
+
+    root = scratch_dir(spark, "lake")
+    log(spark, FIRST).write.parquet(f"{root}/log")
+    reader, layout = file_log(spark.read.parquet(f"{root}/log")), Layout(root, 4)
+    assert refresh_changes(spark, reader, layout, [CUSTOMERS]).first().live_rows == 3
+    asked = []
+
+    def watched(start, end):
+        asked.append((start, end))
+        return reader(start, end)
+
+    assert refresh_changes(spark, watched, layout, [CUSTOMERS]) is None
+    assert asked == [({(CUSTOMERS.topic, 0): 3}, None)]
+    gate = reader(*asked[0]).groupBy("topic", "partition").agg({"offset": "max"})
+    plan = gate._jdf.queryExecution().executedPlan().toString()
+    assert "value" not in plan.split("ReadSchema")[1]
 
 
-def test_drivers_alone_are_news(spark):
-    layout = Layout(scratch_dir(spark, "lake"))
+def test_tables_without_a_spec_wait(spark):
+    """Offsets are stored for what was taken in; a table declared later gets all of its events."""
+    layout = Layout(scratch_dir(spark, "lake"), 2)
     driver = message(0, envelope("c", 5, after={"id": 1, "name": "Tom", "rating": "4.85"}), "drivers")
-    assert refresh_changes(spark, log(spark, FIRST), layout, [CUSTOMERS, DRIVERS], buckets=2) == 3
-    assert refresh_changes(spark, log(spark, [*FIRST, driver]), layout, [CUSTOMERS, DRIVERS], buckets=2) == 1
-    assert V.read_mirror(spark, layout.mirror(DRIVERS), DRIVERS).first().rating == 4.85
+    reader = file_log(log(spark, [*FIRST, driver]))
+    assert refresh_changes(spark, reader, layout, [CUSTOMERS]).first().events_read == 3
+    assert refresh_changes(spark, reader, layout, [CUSTOMERS, DRIVERS]).first().events_read == 1
+    assert V.read_mirror(spark, layout.mirror(DRIVERS), DRIVERS, 2).first().rating == 4.85
+
+
+def test_any_topic(spark):
+    """A spec of another server and table is as good as the two usual ones."""
+    from dataclasses import replace
+
+    layout, spec = Layout(scratch_dir(spark, "lake"), 2), replace(PEOPLE, prefix="eu-1.sales.")
+    raw = log(spark, [message(0, envelope("c", 5, after={"id": 1, "name": "Tom"}))])
+    from pyspark.sql import functions as F
+
+    refresh_changes(spark, file_log(raw.withColumn("topic", F.lit("eu-1.sales.people"))), layout, [spec])
+    assert V.read_mirror(spark, layout.mirror(spec), spec, 2).first().name == "Tom"
+
+
+def test_table_without_events(spark):
+    layout = Layout(scratch_dir(spark, "lake"), 2)
+    refresh_changes(spark, file_log(log(spark, FIRST)), layout, [CUSTOMERS, DRIVERS])
+    drivers = V.read_mirror(spark, layout.mirror(DRIVERS), DRIVERS, 2)
+    assert drivers.isEmpty() and drivers.columns == [*DRIVERS.columns.names, "updated_ts"]
 
 
 def test_medallion(spark):
@@ -81,10 +122,12 @@ def test_medallion(spark):
     zones = spark.createDataFrame([(10, "Ten")], "LocationID int, Zone string")
     source = spark.createDataFrame([(1, "Alice", "Alice@example.com", "X"), (2, "Bob", "changed", "X")],
                                    CUSTOMERS.columns)
-    checks = run_medallion(spark, log(spark, FIRST + drivers), trips, zones, root, sources={"customers": source},
+    layout, reader = Layout(root, 4), file_log(log(spark, FIRST + drivers))
+    with pytest.raises(MirrorsDiffer, match="customers: 2 rows differ"):
+        run_medallion(spark, reader, trips, zones, layout, sources={"customers": source}, id_mode="dense")
+    checks = run_medallion(spark, reader, trips, zones, layout, sources={"customers": source}, must_match=False,
                            id_mode="dense")
     assert {(r.id, r.status) for r in checks["customers"].collect()} == {(2, "changed"), (3, "extra")}
-    layout = Layout(root)
     read = lambda name: spark.read.parquet(layout.gold(name))
     assert read("tipping_behavior").first().trips_count == 20
     assert read("tip_rankings").count() == 1
@@ -105,17 +148,14 @@ def test_streams_agree_with_batch(spark):
 
     run()
     assert spark.read.parquet(I.bronze_path(root, PEOPLE)).count() == 14
-    assert rows(V.read_mirror(spark, f"{root}/mirror", PEOPLE)) == EDGES_MIRROR
-    version = V.find_version(spark, f"{root}/mirror").number
-    assert version >= 1
+    assert rows(V.read_mirror(spark, f"{root}/mirror", PEOPLE, 4)) == EDGES_MIRROR
     assert sum(p.numInputRows for p in run().recentProgress) == 0
-    assert V.find_version(spark, f"{root}/mirror").number == version
     late = edge_log(spark, [(30, "u", 1, 1, "AliceNew", 999)])
     late.write.mode("append").parquet(f"{root}/log")
     run()
-    assert (1, "AliceNew", 999) in rows(V.read_mirror(spark, f"{root}/mirror", PEOPLE))
+    assert (1, "AliceNew", 999) in rows(V.read_mirror(spark, f"{root}/mirror", PEOPLE, 4))
     whole = bronze_table(spark.read.parquet(f"{root}/log"), PEOPLE)
-    assert rows(current_state(whole, PEOPLE)) == rows(V.read_mirror(spark, f"{root}/mirror", PEOPLE))
+    assert rows(current_state(whole, PEOPLE)) == rows(V.read_mirror(spark, f"{root}/mirror", PEOPLE, 4))
 
 
 def test_trip_stream(spark):
@@ -131,9 +171,11 @@ def test_trip_stream(spark):
 
 def test_kafka_is_optional(spark):
     """The readers build the standard source; without its package Spark says so."""
+    from tidemark.plans.medallion import kafka_log
     from tidemark.sources.event_log import read_kafka
 
-    for read in (lambda: read_kafka(spark, "localhost:1", start={("t", 0): 1}, end={("t", 0): 2}, min_partitions=4),
-                 lambda: I.kafka_stream(spark, "localhost:1", "t")):
+    for read in (lambda: read_kafka(spark, "localhost:1", [PEOPLE], start={("t", 0): 1}, end={("t", 0): 2}, min_partitions=4),
+                 lambda: kafka_log(spark, "localhost:1", [PEOPLE], {PEOPLE.topic: 3})({(PEOPLE.topic, 1): 7}, None),
+                 lambda: I.kafka_stream(spark, "localhost:1", [PEOPLE], 1000)):
         with pytest.raises(Exception, match="kafka"):
             read()

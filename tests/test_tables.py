@@ -5,7 +5,7 @@ from logs import EDGES, EDGES_MIRROR, PEOPLE, edge_log, rows
 from tidemark.operators.changelog import current_state
 from tidemark.operators.envelope import bronze_table
 from tidemark.session import scratch_dir, shared_root
-from tidemark.sinks import tables as K, versions as V
+from tidemark.sinks import mirrors as V, runs as U, tables as K
 from tidemark.sources.files import read_dimension, read_if_present, read_source_table
 
 
@@ -62,61 +62,74 @@ def test_replace_and_catalog(spark, where):
     assert spark.read.parquet(where).count() == 2
 
 
-def test_versions(spark, where):
-    for part in (EDGES[:4], EDGES[4:9], EDGES[9:]):
-        V.merge_into_mirror(bronze(spark, part), where, PEOPLE, buckets=4)
-    assert rows(V.read_mirror(spark, where, PEOPLE)) == EDGES_MIRROR
-    assert rows(V.read_mirror(spark, where, PEOPLE, 0)) == rows(current_state(bronze(spark, EDGES[:4]), PEOPLE))
-    assert rows(V.read_mirror(spark, where, PEOPLE, 1)) == rows(current_state(bronze(spark, EDGES[:9]), PEOPLE))
-    assert V.previous_version(spark, where) == 1
-    assert V.rollback(spark, where, 0) == 3
-    assert rows(V.read_mirror(spark, where, PEOPLE)) == rows(V.read_mirror(spark, where, PEOPLE, 0))
-    listed = V.list_snapshots(spark, where).collect()
-    assert [(r.snapshot_id, r.operation, r.rows) for r in listed] == [
-        (3, "rollback", 3), (2, "merge", 6), (1, "merge", 3), (0, "merge", 3)]
-    with pytest.raises(ValueError):
-        V.read_as_of(spark, where, 9)
+def test_merges_in_any_order(spark, where):
+    for part in (EDGES[9:], EDGES[4:9], EDGES[:4], EDGES[2:6]):
+        V.merge_into_mirror(bronze(spark, part), where, PEOPLE, 4)
+    assert rows(V.read_mirror(spark, where, PEOPLE, 4)) == EDGES_MIRROR
+    V.rebuild_mirror(bronze(spark, EDGES[:4]), where, PEOPLE, 4)
+    assert rows(V.read_mirror(spark, where, PEOPLE, 4)) == rows(current_state(bronze(spark, EDGES[:4]), PEOPLE))
+    V.rebuild_mirror(bronze(spark, EDGES), where, PEOPLE, 7)
+    assert rows(V.read_mirror(spark, where, PEOPLE, 7)) == EDGES_MIRROR
 
 
 def test_merge_rewrites_only_touched_buckets(spark, where):
-    seed = [(i, "c", None, i, f"n{i}", i) for i in range(100)]
-    V.merge_into_mirror(bronze(spark, seed), where, PEOPLE, buckets=8)
-    V.merge_into_mirror(bronze(spark, [(100, "u", 5, 5, "new", 500)]), where, PEOPLE)
-    entries = V.find_version(spark, where).entries
-    assert len(entries) == 8
-    assert sorted(e.data_version for e in entries) == [0] * 7 + [1]
-    assert V.read_mirror(spark, where, PEOPLE).count() == 100
-
-
-def test_repeated_run_key_and_empty_batch_change_nothing(spark, where):
-    V.merge_into_mirror(bronze(spark, EDGES), where, PEOPLE, run_key="batch-1")
-    assert V.merge_into_mirror(bronze(spark, EDGES[:3]), where, PEOPLE, run_key="batch-1") == 0
-    assert V.merge_into_mirror(bronze(spark, [EDGES[6]]), where, PEOPLE, run_key="batch-2") == 0
-    assert V.find_version(spark, where).number == 0
-
+    import glob
 
-def test_empty_table_keeps_its_schema(spark, where):
-    V.publish(spark.range(0), where)
-    assert V.read_as_of(spark, where).schema == spark.range(0).schema
-    assert V.read_as_of(spark, where).count() == 0
+    seed = [(i, "c", None, i, f"n{i}", i) for i in range(100)]
+    V.merge_into_mirror(bronze(spark, seed), where, PEOPLE, 8)
+    before = set(glob.glob(f"{where}/**/*.parquet", recursive=True))
+    V.merge_into_mirror(bronze(spark, [(100, "u", 5, 5, "new", 500)]), where, PEOPLE, 8)
+    after = set(glob.glob(f"{where}/**/*.parquet", recursive=True))
+    assert len(before) == 8 and len(before & after) == 7
+    assert V.read_mirror(spark, where, PEOPLE, 8).count() == 100
+    V.merge_into_mirror(bronze(spark, [EDGES[6], EDGES[14]]), where, PEOPLE, 8)  # nothing that can be applied
+    assert set(glob.glob(f"{where}/**/*.parquet", recursive=True)) == after
 
 
 def test_widened_table(spark, where):
     from pyspark.sql import types as T
 
     wide = PEOPLE.with_column("phone", T.StringType())
-    V.merge_into_mirror(bronze(spark, EDGES), where, PEOPLE, buckets=4)
-    later = bronze(spark, [(20, "c", None, 50, "Wide", 900)]).withColumn("after_phone", F.lit("1"))
-    V.merge_into_mirror(later, where, wide)
-    found = {(r.id, r.phone) for r in V.read_mirror(spark, where, wide).collect()}
+    V.merge_into_mirror(bronze(spark, EDGES), where, PEOPLE, 4)
+    later = bronze(spark, [(20, "c", None, 50, "Wide", 900)]).withColumn("after_phone", F.lit("1")) \
+        .withColumn("before_phone", F.lit(None).cast("string"))
+    V.merge_into_mirror(later, where, wide, 4)
+    found = {(r.id, r.phone) for r in V.read_mirror(spark, where, wide, 4).collect()}
     assert found == {(0, None), (1, None), (2, None), (4, None), (50, "1")}
 
 
-def test_offsets(spark, where):
-    assert V.load_offsets(spark, where).count() == 0
-    V.save_offsets(spark.createDataFrame([("t", 0, 5)], V.OFFSETS), where)
-    V.save_offsets(spark.createDataFrame([("t", 0, 8), ("t", 1, 2)], V.OFFSETS), where)
-    assert rows(V.load_offsets(spark, where)) == {("t", 0, 8), ("t", 1, 2)}
+def test_runs(spark, where):
+    assert U.load_offsets(spark, where).count() == 0 and U.list_runs(spark, where).count() == 0
+    assert U.save_run(spark.createDataFrame([("t", 0, 5)], U.OFFSETS), where) == 0
+    assert U.save_run(spark.createDataFrame([("t", 0, 8), ("t", 1, 2)], U.OFFSETS), where) == 1
+    assert rows(U.load_offsets(spark, where)) == {("t", 0, 8), ("t", 1, 2)}
+    assert U.return_to(spark, where, 0) == 2
+    assert rows(U.load_offsets(spark, where)) == {("t", 0, 5)}
+    assert [(r.run, r.operation) for r in U.list_runs(spark, where).collect()] == [
+        (2, "rollback"), (1, "refresh"), (0, "refresh")]
+
+
+def test_batch_bounds_see_repeats_and_gaps(spark):
+    def whole(offsets):
+        df = spark.createDataFrame([("t", 0, o) for o in offsets], "topic string, kafka_partition int, kafka_offset long")
+        return [r.whole for r in K.batch_bounds(df)]
+
+    assert whole(range(5, 40)) == [True] and whole([7]) == [True]
+    assert whole([1, 1, 3]) == [False] and whole([1, 3, 4]) == [False] and whole([]) == []
+
+
+def test_run_without_rows_leaves_none(spark, where):
+    frame = lambda data: spark.createDataFrame(data, "run int, x int")
+    K.write_run(frame([(1, 1), (2, 3)]), where, "run")
+    K.write_run(frame([]), where, "run", "1")
+    assert rows(spark.read.parquet(where).select("run", "x")) == {(2, 3)}
+    K.write_run(frame([(1, 5)]), where, "run", "1")
+    assert rows(spark.read.parquet(where).select("run", "x")) == {(1, 5), (2, 3)}
+
+
+def test_merge_statement():
+    text = V.merge_sql("mirror", "changes", PEOPLE)
+    assert text.startswith("MERGE INTO mirror t USING changes s ON t.id = s.id WHEN MATCHED AND ((") and "t.name = s.name" in text
 
 
 def test_absent_files(spark, where):

@@ -2,27 +2,48 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-def resolve(df: DataFrame, name: str) -> str:
-    """Actual spelling of a column looked up without regard to case."""
-    spelling = {c.lower(): c for c in df.columns}
-    if name.lower() not in spelling:
-        raise ValueError(f"column '{name}' not found; available: {df.columns}")
-    return spelling[name.lower()]
+def spelled(df: DataFrame, *wanted: str) -> list[str]:
+    """How ``df`` spells each wanted column; case does not matter.
+
+    A name that is there as written is taken. All names that are absent, or could mean several columns, are reported
+    together.
+    """
+    found, troubles = [], []
+    for name in wanted:
+        alike = [c for c in df.columns if c.casefold() == name.casefold()]
+        exact = [c for c in alike if c == name]
+        if len(exact or alike) == 1:
+            found += exact or alike
+        else:
+            troubles.append(f"{name} is absent" if not alike else f"{name} could be any of {', '.join(alike)}")
+    if troubles:
+        raise ValueError("; ".join(troubles))
+    return found
+
+
+# Hex digits that conv(), which works on 64 bits, takes at a time, and how many such parts hold any decimal.
+_PART, _PARTS = 12, 3
 
 
 def decimal_from_base64(text: Column, scale: int) -> Column:
-    """Decimal sent as base64 of its big-endian two's complement unscaled value; NULL if not that."""
+    """Decimal sent as base64 of its big-endian two's complement unscaled value, as text; NULL if not that."""
     digits = F.hex(F.try_to_binary(text, F.lit("base64")))
-    unsigned = F.conv(digits, 16, 10).try_cast("decimal(20,0)")
-    modulus = F.pow(F.lit(16.0), F.length(digits)).cast("decimal(20,0)")
-    # conv() works on 64 bits, which holds any decimal of up to 18 digits.
-    fits = F.length(digits).between(2, 14)
     negative = F.substring(digits, 1, 1) >= "8"
-    unscaled = F.when(negative, unsigned - modulus).otherwise(unsigned)
-    return F.when(fits, unscaled.cast("double") / F.lit(10.0 ** scale))
+    padded = F.when(negative, F.lpad(digits, _PART * _PARTS, "F")).otherwise(F.lpad(digits, _PART * _PARTS, "0"))
+    unscaled = F.when(negative, F.lit(-1)).otherwise(F.lit(0)).cast("decimal(38,0)")
+    step = F.lit(Decimal(16 ** _PART)).cast("decimal(15,0)")
+    for part in range(_PARTS):
+        number = F.conv(F.substring(padded, 1 + part * _PART, _PART), 16, 10).try_cast("decimal(15,0)")
+        unscaled = F.try_add(F.try_multiply(unscaled, step).cast("decimal(38,0)"), number).cast("decimal(38,0)")
+    figures = F.lpad(F.abs(unscaled).cast("string"), 40, "0")
+    shown = F.concat(F.when(unscaled < 0, "-").otherwise(""), F.substring(figures, 1, 40 - scale), F.lit("."),
+                     F.substring(figures, 41 - scale, max(scale, 1)) if scale else F.lit("0"))
+    return F.when(F.length(digits).between(2, _PART * _PARTS), shown)
 
 
 def typed_value(text: Column, field: T.StructField) -> Column:
@@ -31,7 +52,8 @@ def typed_value(text: Column, field: T.StructField) -> Column:
     if metadata.get("micros"):
         return F.timestamp_micros(text.try_cast("bigint"))
     if "decimal_scale" in metadata:
-        return F.coalesce(text.try_cast(field.dataType), decimal_from_base64(text, metadata["decimal_scale"]))
+        decoded = decimal_from_base64(text, metadata["decimal_scale"]).try_cast(field.dataType)
+        return decoded if metadata.get("base64_only") else F.coalesce(text.try_cast(field.dataType), decoded)
     return text.try_cast(field.dataType)
 
 

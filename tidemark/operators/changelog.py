@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark import schemas as S
+from tidemark.operators.envelope import event_key, problem
 
 # Later events win. Offsets decide equal times; partitions only make the order total.
 ORDER = ("ts_ms", "kafka_offset", "kafka_partition")
@@ -34,15 +35,10 @@ def latest_per_key(rows: DataFrame, key: str, order: tuple[str, ...] = ORDER) ->
         *[F.col(c) if c == key else F.col(f"_best.{c}").alias(c) for c in rows.columns])
 
 
-def event_key(spec: S.TableSpec) -> Column:
-    """Key of an event; a delete only has a before image."""
-    return F.coalesce(F.col(f"after_{spec.key}"), F.col(f"before_{spec.key}"))
-
-
 def keyed_events(bronze: DataFrame, spec: S.TableSpec) -> DataFrame:
-    """Events as state rows. One without an op counts as one without a key, and cannot be applied."""
+    """Events as state rows. One that cannot be applied counts as one without a key."""
     return bronze.select(
-        F.when(F.col("op").isNotNull(), event_key(spec)).alias(spec.key),
+        F.when(problem(spec).isNull(), event_key(spec)).alias(spec.key),
         *[F.col(f"after_{name}").alias(name) for name in spec.attributes],
         *ORDER,
         (F.col("op") == S.DELETE).alias("deleted"),
@@ -83,11 +79,6 @@ def replay(batches: list[DataFrame], spec: S.TableSpec) -> DataFrame:
     return reduce(lambda state, batch: apply_changes(state, batch, spec), rest, fold_state(first, spec))
 
 
-def rebuild(bronze: DataFrame, spec: S.TableSpec) -> DataFrame:
-    """Backfill: the state from nothing but the log."""
-    return fold_state(bronze, spec)
-
-
 def before_point(bronze: DataFrame, at: int | DataFrame, by: str = "ts") -> DataFrame:
     """Events up to a point.
 
@@ -121,21 +112,14 @@ def resurrected(deleted: DataFrame, mirror: DataFrame, spec: S.TableSpec) -> Dat
     return deleted.join(mirror, spec.key, "left_semi")
 
 
-def usable_operations(spec: S.TableSpec) -> Column:
-    """Whether an event can be applied one by one: an upsert needs its after key, a delete its before key."""
-    upsert = F.col("op").isin(*S.UPSERTS) & F.col(f"after_{spec.key}").isNotNull()
-    delete = (F.col("op") == S.DELETE) & F.col(f"before_{spec.key}").isNotNull()
-    return F.coalesce(upsert | delete, F.lit(False))
-
-
 def apply_in_offset_order(bronze: DataFrame, spec: S.TableSpec) -> DataFrame:
     """Mirror from applying events strictly in arrival order, whatever their times."""
-    return current_state(bronze.filter(usable_operations(spec)), spec, OFFSET_ORDER)
+    return current_state(bronze, spec, OFFSET_ORDER)
 
 
 def count_applied(bronze: DataFrame, spec: S.TableSpec) -> DataFrame:
     """Events read and events applied."""
-    usable = usable_operations(spec)
+    usable = problem(spec).isNull()
     return bronze.agg(
         F.count(F.lit(1)).alias("events"),
         F.coalesce(F.sum(usable.cast("bigint")), F.lit(0)).alias("applied"))

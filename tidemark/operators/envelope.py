@@ -7,8 +7,9 @@ follow by ``try_cast``, so one bad value becomes NULL instead of failing the job
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark import schemas as S
 from tidemark.functions.values import typed_value
@@ -97,28 +98,48 @@ def count_by_table(log: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("events")))
 
 
-def quarantine(log: DataFrame, key: str = "id") -> DataFrame:
-    """Messages that cannot be applied to a mirror, with the raw value and a reason."""
-    parsed = parse_envelope(log)
-    key_text = F.coalesce(F.col("after").getItem(key), F.col("before").getItem(key))
-    reason = (
-        F.when(F.col("is_corrupt") & F.col("op").isNull(), "unparseable")
-        .when(F.col("op").isNull(), "missing_op")
-        .when(F.col("op") == S.TRUNCATE, "truncate")
-        .when(~F.col("op").isin(*S.KNOWN_OPS), "unknown_op")
-        .when(key_text.isNull(), "missing_key")
-        .when(key_text.try_cast("bigint").isNull(), "bad_key")
-    )
+def event_key(spec: S.TableSpec) -> Column:
+    """Key of an event; a delete only has a before image."""
+    return F.coalesce(F.col(f"after_{spec.key}"), F.col(f"before_{spec.key}"))
+
+
+def problem(spec: S.TableSpec) -> Column:
+    """Why a bronze row cannot be applied, NULL if it can: the one rule for mirrors, counts and quarantine.
+
+    An upsert needs a key after the change, a delete one on either side; keys count if they have the declared type.
+    """
+    upsert, key = F.col("op").isin(*S.UPSERTS), event_key(spec)
+    return (F.when(F.col("op").isNull(), "missing_op")
+            .when(F.col("op") == S.TRUNCATE, "truncate")
+            .when(~F.col("op").isin(*S.KNOWN_OPS), "unknown_op")
+            .when(key.isNull(), "missing_key")
+            .when(upsert & F.col(f"after_{spec.key}").isNull(), "missing_after"))
+
+
+def quarantine(log: DataFrame, specs: Iterable[S.TableSpec]) -> DataFrame:
+    """Messages of declared tables that cannot be applied to a mirror, with the raw value and a reason.
+
+    Together with the applied ones these are all messages but tombstones.
+    """
+    return reduce(DataFrame.unionByName, [_quarantine(log, spec) for spec in specs])
+
+
+def _quarantine(log: DataFrame, spec: S.TableSpec) -> DataFrame:
+    parsed = parse_envelope(log.filter(F.col("topic") == spec.topic), spec)
+    keys = [typed_value(F.col(f"{side}.{spec.key}"), spec.columns[spec.key]).alias(f"{side}_{spec.key}")
+            for side in ("after", "before")]
+    text = F.coalesce(F.col(f"after.{spec.key}"), F.col(f"before.{spec.key}"))
+    typed = parsed.select(*_MESSAGE_NAMES, "op", "is_corrupt", text.alias("_key"), *keys, "value")
+    reason = (F.when(F.col("is_corrupt") & F.col("op").isNull(), "unparseable")
+              .when((problem(spec) == "missing_key") & F.col("_key").isNotNull(), "bad_key").otherwise(problem(spec)))
     # The generator holds the filter above the parsing, which would otherwise be repeated inside it.
-    return (parsed.select(*_MESSAGE_NAMES, F.explode(F.array(reason)).alias("reason"), "value")
+    return (typed.select(*_MESSAGE_NAMES, F.explode(F.array(reason)).alias("reason"), "value")
             .filter(F.col("reason").isNotNull()))
 
 
 def quarantined(bronze: DataFrame, spec: S.TableSpec) -> DataFrame:
-    """The unusable rows of a bronze table. Only rows whose op or key looks wrong are parsed again."""
-    key = F.coalesce(F.col(f"after_{spec.key}"), F.col(f"before_{spec.key}"))
-    suspect = bronze.filter(F.col("op").isNull() | ~F.col("op").isin(*S.KNOWN_OPS) | key.isNull())
-    return quarantine(as_messages(suspect), spec.key)
+    """The unusable rows of a bronze table. Only these are parsed again, to tell why."""
+    return _quarantine(as_messages(bronze.filter(problem(spec).isNotNull())), spec)
 
 
 def as_messages(bronze: DataFrame) -> DataFrame:

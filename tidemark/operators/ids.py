@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.session import materialize
 
@@ -10,22 +10,31 @@ from tidemark.session import materialize
 _POSITION_BITS = 33
 
 
-def assign_ids(df: DataFrame, mode: str = "hash", keys: list[str] | None = None, name: str = "trip_id") -> DataFrame:
+def assign_ids(df: DataFrame, mode: str = "fast", keys: list[str] | None = None, name: str = "trip_id") -> DataFrame:
     """Adds a long id.
 
-    ``fast``   unique, costs nothing, changes when the files are split differently.
-    ``hash``   a function of the row's content: stable, costs nothing, equal for identical rows.
+    ``fast``   unique, costs nothing; it is fixed by writing the rows, as another split of the files gives others.
+    ``hash``   fingerprint of the row's content, whatever the order of columns: the same every time, but equal rows
+               share it, and among very many rows some others may. Not an identity.
     ``dense``  0, 1, 2, ... in the order of ``keys``: stable, costs a range shuffle and one write.
     """
     if mode == "fast":
         return df.withColumn(name, F.monotonically_increasing_id())
     if mode == "hash":
-        return df.withColumn(name, F.xxhash64(*df.columns))
+        return df.withColumn(name, fingerprint(df))
     if mode == "dense":
         return _dense_ids(df, keys or df.columns, name)
     raise ValueError("mode must be 'fast', 'hash' or 'dense'")
 
 
+def fingerprint(df: DataFrame) -> Column:
+    """xxhash64 of all columns in order of name; a missing value counts, so that values cannot trade places."""
+    parts = []
+    for column in sorted(df.columns):
+        parts += [F.col(column).isNull(), F.col(column)]
+    return F.xxhash64(*parts)
+
+
 def _dense_ids(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Range-sort, number the rows inside each partition, add the sizes of the partitions before.
 

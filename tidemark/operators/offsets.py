@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row, functions as F
 
-from tidemark.operators.changelog import usable_operations
+from tidemark.operators.envelope import problem
 from tidemark.schemas import TableSpec
 from tidemark.sources.event_log import Offsets
 
@@ -41,7 +41,7 @@ def offset_ranges(gate: list[Row]) -> tuple[Offsets, Offsets]:
 
 def run_summary(bronze: DataFrame, mirror: DataFrame, spec: TableSpec) -> DataFrame:
     """One row on a run: events read, offset range, operations applied, rows now live."""
-    usable = usable_operations(spec)
+    usable = problem(spec).isNull()
     live = mirror.agg(F.count(F.lit(1)).alias("n")).scalar()
     return bronze.agg(
         F.count(F.lit(1)).alias("events_read"),

@@ -110,8 +110,9 @@ def rankings_from_totals(totals: DataFrame, n: int = 10, both: bool = False) ->
                 .unionByName(bottom.withColumn("ranking_bucket", F.lit(f"bottom{n}"))))
     if not both:
         # A zone in both halves, on a day with few zones, is listed once, as top.
-        labelled = labelled.groupBy("trip_date", "PULocationID", "avg_tip_pct").agg(
-            F.max("ranking_bucket").alias("ranking_bucket"))
+        # Sums of doubles depend on the order of addition, so the average is no part of the key.
+        labelled = labelled.groupBy("trip_date", "PULocationID").agg(
+            F.max("avg_tip_pct").alias("avg_tip_pct"), F.max("ranking_bucket").alias("ranking_bucket"))
     best = hour_day.groupBy("trip_date").agg(
         F.max(F.struct("pct", (-F.col("pickup_hour")).alias("h"))).alias("_best"))
     best = best.select("trip_date", (-F.col("_best.h")).alias("best_hour_global"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.measures import duration_minutes, speed_per_hour
-from tidemark.functions.values import as_timestamp, resolve
+from tidemark.functions.values import as_timestamp, spelled
 from tidemark.schemas import TRIP_COLUMNS
 
 
@@ -15,9 +15,9 @@ def typed_trips(bronze: DataFrame) -> DataFrame:
     A column that already has its type is passed through as is, so that filters on it still reach the
     Parquet scan.
     """
-    columns = [F.col(resolve(bronze, "trip_id")).alias("trip_id")]
-    for name, data_type in TRIP_COLUMNS.items():
-        raw = resolve(bronze, name)
+    trip_id, *raw_names = spelled(bronze, "trip_id", *TRIP_COLUMNS)
+    columns = [F.col(trip_id).alias("trip_id")]
+    for raw, (name, data_type) in zip(raw_names, TRIP_COLUMNS.items(), strict=True):
         if data_type == "timestamp":
             value = as_timestamp(F.col(raw), bronze.schema[raw].dataType)
         else:
@@ -84,7 +84,7 @@ def rejected_trips(bronze: DataFrame) -> DataFrame:
 
 def zone_names(zones: DataFrame, id_name: str, zone_name: str) -> DataFrame:
     """Lookup with one row per zone; two rows for the same zone stop the job, they would multiply trips."""
-    location, zone = resolve(zones, "LocationID"), resolve(zones, "Zone")
+    location, zone = spelled(zones, "LocationID", "Zone")
     grouped = (zones.groupBy(F.col(location).alias(id_name))
                .agg(F.count(F.lit(1)).alias("_n"), F.min(zone).alias("_zone")))
     checked = F.when(F.col("_n") > 1, F.raise_error(F.concat(

@@ -3,24 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import schemas as S
 from tidemark.operators import changelog as C, envelope as E, offsets as O, quality as Q, tips, trips as R
+from tidemark.functions.values import typed_value
 from tidemark.operators.ids import assign_ids
 from tidemark.plans import testbed as B
-from tidemark.plans.medallion import Layout, run_medallion
+from tidemark.plans.medallion import Layout, backfill, file_log, refresh_changes, run_medallion
 from tidemark.plans.testbed import USERS
 from tidemark.session import scratch_dir
-from tidemark.sinks import messages as M, versions as V
+from tidemark.sinks import messages as M, mirrors as V, runs as U
 from tidemark.sinks.tables import append_events, replace_table, write_run
 from tidemark.sources import event_log as L
 from tidemark.streaming import ingest as I
 
+# Columns of a streamed trip that the fixture fills.
+TRIP_SHOWN = ("VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID", "payment_type",
+              "trip_distance", "fare_amount", "tip_amount", "passenger_count", "total_amount")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
+BOTH = (S.CUSTOMERS, S.DRIVERS)
+
 # Cut points in the thirty days the events cover, in milliseconds.
 DAY_8, DAY_15, DAY_22 = 1704672000000, 1705276800000, 1705881600000
 
@@ -46,12 +54,14 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def cdc_parse_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = E.bronze_table(B.messages(spark, sf_dir), S.DRIVERS)
-    return plain(bronze.drop("value"))
+    """Both tables; the columns of the one are NULL for the other."""
+    log = B.messages(spark, sf_dir)
+    customers, drivers = (E.bronze_table(log, spec).drop("value") for spec in (S.CUSTOMERS, S.DRIVERS))
+    return plain(drivers.unionByName(customers, allowMissingColumns=True))
 
 
 def cdc_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.count_by_table(L.read_event_log(B.messages(spark, sf_dir)))
+    return E.count_by_table(L.read_event_log(B.messages(spark, sf_dir), BOTH))
 
 
 def cdc_undeclared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,12 +73,26 @@ def cdc_undeclared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.quarantine(B.damaged_messages(spark, sf_dir)).select("topic", "kafka_partition", "kafka_offset", "reason")
+    found = E.quarantine(B.damaged_messages(spark, sf_dir), BOTH)
+    return found.select("topic", "kafka_partition", "kafka_offset", "reason", F.col("value").isNotNull().alias("raw_kept"))
+
+
+def cdc_all_accounted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message of a table is applied, in quarantine or a tombstone."""
+    log = B.damaged_messages(spark, sf_dir)
+    bronze = {spec: E.bronze_table(log, spec) for spec in BOTH}
+    applied = reduce(DataFrame.unionByName, [
+        rows.filter(E.problem(spec).isNull()).groupBy("topic").agg(F.count(F.lit(1)).alias("n")) for spec, rows in bronze.items()])
+    lost = E.quarantine(log, BOTH).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    silent = log.filter(F.col("value").isNull()).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    parts = {"applied": applied, "quarantine": lost, "tombstone": silent, "all": log.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))}
+    return reduce(DataFrame.unionByName, [df.select("topic", F.lit(name).alias("part"), "n") for name, df in parts.items()])
 
 
 def cdc_quarantined_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = E.bronze_table(B.damaged_messages(spark, sf_dir), S.CUSTOMERS)
-    return E.quarantined(bronze, S.CUSTOMERS).groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
+    log = B.damaged_messages(spark, sf_dir)
+    found = reduce(DataFrame.unionByName, [E.quarantined(E.bronze_table(log, spec), spec) for spec in BOTH])
+    return found.groupBy("source_table", "reason").agg(F.count(F.lit(1)).alias("messages"))
 
 
 def cdc_mirror_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,8 +137,12 @@ def cdc_state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_state_as_of_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = B.user_log(spark, sf_dir)
-    saved = O.high_water(log.filter(F.col("ts_ms") < DAY_15))
-    return C.state_as_of(log, USERS, saved, by="offset")
+    return C.state_as_of(log, USERS, _arrived(log, DAY_15), by="offset")
+
+
+def _arrived(log: DataFrame, at: int) -> DataFrame:
+    """Offsets reached by what had arrived at a time."""
+    return O.high_water(log.filter(F.unix_millis("kafka_timestamp") < at))
 
 
 def cdc_deleted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,11 +200,106 @@ def cdc_offset_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_checkpoint_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = L.read_topic(B.messages(spark, sf_dir), S.CUSTOMERS.topic).filter(F.col("value").isNotNull())
+    """Saved JSON batches of both tables, a folder per partition, read back."""
+    root = scratch_dir(spark, "batches")
     event = F.struct("offset", F.col("value").cast("string").alias("value"))
-    batches = log.select(F.col("offset").alias("from"), (F.col("offset") + 1).alias("to"), F.array(event).alias("events"))
-    bronze = E.bronze_table(L.messages_of_batches(batches, S.CUSTOMERS.topic), S.CUSTOMERS)
-    return bronze.select("kafka_offset", "op", "after_id", "after_email", "before_id")
+    found = []
+    for spec in BOTH:
+        log = L.read_topic(B.messages(spark, sf_dir), spec.topic).filter(F.col("value").isNotNull())
+        batches = log.groupBy("partition", F.floor(F.col("offset") / 1000).alias("part")).agg(
+            F.min("offset").alias("from"), (F.max("offset") + 1).alias("to"), F.collect_list(event).alias("events"))
+        batches.drop("part").repartition(8, "partition", "from").write.option("maxRecordsPerFile", 1) \
+            .partitionBy("partition").json(f"{root}/{spec.name}")
+        bronze = E.bronze_table(L.read_checkpoint_batches(spark, f"{root}/{spec.name}", spec.topic), spec)
+        found.append(bronze.select("topic", "kafka_partition", "kafka_offset", "op", "after_id", "after_name", "before_id"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def cdc_batches_two_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of two partitions that share their offsets: all events are kept, twice appended once stored."""
+    where = scratch_dir(spark, "log")
+    log = B.user_log(spark, sf_dir)
+    event = F.struct(F.expr("kafka_offset div 2").alias("offset"), F.lit("{}").alias("value"))
+    batches = log.select(F.pmod("kafka_offset", F.lit(2)).cast("int").alias("partition"), F.array(event).alias("events"))
+    rows = _as_bronze(L.messages_of_batches(batches, USERS.topic)).select("topic", "kafka_partition", "kafka_offset")
+    for _ in range(2):
+        append_events(rows, where)
+    return spark.read.parquet(where).groupBy("kafka_partition").agg(
+        F.count(F.lit(1)).alias("events"), F.max("kafka_offset").alias("last_offset"))
+
+
+def cdc_decimal_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals of many widths sent as base64 of their bytes come back as they were."""
+    amounts = B.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_extendedprice") * 100).cast("decimal(38,0)").alias("cents"))
+    power = F.element_at(F.array(*[F.lit(Decimal(10 ** n)) for n in (0, 6, 12, 18, 24)]), (F.col("l_linenumber") % 5 + 1).cast("int"))
+    sign = F.when(F.col("l_orderkey") % 2 == 0, F.lit(1)).otherwise(F.lit(-1))
+    value = (F.col("cents").cast("decimal(12,0)") * power.cast("decimal(25,0)")).cast("decimal(38,0)") * sign
+    sent = amounts.withColumn("value", value.cast("decimal(38,0)")).withColumn("text", B.base64_of_decimal(F.col("value")))
+    field = T.StructField("amount", T.DecimalType(38, 2), True, {"decimal_scale": 2, "base64_only": True})
+    read = typed_value(F.col("text"), field)
+    return sent.groupBy((F.col("l_linenumber") % 5).cast("int").alias("width")).agg(
+        F.count(F.lit(1)).alias("values"), F.count(F.when(read * 100 == F.col("value"), 1)).alias("equal"))
+
+
+def cdc_wide_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of a topic of five hundred partitions, each with bounds of its own."""
+    log = B.messages(spark, sf_dir).select("topic", F.pmod("offset", F.lit(500)).cast("int").alias("partition"), "offset")
+    topic = S.CUSTOMERS.topic
+    start = {(topic, n): 10 * n for n in range(500)}
+    end = {(topic, n): 20_000 - 10 * n for n in range(400)}
+    return L.read_offsets(log, end, start).groupBy("partition").agg(
+        F.count(F.lit(1)).alias("messages"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"))
+
+
+def cdc_string_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose key is text: what the mirror holds is not in quarantine."""
+    spec = S.TableSpec("accounts", "id", T.StructType([T.StructField("id", T.StringType()), T.StructField("amount", T.DoubleType())]))
+    log = B.user_log(spark, sf_dir)
+    named = log.select("*", *[F.concat(F.lit("user-"), F.col(f"{side}_id").cast("string")).alias(f"{side}_key") for side in ("after", "before")])
+    named = named.drop("after_id", "before_id").withColumnsRenamed({"after_key": "after_id", "before_key": "before_id"}) \
+        .withColumn("topic", F.lit(spec.topic)).withColumn("source_table", F.lit(spec.name))
+    sent = M.to_envelope(named, spec)
+    bronze = E.bronze_table(sent, spec)
+    bad = E.quarantine(sent, [spec]).groupBy(F.lit("quarantine").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    live = C.current_state(bronze, spec).agg(F.lit("live").alias("part"), F.count(F.when(F.col("id").startswith("user-"), 1)).alias("n"))
+    return live.unionByName(bad)
+
+
+def _landed(spark: SparkSession, sf_dir: str, *cuts: int | None) -> tuple[Layout, DataFrame]:
+    """The messages as a file log, taken in by runs that each see what had arrived by a time."""
+    root = scratch_dir(spark, "lake")
+    replace_table(B.messages(spark, sf_dir), f"{root}/messages")
+    log, layout = spark.read.parquet(f"{root}/messages"), Layout(root, 8)
+    for cut in cuts:
+        seen = log if cut is None else log.filter(F.unix_millis("timestamp") < cut)
+        refresh_changes(spark, file_log(seen), layout, list(BOTH))
+    return layout, log
+
+
+def cdc_incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over a growing log and an idle one; the mirrors and the runs' summaries."""
+    layout, _ = _landed(spark, sf_dir, DAY_8, DAY_22, None, None)
+    runs = U.list_runs(spark, layout.runs).select(F.concat(F.lit("run "), F.col("run")).alias("part"), F.col("events_read").alias("n"))
+    live = [V.read_mirror(spark, layout.mirror(spec), spec, 8).agg(F.lit(f"live {spec.name}").alias("part"), F.count(F.lit(1)).alias("n"))
+            for spec in BOTH]
+    return reduce(DataFrame.unionByName, live, runs)
+
+
+def cdc_new_table_later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drivers are declared only after a run: all of their events arrive with the next."""
+    layout, log = _landed(spark, sf_dir)
+    refresh_changes(spark, file_log(log), layout, [S.CUSTOMERS])
+    refresh_changes(spark, file_log(log), layout, list(BOTH))
+    return V.read_mirror(spark, layout.mirror(S.DRIVERS), S.DRIVERS, 8)
+
+
+def cdc_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mirrors rebuilt from bronze after the offsets were forgotten and the log read again."""
+    layout, log = _landed(spark, sf_dir, DAY_15)
+    backfill(spark, layout, list(BOTH), from_log=True)
+    refresh_changes(spark, file_log(log), layout, list(BOTH))
+    return V.read_mirror(spark, layout.mirror(S.CUSTOMERS), S.CUSTOMERS, 8)
 
 
 def cdc_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,8 +331,12 @@ def cdc_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_reparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = E.bronze_table(B.messages(spark, sf_dir), S.TableSpec("customers", "id", T.StructType(S.CUSTOMERS.columns[:2])))
-    return C.current_state(E.reparse(bronze, S.CUSTOMERS), S.CUSTOMERS)
+    """Bronze of both tables, kept under narrow specs, read again under the full ones."""
+    found = []
+    for spec in BOTH:
+        bronze = E.bronze_table(B.messages(spark, sf_dir), S.TableSpec(spec.name, "id", T.StructType(spec.columns[:2])))
+        found.append(C.current_state(E.reparse(bronze, spec), spec).select("id", "name", "updated_ts"))
+    return reduce(DataFrame.unionByName, found)
 
 
 # Trips
@@ -234,7 +361,16 @@ def trips_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips_events_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     vendor = B.trips(spark, sf_dir).withColumn("VendorID", F.col("PULocationID"))
     sent = M.to_events(vendor.drop("trip_id"), "VendorID")
-    return plain(M.from_events(sent))
+    return plain(M.from_events(sent).select(*TRIP_SHOWN))
+
+
+def trips_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that are no trips are kept with their text and a reason."""
+    sent = M.to_events(B.trips(spark, sf_dir), "trip_id")
+    cut = F.when(F.col("key").cast("bigint") % 5 == 0, F.expr("left(value, length(value) - 3)"))
+    read = M.from_events(sent.withColumn("value", F.coalesce(cut, F.col("value"))), rejects=True)
+    return read.groupBy(F.col(M.REJECT_REASON).alias("reason")).agg(
+        F.count(F.lit(1)).alias("messages"), F.count(M.RAW_VALUE).alias("with_text"), F.count("fare_amount").alias("with_fare"))
 
 
 def trips_event_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,6 +383,26 @@ def ids_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(numbered.select("trip_id", "tpep_pickup_datetime", "fare_amount"))
 
 
+def _doubtful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of which every other lacks one of two values and the rest the other, each row twice."""
+    k = F.col("trip_id") % 2
+    rows = B.trips(spark, sf_dir).select(F.expr("trip_id div 2").alias("pair"), F.when(k == 0, F.lit(1.5)).alias("a"),
+                                         F.when(k == 1, F.lit(1.5)).alias("b"))
+    return rows.unionByName(rows)
+
+
+def ids_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _doubtful(spark, sf_dir)
+    swapped = assign_ids(rows.select("b", "pair", "a"), "hash").select("trip_id")
+    ids = assign_ids(rows, "hash").select("trip_id")
+    frames = {"rows": ids, "ids": ids.distinct(), "ids_in_any_order": ids.union(swapped).distinct()}
+    return Q.layer_counts(**frames)
+
+
+def ids_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_ids(_doubtful(spark, sf_dir), "fast").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("trip_id").alias("ids"))
+
+
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = B.trips(spark, sf_dir)
     return Q.layer_counts(bronze=raw, silver=R.clean_trips(raw))
@@ -324,28 +480,37 @@ def tips_rating_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Tables
 
 
-def _published(spark: SparkSession, sf_dir: str) -> str:
-    """A mirror published in three merges and then rolled back to the second."""
-    where = scratch_dir(spark, "mirror")
-    log, ts = B.user_log(spark, sf_dir), F.col("ts_ms")
-    for batch in (log.filter(ts < DAY_8), log.filter((ts >= DAY_8) & (ts < DAY_22)), log.filter(ts >= DAY_22)):
-        V.merge_into_mirror(batch, where, USERS, buckets=8)
-    V.rollback(spark, where, 1)
-    return where
+def _three_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """The log of users, and the offsets that three runs reached in it."""
+    where, log = scratch_dir(spark, "runs"), B.user_log(spark, sf_dir)
+    for at in (DAY_8, DAY_22, 1 << 62):
+        U.save_run(_arrived(log, at), where)
+    return log, where
 
 
 def table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.list_snapshots(spark, _published(spark, sf_dir)).select("snapshot_id", "operation", "rows")
+    """The runs, newest first, after a return to the second; with the sum of the offsets they reached."""
+    _, where = _three_runs(spark, sf_dir)
+    U.return_to(spark, where, 1)
+    return U.list_runs(spark, where).select("run", "operation", "offsets")
 
 
 def table_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    where = _published(spark, sf_dir)
-    read = [V.read_mirror(spark, where, USERS, version).withColumn("version", F.lit(version)) for version in (0, 2)]
+    """The table as two runs left it, read from the log."""
+    log, where = _three_runs(spark, sf_dir)
+    read = [C.state_as_of(log, USERS, U.load_offsets(spark, where, run), by="offset").withColumn("version", F.lit(run))
+            for run in (0, 2)]
     return reduce(DataFrame.unionByName, read)
 
 
 def table_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.read_mirror(spark, _published(spark, sf_dir), USERS)
+    """A stored mirror put back to where the second of three runs left it."""
+    log, where = _three_runs(spark, sf_dir)
+    mirror = scratch_dir(spark, "mirror")
+    V.merge_into_mirror(log, mirror, USERS, 8)
+    U.return_to(spark, where, 1)
+    V.rebuild_mirror(C.before_point(log, U.load_offsets(spark, where), by="offset"), mirror, USERS, 8)
+    return V.read_mirror(spark, mirror, USERS, 8)
 
 
 def table_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,8 +526,9 @@ def table_run_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     where = scratch_dir(spark, "runs")
     log = B.user_log(spark, sf_dir).select("kafka_offset", "op", F.to_date("kafka_timestamp").alias("day"))
     write_run(log, where, "day")
-    write_run(log.filter(F.col("op") == S.DELETE), where, "day")
-    write_run(log, where, "day")
+    write_run(log.filter((F.col("op") == S.DELETE) & (F.col("day") < "2024-01-15")), where, "day")  # part of the runs again
+    day = "2024-01-20"
+    write_run(log.filter((F.col("day") == day) & (F.col("op") == "none")), where, "day", day)  # a run without rows
     return spark.read.parquet(where).groupBy(F.col("day").cast("string").alias("day"), "op").agg(
         F.count(F.lit(1)).alias("events"))
 
@@ -371,8 +537,8 @@ def table_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     where = scratch_dir(spark, "offsets")
     log = B.user_log(spark, sf_dir)
     for at in (DAY_8, DAY_22):
-        V.save_offsets(O.high_water(log.filter(F.col("ts_ms") < at)), where)
-    return V.load_offsets(spark, where)
+        U.save_run(_arrived(log, at), where)
+    return U.load_offsets(spark, where)
 
 
 # Streams
@@ -395,7 +561,7 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     log.repartitionByRange(3, F.desc("ts_ms")).write.parquet(I.bronze_path(root, USERS))
     I.stream_silver(I.bronze_stream(spark, root, USERS, 1), f"{root}/mirror", USERS, f"{root}/checkpoint",
                     buckets=8).awaitTermination()
-    return V.read_mirror(spark, f"{root}/mirror", USERS)
+    return V.read_mirror(spark, f"{root}/mirror", USERS, 8)
 
 
 def stream_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -404,7 +570,18 @@ def stream_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     (M.to_events(sent, "VendorID").select("value").repartitionByRange(3, "value").write.text(f"{root}/events"))
     I.stream_trips(I.trip_stream(spark, f"{root}/events", files_per_batch=1), f"{root}/trips",
                    f"{root}/checkpoint").awaitTermination()
-    return plain(spark.read.parquet(f"{root}/trips"))
+    return plain(spark.read.parquet(f"{root}/trips").select(*TRIP_SHOWN))
+
+
+def stream_trips_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip events to bronze and on to silver, both as streams."""
+    root = scratch_dir(spark, "stream")
+    M.to_events(B.trips(spark, sf_dir), "trip_id").select("value").repartitionByRange(3, "value").write.text(f"{root}/events")
+    I.stream_trips(I.trip_stream(spark, f"{root}/events"), f"{root}/bronze", f"{root}/c1").awaitTermination()
+    I.stream_trips_silver(I.bronze_trip_stream(spark, f"{root}/bronze"), B.zones(spark, sf_dir), f"{root}/silver",
+                          f"{root}/c2").awaitTermination()
+    silver = spark.read.parquet(f"{root}/silver")
+    return plain(silver.select("tpep_pickup_datetime", "fare_amount", "trip_duration_minutes", "pickup_zone", "dropoff_zone"))
 
 
 # Everything together
@@ -415,9 +592,10 @@ def _medallion(spark: SparkSession, sf_dir: str) -> tuple[Layout, dict[str, Data
     replace_table(B.messages(spark, sf_dir), f"{root}/messages")
     log = spark.read.parquet(f"{root}/messages")
     source = C.current_state(E.bronze_table(log, S.CUSTOMERS), S.CUSTOMERS).drop("updated_ts")
-    checks = run_medallion(spark, log, B.trips(spark, sf_dir).drop("trip_id"), B.zones(spark, sf_dir), root,
+    layout = Layout(root)
+    checks = run_medallion(spark, file_log(log), B.trips(spark, sf_dir).drop("trip_id"), B.zones(spark, sf_dir), layout,
                            sources={"customers": source}, id_mode="dense", id_keys=["tpep_pickup_datetime"])
-    return Layout(root), checks
+    return layout, checks
 
 
 def medallion_driver_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,17 +619,20 @@ def medallion_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL: tuple[Query, ...] = (
-    cdc_parse_envelope, cdc_route_counts, cdc_undeclared_table, cdc_quarantine, cdc_quarantined_bronze,
+    cdc_parse_envelope, cdc_route_counts, cdc_undeclared_table, cdc_quarantine, cdc_quarantined_bronze, cdc_all_accounted,
+    cdc_batches_two_partitions, cdc_decimal_widths, cdc_wide_topic, cdc_string_keys, cdc_incremental_run, cdc_new_table_later,
+    cdc_backfill,
     cdc_mirror_customers, cdc_mirror_drivers, cdc_current_state, cdc_first_rows, cdc_latest_ties, cdc_apply_changes, cdc_replay_equals_batch,
     cdc_state_as_of, cdc_state_as_of_offsets, cdc_deleted_keys, cdc_resurrected_keys, cdc_offset_order,
     cdc_run_summary, cdc_snapshot_diff, cdc_diff_applied, cdc_pending_offsets, cdc_offset_range,
     cdc_checkpoint_batches, cdc_reconcile, cdc_row_diff, cdc_schema_evolution, cdc_reparse,
-    trips_clean, trips_rejects, trips_enriched, trips_events_roundtrip, trips_event_text, ids_dense, layer_counts,
+    trips_clean, trips_rejects, trips_enriched, trips_events_roundtrip, trips_event_text, trips_bad_lines, ids_dense, ids_hash,
+    ids_fast, layer_counts,
     tips_behavior, tips_mode_payment, tips_rankings, tips_rankings_overlap, tips_rankings_both,
     tips_best_zone_hour, tips_top15, tips_top20, tips_best_hour, tips_driver_report, tips_driver_report_dense,
     tips_top_drivers, tips_driver_by_key, tips_rating_vs_tip, tips_rating_correlation,
     table_versions, table_as_of, table_rollback, table_append_twice, table_run_overwrite, table_offsets,
-    stream_bronze, stream_silver, stream_trips, medallion_driver_report, medallion_layers,
+    stream_bronze, stream_silver, stream_trips, stream_trips_silver, medallion_driver_report, medallion_layers,
 )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -11,7 +11,7 @@ SNAPSHOT, CREATE, UPDATE, DELETE, TRUNCATE = "r", "c", "u", "d", "t"
 UPSERTS = (SNAPSHOT, CREATE, UPDATE)
 KNOWN_OPS = (SNAPSHOT, CREATE, UPDATE, DELETE)
 
-# Fixed value: topics are named <server>.<schema>.<table>.
+# Fixed value: topics are named <server>.<schema>.<table>; a spec may name another server and schema.
 TOPIC_PREFIX = "dbserver1.public."
 
 MESSAGE = T.StructType([
@@ -40,19 +40,21 @@ EVENT_HEADER = T.StructType([
 
 @dataclass(frozen=True)
 class TableSpec:
-    """One source table: name, key column and typed columns, the key included.
+    """One source table: name, key column and typed columns, the key included, and the prefix of its topic.
 
     Field metadata says how a JSON value is encoded: ``decimal_scale`` allows the base64 form of a
-    decimal next to plain numbers, ``micros`` marks a timestamp held as microseconds.
+    decimal next to plain numbers, and ``base64_only`` says that nothing else comes (four characters of
+    base64 can look like a number); ``micros`` marks a timestamp held as microseconds.
     """
 
     name: str
     key: str
     columns: T.StructType
+    prefix: str = TOPIC_PREFIX
 
     @property
     def topic(self) -> str:
-        return TOPIC_PREFIX + self.name
+        return self.prefix + self.name
 
     @property
     def attributes(self) -> list[str]:
@@ -70,7 +72,7 @@ class TableSpec:
 
     def with_column(self, name: str, data_type: T.DataType) -> TableSpec:
         """The same table after a column was added at the source."""
-        return TableSpec(self.name, self.key, T.StructType(self.columns.fields + [T.StructField(name, data_type)]))
+        return replace(self, columns=T.StructType(self.columns.fields + [T.StructField(name, data_type)]))
 
 
 CUSTOMERS = TableSpec("customers", "id", T.StructType([
@@ -93,7 +95,7 @@ DRIVERS = TableSpec("drivers", "id", T.StructType([
 def with_created_at(spec: TableSpec) -> TableSpec:
     """Adds the creation time, which the envelope carries in microseconds."""
     field = T.StructField("created_at", T.TimestampType(), True, {"micros": True})
-    return TableSpec(spec.name, spec.key, T.StructType(spec.columns.fields + [field]))
+    return replace(spec, columns=T.StructType(spec.columns.fields + [field]))
 
 
 # Columns of a trip file that the cleaning step reads, with their clean types.
@@ -108,14 +110,26 @@ TRIP_COLUMNS = {
     "tpep_dropoff_datetime": "timestamp",
 }
 
+# All fields of a yellow-taxi trip record, as of 2025.
 TRIP_EVENT = T.StructType([
     T.StructField("VendorID", T.IntegerType()),
     T.StructField("tpep_pickup_datetime", T.TimestampType()),
     T.StructField("tpep_dropoff_datetime", T.TimestampType()),
+    T.StructField("passenger_count", T.LongType()),
+    T.StructField("trip_distance", T.DoubleType()),
+    T.StructField("RatecodeID", T.LongType()),
+    T.StructField("store_and_fwd_flag", T.StringType()),
     T.StructField("PULocationID", T.IntegerType()),
     T.StructField("DOLocationID", T.IntegerType()),
     T.StructField("payment_type", T.IntegerType()),
-    T.StructField("trip_distance", T.DoubleType()),
     T.StructField("fare_amount", T.DoubleType()),
+    T.StructField("extra", T.DoubleType()),
+    T.StructField("mta_tax", T.DoubleType()),
     T.StructField("tip_amount", T.DoubleType()),
+    T.StructField("tolls_amount", T.DoubleType()),
+    T.StructField("improvement_surcharge", T.DoubleType()),
+    T.StructField("total_amount", T.DoubleType()),
+    T.StructField("congestion_surcharge", T.DoubleType()),
+    T.StructField("Airport_fee", T.DoubleType()),
+    T.StructField("cbd_congestion_fee", T.DoubleType()),
 ])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions.values import iso_timestamp, resolve
+from tidemark.functions.values import iso_timestamp, spelled
 from tidemark.schemas import DELETE, TRIP_EVENT, TableSpec
 
 
@@ -14,13 +14,28 @@ def to_events(df: DataFrame, key: str) -> DataFrame:
     columns = [iso_timestamp(F.col(f.name)).alias(f.name) if isinstance(f.dataType, times) else F.col(f.name)
                for f in df.schema]
     return df.select(
-        F.col(resolve(df, key)).cast("string").alias("key"),
+        F.col(*spelled(df, key)).cast("string").alias("key"),
         F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def from_events(messages: DataFrame, schema: T.StructType = TRIP_EVENT) -> DataFrame:
-    """Rows back from JSON messages; a field that does not parse is NULL."""
-    return messages.select(F.from_json(F.col("value").cast("string"), schema).alias("row")).select("row.*")
+#: Columns that :func:`from_events` adds for messages that are no JSON object of the schema.
+RAW_VALUE, REJECT_REASON = "_raw_value", "_reject_reason"
+
+
+def from_events(messages: DataFrame, schema: T.StructType = TRIP_EVENT, rejects: bool = False) -> DataFrame:
+    """Rows back from JSON messages; a field that does not parse is NULL.
+
+    With ``rejects`` two more columns say what could not be read: the message and the reason, both NULL otherwise.
+    """
+    text = F.col("value").cast("string")
+    corrupt = T.StructType([*schema.fields, T.StructField(RAW_VALUE, T.StringType())])
+    row = F.from_json(text, corrupt, {"columnNameOfCorruptRecord": RAW_VALUE})
+    parsed = messages.select(row.alias("row"), text.alias("text"))
+    if not rejects:
+        return parsed.select(*[F.col(f"row.{c}").alias(c) for c in schema.names])
+    reason = (F.when(F.col("text").isNull(), "empty").when(F.col("row.{}".format(RAW_VALUE)).isNotNull(), "unparseable"))
+    return parsed.select(*[F.col(f"row.{c}").alias(c) for c in schema.names],
+                         F.when(reason.isNotNull(), F.col("text")).alias(RAW_VALUE), reason.alias(REJECT_REASON))
 
 
 def to_envelope(changes: DataFrame, spec: TableSpec, wrapped: Column | bool = True,

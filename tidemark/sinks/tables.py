@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from tidemark.schemas import EVENT_ID
+from tidemark.sources.event_log import per_partition
 from tidemark.sources.files import read_if_present
 
-# Up to this many partitions the lowest new offsets become a predicate the Parquet scan can use.
-_PREDICATE_PARTITIONS = 200
-
 
 def create_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
@@ -31,39 +29,58 @@ def replace_from_query(spark: SparkSession, query: str, target: str) -> None:
     replace_table(spark.sql(query), target)
 
 
-def write_run(df: DataFrame, path: str, run_key: str) -> None:
-    """Write the rows of a run. Repeating it replaces the partitions of that run and no others."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(run_key).parquet(path))
+def write_run(df: DataFrame, path: str, run_key: str, run: str | None = None) -> None:
+    """Write the rows of a run. Repeating it replaces what that run wrote before and nothing else.
+
+    With ``run``, all rows belong to that value of ``run_key``, and a repetition without rows leaves none. Without it,
+    the runs that ``df`` has rows of are replaced.
+    """
+    if run is None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(run_key).parquet(path))
+    else:
+        rows = df.drop(run_key).coalesce(1) if df.isEmpty() else df.drop(run_key)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{run_key}={run}")
 
 
 def batch_bounds(events: DataFrame) -> list[Row]:
-    """Per (topic, kafka_partition) the lowest offset of a batch and how often its most frequent offset occurs."""
-    counted = events.groupBy(*EVENT_ID).agg(F.count(F.lit(1)).alias("n"))
-    return (counted.groupBy("topic", "kafka_partition")
-            .agg(F.min("kafka_offset").alias("low"), F.max("n").alias("most")).collect())
+    """Per (topic, kafka_partition): least and greatest offset of a batch, and whether all between occur once.
+
+    Count, sum and sum of squares are compared with those of a range without gaps, so one aggregate that combines
+    map-side is enough. ``whole`` is false for a batch with gaps too; that costs a closer look, not a row.
+    """
+    at = F.col("kafka_offset")
+    summed = events.groupBy("topic", "kafka_partition").agg(
+        F.min(at).alias("low"), F.max(at).alias("high"), F.count(F.lit(1)).alias("n"),
+        F.sum(at.cast("decimal(38,0)")).alias("s"), F.sum(at.cast("decimal(19,0)") * at.cast("decimal(19,0)")).alias("q"))
+    found = []
+    for row in summed.collect():  # a row per topic partition
+        low, high, n = row.low, row.high, row.n
+        squares = high * (high + 1) * (2 * high + 1) // 6 - (low - 1) * low * (2 * low - 1) // 6
+        whole = n == high - low + 1 and int(row.s) == (low + high) * n // 2 and int(row.q) == squares
+        found.append(Row(topic=row.topic, kafka_partition=row.kafka_partition, low=low, high=high, whole=whole))
+    return found
 
 
 def _tail(bounds: list[Row]) -> Column:
-    """Condition on stored rows: not below the lowest new offset of their partition."""
-    if len(bounds) > _PREDICATE_PARTITIONS:
-        return F.col("kafka_offset") >= min(row.low for row in bounds)
-    wanted = F.lit(False)
-    for row in bounds:
-        wanted = wanted | ((F.col("topic") == row.topic) & (F.col("kafka_partition") == row.kafka_partition)
-                           & (F.col("kafka_offset") >= row.low))
-    return wanted
+    """Condition on stored rows: within the offsets of the batch, partition by partition."""
+    key = (F.col("topic"), F.col("kafka_partition"))
+    lows = {(r.topic, r.kafka_partition): r.low for r in bounds}
+    highs = {(r.topic, r.kafka_partition): r.high for r in bounds}
+    at = F.col("kafka_offset")
+    return ((at >= min(lows.values())) & (at <= max(highs.values()))
+            & (at >= per_partition(lows, *key)) & (at <= per_partition(highs, *key)))
 
 
 def new_events(events: DataFrame, stored: DataFrame | None, bounds: list[Row] | None = None) -> DataFrame:
     """Events that are not stored yet, each once.
 
-    Only stored rows at or above the lowest offset of the batch can be repeats, and that condition is
-    pushed into the scan, so the check reads the tail of the log and not its history. It looks at the
-    three id columns alone; whole rows are shuffled only if there really are repeats.
+    Only stored rows within the offsets of the batch can be repeats, and that condition is pushed into the scan, so
+    the check reads that stretch of the log and not its history. It looks at the three id columns alone; whole rows
+    are shuffled only where repeats cannot be ruled out.
     """
     bounds = batch_bounds(events) if bounds is None else bounds
-    if any(row.most > 1 for row in bounds):
+    if not all(row.whole for row in bounds):
         events = events.dropDuplicates(EVENT_ID)
     if stored is not None and bounds:
         seen = stored.filter(_tail(bounds)).select(*EVENT_ID)

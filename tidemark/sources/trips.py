@@ -13,9 +13,10 @@ def read_trips(spark: SparkSession, path: str, pattern: str = TRIP_FILES,
                schema: T.StructType | None = None) -> DataFrame:
     """All trip files below ``path``; refuses a missing folder, no matching file and files without rows.
 
-    The schema is that of one file unless given; a given one saves looking into the files.
+    The schema is that of all files together unless given; a given one saves looking into the files. A column that a
+    file lacks is NULL in its rows.
     """
-    reader = spark.read.option("pathGlobFilter", pattern)
+    reader = spark.read.option("pathGlobFilter", pattern).option("mergeSchema", True)
     try:
         trips = (reader.schema(schema) if schema else reader).parquet(path)
     except AnalysisException as error:

@@ -1,18 +1,24 @@
 """Continuous ingest: messages to bronze, bronze to mirrors, trip events to bronze.
 
-All three run with ``availableNow`` by default: take what is there, in batches, then stop. Restarting
-with the same checkpoint continues; with nothing new no batch runs.
+All run with the trigger ``availableNow`` unless given another one: take what is there, in batches, then stop.
+Restarting with the same checkpoint continues; with nothing new no batch runs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
-from pyspark.sql.streaming import StreamingQuery
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark import schemas as S
 from tidemark.operators.envelope import bronze_table, message_columns
+from tidemark.operators.ids import assign_ids
+from tidemark.operators.trips import clean_trips, enrich_zones
+from tidemark.sinks.messages import REJECT_REASON, from_events
+from tidemark.sinks.mirrors import merge_into_mirror
 from tidemark.sinks.tables import append_events, batch_bounds
-from tidemark.sinks.versions import merge_into_mirror
+from tidemark.sources.event_log import topic_pattern
 
 
 def message_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -23,10 +29,14 @@ def message_stream(spark: SparkSession, path: str, files_per_batch: int | None =
     return reader.parquet(path)
 
 
-def kafka_stream(spark: SparkSession, servers: str, pattern: str) -> DataFrame:
-    """Messages from Kafka topics matching a pattern."""
-    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-            .option("subscribePattern", pattern).option("startingOffsets", "earliest").load())
+def kafka_stream(spark: SparkSession, servers: str, specs: Iterable[S.TableSpec],
+                 offsets_per_batch: int | None = None) -> DataFrame:
+    """Messages of the tables' Kafka topics, at most so many per batch."""
+    reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+              .option("subscribePattern", topic_pattern(specs)).option("startingOffsets", "earliest"))
+    if offsets_per_batch:
+        reader = reader.option("maxOffsetsPerTrigger", offsets_per_batch)
+    return reader.load()
 
 
 def bronze_path(root: str, spec: S.TableSpec) -> str:
@@ -46,17 +56,17 @@ def ingest_messages(messages: DataFrame, specs: list[S.TableSpec], root: str) ->
         append_events(bronze_table(messages, spec), bronze_path(root, spec), bounds=of_table)
 
 
-def stream_bronze(messages: DataFrame, specs: list[S.TableSpec], root: str, checkpoint: str) -> StreamingQuery:
-    """Messages to bronze tables."""
+def _start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def stream_bronze(messages: DataFrame, specs: list[S.TableSpec], root: str, checkpoint: str,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Messages to bronze tables. Each table reads the messages of its own topic from the source."""
     def batch(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()
-        try:
-            ingest_messages(df, specs, root)
-        finally:
-            df.unpersist()
+        ingest_messages(df, specs, root)
 
-    return (messages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return _start(messages.writeStream.foreachBatch(batch), checkpoint, trigger)
 
 
 def bronze_stream(spark: SparkSession, root: str, spec: S.TableSpec, files_per_batch: int | None = None) -> DataFrame:
@@ -67,27 +77,43 @@ def bronze_stream(spark: SparkSession, root: str, spec: S.TableSpec, files_per_b
     return reader.parquet(bronze_path(root, spec))
 
 
-def stream_silver(events: DataFrame, table: str, spec: S.TableSpec, checkpoint: str,
-                  buckets: int = 16) -> StreamingQuery:
-    """Bronze rows merged into a published mirror, one version per batch."""
+def stream_silver(events: DataFrame, table: str, spec: S.TableSpec, checkpoint: str, buckets: int = 16,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Bronze rows merged into a stored mirror. A batch that is repeated after a failure changes nothing more."""
     def batch(df: DataFrame, batch_id: int) -> None:
-        merge_into_mirror(df, table, spec, buckets, run_key=f"{checkpoint}#{batch_id}")
+        merge_into_mirror(df, table, spec, buckets)
 
-    return (events.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return _start(events.writeStream.foreachBatch(batch), checkpoint, trigger)
 
 
 def trip_stream(spark: SparkSession, path: str, schema: T.StructType = S.TRIP_EVENT,
                 files_per_batch: int | None = None) -> DataFrame:
-    """Trip events from a growing folder of JSON lines."""
-    reader = spark.readStream.schema(schema)
+    """Trip events from a growing folder of JSON lines; a line that is none comes with its text and a reason."""
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
+    return from_events(reader.text(path), schema, rejects=True)
 
 
-def stream_trips(trips: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def stream_trips(trips: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Trip events to bronze Parquet, each exactly once."""
-    return (trips.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", checkpoint).option("path", path)
-            .trigger(availableNow=True).start())
+    writer = trips.writeStream.format("parquet").outputMode("append").option("path", path)
+    return _start(writer, checkpoint, trigger)
+
+
+def bronze_trip_stream(spark: SparkSession, path: str, schema: T.StructType = S.TRIP_EVENT) -> DataFrame:
+    """Streamed bronze trips as they are appended, without the lines that were no trips."""
+    columns = T.StructType([*schema.fields, T.StructField(REJECT_REASON, T.StringType())])
+    return spark.readStream.schema(columns).parquet(path).filter(F.col(REJECT_REASON).isNull()).drop(REJECT_REASON)
+
+
+def stream_trips_silver(trips: DataFrame, zones: DataFrame, path: str, checkpoint: str,
+                        trigger: dict | None = None) -> StreamingQuery:
+    """Bronze trips, cleaned and with zone names, appended to silver by day of pickup.
+
+    ``trip_id`` is the content's fingerprint, as a stream has no other that stays the same when a batch is repeated.
+    """
+    clean = enrich_zones(clean_trips(assign_ids(trips, "hash")), zones)
+    writer = (clean.withColumn("pickup_date", F.to_date("tpep_pickup_datetime")).writeStream.format("parquet")
+              .outputMode("append").partitionBy("pickup_date").option("path", path))
+    return _start(writer, checkpoint, trigger)
