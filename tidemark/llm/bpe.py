@@ -14,7 +14,6 @@ import hashlib
 import json
 import re
 import struct
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +21,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from tidemark.llm.common import column, map_batches
+from tidemark.llm.common import column, map_batches, pick
 
 #: Words whose codes a worker keeps; the table starts over when it is full.
 KEPT_WORDS = 400_000
@@ -31,6 +31,8 @@ _POSITIONS = 1 << 32
 _NONE = 1 << 62
 #: Python's str.split also splits at these, which Unicode does not class as white space.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+# Fixed value: how the vocabulary splits words of ASCII into pieces.
+_ASCII_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _WHITE = regex.compile(r"\p{White_Space}+")
 
 
@@ -117,8 +119,9 @@ class Codec:
         self.last = [vocabulary[c + self.end] for c in names]
         merges = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         self.merges = Merges([(vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in merges])
-        split = parsed["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.pieces = regex.compile(split.replace(r"[^\s", r"[^\p{White_Space}"))
+        # Beyond ASCII, the definition's own normaliser and splitter decide: Unicode tables differ between libraries.
+        defined = Tokenizer.from_str(definition)
+        self.normal, self.splitter = defined.normalizer, defined.pre_tokenizer[0]
         self.known_pieces: dict[str, bytes] = {}
         self.known_words: dict[str, bytes] = {}
 
@@ -138,8 +141,11 @@ class Codec:
 
     def word(self, text: str) -> bytes:
         """Codes of a text without white space."""
-        plain = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        codes = b"".join(map(self.piece, self.pieces.findall(plain)))
+        if text.isascii():
+            pieces = _ASCII_PIECES.findall(text.lower())
+        else:
+            pieces = [p for p, _ in self.splitter.pre_tokenize_str(self.normal.normalize_str(text))]
+        codes = b"".join(map(self.piece, pieces))
         if len(self.known_words) >= KEPT_WORDS:
             self.known_words.clear()
         if len(text) <= 64:
@@ -189,14 +195,14 @@ def transcode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(definition)
         for batch in batches:
-            ids = [coder.encode(t) if t else b"" for t in column(batch, text).to_pylist()]
+            ids = [coder.encode(t) if t else b"" for t in column(batch, "text").to_pylist()]
             decoded = [coder.decode(i) for i in ids]
             yield pa.RecordBatch.from_arrays(
-                [column(batch, doc_id), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())],
+                [column(batch, "doc_id"), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())],
                 names=["doc_id", "ids", "decoded"])
 
-    kind = docs.select(doc_id).schema[0].dataType.simpleString()
-    return map_batches(docs.select(doc_id, text), run, f"doc_id {kind}, ids binary, decoded string")
+    texts = pick(docs, doc_id=doc_id, text=text)
+    return map_batches(texts, run, f"doc_id {texts.schema[0].dataType.simpleString()}, ids binary, decoded string")
 
 
 def digests(codes: DataFrame) -> DataFrame:

@@ -39,6 +39,20 @@ def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], It
     return df.mapInArrow(function, schema)
 
 
+def pick(df: DataFrame, **columns: str) -> DataFrame:
+    """The columns of exactly these names, renamed to the keywords; others may differ from them only by case."""
+    places = [f"_{i}" for i in range(len(df.columns))]
+    found = {name: places[df.columns.index(source)] for name, source in columns.items()}
+    return df.toDF(*places).select(*[F.col(place).alias(name) for name, place in found.items()])
+
+
+def with_whole_rows(df: DataFrame, **columns: str) -> DataFrame:
+    """``pick``, and all columns of ``df`` together as ``whole``, whatever their names."""
+    places = [f"_{i}" for i in range(len(df.columns))]
+    found = [F.col(places[df.columns.index(source)]).alias(name) for name, source in columns.items()]
+    return df.toDF(*places).select(*found, F.struct(*places).alias("whole"))
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """The column of exactly this name; other columns may differ from it only by case."""
     return batch.column(batch.schema.get_field_index(name))
@@ -48,6 +62,18 @@ def replace_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.Rec
     return batch.set_column(batch.schema.get_field_index(name), batch.schema.field(name), values)
 
 
+def map_whole_rows(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch], dict], Iterator[pa.RecordBatch]],
+                   *columns: str) -> DataFrame:
+    """``mapInArrow`` over all columns that keeps the schema; ``function`` also gets the columns' names in the batches.
+
+    Columns have other names on the way, so that two of ``df`` may differ by case only.
+    """
+    places = [f"_{i}" for i in range(len(df.columns))]
+    named = {c: places[df.columns.index(c)] for c in columns}
+    plain = df.toDF(*places)
+    return map_batches(plain, lambda batches: function(batches, named), plain.schema).toDF(*df.columns)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, and safe from lost executors."""
     return materialize(df, label)

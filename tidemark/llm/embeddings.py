@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column, map_batches, ship, stored
+from tidemark.llm.common import column, map_batches, pick, ship, stored
 from tidemark.llm.graph import components
 
 #: Coordinates in a block, and how many of them make the grid.
@@ -151,8 +151,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, vec_id: str = "
     nothing and are kept; vectors of different sizes do not link. Equal vectors of a label are one node of the join,
     so copies add no pairs. Repeated rows come back as often as given and count once.
     """
-    all_rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector"),
-                              F.col(label).cast("long").alias("label"))
+    all_rows = pick(vectors, vec_id=vec_id, vector=vector, label=label) \
+        .select(F.col("vec_id").cast("long").alias("vec_id"), "vector", F.col("label").cast("long").alias("label"))
     good = all_rows.filter(F.col("vec_id").isNotNull() & usable(F.col("vector"), F.col("label"))).distinct()
     nodes = good.groupBy("label", "vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     nodes = stored(nodes, "vectors")

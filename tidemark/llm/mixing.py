@@ -18,6 +18,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import pick, with_whole_rows
+
 #: Slots in a frame: weights are rounded to multiples of 1 / FRAME.
 FRAME = 1024
 #: Rows in a block.
@@ -114,10 +116,10 @@ def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_RO
     repeated rows too; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    name = F.when(F.col(source).isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), F.col(source).cast("string")))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), name.alias("named"))
-    rows = numbered(rows, "named", "doc_id")
-    counts = {r["named"]: r["rows"] for r in docs.select(name.alias("named")).groupBy("named")
+    name = F.when(F.col("source").isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), F.col("source").cast("string")))
+    named = pick(docs, doc_id=doc_id, source=source).withColumn("named", name)
+    rows = numbered(named, "named", "doc_id")
+    counts = {r["named"]: r["rows"] for r in named.groupBy("named")
               .agg(F.count("*").alias("rows")).collect()}  # a row per source
     blocks = {s: -(-n // block_rows) for s, n in counts.items()}
     given = {f"={s}" if s is not None else "null": float(w) for s, w in (weights or {}).items()}
@@ -157,9 +159,10 @@ def mixed(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_
 
     Rows that share an id come as often as they were given. Rows without id come last.
     """
-    places = mix(docs.filter(F.col(doc_id).isNotNull()), weights, block_rows, frame, doc_id, source)
+    rows = with_whole_rows(docs, mixed_id=doc_id, source=source)
+    places = mix(rows.filter("mixed_id is not null"), weights, block_rows, frame, "mixed_id", "source")
     places = places.groupBy("doc_id").agg(F.min("position").alias("position")) \
         .withColumnsRenamed({"doc_id": "mixed_id", "position": "mixed_at"})
-    whole = docs.select(F.col(doc_id).alias("mixed_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
-    return whole.join(places, "mixed_id", "left").repartitionByRange(F.col("mixed_at").asc_nulls_last()) \
-        .sortWithinPartitions(F.col("mixed_at").asc_nulls_last(), "mixed_id").select("whole.*")
+    return rows.join(places, "mixed_id", "left").repartitionByRange(F.col("mixed_at").asc_nulls_last()) \
+        .sortWithinPartitions(F.col("mixed_at").asc_nulls_last(), "mixed_id").select("whole.*") \
+        .toDF(*docs.columns)

@@ -51,5 +51,18 @@ FROM counted WHERE NOT copy GROUP BY ALL
 """
 
 
+_EMBEDDINGS = """
+WITH RECURSIVE links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.93
+), reached AS (
+    SELECT vec_id AS v, vec_id AS c FROM embeddings
+    UNION SELECT links.b, reached.c FROM reached JOIN links ON links.a = reached.v
+)
+SELECT v AS vec_id, (SELECT count(*) FROM links WHERE a = v)::BIGINT AS n_links, min(c) AS component_id, v = min(c) AS kept
+FROM reached GROUP BY v
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality": _QUALITY, "op4_token_counts": _TOKEN_COUNTS}
+    return {"op2_embeddings": _EMBEDDINGS, "op3_quality": _QUALITY, "op4_token_counts": _TOKEN_COUNTS}

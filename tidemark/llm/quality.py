@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import pick
+
 # White space between words, symbols, and frequent words of four languages.
 _WHITE = r"[\x20\x09-\x0D]+"
 _WHITE_CHARS = " \t\n\x0b\f\r"
@@ -64,11 +66,11 @@ def counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
     A NULL text has no words and counts as empty.
     """
-    whole = F.coalesce(F.col(text), F.lit(""))
+    whole = F.coalesce(F.col("text"), F.lit(""))
     inner = F.trim(whole, F.lit(_WHITE_CHARS))
     words = F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, _WHITE))
     lines = F.filter(F.split(whole, "\n"), lambda line: F.trim(line, F.lit(_WHITE_CHARS)) != "")
-    split = docs.select(F.col(doc_id).alias("doc_id"), whole.alias("whole"), words.alias("words"), lines.alias("lines"))
+    split = pick(docs, doc_id=doc_id, text=text).select("doc_id", whole.alias("whole"), words.alias("words"), lines.alias("lines"))
     word, line = F.col("words"), F.col("lines")
     length = F.length("whole")
 

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column, map_batches, replace_column
+from tidemark.llm.common import column, map_batches, map_whole_rows, pick, replace_column
 
 # The patterns of the base kinds, in the order in which kinds are listed.
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -130,17 +130,18 @@ def find_secrets(docs: DataFrame, rule: EntropyRule = EntropyRule(), doc_id: str
     spans; repeated rows each get theirs. Other columns are not read, whatever their names.
     """
     scanner = Scanner(rule)
-    kind = docs.select(doc_id).schema[0].dataType.simpleString()
+    texts = pick(docs, doc_id=doc_id, text=text)
+    kind = texts.schema[0].dataType.simpleString()
     spans_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans = [[dict(zip(("kind", "start", "end"), s, strict=True)) for s in scanner.spans(t or "")]
-                     for t in column(batch, text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([column(batch, doc_id), pa.array(spans, spans_type)],
+                     for t in column(batch, "text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(spans, spans_type)],
                                              names=["doc_id", "spans"])
 
-    return map_batches(docs.select(doc_id, text), run, f"doc_id {kind}, spans {SPANS}")
+    return map_batches(texts, run, f"doc_id {kind}, spans {SPANS}")
 
 
 def redact(docs: DataFrame, rule: EntropyRule = EntropyRule(), text: str = "text",
@@ -152,19 +153,19 @@ def redact(docs: DataFrame, rule: EntropyRule = EntropyRule(), text: str = "text
     """
     scanner = Scanner(rule)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], named: dict) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            before = column(batch, text)
+            before = column(batch, named[text])
             after = [redacted(t, s) if t and (s := scanner.spans(t)) else t for t in before.to_pylist()]
             values = pa.array(after, before.type)
             if length is not None:
-                kept = column(batch, length)
+                kept = column(batch, named[length])
                 changed = pc.fill_null(pc.not_equal(values, before), False)
                 lengths = pc.cast(pc.utf8_length(values), kept.type)
-                batch = replace_column(batch, length, pc.if_else(changed, lengths, kept))
-            yield replace_column(batch, text, values)
+                batch = replace_column(batch, named[length], pc.if_else(changed, lengths, kept))
+            yield replace_column(batch, named[text], values)
 
-    return map_batches(docs, run, docs.schema)
+    return map_whole_rows(docs, run, text, *([] if length is None else [length]))
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column, map_batches, stored
+from tidemark.llm.common import column, map_batches, pick, stored, with_whole_rows
 from tidemark.llm.graph import components
 
 BITS = 64
@@ -53,12 +53,12 @@ def fingerprints(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(t, shingle) for t in column(batch, text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([column(batch, doc_id), pa.array(values, pa.int64())],
+            values = [fingerprint(t, shingle) for t in column(batch, "text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(values, pa.int64())],
                                              names=["doc_id", "fingerprint"])
 
-    return map_batches(docs.select(F.col(doc_id).cast("long").alias(doc_id), text), run,
-                       "doc_id bigint, fingerprint bigint")
+    texts = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return map_batches(texts, run, "doc_id bigint, fingerprint bigint")
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
@@ -72,6 +72,12 @@ def _part(value, at: tuple[int, int]):
     return F.shiftrightunsigned(value, at[0]).bitwiseAND(F.lit((1 << at[1]) - 1).cast("long"))
 
 
+def _spread(number: int) -> int:
+    """A signed 64-bit value that is far from those of other small numbers."""
+    value = number * 0x9E3779B97F4A7C15 & (1 << 64) - 1
+    return value - (1 << 64) if value >> 63 else value
+
+
 def close_pairs(prints: DataFrame, distance: int) -> DataFrame:
     """Pairs (a, b) of ids, a < b, whose different fingerprints differ in at most ``distance`` bits.
 
@@ -84,11 +90,11 @@ def close_pairs(prints: DataFrame, distance: int) -> DataFrame:
     for i, first in enumerate(ring):
         value = F.col("fingerprint")
         second = ring[(i + 1) % count]
-        head = F.lit(i << (first[1] + second[1])).cast("long") + F.shiftleft(_part(value, first), second[1])
-        key = head + _part(value, second)
-        exact.append(key)
+        # Rows of different segments that get the same key are told apart by the chain below.
+        head = F.shiftleft(_part(value, first), second[1]).bitwiseXOR(F.lit(_spread(i)).cast("long"))
+        exact.append(head.bitwiseXOR(_part(value, second)))
         tail = _part(value, second)
-        near += [head + tail.bitwiseXOR(F.lit(mask).cast("long")) for mask in (0, *(1 << bit for bit in range(second[1])))]
+        near += [head.bitwiseXOR(tail).bitwiseXOR(F.lit(mask).cast("long")) for mask in (0, *(1 << bit for bit in range(second[1])))]
     left = prints.select(F.col("id").alias("a"), F.col("fingerprint").alias("x"),
                          F.posexplode(F.array(*exact)).alias("start", "key"))
     right = prints.select(F.col("id").alias("b"), F.col("fingerprint").alias("y"),
@@ -144,8 +150,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, doc_id: str =
     """
     found = near_duplicates(docs, shingle, distance, doc_id, text)
     kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("kept_id"), whole.alias("whole"))
-    rows = rows.join(kept, "kept_id").withColumn("at", F.expr(
-        f"row_number() over (partition by kept_id order by whole.`{text}` nulls last)")).filter("at = 1")
-    return rows.select("whole.*").union(docs.filter(F.col(doc_id).isNull()))
+    rows = with_whole_rows(docs, kept_id=doc_id, text=text).withColumn("kept_id", F.col("kept_id").cast("long"))
+    chosen = rows.filter("kept_id is not null").join(kept, "kept_id").withColumn("at", F.expr(
+        "row_number() over (partition by kept_id order by text nulls last)")).filter("at = 1")
+    return chosen.select("whole.*").union(rows.filter("kept_id is null").select("whole.*")).toDF(*docs.columns)

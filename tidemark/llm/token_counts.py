@@ -12,7 +12,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import pick, stored
 from tidemark.session import scratch_dir
 
 GROUP = ("source", "lang", "tokenizer")
@@ -71,6 +71,7 @@ def history(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
+    docs = pick(docs, **{c: c for c in ("doc_id", "source", "lang", "text")})
     counted = stored(docs.select("doc_id", "source", "lang", number_of(F.col("text"), WORDS).alias("words"),
                                  number_of(F.col("text"), PIECES).alias("pieces"),
                                  F.sha2(text.cast("binary"), 256).alias("digest")), "token-counts")

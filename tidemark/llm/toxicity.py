@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column, map_batches, stored
+from tidemark.llm.common import column, map_batches, map_whole_rows, pick, stored
 
 #: Labelled documents per class from which a model is fitted, those of smallest hash.
 SAMPLE_PER_CLASS = 3000
@@ -215,14 +215,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_
 
     Documents whose crc32(doc_id) is 0 modulo 5 are held out. Of several labels of a document the greatest counts.
     """
-    known = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")) \
+    known = pick(labels, doc_id="doc_id", toxic="toxic").filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")) \
         .filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
     chosen = None
     for value in (0, 1):
         part = known.filter(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.union(part)
     # At most 2 * per_class rows, whatever the size of the tables.
-    return stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
+    return stored(pick(docs, doc_id="doc_id", text="text").join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
 
 
 def _terms_of(text: str) -> set[str]:
@@ -312,7 +312,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
                                              names=["toxic", "features"])
 
     rows = map_batches(sample.select(F.col("toxic").cast("int"), "text"), run, "toxic int, features array<double>").collect()
-    shares = labels.filter("doc_id is not null and toxic in (0, 1)") \
+    shares = pick(labels, doc_id="doc_id", toxic="toxic").filter("doc_id is not null and toxic in (0, 1)") \
         .filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0) \
         .agg(F.sum("toxic").alias("bad"), F.count("*").alias("all")).head()
     bad, total = shares["bad"] or 0, shares["all"] or 0
@@ -357,17 +357,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(values, pa.float64())],
                                              names=["doc_id", "score"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run,
-                       "doc_id bigint, score double")
+    texts = pick(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return map_batches(texts, run, "doc_id bigint, score double")
 
 
 def reject_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more; all columns stay."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], named: dict) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            keep = [scorer.score(t) < threshold for t in column(batch, "text").to_pylist()]
+            keep = [scorer.score(t) < threshold for t in column(batch, named["text"]).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return map_batches(docs, run, docs.schema)
+    return map_whole_rows(docs, run, "text")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column, map_batches
+from tidemark.llm.common import column, map_batches, pick
 
 #: Words of the unigram model, and words of the Bayes model, at most: the most frequent.
 MOST_WORDS = 50_000
@@ -185,11 +185,12 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...], page_id: str = "page_id", u
     without ://, has an empty host and path, fits no rule, and is allowed as there is nothing to score. Repeated rows
     are judged each; other columns are not read.
     """
-    host, path = host_of(F.col(url)), path_of(F.col(url))
-    located = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path")) \
+    host, path = host_of(F.col("url")), path_of(F.col("url"))
+    pages = pick(pages, page_id=page_id, url=url, html=text)
+    located = pages.select("page_id", host.alias("host"), path.alias("path")) \
         .withColumn("rule", matched(rules, F.col("host"), F.col("path"), lambda r: r.text)) \
         .withColumn("ruled", matched(rules, F.col("host"), F.col("path"), lambda r: r.verdict))
-    segmenter = Segmenter(page_words(pages, text))
+    segmenter = Segmenter(page_words(pages, "html"))
     model = learn(located, segmenter, words_of_rules(rules))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
