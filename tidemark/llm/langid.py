@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column, map_batches, stored
+from tidemark.llm.common import column, map_batches, pick, stored
 
 #: Documents per language, of smallest hash, whose sentences are looked at for a sample.
 SAMPLE_DOCS = 1000
@@ -29,7 +29,7 @@ SAMPLE_CHAINS = 1000
 #: Words in a chain; a longer sentence goes on as another chain.
 CHAIN = 64
 UNKNOWN = "und"
-_KEPT_WORDS = 250_000
+_KEPT_WORDS = 500_000
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -37,9 +37,10 @@ _LETTER = re.compile(r"[^\W\d_]")
 def features(word: str) -> list[str]:
     """Affixes, letter n-grams and the word itself, each marked with its kind."""
     shown = f"^{word}$"
-    found = [f"w{word}"] if len(word) <= 12 else []
-    found += [f"p{word[:n]}" for n in (2, 3) if len(word) >= n] + [f"s{word[-n:]}" for n in (2, 3) if len(word) >= n]
-    found += [shown[i:i + n] for n in (1, 2, 3) for i in range(1 if n == 1 else 0, len(shown) - n + (n > 1))]
+    found = [f"p{word[:2]}", f"p{word[:3]}", f"s{word[-2:]}", f"s{word[-3:]}"]
+    found += [shown[i:i + 3] for i in range(len(shown) - 2)]
+    if len(word) <= 12:
+        found.append(f"w{word}")
     return found
 
 
@@ -110,7 +111,7 @@ def marginals(scores: np.ndarray, moves: np.ndarray, lengths: np.ndarray) -> tup
 
 def sample_chains(docs: DataFrame, per_language: int = SAMPLE_CHAINS, docs_per_language: int = SAMPLE_DOCS) -> DataFrame:
     """(lang, words) of a bounded sample of sentences; documents whose crc32(doc_id) is 1 modulo 3 are held out."""
-    known = docs.filter("doc_id is not null and lang is not null and text is not null") \
+    known = pick(docs, doc_id="doc_id", lang="lang", text="text").filter("doc_id is not null and lang is not null and text is not null") \
         .filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
     # Ranks documents without their texts; each task passes on the first few per language only.
     ranked = known.select("doc_id", "lang").withColumn("at", F.expr(
@@ -144,7 +145,10 @@ def fit(docs: DataFrame, rounds: int = 12, per_language: int = SAMPLE_CHAINS) ->
     words = [w for r in rows for w in r["words"]]
     types, codes = np.unique(np.array(words, dtype=object).astype(str), return_inverse=True) if words else ([], [])
     found = [features(t) for t in types]
-    counts = Counter(f for fs in found for f in fs)
+    counts = Counter()
+    for fs, times in zip(found, np.bincount(codes).tolist() if words else [], strict=True):
+        for f in fs:
+            counts[f] += times
     kept = sorted(f for f, n in counts.items() if n >= 3)
     index = {f: i for i, f in enumerate(kept)}
     weights = np.zeros((len(index) + 1, len(languages)))
@@ -177,54 +181,85 @@ def fit(docs: DataFrame, rounds: int = 12, per_language: int = SAMPLE_CHAINS) ->
     return Model(languages, index, weights, moves)
 
 
+class _Codes(dict):
+    """Codes of words; one that is missing is worked out, and kept unless it is very long."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: str) -> int:
+        code = self.learn(word)
+        if len(word) <= 64:
+            self[word] = code
+        return code
+
+
 class Labeller:
-    """Applies a model to texts; scores of words seen are kept, up to a bound."""
+    """Applies a model to texts; scores of words seen are kept, up to a bound.
+
+    ``codes`` has twice the row of a word's scores, plus one if the word ends a sentence. Row 0 is for words without
+    letters, which are in no chain.
+    """
 
     def __init__(self, model: Model):
-        self.model, self.codes = model, {}
-        self.scores = np.zeros((1024, len(model.languages)))
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes = _Codes(self._learn)
+        self.rows = {"": 0}
+        self.scores = np.zeros((1, len(self.model.languages)))
+        self.pending: list[list[int]] = []
 
     def _learn(self, word: str) -> int:
-        """Row of a word's scores; -1 for a word without letters."""
         shown = plain(word)
-        if not shown:
-            code = -1
-        else:
-            model = self.model
-            rows = [r for f in features(shown) if (r := model.index.get(f)) is not None] or [len(model.index)]
-            code = self.used
-            if code == len(self.scores):
-                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.scores[code] = model.weights[rows].sum(axis=0)
-            self.used += 1
-        self.codes[word] = code
-        return code
-
-    used = 0
+        row = self.rows.get(shown)
+        if row is None:
+            index = self.model.index
+            known = [r for f in features(shown) if (r := index.get(f)) is not None]
+            row = self.rows[shown] = len(self.rows)
+            self.pending.append(known or [len(index)])
+        return 2 * row + (word[-1] in ".!?")
+
+    def _score_pending(self) -> None:
+        """Scores of all words that were new, in one go."""
+        if self.pending:
+            sizes = np.array([len(p) for p in self.pending])
+            flat = np.fromiter((r for p in self.pending for r in p), dtype=np.int64, count=int(sizes.sum()))
+            sums = np.add.reduceat(self.model.weights[flat], np.cumsum(sizes) - sizes, axis=0)
+            self.scores = np.concatenate([self.scores, sums])
+            self.pending = []
 
     def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities of all words with letters of ``texts``, and how many of them each text has."""
         if len(self.codes) > _KEPT_WORDS:
-            self.codes, self.used = {}, 0
-        known, learn = self.codes.get, self._learn
-        codes, lengths, sizes = [], [], []
+            self._forget()
+        look_up = self.codes.__getitem__
+        codes: list[int] = []
+        line_ends, text_ends = [], []
         for text in texts:
-            before = len(codes)
-            for chain in sentences(text):
-                at = len(codes)
-                for word in chain:
-                    code = known(word)
-                    if code is None:
-                        code = learn(word)
-                    if code >= 0:
-                        codes.append(code)
-                if len(codes) > at:
-                    lengths.append(len(codes) - at)
-            sizes.append(len(codes) - before)
-        if not codes:
-            return np.zeros((0, len(self.model.languages))), np.array(sizes)
-        given, _ = marginals(self.scores[np.array(codes)], self.model.moves, np.array(lengths))
-        return given, np.array(sizes)
+            for line in text.split("\n"):
+                codes.extend(map(look_up, line.split()))
+                line_ends.append(len(codes))
+            text_ends.append(len(codes))
+        self._score_pending()
+        coded = np.array(codes, dtype=np.int64)
+        breaks = np.zeros(len(coded) + 1, dtype=np.int64)  # how many chains end before a word
+        breaks[1:] = coded & 1
+        breaks[line_ends] = 1
+        rows, sentence = coded >> 1, np.cumsum(breaks)[:-1]
+        kept = rows > 0
+        totals = np.concatenate([[0], np.cumsum(kept)])
+        sizes = np.diff(totals[np.concatenate([[0], text_ends])])
+        rows, sentence = rows[kept], sentence[kept]
+        if not len(rows):
+            return np.zeros((0, len(self.model.languages))), sizes
+        first = np.flatnonzero(np.concatenate([[True], np.diff(sentence) != 0]))
+        within = np.arange(len(rows)) - np.repeat(first, np.diff(np.append(first, len(rows))))
+        starts = np.flatnonzero(within % CHAIN == 0)
+        given, _ = marginals(self.scores[rows], self.model.moves, np.diff(np.append(starts, len(rows))))
+        return given, sizes
 
     def languages(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, mean probability) of each text; ``und`` and 0 if it has no letter or the model no language."""
@@ -255,11 +290,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             found = []
             texts = column(batch, "text").to_pylist()
-            for at in range(0, len(texts), 64):
-                found += labeller.languages(texts[at:at + 64])
+            for at in range(0, len(texts), 128):
+                found += labeller.languages(texts[at:at + 128])
             yield pa.RecordBatch.from_arrays(
                 [column(batch, "doc_id"), pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run,
-                       "doc_id bigint, lang_pred string, score double")
+    texts = pick(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return map_batches(texts, run, "doc_id bigint, lang_pred string, score double")
