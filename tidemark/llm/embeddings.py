@@ -28,6 +28,8 @@ BLOCK, GRID = 8, 2
 #: Rows of a cell that a task compares with as many others.
 CHUNK = 2048
 _SLACK = 1e-9
+# Candidates are found with short floats; what these may be off by is allowed for, the cosine decides.
+_SHORT_SLACK = 1e-5
 
 
 def rotation(size: int) -> np.ndarray:
@@ -42,6 +44,14 @@ def blocks_of(size: int) -> list[slice]:
     return [slice(a, b) for a, b in itertools.pairwise(edges)]
 
 
+def _mixed(cells: np.ndarray) -> np.ndarray:
+    """One number per cell. Cells that share one are merely compared with each other."""
+    out = np.zeros(len(cells), dtype=np.int64)
+    for axis in range(cells.shape[1]):
+        out = out * 1_000_003 + cells[:, axis]
+    return out
+
+
 def usable(vector, label):
     """Condition: a label, and a vector of finite components that are not all zero."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -66,7 +76,7 @@ def placed(vectors: DataFrame, threshold: float) -> DataFrame:
                 reach = math.sqrt(budget / len(cuts)) + _SLACK
                 for number, cut in enumerate(cuts):
                     part = np.ascontiguousarray(matrix[:, cut])
-                    lead = part[:, :GRID]
+                    lead, short = part[:, :GRID], part.astype(np.float32)
                     cell = np.floor(lead / reach).astype(np.int64)
                     inside = lead / reach - cell
                     for move in itertools.product((-1, 0, 1), repeat=lead.shape[1]):
@@ -81,13 +91,13 @@ def placed(vectors: DataFrame, threshold: float) -> DataFrame:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(labels[chosen][near], pa.int64()), pa.array(np.full(len(near), size), pa.int32()),
                              pa.array(np.full(len(near), number), pa.int32()),
-                             pa.array([",".join(map(str, c)) for c in cells.tolist()], pa.string()),
+                             pa.array(_mixed(cells), pa.int64()),
                              pa.array(ids[chosen][near], pa.int64()),
                              pa.array(np.full(len(near), not any(move)), pa.bool_()),
-                             pa.array([p.tobytes() for p in part[near]], pa.binary())],
+                             pa.array([p.tobytes() for p in short[near]], pa.binary())],
                             names=["label", "size", "block", "cell", "id", "home", "at"])
 
-    return map_batches(vectors, run, "label bigint, size int, block int, cell string, id bigint, home boolean, at binary")
+    return map_batches(vectors, run, "label bigint, size int, block int, cell bigint, id bigint, home boolean, at binary")
 
 
 def candidates(vectors: DataFrame, threshold: float, chunk: int = CHUNK) -> DataFrame:
@@ -105,10 +115,10 @@ def candidates(vectors: DataFrame, threshold: float, chunk: int = CHUNK) -> Data
 
     def compare(table: pa.Table) -> pa.Table:
         size = table.column("size")[0].as_py()
-        reach = budget / len(blocks_of(size)) + _SLACK
+        reach = budget / len(blocks_of(size)) + _SHORT_SLACK
         ids = table.column("id").to_numpy()
         home = table.column("home").to_numpy()
-        points = np.frombuffer(b"".join(table.column("at").to_pylist()), dtype=np.float64).reshape(len(ids), -1)
+        points = np.frombuffer(b"".join(table.column("at").to_pylist()), dtype=np.float32).astype(np.float64).reshape(len(ids), -1)
         second = table.column("second").to_numpy()
         one = table.column("i")[0].as_py() == table.column("j")[0].as_py()
         pairs = []
