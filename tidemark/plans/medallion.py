@@ -17,7 +17,7 @@ from tidemark.operators.tips import (
 from tidemark.operators.trips import clean_trips, enrich_zones
 from tidemark.sinks.mirrors import merge_into_mirror, read_mirror, rebuild_mirror
 from tidemark.sinks.runs import list_runs, load_offsets, return_to, save_run
-from tidemark.sinks.tables import replace_table
+from tidemark.sinks.tables import replace_table, write_run
 from tidemark.sources.event_log import (
     Offsets, complete_start, per_partition, read_event_log, read_kafka, read_offsets)
 from tidemark.sources.files import read_if_present
@@ -142,12 +142,28 @@ def return_to_run(spark: SparkSession, layout: Layout, specs: list[S.TableSpec],
 
 
 def refresh_trips(spark: SparkSession, trips: DataFrame, zones: DataFrame, layout: Layout,
-                  id_mode: str = "fast", id_keys: list[str] | None = None) -> None:
-    """Trips to bronze with ids, then cleaned and enriched to silver by day of pickup."""
-    replace_table(assign_ids(trips, id_mode, id_keys), layout.trips("bronze"))
-    bronze = spark.read.parquet(layout.trips("bronze"))
-    silver = enrich_zones(clean_trips(bronze), zones).withColumn("pickup_date", F.to_date("tpep_pickup_datetime"))
-    replace_table(silver.hint("rebalance", "pickup_date"), layout.trips("silver"), ["pickup_date"])
+                  id_mode: str = "fast", id_keys: list[str] | None = None, batch: str | None = None) -> None:
+    """Trips to bronze with ids, then cleaned and enriched to silver.
+
+    Without ``batch`` both tables are replaced, silver by day of pickup. With it, the trips are those of one batch, such
+    as a month: they are added, or replace what that batch brought before, and other batches are not touched. Their
+    ids go on above those of the other batches.
+    """
+    bronze_path, silver_path = layout.trips("bronze"), layout.trips("silver")
+    if batch is None:
+        replace_table(assign_ids(trips, id_mode, id_keys), bronze_path)
+        silver = enrich_zones(clean_trips(spark.read.parquet(bronze_path)), zones)
+        silver = silver.withColumn("pickup_date", F.to_date("tpep_pickup_datetime"))
+        replace_table(silver.hint("rebalance", "pickup_date"), silver_path, ["pickup_date"])
+        return
+    stored = read_if_present(spark, bronze_path)
+    last = None if stored is None else stored.filter(F.col("batch").cast("string") != batch).agg(F.max("trip_id").alias("n")).head().n
+    numbered = assign_ids(trips, id_mode, id_keys)
+    if id_mode != "hash":
+        numbered = numbered.withColumn("trip_id", F.col("trip_id") + F.lit(0 if last is None else last + 1))
+    write_run(numbered, bronze_path, "batch", batch)
+    bronze = spark.read.parquet(f"{bronze_path}/batch={batch}")
+    write_run(enrich_zones(clean_trips(bronze), zones), silver_path, "batch", batch)
 
 
 def refresh_gold(spark: SparkSession, layout: Layout, drivers: S.TableSpec = S.DRIVERS, mode: str = "id") -> None:

@@ -323,6 +323,7 @@ SELECT 'rows' AS layer, 2 * count(*) AS rows FROM trips UNION ALL SELECT 'ids',
 UNION ALL SELECT 'ids_in_any_order', count(*) FROM trips"""),
         "ids_fast": _with_trips("SELECT 2 * count(*) AS rows, 2 * count(*) AS ids FROM trips"),
         "layer_counts": _with_trips(_counts("layer", bronze="trips", silver="silver")),
+        "trips_appended": _with_trips(_counts("layer", bronze="trips", ids="trips", silver="silver")),
         "tips_behavior": _with_trips(
             f"SELECT {_BEHAVIOR_COLUMNS}, high_tip_common_payment_type, trips_count FROM behavior", _BEHAVIOR),
         "tips_mode_payment": _with_trips("SELECT * FROM modes", _MODES),

@@ -13,7 +13,7 @@ from tidemark.operators import changelog as C, envelope as E, offsets as O, qual
 from tidemark.functions.values import typed_value
 from tidemark.operators.ids import assign_ids
 from tidemark.plans import testbed as B
-from tidemark.plans.medallion import Layout, backfill, file_log, refresh_changes, run_medallion
+from tidemark.plans.medallion import Layout, backfill, file_log, refresh_changes, refresh_trips, run_medallion
 from tidemark.plans.testbed import USERS
 from tidemark.session import scratch_dir
 from tidemark.sinks import messages as M, mirrors as V, runs as U
@@ -618,6 +618,16 @@ def medallion_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
         gold_tip_rankings=read(layout.gold("tip_rankings")))
 
 
+def trips_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips that come in two batches, the second of them twice: rows, ids and clean rows."""
+    layout, zones = Layout(scratch_dir(spark, "lake")), B.zones(spark, sf_dir)
+    trips, early = B.trips(spark, sf_dir).drop("trip_id"), F.col("tpep_pickup_datetime") < "2024-01-15"
+    for batch, part in (("1", trips.filter(early)), ("2", trips.filter(~early)), ("2", trips.filter(~early))):
+        refresh_trips(spark, part, zones, layout, batch=batch)
+    bronze = spark.read.parquet(layout.trips("bronze"))
+    return Q.layer_counts(bronze=bronze, ids=bronze.select("trip_id").distinct(), silver=spark.read.parquet(layout.trips("silver")))
+
+
 ALL: tuple[Query, ...] = (
     cdc_parse_envelope, cdc_route_counts, cdc_undeclared_table, cdc_quarantine, cdc_quarantined_bronze, cdc_all_accounted,
     cdc_batches_two_partitions, cdc_decimal_widths, cdc_wide_topic, cdc_string_keys, cdc_incremental_run, cdc_new_table_later,
@@ -626,7 +636,7 @@ ALL: tuple[Query, ...] = (
     cdc_state_as_of, cdc_state_as_of_offsets, cdc_deleted_keys, cdc_resurrected_keys, cdc_offset_order,
     cdc_run_summary, cdc_snapshot_diff, cdc_diff_applied, cdc_pending_offsets, cdc_offset_range,
     cdc_checkpoint_batches, cdc_reconcile, cdc_row_diff, cdc_schema_evolution, cdc_reparse,
-    trips_clean, trips_rejects, trips_enriched, trips_events_roundtrip, trips_event_text, trips_bad_lines, ids_dense, ids_hash,
+    trips_clean, trips_rejects, trips_enriched, trips_events_roundtrip, trips_event_text, trips_bad_lines, trips_appended, ids_dense, ids_hash,
     ids_fast, layer_counts,
     tips_behavior, tips_mode_payment, tips_rankings, tips_rankings_overlap, tips_rankings_both,
     tips_best_zone_hour, tips_top15, tips_top20, tips_best_hour, tips_driver_report, tips_driver_report_dense,
