@@ -33,7 +33,7 @@ WITH texts AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND coalesce(word_chars BETWEEN 2 * n_words AND 15 * n_words AND 10 * n_symbols <= n_words
-        AND n_stop_words >= 2 AND 10 * n_letter_words >= 7 * n_words AND 10 * n_dup_lines <= 3 * n_lines
+        AND n_stop_words >= 2 AND 10 * n_letter_words >= 7 * n_words AND 2 * n_dup_lines <= n_lines
         AND 10 * n_bullet_lines <= 9 * n_lines AND 10 * n_ellipsis_lines <= 3 * n_lines, false) AS kept
 FROM judged
 """.replace("{stop}", ", ".join(f"'{w}'" for w in STOP_WORDS))

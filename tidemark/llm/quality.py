@@ -37,7 +37,7 @@ RULES = (
     Rule("symbols_per_word", "n_symbols / n_words", None, 0.1),
     Rule("stop_words", "n_stop_words", 2, None),
     Rule("words_with_letter", "n_letter_words / n_words", 0.7, None),
-    Rule("repeated_lines", "n_dup_lines / n_lines", None, 0.3),
+    Rule("repeated_lines", "n_dup_lines / n_lines", None, 0.5),
     Rule("bullet_lines", "n_bullet_lines / n_lines", None, 0.9),
     Rule("cut_off_lines", "n_ellipsis_lines / n_lines", None, 0.3),
 )
