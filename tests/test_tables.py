@@ -138,6 +138,18 @@ def test_absent_files(spark, where):
         read_dimension(spark, where)
 
 
+def test_scratch_copies_can_be_cleared(spark):
+    import os
+
+    from tidemark.session import clear_scratch, materialize
+
+    clear_scratch(spark)
+    copy = materialize(spark.range(5), "copy")
+    path = copy.inputFiles()[0].removeprefix("file://")
+    assert copy.count() == 5 and os.path.exists(path)
+    assert clear_scratch(spark) == 1 and not os.path.exists(path) and clear_scratch(spark) == 0
+
+
 def test_shared_root():
     """The folder the cluster names wins; only local mode may do without one."""
     class Session:

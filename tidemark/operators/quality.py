@@ -20,11 +20,17 @@ def assert_counts(source: DataFrame, mirror: DataFrame, tolerance: int = 0) -> t
 
 
 def reconcile(source: DataFrame, mirror: DataFrame, key: str) -> DataFrame:
-    """One row per key that differs: missing in the mirror, extra in it, or changed, with both sides."""
+    """One row per key that differs: missing in the mirror, extra in it, or changed, with both sides.
+
+    Rows without a key are missing or extra. They stay out of the join, where all of them would meet in one task.
+    """
     names = [c for c in source.columns if c != key]
     left = source.select(key, F.struct(*names).alias("source"))
     right = mirror.select(key, F.struct(*names).alias("mirror"))
-    both = left.join(right, key, "full_outer")
+    known = F.col(key).isNotNull()
+    both = left.filter(known).join(right.filter(known), key, "full_outer")
+    both = both.unionByName(left.filter(~known), allowMissingColumns=True) \
+        .unionByName(right.filter(~known), allowMissingColumns=True)
     changed = F.array_compact(F.array(*[
         F.when(~F.col(f"source.{c}").eqNullSafe(F.col(f"mirror.{c}")), F.lit(c)) for c in names]))
     status = (F.when(F.col("mirror").isNull(), "missing")

@@ -301,6 +301,19 @@ SELECT user_id AS id, event_type, amount, CASE WHEN ts_ms >= {DAY_15} THEN '+1-'
        ts_ms AS updated_ts FROM latest WHERE op <> 'd'""", latest),
         "cdc_reparse": _with_events("""
 SELECT CAST(user_id AS INT) AS id, 'user-' || user_id AS name, ts_ms AS updated_ts FROM latest WHERE op <> 'd'""", latest),
+        "quality_counts": _with_events(
+            "SELECT count(*) + 1 AS source_rows, count(*) AS mirror_rows FROM latest WHERE op <> 'd'", latest),
+        "quality_describe": """
+SELECT CAST(row_number() OVER () - 1 AS INT) AS position, column_name AS "column", map {
+  'BIGINT': 'bigint', 'INTEGER': 'int', 'DOUBLE': 'double', 'VARCHAR': 'string', 'DATE': 'date', 'TIMESTAMP': 'timestamp_ntz'
+}[column_type] AS type FROM (DESCRIBE lineitem)""",
+        "source_trip_files": _with_trips("""
+SELECT count(*) AS trips, count(total_amount) FILTER (WHERE trip_id % 3 <> 0) AS with_total,
+       CAST(sum(passenger_count) AS BIGINT) AS passengers FROM trips"""),
+        "source_lookups": """
+SELECT n_nationkey AS LocationID, upper(n_name) AS Zone, n_name AS source_zone FROM nation WHERE n_nationkey > 3""",
+        "trips_text_times": _with_trips("""
+SELECT trip_id, epoch_us(tpep_pickup_datetime) AS tpep_pickup_datetime, fare_amount FROM silver WHERE trip_id % 50 <> 0"""),
         "trips_clean": _with_trips(f"SELECT {_CLEAN_COLUMNS} FROM silver"),
         "trips_rejects": _with_trips(_rejects()),
         "trips_enriched": _with_trips(f"""

@@ -17,8 +17,10 @@ from tidemark.plans.medallion import Layout, backfill, file_log, refresh_changes
 from tidemark.plans.testbed import USERS
 from tidemark.session import scratch_dir
 from tidemark.sinks import messages as M, mirrors as V, runs as U
-from tidemark.sinks.tables import append_events, replace_table, write_run
+from tidemark.sinks.tables import append_events, replace_from_query, replace_table, write_run
 from tidemark.sources import event_log as L
+from tidemark.sources.files import read_dimension, read_source_table
+from tidemark.sources.trips import read_trips
 from tidemark.streaming import ingest as I
 
 # Columns of a streamed trip that the fixture fills.
@@ -339,9 +341,49 @@ def cdc_reparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of a source and its mirror, which must not differ by more than the source's extra row."""
+    source = C.current_state(B.user_log(spark, sf_dir), USERS)
+    counts = Q.assert_counts(source.unionByName(source.orderBy("id").limit(1)), source, tolerance=1)
+    return spark.createDataFrame([counts], "source_rows long, mirror_rows long")
+
+
+def quality_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.describe(B.table(spark, sf_dir, "lineitem")).select("position", "column", "type")
+
+
+def source_trip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip files of which some have a column that others lack, next to files of another kind."""
+    root = scratch_dir(spark, "files")
+    trips, early = B.trips(spark, sf_dir), F.col("trip_id") % 3 == 0
+    trips.filter(early).drop("total_amount").write.mode("append").parquet(root)
+    trips.filter(~early).write.mode("append").parquet(root)
+    B.zones(spark, sf_dir).write.mode("append").json(root)
+    return read_trips(spark, root, "part-*.parquet").agg(
+        F.count(F.lit(1)).alias("trips"), F.count("total_amount").alias("with_total"), F.sum("passenger_count").alias("passengers"))
+
+
+def source_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced from a query twice, read as a lookup and as a named source."""
+    where = scratch_dir(spark, "lookup") + "/zones"
+    B.zones(spark, sf_dir).createOrReplaceTempView("tidemark_zones")
+    replace_from_query(spark, "SELECT LocationID FROM tidemark_zones", where)
+    replace_from_query(spark, "SELECT LocationID, upper(Zone) AS Zone FROM tidemark_zones WHERE LocationID > 3", where)
+    named = read_source_table(spark, "tidemark_zones").select("LocationID", F.col("Zone").alias("source_zone"))
+    return read_dimension(spark, where).join(named, "LocationID")
+
+
 # Trips
 
 
+def trips_text_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips whose times come as text, some of it unreadable, in a file that spells its columns otherwise."""
+    shown = F.date_format("tpep_pickup_datetime", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    raw = B.trips(spark, sf_dir).withColumn("tpep_pickup_datetime", F.when(F.col("trip_id") % 50 != 0, shown).otherwise("?")) \
+        .withColumnRenamed("fare_amount", "Fare_Amount")
+    return plain(R.clean_trips(raw).select("trip_id", "tpep_pickup_datetime", "fare_amount"))
+
+
 def trips_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(_silver(spark, sf_dir))
 
@@ -636,6 +678,7 @@ ALL: tuple[Query, ...] = (
     cdc_state_as_of, cdc_state_as_of_offsets, cdc_deleted_keys, cdc_resurrected_keys, cdc_offset_order,
     cdc_run_summary, cdc_snapshot_diff, cdc_diff_applied, cdc_pending_offsets, cdc_offset_range,
     cdc_checkpoint_batches, cdc_reconcile, cdc_row_diff, cdc_schema_evolution, cdc_reparse,
+    quality_counts, quality_describe, source_trip_files, source_lookups, trips_text_times,
     trips_clean, trips_rejects, trips_enriched, trips_events_roundtrip, trips_event_text, trips_bad_lines, trips_appended, ids_dense, ids_hash,
     ids_fast, layer_counts,
     tips_behavior, tips_mode_payment, tips_rankings, tips_rankings_overlap, tips_rankings_both,

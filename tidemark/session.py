@@ -56,12 +56,28 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_root(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+_written: list[str] = []
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared area and read it back.
 
     Cuts the lineage with files that outlive any executor, and freezes values that would otherwise
-    be recomputed, such as row positions.
+    be recomputed, such as row positions. The copy stays until :func:`clear_scratch`.
     """
     path = scratch_dir(df.sparkSession, label)
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the copies that this process made with :func:`materialize`; returns how many were still there.
+
+    For the end of a run: frames that read from a copy cannot be used any more.
+    """
+    found = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        found += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return found
