@@ -75,7 +75,7 @@ def test_code_switching(spark, corpus):
 
 def test_batches_and_kept_words_do_not_matter(spark, corpus, monkeypatch):
     model = langid.fit(corpus)
-    texts = [r.text for r in corpus.limit(40).collect()] + ["", None, "1234 !?", "x" * 100_000, "the " * 500]
+    texts = [r.text for r in corpus.limit(40).collect()] + ["", None, "1234 ½² !?", "x" * 100_000, "the " * 500]
     whole = langid.Labeller(model).languages(texts)
     monkeypatch.setattr(langid, "_KEPT_WORDS", 5)
     small = langid.Labeller(model)

@@ -31,7 +31,6 @@ CHAIN = 64
 UNKNOWN = "und"
 _KEPT_WORDS = 500_000
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def features(word: str) -> list[str]:
@@ -56,7 +55,9 @@ class Model:
 
 def plain(word: str) -> str:
     """A word in lower case without its edges of digits and signs; empty if it has no letter."""
-    return _EDGE.sub("", word[:1000].lower()) if _LETTER.search(word) else ""
+    if word.isalpha() or any(map(str.isalpha, word)):
+        return _EDGE.sub("", word.lower())
+    return ""
 
 
 def sentences(text: str) -> list[list[str]]:
