@@ -44,12 +44,12 @@ _BROKEN = {
     "distance_positive": "trip_distance <= 0",
 }
 
-_SILVER = """verdicts AS (SELECT *, list_filter([{broken}], x -> x IS NOT NULL) AS faults FROM trips),
+_SILVER = """verdicts AS (SELECT *, list_filter([{broken}], lambda x: x IS NOT NULL) AS faults FROM trips),
 silver AS (
   SELECT * EXCLUDE (faults), (epoch(date_trunc('second', tpep_dropoff_datetime))
                               - epoch(date_trunc('second', tpep_pickup_datetime))) / 60 AS trip_duration_minutes,
          trip_distance / nullif(greatest(trip_duration_minutes, 0) / 60.0, 0) AS trip_speed_kmh
-  FROM verdicts WHERE len(faults) = 0)""".replace("x -> x", "lambda x: x").format(
+  FROM verdicts WHERE len(faults) = 0)""".format(
     broken=", ".join(f"CASE WHEN {rule} THEN '{name}' END" for name, rule in _BROKEN.items()))
 
 _TIPS = """tips AS (
