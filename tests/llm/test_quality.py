@@ -33,7 +33,7 @@ def test_counts(spark):
 
 
 def test_verdicts(spark):
-    clean = "The word of the day is here and it is that. " * 1 + prose(3, 70)
+    clean = "The word of the day is here and it is that. " + prose(3, 70)
     texts = [clean, " ".join(f"wx{'yz' * (i % 4)}{i}" for i in range(70)), "# " * 40 + clean, "\n".join([prose(9, 6) + " the of"] * 8 + [clean]), clean.replace(" ", " 1234567890 "), None]
     rows = {r.doc_id: r for r in quality.judge(documents(spark, texts)).collect() if r.doc_id is not None}
     assert rows[0].kept and rows[0].broken == []
