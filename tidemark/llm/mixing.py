@@ -24,8 +24,8 @@ from tidemark.llm.common import pick, with_whole_rows
 FRAME = 1024
 #: Rows in a block.
 BLOCK_ROWS = 32
-#: Rows about which a task numbers at once.
-_NUMBERED_ROWS = 100_000
+#: Rows of a slice of a source, which are numbered together, and how many slices there are at least.
+_NUMBERED_ROWS, _LEAST_SLICES = 100_000, 64
 
 
 def whole_slots(weights: dict, frame: int) -> dict:
@@ -93,7 +93,7 @@ def numbered(rows: DataFrame, source: str, key: str) -> DataFrame:
     and slices follow each other.
     """
     total = rows.count()
-    slices = max(1, min(1 << 20, total // _NUMBERED_ROWS + 1))
+    slices = max(_LEAST_SLICES, min(1 << 20, total // _NUMBERED_ROWS + 1))
     sliced = rows.withColumn("slice", F.pmod(F.xxhash64(key), F.lit(slices)))
     counts = sliced.groupBy(source, "slice").agg(F.count("*").alias("rows"))
     first = counts.withColumn("first", F.expr(
