@@ -43,15 +43,16 @@ def test_equals_library_on_any_text(codec, library, text):
 
 def test_merges_against_rescanning():
     """The tree gives what looking at all pairs before each merge gives."""
-    table = bpe.Merges([(1, 1, 3), (1, 2, 4), (3, 1, 5), (4, 4, 6), (2, 1, 7), (5, 2, 8)])
+    ranked = [(1, 1, 3), (1, 2, 4), (3, 1, 5), (4, 4, 6), (2, 1, 7), (5, 2, 8)]
+    table, pairs = bpe.Merges(ranked), {(a, b): (rank, c) for rank, (a, b, c) in enumerate(ranked)}
 
     def slow(symbols):
         while True:
-            found = [(table.pairs[p][0], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in table.pairs]
+            found = [(pairs[p][0], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in pairs]
             if not found:
                 return symbols
             _, i = min(found)
-            symbols = symbols[:i] + [table.pairs[symbols[i], symbols[i + 1]][1]] + symbols[i + 2:]
+            symbols = symbols[:i] + [pairs[symbols[i], symbols[i + 1]][1]] + symbols[i + 2:]
 
     import itertools
     for length in range(1, 8):

@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import column, map_batches, pick
+from tidemark.llm.common import Kept, column, map_batches, pick
 
-#: Words whose codes a worker keeps; the table starts over when it is full.
-KEPT_WORDS = 400_000
+#: Words, and pieces of words, whose codes a worker keeps.
+KEPT_WORDS, KEPT_PIECES = 80_000, 200_000
 _POSITIONS = 1 << 32
 _NONE = 1 << 62
 #: Python's str.split also splits at these, which Unicode does not class as white space.
@@ -46,57 +46,53 @@ def byte_symbols() -> list[str]:
 
 
 class Merges:
-    """Merge table over token ids."""
+    """Merge table over token ids, which are below 2 ** 20."""
 
     def __init__(self, ranked: list[tuple[int, int, int]]):
         """``ranked``: (left, right, merged) in order of rank."""
-        self.pairs = {(left, right): (rank, merged) for rank, (left, right, merged) in enumerate(ranked)}
+        pairs = [(left << 20 | right, merged) for left, right, merged in ranked]
+        self.merged = dict(pairs)
+        self.ranks = {pair: rank * _POSITIONS for rank, (pair, _) in enumerate(pairs)}
 
     def apply(self, symbols: list[int]) -> list[int]:
         """Merge the leftmost pair of lowest rank until no pair can be merged."""
-        count, pairs = len(symbols), self.pairs
+        count, rank_of, merged = len(symbols), self.ranks.get, self.merged
         if count < 2:
             return symbols
         width = 1 << (count - 2).bit_length()
         tree = [_NONE] * (2 * width)
         for i in range(count - 1):
-            found = pairs.get((symbols[i], symbols[i + 1]))
-            if found:
-                tree[width + i] = found[0] * _POSITIONS + i
+            rank = rank_of(symbols[i] << 20 | symbols[i + 1])
+            if rank is not None:
+                tree[width + i] = rank + i
         for node in range(width - 1, 0, -1):
             left, right = tree[2 * node], tree[2 * node + 1]
             tree[node] = left if left < right else right
         after = list(range(1, count + 1))
         before = list(range(-1, count))
-
-        def put(leaf: int, value: int) -> None:
-            node = width + leaf
-            tree[node] = value
-            while node > 1:
-                node >>= 1
-                left, right = tree[2 * node], tree[2 * node + 1]
-                least = left if left < right else right
-                if tree[node] == least:
-                    break
-                tree[node] = least
-
-        def rank(left: int, right: int, at: int) -> int:
-            found = pairs.get((left, right))
-            return found[0] * _POSITIONS + at if found else _NONE
-
         while tree[1] < _NONE:
             at = tree[1] % _POSITIONS
-            gone = after[at]
-            symbols[at] = pairs[symbols[at], symbols[gone]][1]
+            gone, previous = after[at], before[at]
+            symbol = symbols[at] = merged[symbols[at] << 20 | symbols[gone]]
             symbols[gone] = -1
             following = after[at] = after[gone]
             before[following] = at
+            changed = [(at, rank_of(symbol << 20 | symbols[following]) if following < count else None)]
             if gone < count - 1:
-                put(gone, _NONE)
-            put(at, rank(symbols[at], symbols[following], at) if following < count else _NONE)
-            previous = before[at]
+                changed.append((gone, None))
             if previous >= 0:
-                put(previous, rank(symbols[previous], symbols[at], previous))
+                changed.append((previous, rank_of(symbols[previous] << 20 | symbol)))
+            for leaf, rank in changed:
+                node = width + leaf
+                tree[node] = _NONE if rank is None else rank + leaf
+                while node > 1:
+                    node >>= 1
+                    left, right = tree[2 * node], tree[2 * node + 1]
+                    if right < left:
+                        left = right
+                    if tree[node] == left:
+                        break
+                    tree[node] = left
         return [s for s in symbols if s >= 0]
 
 
@@ -120,24 +116,16 @@ class Codec:
         merges = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         self.merges = Merges([(vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in merges])
         # Beyond ASCII, the definition's own normaliser and splitter decide: Unicode tables differ between libraries.
-        defined = Tokenizer.from_str(definition)
+        defined = Tokenizer.from_str(json.dumps(parsed | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": []}))
         self.normal, self.splitter = defined.normalizer, defined.pre_tokenizer[0]
-        self.known_pieces: dict[str, bytes] = {}
-        self.known_words: dict[str, bytes] = {}
+        self.known_pieces = Kept(self.piece, KEPT_PIECES)
+        self.known_words = Kept(self.word, KEPT_WORDS)
 
     def piece(self, text: str) -> bytes:
         """Codes of one piece, as little-endian unsigned 32-bit integers."""
-        codes = self.known_pieces.get(text)
-        if codes is None:
-            data = text.encode("utf-8", "surrogatepass")
-            symbols = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
-            merged = self.merges.apply(symbols)
-            codes = struct.pack(f"<{len(merged)}I", *merged)
-            if len(self.known_pieces) >= KEPT_WORDS:
-                self.known_pieces.clear()
-            if len(text) <= 64:
-                self.known_pieces[text] = codes
-        return codes
+        data = text.encode("utf-8", "surrogatepass")
+        merged = self.merges.apply([self.inner[b] for b in data[:-1]] + [self.last[data[-1]]])
+        return struct.pack(f"<{len(merged)}I", *merged)
 
     def word(self, text: str) -> bytes:
         """Codes of a text without white space."""
@@ -145,12 +133,7 @@ class Codec:
             pieces = _ASCII_PIECES.findall(text.lower())
         else:
             pieces = [p for p, _ in self.splitter.pre_tokenize_str(self.normal.normalize_str(text))]
-        codes = b"".join(map(self.piece, pieces))
-        if len(self.known_words) >= KEPT_WORDS:
-            self.known_words.clear()
-        if len(text) <= 64:
-            self.known_words[text] = codes
-        return codes
+        return b"".join(map(self.known_pieces.__getitem__, pieces))
 
     def encode(self, text: str) -> bytes:
         """Codes of a text; special tokens that occur in it get their own codes."""
@@ -162,8 +145,7 @@ class Codec:
 
     def _plain(self, text: str) -> bytes:
         words = [w for w in _WHITE.split(text) if w] if _SEPARATORS.search(text) else text.split()
-        known, word = self.known_words.get, self.word
-        return b"".join([known(w) or word(w) for w in words])
+        return b"".join(map(self.known_words.__getitem__, words))
 
     def decode(self, codes: bytes) -> str:
         """The tokens' strings, joined by spaces: the vocabulary comes without a decoder of its own."""

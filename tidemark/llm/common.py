@@ -17,6 +17,29 @@ from tidemark.session import materialize
 BATCH_ROWS = 512
 
 
+class Kept(dict):
+    """Values worked out once per key, for the keys used lately: at most twice ``most`` of them.
+
+    When it is full, its content becomes the older half and what that held is forgotten; keys still in use come back
+    from there. Very long keys are not kept.
+    """
+
+    def __init__(self, work: Callable[[str], object], most: int):
+        super().__init__()
+        self.work, self.most, self.older = work, most, {}
+
+    def __missing__(self, key: str):
+        value = self.older.get(key)
+        if value is None:
+            value = self.work(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        if len(key) <= 64:
+            self[key] = value
+        return value
+
+
 _shipped: set[str] = set()
 
 

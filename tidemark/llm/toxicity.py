@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column, map_batches, map_whole_rows, pick, stored
+from tidemark.llm.common import Kept, column, map_batches, map_whole_rows, pick, stored
 
 #: Labelled documents per class from which a model is fitted, those of smallest hash.
 SAMPLE_PER_CLASS = 3000
@@ -29,7 +29,7 @@ SAMPLE_PER_CLASS = 3000
 MOST_TERMS = 400
 #: Words on each side of a match that decide how it is meant.
 WINDOW = 8
-_KEPT_WORDS = 300_000
+_KEPT_WORDS = 100_000
 _KEPT_STEPS = 500_000
 _STEM_LENGTHS = (4, 5, 6, 7, 8)
 
@@ -163,20 +163,15 @@ class Model:
 
 class Scorer:
     def __init__(self, model: Model):
-        self.model, self.lexicon, self.known = model, FuzzyLexicon(model.terms, model.exact), {}
+        self.model, self.lexicon = model, FuzzyLexicon(model.terms, model.exact)
+        self.known = Kept(self._look_up, _KEPT_WORDS)
 
     def _look_up(self, word: str):
-        if len(self.known) > _KEPT_WORDS:
-            self.known.clear()
-        found = self.lexicon.find(letters_of(word)) or 0
-        if len(word) <= 64:
-            self.known[word] = found
-        return found
+        return self.lexicon.find(letters_of(word)) or ()
 
     def features(self, text: str) -> list[float]:
         words = text.split()
-        known, look_up = self.known, self._look_up
-        found = [f if (f := known.get(w)) is not None else look_up(w) for w in words]
+        found = list(map(self.known.__getitem__, words))
         direct = addressed = misspelled = quoted = densest = 0.0
         hits = [i for i, f in enumerate(found) if f]
         for at in hits:
