@@ -41,6 +41,12 @@ def test_equals_library_on_any_text(codec, library, text):
     assert ids_of(codec, text) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_equals_library_on_latin_letters(codec, library):
+    latin = [chr(i) for i in range(0x250)]
+    for text in ["".join(latin), *(f"a{c}b'{c}{c}1_{c}" for c in latin), *(f"{c}:{d}" for c in latin[::7] for d in latin[::5])]:
+        assert ids_of(codec, text) == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_merges_against_rescanning():
     """The tree gives what looking at all pairs before each merge gives."""
     ranked = [(1, 1, 3), (1, 2, 4), (3, 1, 5), (4, 4, 6), (2, 1, 7), (5, 2, 8)]

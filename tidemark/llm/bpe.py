@@ -26,13 +26,14 @@ from tokenizers import Tokenizer
 from tidemark.llm.common import Kept, column, map_batches, pick
 
 #: Words, and pieces of words, whose codes a worker keeps.
-KEPT_WORDS, KEPT_PIECES = 80_000, 200_000
+KEPT_WORDS, KEPT_PIECES = 120_000, 240_000
 _POSITIONS = 1 << 32
 _NONE = 1 << 62
 #: Python's str.split also splits at these, which Unicode does not class as white space.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
-# Fixed value: how the vocabulary splits words of ASCII into pieces.
-_ASCII_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# Fixed value: how the vocabulary splits words of Latin letters, in lower case, into pieces.
+_LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:\W|_)+")
+_LATIN = re.compile("[\0-ɏ]*")
 _WHITE = regex.compile(r"\p{White_Space}+")
 
 
@@ -115,7 +116,7 @@ class Codec:
         self.last = [vocabulary[c + self.end] for c in names]
         merges = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         self.merges = Merges([(vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in merges])
-        # Beyond ASCII, the definition's own normaliser and splitter decide: Unicode tables differ between libraries.
+        # Beyond Latin letters, the definition's own normaliser and splitter decide: Unicode tables differ between libraries.
         defined = Tokenizer.from_str(json.dumps(parsed | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": []}))
         self.normal, self.splitter = defined.normalizer, defined.pre_tokenizer[0]
         self.known_pieces = Kept(self.piece, KEPT_PIECES)
@@ -129,8 +130,8 @@ class Codec:
 
     def word(self, text: str) -> bytes:
         """Codes of a text without white space."""
-        if text.isascii():
-            pieces = _ASCII_PIECES.findall(text.lower())
+        if text.isascii() or _LATIN.fullmatch(text):
+            pieces = _LATIN_PIECES.findall(text.lower())
         else:
             pieces = [p for p, _ in self.splitter.pre_tokenize_str(self.normal.normalize_str(text))]
         return b"".join(map(self.known_pieces.__getitem__, pieces))
