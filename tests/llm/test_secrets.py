@@ -69,6 +69,22 @@ def test_entropy_and_allow_list():
     assert kinds("id 1234567890123456789012") == []
 
 
+def test_keys_of_letters_only():
+    rng = random.Random(3)
+    scanner = secrets.Scanner(secrets.EntropyRule())
+    mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    for letters, least in ((mixed, 290), (mixed[26:], 90), (mixed[:26], 90)):
+        texts = ["key " + "".join(rng.choice(letters) for _ in range(32)) + " end" for _ in range(300)]
+        assert sum([s[0] for s in scanner.spans(t)] == ["entropy"] for t in texts) >= least
+    assert [s[0] for s in scanner.spans("api/v/QwErTzUiOpAsDfGhJkLyXcVbNmqWeRtZ")] == ["entropy"]
+    for text in ("Donaudampfschifffahrtsgesellschaftskapitaen", "Rindfleischetikettierungsueberwachungsaufgaben",
+                 "getElementsByTagNameFromDocumentFragment", "/Users/john/Documents/ProjectFiles/",
+                 "state-of-the-art--black-box-quiz", "MAX_QUEUE_WORKFLOW_JOB_SIZE", "pneumonoultramicroscopicsilicosis",
+                 "antidisestablishmentarianism", "Kraftfahrzeughaftpflichtversicherung", "=" * 40, "-" * 30):
+        assert scanner.spans(text) == [], text
+    assert scanner.spans("ab-Cd/" * 20_000 + "9") is not None  # in linear time
+
+
 def test_frames(spark):
     texts = [*TEXTS, None, "", "x" * 200_000, " ".join(TEXTS)]
     frame = documents(spark, texts)

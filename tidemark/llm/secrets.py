@@ -26,6 +26,9 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "entropy")
+# Words as paths, names and compounds have them: of one case, or in camel case, each shorter than a window. No two
+# branches match the same text, so a match takes linear time.
+_WORD = r"(?:(?:[A-Z]{1,19}|[A-Z]?[a-z]{1,19}|[A-Z]?[a-z]{1,15}(?:[A-Z][a-z]{1,15})+)(?![A-Za-z]))"
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
@@ -35,26 +38,30 @@ class EntropyRule:
     """Which candidates look random.
 
     ``window``: characters in the sliding window, and the least length of a candidate. ``thresholds``: bits per
-    character at which a window counts, by class. Letters of one case reach their threshold only when almost all
-    characters of a window differ, which words do not; digits alone cannot reach theirs.
+    character at which a window counts, by class. Letters of both cases reach their threshold when 15 characters of a window
+    of 20 differ; those of one case need 16, as some long compound words have 15. Digits alone cannot reach theirs, as long numbers look no other than
+    keys (32 digits and more are of kind hex).
     ``allowed``: patterns of harmless candidates, matched against the whole candidate.
     """
 
     window: int = 20
-    thresholds: dict = field(default_factory=lambda: {"digits": 3.4, "hex": 3.0, "letters": 4.2, "mixed": 3.6})
+    thresholds: dict = field(default_factory=lambda: {"digits": 3.4, "hex": 3.0, "letters": 3.75, "one case": 3.9,
+                                                             "mixed": 3.6})
     allowed: tuple[str, ...] = (
         r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",
-        r".*EXAMPLE.*", r"(?:[A-Za-z]+[-_/=+])*[A-Za-z]*", r"sha(?:1|256|384|512)-.*",
+        r".*EXAMPLE.*", rf"[-_/=+]*{_WORD}(?:[-_/=+]+{_WORD})*[-_/=+]*", r"sha(?:1|256|384|512)-.*",
     )
 
 
 def character_class(text: str) -> str:
-    """digits, hex (of one case, with a digit), letters (no digit) or mixed."""
+    """digits, hex (of one case, with a digit), one case (no digit; a capital may lead), letters (no digit) or mixed."""
     if text.isdigit():
         return "digits"
     if re.fullmatch("[0-9a-f]+|[0-9A-F]+", text) and re.search("[0-9]", text):
         return "hex"
-    return "mixed" if re.search("[0-9]", text) else "letters"
+    if re.search("[0-9]", text):
+        return "mixed"
+    return "one case" if text[1:].islower() or text.isupper() else "letters"
 
 
 def random_stretches(text: str, window: int, threshold: float) -> list[tuple[int, int]]:
