@@ -1,4 +1,5 @@
 import random
+from fractions import Fraction
 
 import pytest
 from frames import documents, empty, result
@@ -54,6 +55,35 @@ def test_phases_equal_simulation(spark):
     assert len({r.position for r in found}) == len(found)
 
 
+def test_given_weights_hold_over_many_frames(spark):
+    sources = {f"src{i}": 400 + 50 * (i == 7) for i in range(20)} | {"src0": 900, "src1": 1350}
+    rows = [(i, s) for i, s in enumerate(s for s, n in sources.items() for _ in range(n))]
+    weights = {s: Fraction(3, 4) / 18 for s in sources} | {"src0": Fraction(1, 10), "src1": Fraction(3, 20)}
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), {"src0": 0.1, "src1": 0.15}, 1).collect()
+    order = {r.slot: r for r in found}
+    assert sorted(order) == list(range(len(rows)))
+    had = dict.fromkeys(sources, 0)
+    for slot in range(8000):
+        row = order[slot]
+        weight = weights[row.source]
+        assert row.released == had[row.source] // weight and row.deadline == -(-(had[row.source] + 1) // weight)
+        had[row.source] += 1
+        assert all(abs(n - (slot + 1) * weights[s]) < 1 for s, n in had.items())
+
+
+@pytest.mark.parametrize("sent", (0, 100_000))
+def test_long_fractions_and_zero(spark, monkeypatch, sent):
+    monkeypatch.setattr(mixing, "_SENT_SLOTS", sent)
+    frame = spark.range(900).selectExpr("id AS doc_id", "CAST(id % 3 AS string) AS source")
+    weights = {"0": 0.6180339887498949, "1": 1e-300, "2": 0.0}
+    found = {r.slot: r for r in mixing.mix(frame, weights, 1).collect()}
+    assert sorted(found) == list(range(900)) and {r.doc_id for r in found.values()} == set(range(900))
+    assert [found[i].source for i in range(600, 900)] == ["2"] * 300
+    assert all(r.released <= r.slot < r.deadline for r in found.values())
+    many = {str(i): 1 / 2000 for i in range(2000)}
+    assert mixing.exact_slots(many) == (dict.fromkeys(many, 1), 2000)
+
+
 def test_slices_number_without_gaps(spark, monkeypatch):
     monkeypatch.setattr(mixing, "_NUMBERED_ROWS", 10)
     frame = spark.range(500).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'x' ELSE 'y' END AS source")
