@@ -6,8 +6,10 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, mixing, queries, secrets, simhash, toxicity
+from tidemark.llm.common import pick
 from tidemark.session import materialize
 
 
@@ -32,8 +34,15 @@ def in_mixture_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and digests of the codes and of what they decode to."""
-    return bpe.digests(bpe.transcode(docs, queries.VOCABULARY))
+    """doc_id, n_tokens, digests of the codes and of what they decode to, and slot and position in the mixture.
+
+    Files do not keep the order of rows, so the place is given with each row: it follows from ids and sources alone.
+    Rows that share an id share their first place; rows without id have none.
+    """
+    named = pick(docs, doc_id="doc_id", source="source").filter("doc_id is not null")
+    places = mixing.mix(named, queries.WEIGHTS).groupBy("doc_id") \
+        .agg(F.min("slot").alias("slot"), F.min("position").alias("position"))
+    return bpe.digests(bpe.transcode(docs, queries.VOCABULARY)).join(places, "doc_id", "left")
 
 
 STAGES = [

@@ -67,3 +67,17 @@ def test_stages_keep_columns_of_awkward_tables(spark):
     for frame in (documents(spark, clashing=True), empty(spark)):
         for _, stage in corpus_pipeline.STAGES[1:4]:
             assert stage(spark, frame, SF_DIR).columns == frame.columns
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test data not here")
+def test_place_in_mixture_outlives_files(spark, tmp_path):
+    docs = queries.table(spark, SF_DIR, "documents").repartition(7)
+    docs.write.parquet(str(tmp_path / "mixed"))
+    found = corpus_pipeline.as_tokens(spark, spark.read.parquet(str(tmp_path / "mixed")), SF_DIR)
+    found.write.parquet(str(tmp_path / "out"))
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {r.doc_id: (r.slot, r.position) for r in rows} == {
+        r.doc_id: (r.slot, r.position) for r in mixing.mix(docs, queries.WEIGHTS).collect()}
+    assert len({r.position for r in rows}) == len(rows) == docs.count()
+    last = corpus_pipeline.as_tokens(spark, documents(spark), SF_DIR).collect()
+    assert len(last) == documents(spark).count() and {r.doc_id for r in last if r.position is None} == {None}
