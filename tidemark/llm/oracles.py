@@ -63,6 +63,40 @@ SELECT v AS vec_id, (SELECT count(*) FROM links WHERE a = v)::BIGINT AS n_links,
 FROM reached GROUP BY v
 """
 
+_DIVERGENCE = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+), met AS (
+    SELECT lang, source, n, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (
+    SELECT lang, term, count(*) AS c FROM met GROUP BY lang, term HAVING count(DISTINCT n) >= 30
+), whole AS (
+    SELECT *, 1 + 1000000000::HUGEINT * (c + 5) // (sum(c) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang)) AS q
+    FROM kept
+), cells AS (
+    SELECT g.lang, g.source, whole.term, whole.q, count(met.n) AS c
+    FROM (SELECT DISTINCT lang, source FROM d) g JOIN whole ON whole.lang = g.lang
+    LEFT JOIN met ON met.lang = g.lang AND met.source = g.source AND met.term = whole.term
+    GROUP BY ALL
+), shares AS (
+    SELECT *, 1 + 1000000000::HUGEINT * (c + 5) // (sum(c) OVER g + 5 * count(*) OVER g) AS p
+    FROM cells WINDOW g AS (PARTITION BY lang, source)
+), found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+        coalesce((SELECT sum(abs(x.p - y.p)) FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term
+                  WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+    FROM (SELECT DISTINCT lang, source FROM d) a JOIN (SELECT DISTINCT lang, source FROM d) b
+        ON a.lang = b.lang AND a.source <> b.source
+    UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE c > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM found
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_embeddings": _EMBEDDINGS, "op3_quality": _QUALITY, "op4_token_counts": _TOKEN_COUNTS}
+    return {"op2_embeddings": _EMBEDDINGS, "op3_quality": _QUALITY, "op4_token_counts": _TOKEN_COUNTS,
+            "op12_divergence": _DIVERGENCE}

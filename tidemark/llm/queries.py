@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import (bpe, embeddings, langid, mixing, quality, secrets, simhash, suffixes, token_counts,
-                          toxicity, url_filter)
+from tidemark.llm import (bpe, divergence, embeddings, langid, mixing, quality, secrets, simhash, suffixes,
+                          token_counts, toxicity, url_filter, whitening)
 
 #: Vocabulary of the BPE query and of the pipeline's last stage.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -82,7 +82,16 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(suffixes.remove_repeats(table(spark, sf_dir, "documents"), 50))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (op1_mixing, op2_embeddings, op3_quality, op4_token_counts, op5_simhash, op6_secrets, op7_toxicity,
-             op8_url_filter, op9_language, op10_bpe, op11_suffix_dedup)
+             op8_url_filter, op9_language, op10_bpe, op11_suffix_dedup, op12_divergence,
+             op13_whitening)
     return {query.__name__: query for query in named}
