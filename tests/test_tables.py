@@ -1,3 +1,6 @@
+import glob
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,8 +76,6 @@ def test_merges_in_any_order(spark, where):
 
 
 def test_merge_rewrites_only_touched_buckets(spark, where):
-    import glob
-
     seed = [(i, "c", None, i, f"n{i}", i) for i in range(100)]
     V.merge_into_mirror(bronze(spark, seed), where, PEOPLE, 8)
     before = set(glob.glob(f"{where}/**/*.parquet", recursive=True))
@@ -86,6 +87,48 @@ def test_merge_rewrites_only_touched_buckets(spark, where):
     assert set(glob.glob(f"{where}/**/*.parquet", recursive=True)) == after
 
 
+@pytest.mark.parametrize("moment", ["before the files go", "a bucket is gone", "all buckets are gone", "files are in place"])
+@pytest.mark.parametrize("rebuild", [False, True])
+def test_mirror_survives_a_crash(spark, where, monkeypatch, moment, rebuild):
+    V.merge_into_mirror(bronze(spark, EDGES[:9]), where, PEOPLE, 4)
+    write = V._write
+
+    def dies(state, table, buckets, mode):
+        if moment == "files are in place":
+            write(state, table, buckets, mode)
+        found = [f"bucket={r.bucket}" for r in state.select("bucket").distinct().collect()]  # what is being replaced
+        for name in {"a bucket is gone": found[:1], "all buckets are gone": found}.get(moment, []):
+            shutil.rmtree(f"{table}/of_4/{name}", ignore_errors=True)
+        raise OSError("lost")
+
+    monkeypatch.setattr(V, "_write", dies)
+    with pytest.raises(OSError):
+        if rebuild:
+            V.rebuild_mirror(bronze(spark, EDGES), where, PEOPLE, 4)
+        else:
+            V.merge_into_mirror(bronze(spark, EDGES[9:]), where, PEOPLE, 4)
+    monkeypatch.setattr(V, "_write", write)
+    with pytest.raises(V.MirrorUnfinished):
+        V.read_mirror(spark, where, PEOPLE, 4)
+    with pytest.raises(V.MirrorUnfinished):
+        V.merge_into_mirror(bronze(spark, EDGES[9:]), where, PEOPLE, 4)
+    V.merge_into_mirror(bronze(spark, EDGES[9:]), where, PEOPLE, 4, log=lambda: bronze(spark, EDGES))
+    assert rows(V.read_mirror(spark, where, PEOPLE, 4)) == EDGES_MIRROR
+    assert not V.repair(spark, where, PEOPLE, 4, None)
+
+
+def test_only_announced_buckets_are_rebuilt(spark, where):
+    seed = [(i, "c", None, i, f"n{i}", i) for i in range(100)]
+    V.merge_into_mirror(bronze(spark, seed), where, PEOPLE, 8)
+    before = {f for f in glob.glob(f"{where}/**/*.parquet", recursive=True)}
+    V.announce(spark, [3, 5], where, 8)
+    shutil.rmtree(f"{where}/of_8/bucket=3")
+    assert V.repair(spark, where, PEOPLE, 8, lambda: bronze(spark, seed))
+    after = {f for f in glob.glob(f"{where}/**/*.parquet", recursive=True)}
+    assert {f.split("bucket=")[1][0] for f in after - before} == {"3", "5"} and len(before & after) == 6
+    assert V.read_mirror(spark, where, PEOPLE, 8).count() == 100
+
+
 def test_widened_table(spark, where):
     from pyspark.sql import types as T
 

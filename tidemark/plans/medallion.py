@@ -15,7 +15,7 @@ from tidemark.operators.quality import reconcile
 from tidemark.operators.tips import (
     behavior_from_totals, daily_totals, driver_tip_report, rankings_from_totals, roll_up)
 from tidemark.operators.trips import clean_trips, enrich_zones
-from tidemark.sinks.mirrors import merge_into_mirror, read_mirror, rebuild_mirror
+from tidemark.sinks.mirrors import Log, merge_into_mirror, read_mirror, rebuild_mirror, repair
 from tidemark.sinks.runs import list_runs, load_offsets, return_to, save_run
 from tidemark.sinks.tables import replace_table, write_run
 from tidemark.sources.event_log import (
@@ -83,8 +83,10 @@ def refresh_changes(spark: SparkSession, reader: Reader, layout: Layout, specs:
 
     The gate looks at offsets alone, from where the last run ended; an idle run reads no message and writes nothing.
     The offsets stored are those read in this run, of these tables: what arrives meanwhile, and tables declared later,
-    wait for their run.
+    wait for their run. Mirrors that an earlier run left half-written are rebuilt first, also by an idle run.
     """
+    for spec in specs:
+        repair(spark, layout.mirror(spec), spec, layout.buckets, _bronze_log(spark, layout, spec))
     known = {(r.topic, r.kafka_partition): r.next_offset for r in load_offsets(spark, layout.runs).collect()}
     wanted = {spec.topic for spec in specs}
     start = {p: at for p, at in known.items() if p[0] in wanted}
@@ -99,8 +101,9 @@ def refresh_changes(spark: SparkSession, reader: Reader, layout: Layout, specs:
     for spec in specs:
         if not any(topic == spec.topic for topic, _ in end):
             continue
-        new = _in_ranges(spark.read.schema(spec.bronze_schema).parquet(bronze_path(layout.root, spec)), end, start)
-        merge_into_mirror(new, layout.mirror(spec), spec, layout.buckets)
+        log = _bronze_log(spark, layout, spec)
+        new = _in_ranges(log(), end, start)
+        merge_into_mirror(new, layout.mirror(spec), spec, layout.buckets, log)
         live = read_mirror(spark, layout.mirror(spec), spec, layout.buckets).count()
         for row in new.groupBy("kafka_partition").agg(F.count(F.lit(1)).alias("n"),
                                                       F.count(F.when(problem(spec).isNull(), 1)).alias("ok")).collect():
@@ -114,6 +117,10 @@ def refresh_changes(spark: SparkSession, reader: Reader, layout: Layout, specs:
     return list_runs(spark, layout.runs).filter(F.col("run") == run)
 
 
+def _bronze_log(spark: SparkSession, layout: Layout, spec: S.TableSpec) -> Log:
+    return lambda: spark.read.schema(spec.bronze_schema).parquet(bronze_path(layout.root, spec))
+
+
 def _in_ranges(bronze: DataFrame, end: Offsets, start: Offsets) -> DataFrame:
     """Bronze rows of the offset ranges of this run."""
     return read_offsets(bronze, end, start, "kafka_partition", "kafka_offset")

@@ -3,15 +3,28 @@
 A state is plain Parquet, partitioned by a hash bucket of the key. A merge reads and replaces the buckets that hold a
 changed key and leaves the others alone. Where a catalog offers MERGE, ``merge_sql`` does the same in one statement.
 Earlier points in time are not kept here: they are read from the append-only log with ``state_as_of``.
+
+Replacing a bucket means deleting its files before the new ones are in place, so a run that dies in between leaves it
+empty. Every write is therefore announced: the numbers of the buckets that it replaces are stored first and deleted
+last. While they are there the mirror cannot be read, and the next merge first rebuilds those buckets from the log.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import schemas as S
 from tidemark.operators.changelog import ORDER, fold_state, keyed_events, latest_per_key, live_rows
-from tidemark.sources.files import read_if_present
+from tidemark.sources.files import finished, read_if_present, remove
+
+#: Gives the whole bronze log of a table; called only where buckets have to be rebuilt.
+Log = Callable[[], DataFrame]
+
+
+class MirrorUnfinished(RuntimeError):
+    """A run died while it replaced buckets of a mirror; the next merge that is given the log repairs it."""
 
 
 def bucket_of(key: str, buckets: int) -> Column:
@@ -29,40 +42,90 @@ def _path(table: str, buckets: int) -> str:
     return f"{table}/of_{buckets}"
 
 
+def _announced(table: str, buckets: int) -> str:
+    return f"{table}/unfinished_of_{buckets}"
+
+
 def read_state(spark: SparkSession, table: str, spec: S.TableSpec, buckets: int = 16) -> DataFrame | None:
     """The state with its ``bucket``; columns added to the spec since a bucket was written are NULL in it."""
+    if finished(spark, _announced(table, buckets)):
+        raise MirrorUnfinished(f"a run died while it wrote {table}; merge again, with the log")
+    return _stored(spark, table, spec, buckets)
+
+
+def _stored(spark: SparkSession, table: str, spec: S.TableSpec, buckets: int) -> DataFrame | None:
     schema = T.StructType([*state_schema(spec), T.StructField("bucket", T.IntegerType())])
     return read_if_present(spark, _path(table, buckets), schema)
 
 
+def announce(spark: SparkSession, touched: list[int], table: str, buckets: int) -> None:
+    """Store the numbers of the buckets that are about to be replaced."""
+    rows = spark.createDataFrame([(n,) for n in touched], "bucket int")
+    rows.coalesce(1).write.mode("overwrite").parquet(_announced(table, buckets))
+
+
 def _write(state: DataFrame, table: str, buckets: int, mode: str) -> None:
     # Rebalancing by bucket makes one file of a small bucket and several of a large one.
     (state.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", mode)
      .partitionBy("bucket").parquet(_path(table, buckets)))
 
 
-def merge_into_mirror(bronze: DataFrame, table: str, spec: S.TableSpec, buckets: int = 16) -> None:
+def _replace(state: DataFrame, touched: list[int], table: str, buckets: int, mode: str) -> None:
+    announce(state.sparkSession, touched, table, buckets)
+    _write(state, table, buckets, mode)
+    remove(state.sparkSession, _announced(table, buckets))
+
+
+def repair(spark: SparkSession, table: str, spec: S.TableSpec, buckets: int, log: Log | None) -> bool:
+    """Rebuild from the log the buckets that a run left unfinished; returns whether there were any.
+
+    Only events of those buckets are folded. The other buckets are read by nobody and stay as they are. Doing it
+    again does no harm, so a repair that dies is repaired the same way.
+    """
+    where = _announced(table, buckets)
+    if not finished(spark, where):
+        return False
+    if log is None:
+        raise MirrorUnfinished(f"a run died while it wrote {table}, and there is no log to rebuild its buckets from")
+    # At most ``buckets`` numbers.
+    lost = [row.bucket for row in spark.read.schema("bucket int").parquet(where).collect()]
+    events = keyed_events(log(), spec).withColumn("bucket", bucket_of(spec.key, buckets)).filter(F.col("bucket").isin(lost))
+    state = latest_per_key(events.drop("bucket"), spec.key)
+    _write(state.withColumn("bucket", bucket_of(spec.key, buckets)), table, buckets, "dynamic")
+    remove(spark, where)
+    return True
+
+
+def merge_into_mirror(bronze: DataFrame, table: str, spec: S.TableSpec, buckets: int = 16, log: Log | None = None) -> None:
     """Merge a batch of events into the stored state.
 
     Merging a batch again, in part or late changes nothing: of what is stored and what arrives, the later event
-    wins. A run that fails half-way is therefore repaired by repeating it. One writer at a time.
+    wins. A run that dies while it writes is repaired by the next one from ``log``, which has to hold everything merged
+    so far; without a log such a mirror is refused. One writer at a time, and no readers meanwhile.
     """
-    changes = latest_per_key(keyed_events(bronze, spec), spec.key).withColumn("bucket", bucket_of(spec.key, buckets))
-    stored = read_state(bronze.sparkSession, table, spec, buckets)
+    spark = bronze.sparkSession
+    repair(spark, table, spec, buckets, log)
+    events = keyed_events(bronze, spec)
+    # A look at the keys alone; at most ``buckets`` numbers, which prune the scan of the state.
+    touched = sorted(row.bucket for row in events.filter(F.col(spec.key).isNotNull())
+                     .select(bucket_of(spec.key, buckets).alias("bucket")).distinct().collect())
+    stored = _stored(spark, table, spec, buckets)
+    changes = latest_per_key(events, spec.key)
     if stored is None:
-        _write(changes, table, buckets, "static")
-        return
-    # The distinct buckets of a batch are at most ``buckets`` rows; they prune the scan of the state.
-    touched = changes.select("bucket").distinct()
-    before = stored.join(F.broadcast(touched), "bucket", "left_semi").drop("bucket")
-    merged = latest_per_key(before.unionByName(changes.drop("bucket")).select(*before.columns), spec.key)
-    _write(merged.withColumn("bucket", bucket_of(spec.key, buckets)), table, buckets, "dynamic")
+        _replace(changes.withColumn("bucket", bucket_of(spec.key, buckets)), touched, table, buckets, "static")
+    elif touched:
+        before = stored.filter(F.col("bucket").isin(touched)).drop("bucket")
+        merged = latest_per_key(before.unionByName(changes).select(*before.columns), spec.key)
+        _replace(merged.withColumn("bucket", bucket_of(spec.key, buckets)), touched, table, buckets, "dynamic")
 
 
 def rebuild_mirror(bronze: DataFrame, table: str, spec: S.TableSpec, buckets: int = 16) -> None:
-    """Backfill: replace the state by what the log says, perhaps in another number of buckets."""
+    """Backfill: replace the state by what the log says, perhaps in another number of buckets.
+
+    A rebuild that dies is repaired like a merge: from the whole log, for all buckets.
+    """
     state = fold_state(bronze, spec).withColumn("bucket", bucket_of(spec.key, buckets))
-    _write(state, table, buckets, "static")
+    _replace(state, list(range(buckets)), table, buckets, "static")
 
 
 def read_mirror(spark: SparkSession, table: str, spec: S.TableSpec, buckets: int = 16) -> DataFrame:

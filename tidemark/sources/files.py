@@ -19,6 +19,27 @@ def read_if_present(spark: SparkSession, path: str, schema: T.StructType | None
         raise
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was completed: Spark then leaves an empty file of this name."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder; returns whether it was there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, sorted; none when it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    return sorted(found.getPath().getName() for found in system.listStatus(folder) if found.isDirectory())
+
+
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
     """A lookup table that has to be there."""
     found = read_if_present(spark, path)

@@ -16,7 +16,7 @@ from tidemark.operators.envelope import bronze_table, message_columns
 from tidemark.operators.ids import assign_ids
 from tidemark.operators.trips import clean_trips, enrich_zones
 from tidemark.sinks.messages import REJECT_REASON, from_events
-from tidemark.sinks.mirrors import merge_into_mirror
+from tidemark.sinks.mirrors import Log, merge_into_mirror
 from tidemark.sinks.tables import append_events, batch_bounds
 from tidemark.sources.event_log import topic_pattern
 
@@ -78,10 +78,13 @@ def bronze_stream(spark: SparkSession, root: str, spec: S.TableSpec, files_per_b
 
 
 def stream_silver(events: DataFrame, table: str, spec: S.TableSpec, checkpoint: str, buckets: int = 16,
-                  trigger: dict | None = None) -> StreamingQuery:
-    """Bronze rows merged into a stored mirror. A batch that is repeated after a failure changes nothing more."""
+                  trigger: dict | None = None, log: Log | None = None) -> StreamingQuery:
+    """Bronze rows merged into a stored mirror. A batch that is repeated after a failure changes nothing more.
+
+    ``log`` gives the bronze table that the events come from; buckets that a batch left half-written are rebuilt from it.
+    """
     def batch(df: DataFrame, batch_id: int) -> None:
-        merge_into_mirror(df, table, spec, buckets)
+        merge_into_mirror(df, table, spec, buckets, log)
 
     return _start(events.writeStream.foreachBatch(batch), checkpoint, trigger)
 
