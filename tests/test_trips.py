@@ -1,5 +1,9 @@
+import glob
 import json
+import os
+import shutil
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +13,8 @@ from tidemark.operators import quality as Q, trips as R
 from tidemark.operators.ids import assign_ids
 from tidemark.session import scratch_dir
 from tidemark.sinks.messages import from_events, to_events
-from tidemark.sources.trips import read_trips
+from tidemark.sources.drift import file_groups
+from tidemark.sources.trips import read_trips, unreadable_values
 
 COLUMNS = ("trip_id long, PULocationID int, DOLocationID int, fare_amount double, tip_amount double, "
            "payment_type int, trip_distance double, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz")
@@ -124,6 +129,54 @@ def test_reading_trip_files(spark, tmp_path):
         read_trips(spark, str(tmp_path / "none"), names)
 
 
+def monthly(spark, folder, **months):
+    """A file per month of one column ``v`` or as given, named so that the order is that of the keywords."""
+    for i, (name, (schema, values)) in enumerate(months.items()):
+        spark.createDataFrame([(v if isinstance(v, tuple) else (v,)) for v in values], schema).coalesce(1) \
+            .write.parquet(f"{folder}/{i}_{name}.parquet")
+    return str(folder)
+
+
+def test_files_of_differing_types(spark, tmp_path):
+    folder = monthly(
+        spark, tmp_path / "in",
+        whole=("passenger_count bigint, fare_amount double", [(1, 1.0), (2 ** 53 + 1, 2.0), (None, 3.0)]),
+        same=("passenger_count bigint, extra double", [(3, 0.5)]),
+        real=("passenger_count double, fare_amount double", [(4.0, 1.0), (4.5, 1.0), (float("nan"), 1.0), (1e30, 1.0)]),
+        text=("Passenger_Count string, fare_amount string", [("5", "1.25"), ("6.0", "x"), ("6.5", None), ("", "2")]),
+        exact=("passenger_count decimal(5,1), fare_amount decimal(5,2)", [(Decimal("7.0"), Decimal("1.10")), (Decimal("7.5"), None)]),
+        lacking=("fare_amount float", [1.5]))
+    files = [f"{folder}/{name}/*.parquet" for name in sorted(os.listdir(folder))]
+    groups = file_groups(spark, [f for pattern in files for f in glob.glob(pattern)], folder)
+    # A file that lacks a column agrees with what is there; float and decimal fares differ.
+    assert [len(g.files) for g in groups] == [2, 1, 1, 1, 1]
+    flat = str(tmp_path / "flat")
+    os.makedirs(flat)
+    for name in sorted(os.listdir(folder)):
+        shutil.copy(glob.glob(f"{folder}/{name}/*.parquet")[0], f"{flat}/{name}")
+    read = read_trips(spark, flat, "*.parquet")
+    assert {f.name: f.dataType.simpleString() for f in read.schema} == {
+        "passenger_count": "bigint", "fare_amount": "double", "extra": "double"}
+    found = sorted((r.passenger_count or 0, r.fare_amount or 0, r.extra or 0) for r in read.collect())
+    assert found == sorted([(1, 1.0, 0), (2 ** 53 + 1, 2.0, 0), (0, 3.0, 0), (3, 0, 0.5), (4, 1.0, 0), (0, 1.0, 0), (0, 1.0, 0),
+                            (0, 1.0, 0), (5, 1.25, 0), (6, 0, 0), (0, 0, 0), (0, 2.0, 0), (7, 1.1, 0), (0, 0, 0), (0, 1.5, 0)])
+    lost = {(r.file[0], r.column, r.given, r.wanted): (r.rows, r.example) for r in unreadable_values(spark, flat, "*.parquet").collect()}
+    assert lost == {("2", "passenger_count", "double", "bigint"): (3, "1.0E30"), ("3", "passenger_count", "string", "bigint"): (2, ""),
+                    ("3", "fare_amount", "string", "double"): (1, "x"), ("4", "passenger_count", "decimal(5,1)", "bigint"): (1, "7.5")}
+    one = glob.glob(f"{folder}/0_whole.parquet/*.parquet")[0]
+    assert unreadable_values(spark, one, "*.parquet").count() == 0 and read_trips(spark, one, "*.parquet").count() == 3
+
+
+def test_undeclared_column_that_drifts_is_text(spark, tmp_path):
+    folder = monthly(spark, tmp_path / "in", a=("note int, fare_amount double", [(1, 1.0)]),
+                     b=("note boolean, fare_amount double", [(True, 2.0)]))
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    for name in os.listdir(folder):
+        shutil.copy(glob.glob(f"{folder}/{name}/*.parquet")[0], flat / name)
+    assert rows(read_trips(spark, str(flat), "*.parquet").select("note", "fare_amount")) == {("1", 1.0), ("true", 2.0)}
+
+
 def test_events(spark):
     sent = to_events(spark.createDataFrame([trip(payment_type=None, tip_amount=float("nan"))], COLUMNS)
                      .withColumn("VendorID", F.lit(2)), "vendorid")

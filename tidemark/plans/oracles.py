@@ -258,6 +258,7 @@ SELECT CAST(event_id % 2 AS INT) AS kafka_partition, count(*) AS events, max(eve
 SELECT user_id AS id, event_type, amount, ts_ms - ts_ms % 86400000 AS updated_ts FROM latest WHERE op <> 'd'""",
                                         _latest(place="((ts_ms // 86400000)::HUGEINT * 10000000000 + event_id)")),
         "cdc_apply_changes": _with_events(_MIRROR, latest),
+        "cdc_crashed_merge": _with_events(_MIRROR, latest),
         "cdc_replay_equals_batch": _with_events(_MIRROR, latest),
         "cdc_state_as_of": _with_events(_MIRROR, _latest(where=f"ts_ms < {DAY_15}")),
         "cdc_state_as_of_offsets": _with_events(_MIRROR, _latest(where=_reached(DAY_15))),
@@ -310,6 +311,13 @@ SELECT CAST(row_number() OVER () - 1 AS INT) AS position, column_name AS "column
         "source_trip_files": _with_trips("""
 SELECT count(*) AS trips, count(total_amount) FILTER (WHERE trip_id % 3 <> 0) AS with_total,
        CAST(sum(passenger_count) AS BIGINT) AS passengers FROM trips"""),
+        "source_drifted_files": _with_trips("""
+SELECT CAST(trip_id % 5 AS VARCHAR) AS kind, count(*) AS trips, count(p) AS known, CAST(sum(p) AS BIGINT) AS passengers,
+       (SELECT count(*) FROM silver WHERE silver.trip_id % 5 = any_value(given.trip_id % 5)) AS clean
+FROM (SELECT trip_id, CASE WHEN trip_id % 5 <> 4 AND trip_id % 25 NOT IN (1, 2) THEN passenger_count END AS p FROM trips) given
+GROUP BY trip_id % 5
+UNION ALL SELECT 'passenger_count ' || ['double', 'string'][trip_id % 25], count(*), NULL, NULL, NULL
+FROM trips WHERE trip_id % 25 IN (1, 2) GROUP BY trip_id % 25"""),
         "source_lookups": """
 SELECT n_nationkey AS LocationID, upper(n_name) AS Zone, n_name AS source_zone FROM nation WHERE n_nationkey > 3""",
         "trips_text_times": _with_trips("""

@@ -19,8 +19,8 @@ from tidemark.session import scratch_dir
 from tidemark.sinks import messages as M, mirrors as V, runs as U
 from tidemark.sinks.tables import append_events, replace_from_query, replace_table, write_run
 from tidemark.sources import event_log as L
-from tidemark.sources.files import read_dimension, read_source_table
-from tidemark.sources.trips import read_trips
+from tidemark.sources.files import read_dimension, read_source_table, remove
+from tidemark.sources.trips import read_trips, unreadable_values
 from tidemark.streaming import ingest as I
 
 # Columns of a streamed trip that the fixture fills.
@@ -288,6 +288,20 @@ def cdc_incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, live, runs)
 
 
+def cdc_crashed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge dies after it has deleted some of its buckets; the next one rebuilds these from the log."""
+    root = scratch_dir(spark, "lake")
+    log, mirror = B.user_log(spark, sf_dir), f"{root}/mirror"
+    replace_table(log, f"{root}/bronze")
+    bronze = spark.read.parquet(f"{root}/bronze")
+    V.merge_into_mirror(bronze.filter(F.unix_millis("kafka_timestamp") < DAY_15), mirror, USERS, 8)
+    V.announce(spark, [1, 2, 5], mirror, 8)
+    for bucket in (1, 5):
+        remove(spark, f"{mirror}/of_8/bucket={bucket}")
+    V.merge_into_mirror(bronze.filter(F.unix_millis("kafka_timestamp") >= DAY_15), mirror, USERS, 8, log=lambda: bronze)
+    return V.read_mirror(spark, mirror, USERS, 8)
+
+
 def cdc_new_table_later(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drivers are declared only after a run: all of their events arrive with the next."""
     layout, log = _landed(spark, sf_dir)
@@ -363,6 +377,32 @@ def source_trip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("trips"), F.count("total_amount").alias("with_total"), F.sum("passenger_count").alias("passengers"))
 
 
+def source_drifted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip files that disagree on types: whole numbers, doubles and text, a column renamed by case, and one absent.
+
+    Per kind of file: its trips, those with a passenger count and their sum, and the clean trips among them; and per type
+    the counts that do not convert.
+    """
+    root, n = scratch_dir(spark, "files"), F.col("trip_id") % 5
+    trips, passengers = B.trips(spark, sf_dir), F.col("passenger_count")
+    halves = F.when(F.col("trip_id") % 25 == 1, passengers + 0.5).otherwise(passengers.cast("double"))
+    text = F.when(F.col("trip_id") % 25 == 2, "n/a").when(F.col("trip_id") % 25 == 7, F.concat(passengers.cast("string"), F.lit(".0"))) \
+        .otherwise(passengers.cast("string"))
+    written = F.date_format("tpep_pickup_datetime", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    kinds = [trips, trips.withColumn("passenger_count", halves),
+             trips.withColumn("passenger_count", text).withColumn("tpep_pickup_datetime", written),
+             trips.withColumnRenamed("passenger_count", "Passenger_Count"), trips.drop("passenger_count")]
+    for kind, rows in enumerate(kinds):
+        rows.filter(n == kind).write.mode("append").parquet(root)
+    read = read_trips(spark, root, "part-*.parquet").withColumn("n", n.cast("string"))
+    clean = R.clean_trips(read).groupBy((F.col("trip_id") % 5).cast("string").alias("n")).agg(F.count(F.lit(1)).alias("clean"))
+    found = read.groupBy("n").agg(F.count(F.lit(1)).alias("trips"), F.count("passenger_count").alias("known"),
+                                  F.sum("passenger_count").alias("passengers")).join(clean, "n")
+    lost = unreadable_values(spark, root, "part-*.parquet").groupBy(F.concat_ws(" ", "column", "given").alias("n")) \
+        .agg(F.sum("rows").alias("trips"))
+    return found.unionByName(lost, allowMissingColumns=True).withColumnRenamed("n", "kind")
+
+
 def source_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table replaced from a query twice, read as a lookup and as a named source."""
     where = scratch_dir(spark, "lookup") + "/zones"
@@ -673,12 +713,12 @@ def trips_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL: tuple[Query, ...] = (
     cdc_parse_envelope, cdc_route_counts, cdc_undeclared_table, cdc_quarantine, cdc_quarantined_bronze, cdc_all_accounted,
     cdc_batches_two_partitions, cdc_decimal_widths, cdc_wide_topic, cdc_string_keys, cdc_incremental_run, cdc_new_table_later,
-    cdc_backfill,
+    cdc_backfill, cdc_crashed_merge,
     cdc_mirror_customers, cdc_mirror_drivers, cdc_current_state, cdc_first_rows, cdc_latest_ties, cdc_apply_changes, cdc_replay_equals_batch,
     cdc_state_as_of, cdc_state_as_of_offsets, cdc_deleted_keys, cdc_resurrected_keys, cdc_offset_order,
     cdc_run_summary, cdc_snapshot_diff, cdc_diff_applied, cdc_pending_offsets, cdc_offset_range,
     cdc_checkpoint_batches, cdc_reconcile, cdc_row_diff, cdc_schema_evolution, cdc_reparse,
-    quality_counts, quality_describe, source_trip_files, source_lookups, trips_text_times,
+    quality_counts, quality_describe, source_trip_files, source_drifted_files, source_lookups, trips_text_times,
     trips_clean, trips_rejects, trips_enriched, trips_events_roundtrip, trips_event_text, trips_bad_lines, trips_appended, ids_dense, ids_hash,
     ids_fast, layer_counts,
     tips_behavior, tips_mode_payment, tips_rankings, tips_rankings_overlap, tips_rankings_both,
