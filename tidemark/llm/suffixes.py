@@ -10,7 +10,8 @@ distinct stretch once per group of documents (shard). Every task then sorts the
    is put next in its bucket if it is greater than its successor.
 
 Adjacent suffixes with a common prefix of a window's length are equal windows; the least document id of each run of them
-says which occurrences go. Documents are shuffled once; the anchor and span steps use the same shuffle again.
+says which occurrences go. Documents are shuffled once; the anchor and span steps use the same shuffle again. Of equal
+texts only the one of least id takes part, the others go whole.
 
 An anchor in very many shards would bring a task very many different stretches, as what surrounds it differs. Its
 stretches are cut into single windows, which are dealt by their own content.
@@ -31,11 +32,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import pick, ship
 
 #: Text of about so many bytes makes a shard; stretches of a shard go to so many times as many tasks.
-SHARD_BYTES, SPREAD = 16 << 20, 8
+SHARD_BYTES, SPREAD = 8 << 20, 8
 #: An anchor in more shards than this has its stretches cut into windows.
-WIDE = 64
+WIDE = 128
 #: Windows in a stretch at most, and bytes looked at in one go.
-_STRETCH, _SLICE = 64, 1 << 20
+_STRETCH, _SLICE = 64, 1 << 18
 # An anchor travels as the upper bits of its hash, with the number of its shard in the lower ones.
 _SHARD_BITS = 24
 _BASE = 0x9E3779B97F4A7C15
@@ -138,7 +139,7 @@ def direct_order(codes: np.ndarray, chosen: np.ndarray, left: np.ndarray, depth:
     for i in (1, 2, 3):
         four = (four << _CODE_BITS) | words[i:len(words) - 3 + i]
     key = (four[chosen] << (3 * _CODE_BITS)) | (four[chosen + 4] >> _CODE_BITS)
-    by = np.argsort(key, kind="stable")
+    by = np.argsort(key)
     order, key, reached = chosen[by], key[by], 7
     group = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     group = np.repeat(group, np.diff(np.r_[group, len(order)]))
@@ -149,7 +150,7 @@ def direct_order(codes: np.ndarray, chosen: np.ndarray, left: np.ndarray, depth:
         if not len(open_):
             break
         key = (group[open_] << (4 * _CODE_BITS)) | four[order[open_] + reached]
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         order[open_], key = order[open_][by], key[by]
         new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         group[open_] = np.repeat(open_[new], np.diff(np.r_[new, len(open_)]))
@@ -238,23 +239,42 @@ def _numbers(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
 
 
-def _joined(blobs: list, kind=np.uint64) -> np.ndarray:
-    return np.frombuffer(b"".join(b for b in blobs if b), kind)
+def _joined(table: pa.Table, name: str) -> np.ndarray:
+    """Sorted numbers of a column of binary values that hold some each; NULL holds none."""
+    return np.unique(np.frombuffer(b"".join(v for v in table.column(name).to_pylist() if v), np.uint64))
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each value is one of the ``known``, which are sorted."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
 
+def _taking_part(table: pa.Table, sent: pa.Table, length: int) -> pa.Table:
+    """Rows with an id and a window that are the first of their text.
 
-def _usable(table: pa.Table, length: int) -> pa.Table:
-    """Rows with an id and a window. Left out here and not by a filter, which would keep steps from sharing a shuffle."""
-    return table.filter(pc.and_(pc.is_valid(table.column("id")),
-                                pc.greater_equal(pc.binary_length(table.column("text")), length)))
+    Left out here and not by a filter, which would keep the steps from sharing one shuffle.
+    """
+    table = table.filter(pc.and_(pc.is_valid(table.column("id")), pc.greater_equal(pc.binary_length(table.column("text")), length)))
+    first = set(zip(sent.column("id").to_pylist(), sent.column("mark").to_pylist()))
+    return table.filter(pa.array([row in first for row in zip(table.column("id").to_pylist(), table.column("mark").to_pylist())], pa.bool_()))
 
 
-_SPANS = [("shard", pa.int32()), ("id", pa.list_(pa.int64())), ("mark", pa.list_(pa.int64())),
-          ("lo", pa.list_(pa.int32())), ("hi", pa.list_(pa.int32()))]
+def _grouped(key: np.ndarray, **columns) -> tuple[np.ndarray, dict[str, pa.Array]]:
+    """The different keys, and per key a list of each column's values, given as arrays or lists with their type."""
+    by = np.argsort(key, kind="stable")
+    cuts = np.flatnonzero(np.r_[True, np.diff(key[by]) != 0]) if len(by) else by
+    offsets = pa.array(np.r_[cuts, len(by)], pa.int32())
+    lists = {}
+    for name, (values, kind) in columns.items():
+        values = [values[i] for i in by.tolist()] if isinstance(values, list) else values[by]
+        lists[name] = pa.ListArray.from_arrays(offsets, pa.array(values, kind))
+    return key[by][cuts], lists
 
 
-def _span_table(by_shard: dict[int, list[tuple[int, int, int, int]]]) -> pa.Table:
-    rows = [[shard, *map(list, zip(*spans))] for shard, spans in by_shard.items() if spans]
-    return pa.table([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(_SPANS)], names=[n for n, _ in _SPANS])
+_SPAN = {"id": pa.int64(), "mark": pa.int64(), "lo": pa.int32(), "hi": pa.int32()}
+_SPAN_SCHEMA = "id array<bigint>, mark array<bigint>, lo array<int>, hi array<int>"
 
 
 def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -268,21 +288,30 @@ def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def repeated_anchors(shards: DataFrame, length: int, slots: int, wide: int = WIDE) -> DataFrame:
+def first_of_texts(shards: DataFrame) -> DataFrame:
+    """(shard, id, mark) of the least id of every distinct text."""
+    best = shards.filter(F.col("id").isNotNull()).groupBy(F.sha2("text", 256).alias("digest")) \
+        .agg(F.min(F.struct("id", "mark", "shard")).alias("first"))
+    return best.select("first.shard", "first.id", "first.mark")
+
+
+def repeated_anchors(shards: DataFrame, firsts: DataFrame, length: int, slots: int, wide: int = WIDE) -> DataFrame:
     """(shard, repeated, wide): upper bits of the anchors that other shards hold too, and of those in very many."""
-    def collect(table: pa.Table) -> pa.Table:
+    def collect(table: pa.Table, sent: pa.Table) -> pa.Table:
+        table = _taking_part(table, sent, length)
+        if not len(table):
+            return pa.table({"slot": pa.array([], pa.int32()), "anchors": pa.array([], pa.binary())})
         shard = table.column("shard")[0].as_py()
-        known = [np.unique(anchor) for *_, anchor in _found(_usable(table, length).column("text").to_pylist(), length)]
-        known = np.unique(np.concatenate(known)) if known else np.zeros(0, np.uint64)
+        known = np.unique(np.concatenate([np.unique(anchor) for *_, anchor in _found(table.column("text").to_pylist(), length)]))
         slot = (known % np.uint64(slots)).astype(np.int64)
         by = np.argsort(slot, kind="stable")
         packed = (known[by] >> np.uint64(_SHARD_BITS) << np.uint64(_SHARD_BITS)) | np.uint64(shard)
         cuts = np.flatnonzero(np.diff(slot[by], prepend=-1))
         return pa.table({"slot": pa.array(slot[by][cuts], pa.int32()),
-                         "anchors": pa.array([p.tobytes() for p in np.split(packed, cuts[1:])][:len(cuts)], pa.binary())})
+                         "anchors": pa.array([p.tobytes() for p in np.split(packed, cuts[1:])], pa.binary())})
 
     def compare(table: pa.Table) -> pa.Table:
-        packed = np.sort(_joined(table.column("anchors").to_pylist()))
+        packed = _joined(table, "anchors")
         anchor = packed >> np.uint64(_SHARD_BITS)
         shard = (packed & np.uint64((1 << _SHARD_BITS) - 1)).astype(np.int64)
         runs = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
@@ -296,104 +325,115 @@ def repeated_anchors(shards: DataFrame, length: int, slots: int, wide: int = WID
         return pa.table({"shard": pa.array(shard[cuts], pa.int32()), "repeated": pa.array([a.tobytes() for a, _ in parts], pa.binary()),
                          "wide": pa.array([a[w].tobytes() for a, w in parts], pa.binary())})
 
-    sent = shards.groupBy("shard").applyInArrow(collect, "slot int, anchors binary")
+    sent = shards.groupBy("shard").cogroup(firsts.groupBy("shard")).applyInArrow(collect, "slot int, anchors binary")
     return sent.groupBy("slot").applyInArrow(compare, "shard int, repeated binary, wide binary")
 
 
-def repeated_stretches(shards: DataFrame, anchors: DataFrame, length: int, tasks: int) -> DataFrame:
-    """Stretches around repeated anchors, dealt to ``tasks``; each distinct one once per shard, for its least id.
+def repeated_stretches(shards: DataFrame, firsts: DataFrame, anchors: DataFrame, length: int, tasks: int) -> DataFrame:
+    """Stretches around repeated anchors, dealt to ``tasks``; of those that a shard holds more than once, the least id's.
 
-    Where a shard holds a stretch in several documents, those of greater id are settled: their spans go along as they are.
+    The others are settled: their spans go along as they are, without the stretch.
     """
-    fields = [("task", pa.int32()), ("shard", pa.int32()), ("id", pa.list_(pa.int64())), ("mark", pa.list_(pa.int64())),
-              ("lo", pa.list_(pa.int32())), ("hi", pa.list_(pa.int32())), ("stretch", pa.list_(pa.binary()))]
+    def none() -> pa.Table:
+        return pa.table([pa.array([], pa.int32())] * 2 + [pa.array([], pa.list_(k)) for k in (*_SPAN.values(), pa.binary())],
+                        names=["task", "shard", *_SPAN, "stretch"])
 
     def cut(table: pa.Table, sent: pa.Table) -> pa.Table:
+        table = _taking_part(table, sent.filter(pc.is_null(sent.column("repeated"))), length)
         if not len(table):
-            return pa.table([pa.array([], kind) for _, kind in fields], names=[n for n, _ in fields])
+            return none()
         shard = table.column("shard")[0].as_py()
-        table = _usable(table, length)
         ids, marks = _numbers(table, "id"), _numbers(table, "mark")
         texts = table.column("text").to_pylist()
+        low = np.uint64(_SHARD_BITS)
         # Which of its own anchors several of the shard's rows hold.
-        seen = [np.unique((anchor >> np.uint64(_SHARD_BITS) << np.uint64(_SHARD_BITS)) | row.astype(np.uint64))
-                for _, row, _, _, _, anchor in _found(texts, length)]
-        own = np.unique(np.concatenate(seen)) >> np.uint64(_SHARD_BITS) if seen else np.zeros(0, np.uint64)
-        own = np.unique(own[1:][own[1:] == own[:-1]])
-        repeated = np.union1d(own, _joined(sent.column("repeated").to_pylist()) if len(sent) else own)
-        wide = np.unique(_joined(sent.column("wide").to_pylist())) if len(sent) else repeated[:0]
-        first: dict[tuple[int, bytes], tuple[int, int, int]] = {}
-        settled = defaultdict(list)
-
-        def meet(task: int, stretch: bytes, row: int, lo: int) -> None:
-            new = (int(ids[row]), row, lo)
-            old = first.setdefault((task, stretch), new)
-            if old[0] != new[0]:
-                if new < old:
-                    first[task, stretch], new = new, old
-                settled[new[1]].append((new[2], new[2] + len(stretch)))
-            elif old[1] != row and marks[old[1]] != marks[row]:
-                twins.append((task, stretch, row, lo))  # another text of the same id
-            elif old != new:
-                again[old[1]].append((lo, task, stretch, row))
-
-        twins, again = [], defaultdict(list)
+        seen = [np.unique((anchor >> low << low) | row.astype(np.uint64)) for _, row, _, _, _, anchor in _found(texts, length)]
+        own = np.unique(np.concatenate(seen)) >> low
+        own = own[1:][own[1:] == own[:-1]]
+        repeated, wide = np.union1d(own, _joined(sent, "repeated")), _joined(sent, "wide")
+        rows, los, dealt, parts = [], [], [], []
         for data, row, offset, place, count, anchor in _found(texts, length):
-            upper = anchor >> np.uint64(_SHARD_BITS)
-            keep = np.flatnonzero(np.isin(upper, repeated))
-            broad = np.isin(upper[keep], wide)
-            for i, r, lo, p, n, a, b in zip(keep.tolist(), row[keep].tolist(), offset[keep].tolist(), place[keep].tolist(),
-                                            count[keep].tolist(), anchor[keep].tolist(), broad.tolist()):
-                if b:
-                    for k in range(n):
-                        window = data[p + k:p + k + length]
-                        meet(zlib.crc32(window) % tasks, window, r, lo + k)
-                else:
-                    meet(a % tasks, data[p:p + n + length - 1], r, lo)
-        rows = defaultdict(lambda: [[], [], [], [], []])
-        kept = [(task, stretch, row, lo) for (task, stretch), (_, row, lo) in first.items()] + twins
-        kept += [(task, stretch, row, lo) for found in again.values() for lo, task, stretch, row in found]
-        for task, stretch, row, lo in kept:
-            for values, value in zip(rows[task], (int(ids[row]), int(marks[row]), lo, lo + len(stretch), stretch)):
-                values.append(value)
-        out = [[task, shard, *values] for task, values in rows.items()]
-        spans = [(int(ids[row]), int(marks[row]), lo, hi) for row, found in settled.items() for lo, hi in _united(found)]
-        if spans:
-            out.append([shard % tasks, shard, *map(list, zip(*spans)), None])
-        return pa.table([pa.array([r[i] for r in out], kind) for i, (_, kind) in enumerate(fields)], names=[n for n, _ in fields])
-
-    return shards.groupBy("shard").cogroup(anchors.groupBy("shard")).applyInArrow(
-        cut, "task int, shard int, id array<bigint>, mark array<bigint>, lo array<int>, hi array<int>, stretch array<binary>")
+            keep = np.flatnonzero(_among(anchor >> low, repeated))
+            broad = _among(anchor[keep] >> low, wide)
+            for chosen, single in ((keep[~broad], False), (keep[broad], True)):
+                starts, size = place[chosen], count[chosen] + length - 1
+                back, step = chosen, np.zeros(len(chosen), np.int64)
+                if single:  # every window for itself
+                    back = np.repeat(chosen, count[chosen])
+                    step = np.arange(len(back)) - np.repeat(np.cumsum(count[chosen]) - count[chosen], count[chosen])
+                    starts, size = place[back] + step, np.full(len(back), length)
+                found = [data[a:a + n] for a, n in zip(starts.tolist(), size.tolist())]
+                parts += found
+                rows.append(row[back])
+                los.append(offset[back] + step)
+                dealt.append(np.array([zlib.crc32(w) % tasks for w in found], np.int64) if single
+                             else (anchor[back] % np.uint64(tasks)).astype(np.int64))
+        if not parts:
+            return none()
+        row, lo, task = np.concatenate(rows), np.concatenate(los), np.concatenate(dealt)
+        number: dict[bytes, int] = {}
+        which = np.array([number.setdefault(p, len(number)) for p in parts], np.int64)
+        hi = lo + np.array([len(p) for p in parts], np.int64)
+        least = np.full(len(number), np.iinfo(np.int64).max)
+        np.minimum.at(least, which, ids[row])
+        later = ids[row] > least[which]
+        sent_on = np.flatnonzero(~later)
+        keys, lists = _grouped(task[sent_on], id=(ids[row[sent_on]], pa.int64()), mark=(marks[row[sent_on]], pa.int64()),
+                               lo=(lo[sent_on], pa.int32()), hi=(hi[sent_on], pa.int32()),
+                               stretch=([parts[i] for i in sent_on.tolist()], pa.binary()))
+        out = pa.table([pa.array(keys, pa.int32()), pa.array(np.full(len(keys), shard), pa.int32()), *lists.values()],
+                       names=["task", "shard", *lists])
+        settled = defaultdict(list)
+        for r, a, b in zip(row[later].tolist(), lo[later].tolist(), hi[later].tolist()):
+            settled[r].append((a, b))
+        spans = [(ids[r], marks[r], a, b) for r, found in settled.items() for a, b in _united(found)]
+        if not spans:
+            return out
+        lists = [pa.array([v], pa.list_(k)) for v, k in zip(zip(*spans), _SPAN.values())]
+        known = pa.table([pa.array([shard % tasks], pa.int32()), pa.array([shard], pa.int32()), *lists,
+                          pa.array([None], pa.list_(pa.binary()))], names=out.column_names)
+        return pa.concat_tables([out, known])
+
+    sent = anchors.select("shard", "repeated", "wide", F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("bigint").alias("mark")) \
+        .unionByName(firsts, allowMissingColumns=True)
+    return shards.groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(
+        cut, f"task int, shard int, {_SPAN_SCHEMA}, stretch array<binary>")
 
 
 def repeated_spans(sent: DataFrame, length: int) -> DataFrame:
     """Spans covered by windows that a smaller id holds: (shard, id, mark, lo, hi), in lists. By suffix arrays."""
     def sort(table: pa.Table) -> pa.Table:
-        rows = table.select(["shard", "id", "mark", "lo", "hi", "stretch"]).to_pylist()
-        out, least, held = defaultdict(list), {}, []
-        for row in rows:
-            if row["stretch"] is None:
-                out[row["shard"]] += zip(row["id"], row["mark"], row["lo"], row["hi"])
-                continue
-            for one, mark, lo, hi, stretch in zip(row["id"], row["mark"], row["lo"], row["hi"], row["stretch"]):
-                least[stretch] = min(one, least.get(stretch, one))
-                held.append((row["shard"], one, mark, lo, hi, stretch))
-        texts = list(least)
-        if texts:
-            number = {t: i for i, t in enumerate(texts)}
-            found, begin = earliest(texts, np.array([least[t] for t in texts], np.int64), length)
-            for shard, one, mark, lo, hi, stretch in held:
-                if least[stretch] < one:
-                    out[shard].append((one, mark, lo, hi))
-                    continue
-                i = number[stretch]
-                gone = found[begin[i]:begin[i] + hi - lo - length + 1] < one
-                edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
-                out[shard] += [(one, mark, lo + int(a), lo + int(b) + length - 1) for a, b in edges.reshape(-1, 2)]
-        return _span_table(out)
-
-    return sent.groupBy("task").applyInArrow(
-        sort, "shard int, id array<bigint>, mark array<bigint>, lo array<int>, hi array<int>")
+        table = table.select(["shard", *_SPAN, "stretch"])
+        known = pc.is_null(table.column("stretch"))
+        settled, open_ = table.filter(known).drop_columns(["stretch"]), table.filter(pc.invert(known)).combine_chunks()
+        if not len(open_):
+            return settled
+        flat = {name: open_.column(name).combine_chunks().flatten() for name in (*_SPAN, "stretch")}
+        shard = np.repeat(_numbers(open_, "shard"), pc.list_value_length(open_.column("stretch")).to_numpy())
+        ids, marks, lo, hi = (flat[n].to_numpy(zero_copy_only=False).astype(np.int64) for n in _SPAN)
+        number: dict[bytes, int] = {}
+        which = np.array([number.setdefault(p, len(number)) for p in flat["stretch"].to_pylist()], np.int64)
+        least = np.full(len(number), np.iinfo(np.int64).max)
+        np.minimum.at(least, which, ids)
+        found, begin = earliest(list(number), least, length)
+        # Whole stretches of a greater id go; of the least id's, what another stretch has for a smaller one.
+        whole = np.flatnonzero(ids > least[which])
+        doubtful = np.flatnonzero((ids == least[which]) & (np.minimum.reduceat(found, begin)[which] < ids))
+        picked, los, his = [whole], [lo[whole]], [hi[whole]]
+        for i in doubtful.tolist():
+            at = begin[which[i]]
+            gone = found[at:at + hi[i] - lo[i] - length + 1] < ids[i]
+            edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8))).reshape(-1, 2)
+            picked.append(np.full(len(edges), i))
+            los.append(lo[i] + edges[:, 0])
+            his.append(lo[i] + edges[:, 1] + length - 1)
+        back = np.concatenate(picked)
+        keys, lists = _grouped(shard[back], id=(ids[back], pa.int64()), mark=(marks[back], pa.int64()),
+                               lo=(np.concatenate(los), pa.int32()), hi=(np.concatenate(his), pa.int32()))
+        out = pa.table([pa.array(keys, pa.int32()), *lists.values()], names=["shard", *lists])
+        return pa.concat_tables([out, settled.cast(out.schema)])
+
+    return sent.groupBy("task").applyInArrow(sort, f"shard int, {_SPAN_SCHEMA}")
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text",
@@ -413,17 +453,24 @@ def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", te
     count = max(1, -(-total // size))
     rows = rows.withColumn("mark", F.xxhash64("text"))
     shards = rows.withColumn("shard", F.pmod(F.xxhash64("id", "mark"), F.lit(count)).cast("int"))
-    anchors = repeated_anchors(shards, length, count, wide)
-    spans = repeated_spans(repeated_stretches(shards, anchors, length, SPREAD * count), length)
+    firsts = first_of_texts(shards)
+    anchors = repeated_anchors(shards, firsts, length, count, wide)
+    spans = repeated_spans(repeated_stretches(shards, firsts, anchors, length, SPREAD * count), length)
+    # A row of firsts among the spans has no list of them.
+    known = spans.unionByName(firsts.select("shard", *[F.array(F.col(c)).alias(c) for c in ("id", "mark")]), allowMissingColumns=True)
 
     def strip(table: pa.Table, sent: pa.Table) -> pa.Table:
-        found = defaultdict(list)
-        for row in sent.select(["id", "mark", "lo", "hi"]).to_pylist():
-            for one, mark, lo, hi in zip(row["id"], row["mark"], row["lo"], row["hi"]):
-                found[one, mark].append((lo, hi))
-        united = {key: _united(value) for key, value in found.items()}
+        found, first = defaultdict(list), set()
+        for row in sent.select(list(_SPAN)).to_pylist():
+            if row["lo"] is None:
+                first.add((row["id"][0], row["mark"][0]))
+            else:
+                for one, mark, lo, hi in zip(*row.values()):
+                    found[one, mark].append((lo, hi))
         ids, marks, texts = (table.column(n).to_pylist() for n in ("id", "mark", "text"))
-        gone = [united.get((i, m), []) for i, m in zip(ids, marks)]
+        united = {key: _united(value) for key, value in found.items()}
+        gone = [united.get((i, m), []) if i is None or (i, m) in first or len(t) < length else [(0, len(t))]
+                for i, m, t in zip(ids, marks, texts)]
         kept = []
         for value, cuts in zip(texts, gone):
             at = [0, *[edge for cut in cuts for edge in cut], len(value)]
@@ -433,7 +480,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", te
                          "spans": pa.array([[{"lo": lo, "hi": hi} for lo, hi in cuts] for cuts in gone], span),
                          "kept": pa.array(kept, pa.binary())})
 
-    out = shards.groupBy("shard").cogroup(spans.groupBy("shard")).applyInArrow(
+    out = shards.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(
         strip, "id bigint, n_bytes bigint, spans array<struct<lo: int, hi: int>>, kept binary")
     return out.withColumnRenamed("id", doc_id)
 
