@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import schemas as S
 from tidemark.operators.envelope import event_key, problem
+from tidemark.sources.event_log import Offsets, per_partition, read_offsets
 
 # Later events win. Offsets decide equal times; partitions only make the order total.
 ORDER = ("ts_ms", "kafka_offset", "kafka_partition")
@@ -102,6 +103,48 @@ def state_as_of(bronze: DataFrame, spec: S.TableSpec, at: int | DataFrame, by: s
     return current_state(before_point(bronze, at, by), spec)
 
 
+def state_from(state: DataFrame, reached: Offsets, bronze: DataFrame, spec: S.TableSpec, cut: Offsets) -> DataFrame:
+    """State at the offsets ``cut`` from an earlier one that was taken at the offsets ``reached``.
+
+    Only the stretch of the log between the two is read: its bounds are pushed into the scan.
+    """
+    tail = read_offsets(bronze, cut, reached, "kafka_partition", "kafka_offset")
+    return apply_changes(state, tail, spec)
+
+
+def horizons(bronze: DataFrame, retention_ms: int, known: Offsets | None = None) -> Offsets:
+    """Per (topic, partition): event time below which events are no longer taken.
+
+    It lies ``retention_ms`` below the latest event of the partition and never falls. One row per partition comes to
+    the driver.
+    """
+    latest = bronze.groupBy("topic", "kafka_partition").agg(F.max("ts_ms").alias("ts_ms")).filter(F.col("ts_ms").isNotNull())
+    found = {(r.topic, r.kafka_partition): r.ts_ms - retention_ms for r in latest.collect()}
+    return {p: max(found.get(p, 0), (known or {}).get(p, 0)) for p in {**found, **(known or {})}}
+
+
+def _too_late(horizon: Offsets) -> Column:
+    """Whether a row's time is below the horizon of its partition; one without a time is, if there is a horizon."""
+    bound = per_partition(horizon, F.col("topic"), F.col("kafka_partition"))
+    return F.coalesce(F.coalesce(F.col("ts_ms"), F.lit(-1)) < bound, F.lit(False))
+
+
+def split_late(bronze: DataFrame, spec: S.TableSpec, horizon: Offsets) -> tuple[DataFrame, DataFrame]:
+    """Events that may be merged, and those refused because they are older than what markers are kept for."""
+    late = _too_late(horizon)
+    return bronze.filter(~late), bronze.filter(late & problem(spec).isNull()).withColumn("reason", F.lit("too_late"))
+
+
+def without_old_markers(state: DataFrame, spec: S.TableSpec, horizon: Offsets) -> DataFrame:
+    """State without the deletion markers below the horizon of the partition their delete came by.
+
+    Events that such a marker held back are older than it and are refused, provided that a key's events come by one
+    partition, as the key's hash sees to.
+    """
+    rows = state.withColumn("topic", F.lit(spec.topic))
+    return rows.filter(~(F.col("deleted") & _too_late(horizon))).drop("topic")
+
+
 def deleted_keys(bronze: DataFrame, spec: S.TableSpec) -> DataFrame:
     """Keys whose latest event is a delete."""
     return fold_state(bronze, spec).filter("deleted").select(spec.key, F.col("ts_ms").alias("deleted_ts"))

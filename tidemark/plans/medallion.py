@@ -8,15 +8,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schemas as S
-from tidemark.operators.changelog import before_point
+from tidemark.operators.changelog import fold_state, live_rows
 from tidemark.operators.envelope import problem
 from tidemark.operators.ids import assign_ids
 from tidemark.operators.quality import reconcile
 from tidemark.operators.tips import (
     behavior_from_totals, daily_totals, driver_tip_report, rankings_from_totals, roll_up)
 from tidemark.operators.trips import clean_trips, enrich_zones
-from tidemark.sinks.mirrors import Log, merge_into_mirror, read_mirror, rebuild_mirror, repair
-from tidemark.sinks.runs import list_runs, load_offsets, return_to, save_run
+from tidemark.sinks import deltas
+from tidemark.sinks.kept import keep_state, reached, state_at
+from tidemark.sinks.mirrors import Log, merge_into_mirror, read_mirror, read_state, repair, replace_state
+from tidemark.sinks.runs import list_runs, load_offsets, newest_run, return_to, save_run
 from tidemark.sinks.tables import replace_table, write_run
 from tidemark.sources.event_log import (
     Offsets, complete_start, per_partition, read_event_log, read_kafka, read_offsets)
@@ -26,14 +28,24 @@ from tidemark.streaming.ingest import bronze_path, ingest_messages
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the tables of one lakehouse live. ``buckets``: into how many parts a mirror is split by key."""
+    """Where the tables of one lakehouse live, and how mirrors are kept.
+
+    ``buckets``: into how many parts a mirror is split by key. ``fold_share``: keep mirrors as a base and deltas instead,
+    with a new base whenever the deltas exceed that share of it. ``keep_every``: keep a copy of each state after every
+    so many runs, from which earlier points are reached; with deltas the bases are such copies.
+    """
 
     root: str
     buckets: int = 16
+    fold_share: float | None = None
+    keep_every: int = 0
 
     def mirror(self, spec: S.TableSpec) -> str:
         return f"{self.root}/silver_{spec.name}"
 
+    def kept(self, spec: S.TableSpec) -> str:
+        return f"{self.root}/kept_{spec.name}"
+
     @property
     def runs(self) -> str:
         return f"{self.root}/runs"
@@ -78,6 +90,30 @@ def kafka_log(spark: SparkSession, servers: str, specs: list[S.TableSpec], parti
     return read
 
 
+def mirror_of(spark: SparkSession, layout: Layout, spec: S.TableSpec) -> DataFrame:
+    """Live rows of a table's mirror, however it is kept."""
+    if layout.fold_share is not None:
+        return deltas.read_mirror(spark, layout.mirror(spec), spec)
+    return read_mirror(spark, layout.mirror(spec), spec, layout.buckets)
+
+
+def mirror_as_of(spark: SparkSession, layout: Layout, spec: S.TableSpec, run: int) -> DataFrame:
+    """Live rows as a run left them, from the nearest earlier state that is stored and what came after it."""
+    if layout.fold_share is not None:
+        return deltas.read_mirror(spark, layout.mirror(spec), spec, run)
+    bronze = read_if_present(spark, bronze_path(layout.root, spec), spec.bronze_schema)
+    bronze = spark.createDataFrame([], spec.bronze_schema) if bronze is None else bronze
+    return live_rows(state_at(bronze, spec, reached(spark, layout.runs, spec, run), layout.kept(spec), layout.runs), spec)
+
+
+def _merge(new: DataFrame, layout: Layout, spec: S.TableSpec, run: int) -> None:
+    spark = new.sparkSession
+    if layout.fold_share is None:
+        merge_into_mirror(new, layout.mirror(spec), spec, layout.buckets, _bronze_log(spark, layout, spec))
+    else:
+        deltas.append_delta(new, layout.mirror(spec), spec, run)
+
+
 def refresh_changes(spark: SparkSession, reader: Reader, layout: Layout, specs: list[S.TableSpec]) -> DataFrame | None:
     """Take in what is new in the log of the given tables; returns the stored summary of the run, None if nothing was new.
 
@@ -85,8 +121,9 @@ def refresh_changes(spark: SparkSession, reader: Reader, layout: Layout, specs:
     The offsets stored are those read in this run, of these tables: what arrives meanwhile, and tables declared later,
     wait for their run. Mirrors that an earlier run left half-written are rebuilt first, also by an idle run.
     """
-    for spec in specs:
-        repair(spark, layout.mirror(spec), spec, layout.buckets, _bronze_log(spark, layout, spec))
+    if layout.fold_share is None:
+        for spec in specs:
+            repair(spark, layout.mirror(spec), spec, layout.buckets, _bronze_log(spark, layout, spec))
     known = {(r.topic, r.kafka_partition): r.next_offset for r in load_offsets(spark, layout.runs).collect()}
     wanted = {spec.topic for spec in specs}
     start = {p: at for p, at in known.items() if p[0] in wanted}
@@ -97,14 +134,15 @@ def refresh_changes(spark: SparkSession, reader: Reader, layout: Layout, specs:
     if not end:
         return None
     ingest_messages(read_event_log(reader({p: start.get(p, 0) for p in end}, end), specs), specs, layout.root)
+    last = newest_run(spark, layout.runs)
+    run = 0 if last is None else last + 1
     counts = {}
     for spec in specs:
         if not any(topic == spec.topic for topic, _ in end):
             continue
-        log = _bronze_log(spark, layout, spec)
-        new = _in_ranges(log(), end, start)
-        merge_into_mirror(new, layout.mirror(spec), spec, layout.buckets, log)
-        live = read_mirror(spark, layout.mirror(spec), spec, layout.buckets).count()
+        new = _in_ranges(_bronze_log(spark, layout, spec)(), end, start)
+        _merge(new, layout, spec, run)
+        live = mirror_of(spark, layout, spec).count()
         for row in new.groupBy("kafka_partition").agg(F.count(F.lit(1)).alias("n"),
                                                       F.count(F.when(problem(spec).isNull(), 1)).alias("ok")).collect():
             counts[spec.topic, row.kafka_partition] = (row.n, row.ok, live)
@@ -113,7 +151,14 @@ def refresh_changes(spark: SparkSession, reader: Reader, layout: Layout, specs:
              *counts.get((topic, number), (0, 0, None)))
             for (topic, number), at in sorted(({p: 0 for p in end} | known).items())]
     columns = "topic string, kafka_partition int, next_offset long, from_offset long, events_read long, applied long, live_rows long"
-    run = save_run(spark.createDataFrame(rows, columns), layout.runs)
+    save_run(spark.createDataFrame(rows, columns), layout.runs)
+    for spec in specs:
+        if layout.fold_share is not None:
+            deltas.fold(spark, layout.mirror(spec), spec, layout.fold_share)
+        elif layout.keep_every and run % layout.keep_every == 0:
+            state = read_state(spark, layout.mirror(spec), spec, layout.buckets)
+            if state is not None:
+                keep_state(state.drop("bucket"), layout.kept(spec), run)
     return list_runs(spark, layout.runs).filter(F.col("run") == run)
 
 
@@ -131,20 +176,33 @@ def backfill(spark: SparkSession, layout: Layout, specs: list[S.TableSpec], from
     for spec in specs:
         bronze = read_if_present(spark, bronze_path(layout.root, spec), spec.bronze_schema)
         if bronze is not None:
-            rebuild_mirror(bronze, layout.mirror(spec), spec, layout.buckets)
+            _rebuild(fold_state(bronze, spec), layout, spec)
     if from_log:
         topics = [spec.topic for spec in specs]
         at = F.when(F.col("topic").isin(*topics), F.lit(0)).otherwise(F.col("next_offset"))
         save_run(load_offsets(spark, layout.runs).withColumn("next_offset", at), layout.runs, "backfill")
 
 
+def _rebuild(state: DataFrame, layout: Layout, spec: S.TableSpec) -> None:
+    spark = state.sparkSession
+    if layout.fold_share is None:
+        replace_state(state, layout.mirror(spec), spec, layout.buckets)
+    else:
+        deltas.replace_state(state, layout.mirror(spec), spec, newest_run(spark, layout.runs) or 0)
+
+
 def return_to_run(spark: SparkSession, layout: Layout, specs: list[S.TableSpec], run: int) -> None:
-    """Put mirrors and offsets back to where a run left them; events after it return with the next refresh."""
-    cut = load_offsets(spark, layout.runs, run)
+    """Put mirrors and offsets back to where a run left them; events after it return with the next refresh.
+
+    Mirrors start from the nearest state that was kept at or before that run; see :func:`mirror_as_of`.
+    """
     for spec in specs:
         bronze = read_if_present(spark, bronze_path(layout.root, spec), spec.bronze_schema)
-        if bronze is not None:
-            rebuild_mirror(before_point(bronze, cut, by="offset"), layout.mirror(spec), spec, layout.buckets)
+        if layout.fold_share is not None:
+            deltas.return_to(spark, layout.mirror(spec), spec, run, newest_run(spark, layout.runs) + 1)
+        elif bronze is not None:
+            cut = reached(spark, layout.runs, spec, run)
+            replace_state(state_at(bronze, spec, cut, layout.kept(spec), layout.runs), layout.mirror(spec), spec, layout.buckets)
     return_to(spark, layout.runs, run)
 
 
@@ -183,7 +241,7 @@ def refresh_gold(spark: SparkSession, layout: Layout, drivers: S.TableSpec = S.D
         replace_table(rankings_from_totals(totals), layout.gold("tip_rankings"))
     finally:
         totals.unpersist()
-    report = driver_tip_report(silver, read_mirror(spark, layout.mirror(drivers), drivers, layout.buckets), mode)
+    report = driver_tip_report(silver, mirror_of(spark, layout, drivers), mode)
     replace_table(report, layout.gold("driver_tip_report"))
 
 
@@ -191,7 +249,7 @@ def check_mirrors(spark: SparkSession, sources: dict[str, DataFrame], layout: La
                   specs: list[S.TableSpec]) -> dict[str, DataFrame]:
     """Rows that differ between each source table and its mirror; run it whether or not anything was new."""
     return {spec.name: reconcile(sources[spec.name].select(*spec.columns.names),
-                                 read_mirror(spark, layout.mirror(spec), spec, layout.buckets), spec.key)
+                                 mirror_of(spark, layout, spec), spec.key)
             for spec in specs if spec.name in sources}
 
 

@@ -201,6 +201,15 @@ def _counts(column: str, **sources: str) -> str:
     return " UNION ALL ".join(f"SELECT '{name}' AS {column}, count(*) AS rows FROM {source}" for name, source in sources.items())
 
 
+_ROW_DIFF = """
+(SELECT *, CAST(1 AS BIGINT) AS in_a, CAST(0 AS BIGINT) AS in_b FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM n))
+UNION ALL (SELECT *, 0, 1 FROM (SELECT * FROM n EXCEPT ALL SELECT * FROM o))"""
+
+#: Events of the first of two runs, and those of the second within two days of the latest event of their partition before.
+_IN_TIME = (f"arrived_ms < {DAY_15} OR ts_ms >= (SELECT max(x.ts_ms) - 172800000 FROM ev x "
+            f"WHERE x.user_id % 4 = ev.user_id % 4 AND x.arrived_ms < {DAY_15})")
+
+
 def oracle_sql() -> dict[str, str]:
     latest = _latest()
     live_of = {half: f"latest WHERE op <> 'd' AND user_id % 2 = {half}" for half in (0, 1)}
@@ -293,10 +302,16 @@ SELECT id, 'missing' AS status, NULL AS columns, amount AS source_amount, CAST(N
 FROM live WHERE amount < 5
 UNION ALL SELECT id, 'changed', 'amount', amount, amount + 1 FROM live WHERE amount >= 5 AND amount < 20
 UNION ALL SELECT id + 1000000, 'extra', NULL, NULL, amount FROM live WHERE event_type = 'view'""", _state("live", "TRUE")),
-        "cdc_row_diff": _with_events("""
-(SELECT *, CAST(1 AS BIGINT) AS in_a, CAST(0 AS BIGINT) AS in_b FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM n))
-UNION ALL (SELECT *, 0, 1 FROM (SELECT * FROM n EXCEPT ALL SELECT * FROM o))""",
-                                     _state("o", f"ts_ms < {DAY_15}"), _state("n", f"ts_ms < {DAY_22}")),
+        "cdc_row_diff": _with_events(_ROW_DIFF, _state("o", f"ts_ms < {DAY_15}"), _state("n", f"ts_ms < {DAY_22}")),
+        "cdc_bucket_diff": _with_events(_ROW_DIFF, _state("o", f"ts_ms < {DAY_15}"), _state("n", f"ts_ms < {DAY_22}")),
+        "cdc_marker_horizon": _with_events(f"""
+SELECT CASE op WHEN 'd' THEN 'marker' ELSE 'live' END AS part, user_id AS id, ts_ms FROM held_latest
+WHERE op <> 'd' OR ts_ms >= (SELECT max(x.ts_ms) - 172800000 FROM ev x WHERE x.user_id % 4 = held_latest.user_id % 4)
+UNION ALL SELECT 'too_late', user_id, ts_ms FROM ev WHERE usable AND NOT ({_IN_TIME})""",
+                                           _latest("held_latest", _IN_TIME)),
+        "cdc_delta_mirror": _with_events(f"""
+SELECT user_id AS id, event_type, amount, ts_ms AS updated_ts, 'run 1' AS phase FROM early WHERE op <> 'd'
+UNION ALL SELECT *, unnest(['before', 'after']) FROM ({_MIRROR})""", _latest("early", f"arrived_ms < {DAY_22}"), latest),
         "cdc_schema_evolution": _with_events(f"""
 SELECT user_id AS id, event_type, amount, CASE WHEN ts_ms >= {DAY_15} THEN '+1-' || event_id END AS phone,
        ts_ms AS updated_ts FROM latest WHERE op <> 'd'""", latest),
@@ -389,6 +404,11 @@ FROM (VALUES (0, 'refresh', {DAY_8}), (1, 'refresh', {DAY_22}), (2, 'refresh', {
 SELECT user_id AS id, event_type, amount, ts_ms AS updated_ts, 0 AS version FROM early WHERE op <> 'd'
 UNION ALL SELECT user_id, event_type, amount, ts_ms, 2 FROM latest WHERE op <> 'd'""",
                                     _latest("early", _reached(DAY_8)), latest),
+        "table_as_of_tail": _with_events("""
+SELECT user_id AS id, event_type, amount, ts_ms AS updated_ts, 0 AS version FROM early WHERE op <> 'd'
+UNION ALL SELECT user_id, event_type, amount, ts_ms, 1 FROM later WHERE op <> 'd'
+UNION ALL SELECT user_id, event_type, amount, ts_ms, 2 FROM latest WHERE op <> 'd'""",
+                                         _latest("early", _reached(DAY_8)), _latest("later", _reached(DAY_22)), latest),
         "table_rollback": _with_events(_MIRROR, _latest(where=_reached(DAY_22))),
         "table_append_twice": _with_events(f"""
 SELECT event_id AS kafka_offset, op, {after.format('user_id')} AS after_id, {before.format('user_id')} AS before_id FROM ev"""),

@@ -15,8 +15,8 @@ from tidemark.operators.ids import assign_ids
 from tidemark.plans import testbed as B
 from tidemark.plans.medallion import Layout, backfill, file_log, refresh_changes, refresh_trips, run_medallion
 from tidemark.plans.testbed import USERS
-from tidemark.session import scratch_dir
-from tidemark.sinks import messages as M, mirrors as V, runs as U
+from tidemark.session import materialize, scratch_dir
+from tidemark.sinks import deltas as D, kept as K, messages as M, mirrors as V, runs as U
 from tidemark.sinks.tables import append_events, replace_from_query, replace_table, write_run
 from tidemark.sources import event_log as L
 from tidemark.sources.files import read_dimension, read_source_table, remove
@@ -302,6 +302,37 @@ def cdc_crashed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.read_mirror(spark, mirror, USERS, 8)
 
 
+def cdc_marker_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs that keep deletion markers for two days: live keys, markers left, and events that came too late."""
+    root, days = scratch_dir(spark, "lake"), 2 * 86_400_000
+    replace_table(B.user_log(spark, sf_dir), f"{root}/bronze")
+    bronze, arrived = spark.read.parquet(f"{root}/bronze"), F.unix_millis("kafka_timestamp")
+    for run, part in enumerate((bronze.filter(arrived < DAY_15), bronze.filter(arrived >= DAY_15))):
+        V.merge_within_horizon(part, f"{root}/mirror", USERS, days, run, 8, lambda: bronze)
+    V.drop_markers(spark, f"{root}/mirror", USERS, 2, 8)
+    state = V.read_state(spark, f"{root}/mirror", USERS, 8)
+    kept = state.select(F.when(F.col("deleted"), "marker").otherwise("live").alias("part"), "id", "ts_ms")
+    refused = V.read_refused(spark, f"{root}/mirror", USERS)
+    return kept.unionByName(refused.select("reason", E.event_key(USERS).alias("id"), "ts_ms").withColumnRenamed("reason", "part"))
+
+
+def cdc_delta_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A base and deltas, the second of them written twice: as one run left them, before a fold and after it."""
+    where, log = scratch_dir(spark, "mirror"), B.user_log(spark, sf_dir)
+    arrived = F.unix_millis("kafka_timestamp")
+    parts = [log.filter(arrived < DAY_8), log.filter((arrived >= DAY_8) & (arrived < DAY_22)), log.filter(arrived >= DAY_22)]
+    for run in (0, 1, 1, 2):
+        D.append_delta(parts[run], where, USERS, run)
+        if run == 0:
+            D.fold(spark, where, USERS)
+    shown = [D.read_mirror(spark, where, USERS, 1).withColumn("phase", F.lit("run 1")),
+             D.read_mirror(spark, where, USERS).withColumn("phase", F.lit("before"))]
+    shown = [materialize(df, "shown") for df in shown]  # as read before the fold
+    D.fold(spark, where, USERS)
+    D.drop_before(spark, where, 2)
+    return reduce(DataFrame.unionByName, shown, D.read_mirror(spark, where, USERS).withColumn("phase", F.lit("after")))
+
+
 def cdc_new_table_later(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drivers are declared only after a run: all of their events arrive with the next."""
     layout, log = _landed(spark, sf_dir)
@@ -335,6 +366,13 @@ def cdc_row_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.row_diff(old, new)
 
 
+def cdc_bucket_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``cdc_row_diff``, from the key buckets whose sums differ."""
+    log = B.user_log(spark, sf_dir)
+    old, new = (C.state_as_of(log, USERS, at, by="ts").drop("updated_ts") for at in (DAY_15 - 1, DAY_22 - 1))
+    return Q.bucket_diff(old, new, ["id"])
+
+
 def cdc_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = USERS.with_column("phone", T.StringType())
     log = B.user_log(spark, sf_dir)
@@ -585,6 +623,20 @@ def table_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, read)
 
 
+def table_as_of_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as each of three runs left it, from the state kept after the first and third run and the log after it."""
+    log, where = _three_runs(spark, sf_dir)
+    bronze, kept = scratch_dir(spark, "bronze"), scratch_dir(spark, "kept")
+    replace_table(log, bronze)
+    log = spark.read.parquet(bronze)
+    for run in (0, 2):
+        cut = {p: at for p, at in K.reached(spark, where, USERS, run).items()}
+        K.keep_state(K.state_at(log, USERS, cut, kept, where), kept, run)
+    read = [C.live_rows(K.state_at(log, USERS, K.reached(spark, where, USERS, run), kept, where), USERS)
+            .withColumn("version", F.lit(run)) for run in range(3)]
+    return reduce(DataFrame.unionByName, read)
+
+
 def table_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored mirror put back to where the second of three runs left it."""
     log, where = _three_runs(spark, sf_dir)
@@ -713,18 +765,18 @@ def trips_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL: tuple[Query, ...] = (
     cdc_parse_envelope, cdc_route_counts, cdc_undeclared_table, cdc_quarantine, cdc_quarantined_bronze, cdc_all_accounted,
     cdc_batches_two_partitions, cdc_decimal_widths, cdc_wide_topic, cdc_string_keys, cdc_incremental_run, cdc_new_table_later,
-    cdc_backfill, cdc_crashed_merge,
+    cdc_backfill, cdc_crashed_merge, cdc_marker_horizon, cdc_delta_mirror,
     cdc_mirror_customers, cdc_mirror_drivers, cdc_current_state, cdc_first_rows, cdc_latest_ties, cdc_apply_changes, cdc_replay_equals_batch,
     cdc_state_as_of, cdc_state_as_of_offsets, cdc_deleted_keys, cdc_resurrected_keys, cdc_offset_order,
     cdc_run_summary, cdc_snapshot_diff, cdc_diff_applied, cdc_pending_offsets, cdc_offset_range,
-    cdc_checkpoint_batches, cdc_reconcile, cdc_row_diff, cdc_schema_evolution, cdc_reparse,
+    cdc_checkpoint_batches, cdc_reconcile, cdc_row_diff, cdc_bucket_diff, cdc_schema_evolution, cdc_reparse,
     quality_counts, quality_describe, source_trip_files, source_drifted_files, source_lookups, trips_text_times,
     trips_clean, trips_rejects, trips_enriched, trips_events_roundtrip, trips_event_text, trips_bad_lines, trips_appended, ids_dense, ids_hash,
     ids_fast, layer_counts,
     tips_behavior, tips_mode_payment, tips_rankings, tips_rankings_overlap, tips_rankings_both,
     tips_best_zone_hour, tips_top15, tips_top20, tips_best_hour, tips_driver_report, tips_driver_report_dense,
     tips_top_drivers, tips_driver_by_key, tips_rating_vs_tip, tips_rating_correlation,
-    table_versions, table_as_of, table_rollback, table_append_twice, table_run_overwrite, table_offsets,
+    table_versions, table_as_of, table_as_of_tail, table_rollback, table_append_twice, table_run_overwrite, table_offsets,
     stream_bronze, stream_silver, stream_trips, stream_trips_silver, medallion_driver_report, medallion_layers,
 )
 

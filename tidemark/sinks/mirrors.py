@@ -16,8 +16,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import schemas as S
-from tidemark.operators.changelog import ORDER, fold_state, keyed_events, latest_per_key, live_rows
-from tidemark.sources.files import finished, read_if_present, remove
+from tidemark.operators.changelog import (
+    ORDER, fold_state, horizons, keyed_events, latest_per_key, live_rows, split_late, without_old_markers)
+from tidemark.sinks.tables import write_run
+from tidemark.sources.event_log import Offsets
+from tidemark.sources.files import files, finished, folders, read_if_present, remove
 
 #: Gives the whole bronze log of a table; called only where buckets have to be rebuilt.
 Log = Callable[[], DataFrame]
@@ -70,10 +73,20 @@ def _write(state: DataFrame, table: str, buckets: int, mode: str) -> None:
      .partitionBy("bucket").parquet(_path(table, buckets)))
 
 
-def _replace(state: DataFrame, touched: list[int], table: str, buckets: int, mode: str) -> None:
-    announce(state.sparkSession, touched, table, buckets)
-    _write(state, table, buckets, mode)
-    remove(state.sparkSession, _announced(table, buckets))
+def _fill(state: DataFrame, touched: list[int], table: str, spec: S.TableSpec, buckets: int) -> None:
+    """Replace the rows of announced buckets; the announcement is withdrawn when all are in place.
+
+    Spark leaves a bucket alone that gets no rows, as when all its keys were deleted and their markers dropped: a bucket
+    whose files are still the same is removed.
+    """
+    spark = state.sparkSession
+    where = {bucket: f"{_path(table, buckets)}/bucket={bucket}" for bucket in touched}
+    before = {bucket: files(spark, path) for bucket, path in where.items()}
+    _write(state.withColumn("bucket", bucket_of(spec.key, buckets)), table, buckets, "dynamic")
+    for bucket, path in where.items():
+        if before[bucket] and files(spark, path) == before[bucket]:
+            remove(spark, path)
+    remove(spark, _announced(table, buckets))
 
 
 def repair(spark: SparkSession, table: str, spec: S.TableSpec, buckets: int, log: Log | None) -> bool:
@@ -90,18 +103,19 @@ def repair(spark: SparkSession, table: str, spec: S.TableSpec, buckets: int, log
     # At most ``buckets`` numbers.
     lost = [row.bucket for row in spark.read.schema("bucket int").parquet(where).collect()]
     events = keyed_events(log(), spec).withColumn("bucket", bucket_of(spec.key, buckets)).filter(F.col("bucket").isin(lost))
-    state = latest_per_key(events.drop("bucket"), spec.key)
-    _write(state.withColumn("bucket", bucket_of(spec.key, buckets)), table, buckets, "dynamic")
-    remove(spark, where)
+    _fill(latest_per_key(events.drop("bucket"), spec.key), lost, table, spec, buckets)
     return True
 
 
-def merge_into_mirror(bronze: DataFrame, table: str, spec: S.TableSpec, buckets: int = 16, log: Log | None = None) -> None:
+def merge_into_mirror(bronze: DataFrame, table: str, spec: S.TableSpec, buckets: int = 16, log: Log | None = None,
+                      horizon: Offsets | None = None) -> None:
     """Merge a batch of events into the stored state.
 
     Merging a batch again, in part or late changes nothing: of what is stored and what arrives, the later event
     wins. A run that dies while it writes is repaired by the next one from ``log``, which has to hold everything merged
     so far; without a log such a mirror is refused. One writer at a time, and no readers meanwhile.
+
+    With a ``horizon``, deletion markers below it leave the buckets that are rewritten.
     """
     spark = bronze.sparkSession
     repair(spark, table, spec, buckets, log)
@@ -109,23 +123,88 @@ def merge_into_mirror(bronze: DataFrame, table: str, spec: S.TableSpec, buckets:
     # A look at the keys alone; at most ``buckets`` numbers, which prune the scan of the state.
     touched = sorted(row.bucket for row in events.filter(F.col(spec.key).isNotNull())
                      .select(bucket_of(spec.key, buckets).alias("bucket")).distinct().collect())
-    stored = _stored(spark, table, spec, buckets)
     changes = latest_per_key(events, spec.key)
-    if stored is None:
-        _replace(changes.withColumn("bucket", bucket_of(spec.key, buckets)), touched, table, buckets, "static")
-    elif touched:
+    stored = _stored(spark, table, spec, buckets)
+    if stored is not None:
         before = stored.filter(F.col("bucket").isin(touched)).drop("bucket")
-        merged = latest_per_key(before.unionByName(changes).select(*before.columns), spec.key)
-        _replace(merged.withColumn("bucket", bucket_of(spec.key, buckets)), touched, table, buckets, "dynamic")
+        changes = latest_per_key(before.unionByName(changes).select(*before.columns), spec.key)
+    if horizon is not None:
+        changes = without_old_markers(changes, spec, horizon)
+    if touched or stored is None:
+        announce(spark, touched, table, buckets)
+        _fill(changes, touched, table, spec, buckets)
 
 
-def rebuild_mirror(bronze: DataFrame, table: str, spec: S.TableSpec, buckets: int = 16) -> None:
-    """Backfill: replace the state by what the log says, perhaps in another number of buckets.
+def drop_markers(spark: SparkSession, table: str, spec: S.TableSpec, run: int, buckets: int = 16) -> list[int]:
+    """Rewrite the buckets that hold deletion markers which ``run`` has no use for, without these; returns the buckets.
 
-    A rebuild that dies is repaired like a merge: from the whole log, for all buckets.
+    A run refuses what is older than the horizon that the runs before it left, so only markers below that one go:
+    those above may be needed when the run is repeated. Earlier runs must not be repeated after this.
     """
-    state = fold_state(bronze, spec).withColumn("bucket", bucket_of(spec.key, buckets))
-    _replace(state, list(range(buckets)), table, buckets, "static")
+    horizon = _horizon_before(spark, table, run)
+    stored = read_state(spark, table, spec, buckets)
+    if stored is None:
+        return []
+    kept = without_old_markers(stored, spec, horizon)
+    counts = [df.groupBy("bucket").agg(F.count(F.lit(1)).alias(name)) for df, name in ((stored, "rows"), (kept, "kept"))]
+    touched = sorted(r.bucket for r in counts[0].join(counts[1], "bucket", "left")
+                     .filter(F.col("rows") > F.coalesce("kept", F.lit(0))).select("bucket").collect())
+    if touched:
+        announce(spark, touched, table, buckets)
+        _fill(kept.filter(F.col("bucket").isin(touched)).drop("bucket"), touched, table, spec, buckets)
+    return touched
+
+
+def merge_within_horizon(bronze: DataFrame, table: str, spec: S.TableSpec, retention_ms: int, run: int, buckets: int = 16,
+                         log: Log | None = None) -> Offsets:
+    """Merge a run's events but those older than the horizon, and keep deletion markers for ``retention_ms`` only.
+
+    The horizon of a run is what the runs before it left; its own events raise the next one's, which is returned. Refused
+    events are kept with a reason, see :func:`read_refused`. Repeating a run refuses the same events again, and finds the
+    markers that these needed. Buckets that get no events keep their markers until :func:`drop_markers`.
+    """
+    spark = bronze.sparkSession
+    known = _horizon_before(spark, table, run)
+    taken, refused = split_late(bronze, spec, known)
+    write_run(refused.withColumn("run", F.lit(run)), f"{table}/refused", "run", str(run))
+    horizon = horizons(bronze, retention_ms, known)
+    applied = None if log is None else lambda: log().join(read_refused(spark, table, spec).select(*S.EVENT_ID), S.EVENT_ID, "left_anti")
+    merge_into_mirror(taken, table, spec, buckets, applied, known)
+    rows = spark.createDataFrame([(*p, ms) for p, ms in sorted(horizon.items())], "topic string, kafka_partition int, horizon_ms long")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{table}/horizons/run={run}")
+    return horizon
+
+
+def _horizon_before(spark: SparkSession, table: str, run: int) -> Offsets:
+    where = f"{table}/horizons"
+    runs = [int(name.removeprefix("run=")) for name in folders(spark, where) if finished(spark, f"{where}/{name}")]
+    last = max((r for r in runs if r < run), default=None)
+    if last is None:
+        return {}
+    found = spark.read.parquet(f"{where}/run={last}").collect()  # a row per topic partition
+    return {(r.topic, r.kafka_partition): r.horizon_ms for r in found}
+
+
+def read_refused(spark: SparkSession, table: str, spec: S.TableSpec) -> DataFrame:
+    """Events that came too late to be merged: bronze rows, the reason, and the run they came with."""
+    schema = T.StructType([*spec.bronze_schema, T.StructField("reason", T.StringType()), T.StructField("run", T.IntegerType())])
+    found = read_if_present(spark, f"{table}/refused", schema)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def replace_state(state: DataFrame, table: str, spec: S.TableSpec, buckets: int = 16) -> None:
+    """Replace the whole state by another, which must not be read from the same place.
+
+    What dies half-way is repaired like a merge: from the whole log, for all buckets.
+    """
+    spark = state.sparkSession
+    announce(spark, list(range(buckets)), table, buckets)
+    _fill(state.select(*state_schema(spec).names), list(range(buckets)), table, spec, buckets)
+
+
+def rebuild_mirror(bronze: DataFrame, table: str, spec: S.TableSpec, buckets: int = 16) -> None:
+    """Backfill: replace the state by what the log says, perhaps in another number of buckets."""
+    replace_state(fold_state(bronze, spec), table, spec, buckets)
 
 
 def read_mirror(spark: SparkSession, table: str, spec: S.TableSpec, buckets: int = 16) -> DataFrame:

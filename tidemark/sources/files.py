@@ -10,6 +10,9 @@ _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 def read_if_present(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The Parquet data at ``path``, or None when nothing was written there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
     reader = spark.read.schema(schema) if schema else spark.read
     try:
         return reader.parquet(path)
@@ -33,11 +36,20 @@ def remove(spark: SparkSession, path: str) -> bool:
 
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder, sorted; none when it is not there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(folder):
+    return _names(spark, path, folder=True)
+
+
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder, sorted; none when it is not there."""
+    return _names(spark, path, folder=False)
+
+
+def _names(spark: SparkSession, path: str, folder: bool) -> list[str]:
+    parent = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = parent.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(parent):
         return []
-    return sorted(found.getPath().getName() for found in system.listStatus(folder) if found.isDirectory())
+    return sorted(found.getPath().getName() for found in system.listStatus(parent) if found.isDirectory() == folder)
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:

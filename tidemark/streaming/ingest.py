@@ -15,6 +15,7 @@ from tidemark import schemas as S
 from tidemark.operators.envelope import bronze_table, message_columns
 from tidemark.operators.ids import assign_ids
 from tidemark.operators.trips import clean_trips, enrich_zones
+from tidemark.sinks import deltas
 from tidemark.sinks.messages import REJECT_REASON, from_events
 from tidemark.sinks.mirrors import Log, merge_into_mirror
 from tidemark.sinks.tables import append_events, batch_bounds
@@ -89,6 +90,16 @@ def stream_silver(events: DataFrame, table: str, spec: S.TableSpec, checkpoint:
     return _start(events.writeStream.foreachBatch(batch), checkpoint, trigger)
 
 
+def stream_deltas(events: DataFrame, table: str, spec: S.TableSpec, checkpoint: str, fold_share: float = 0.1,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Bronze rows as one delta per batch over a base, folded as they grow; a repeated batch replaces its delta."""
+    def batch(df: DataFrame, batch_id: int) -> None:
+        deltas.append_delta(df, table, spec, batch_id)
+        deltas.fold(df.sparkSession, table, spec, fold_share)
+
+    return _start(events.writeStream.foreachBatch(batch), checkpoint, trigger)
+
+
 def trip_stream(spark: SparkSession, path: str, schema: T.StructType = S.TRIP_EVENT,
                 files_per_batch: int | None = None) -> DataFrame:
     """Trip events from a growing folder of JSON lines; a line that is none comes with its text and a reason."""
