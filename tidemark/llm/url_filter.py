@@ -2,7 +2,11 @@
 
 Names in hosts run words together. A unigram model finds the split of greatest probability by the Viterbi recursion;
 its counts are those of the words in all pages. Multinomial naive Bayes then scores the words of host and path. It learns
-from all the urls that rules decide, and from a fixed list of words that name unwanted hosts.
+from all the urls that rules decide, and starts from a few words that name unwanted hosts.
+
+Counts of words and of the Bayes model stay in Spark, however many there are. What is split are the distinct runs of
+letters of all hosts and paths: their substrings are joined with the counts, each run is split on its own, its words are
+joined with the model, and urls get the sums of their runs.
 """
 
 from __future__ import annotations
@@ -18,19 +22,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column, map_batches, pick
+from tidemark.llm.common import column, map_batches, pick, stored
 
-#: Words of the unigram model, and words of the Bayes model, at most: the most frequent.
-MOST_WORDS = 50_000
 #: Log odds above which a url is blocked: four to one.
 BLOCK_ODDS = math.log(4)
-_LONGEST = 24
-_KEPT_SPLITS = 200_000
+#: Letters of the longest word that is looked for inside a run; a longer word is known where it is the whole run.
+LONGEST = 64
+#: Blocked hosts that a word of the list below counts for, beside those seen; as many allowed ones outweigh them.
+LISTED = 8
+# Substrings of a run that are told apart before they are sent, and substrings sent at once.
+_TOLD, _SENT = 1 << 20, 1 << 16
 
 # Words that name unwanted hosts.
-UNWANTED = ("spam", "casino", "bets", "bet", "poker", "pills", "viagra", "cialis", "loans", "payday", "porn", "xxx",
-            "adult", "escort", "warez", "crack", "torrent", "cheap", "free", "win", "winner", "prize", "lottery", "ads",
-            "adserver", "track", "tracker", "click", "popup", "farm", "replica", "jackpot", "malware", "phishing")
+UNWANTED = ("spam", "casino", "poker", "viagra", "cialis", "payday", "porn", "xxx", "warez", "lottery", "adserver",
+            "jackpot", "malware", "phishing")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _RUNS = re.compile(r"[^\W\d_]+")
 _TAGS = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.DOTALL | re.IGNORECASE)
@@ -68,8 +73,8 @@ def matched(rules: tuple[Rule, ...], host: Column, path: Column, value) -> Colum
     return found
 
 
-def page_words(pages: DataFrame, text: str = "html", most: int = MOST_WORDS) -> dict[str, int]:
-    """Counts of the most frequent words in the visible text of all pages, summed by Spark."""
+def page_words(pages: DataFrame, text: str = "html") -> DataFrame:
+    """(word, n): how often each word stands in the visible text of all pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,47 +82,34 @@ def page_words(pages: DataFrame, text: str = "html", most: int = MOST_WORDS) ->
             for page in column(batch, text).to_pylist():
                 if page:
                     counts.update(_RUNS.findall(html.unescape(_TAGS.sub(" ", page)).lower()))
-            words = [w for w in counts if len(w) <= _LONGEST]
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([counts[w] for w in words], pa.int64())],
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
                                              names=["word", "n"])
 
-    rows = map_batches(pages.select(text), run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")) \
-        .orderBy(F.desc("n"), "word").limit(most).collect()
-    return {r["word"]: r["n"] for r in rows}
+    return map_batches(pages.select(text), run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class Segmenter:
     """Splits a run of letters into the words of greatest probability.
 
-    A word that is not known is the less likely the longer it is, so that letters stay together where no known words
-    explain them.
+    ``counts``: those of the run's substrings that are words; ``total``: of all words together. A word that is not known
+    is the less likely the longer it is, so that letters stay together where no known words explain them.
     """
 
-    def __init__(self, counts: dict[str, int]):
-        counts = dict(counts)
-        usual = sorted(counts.values())[-len(counts) // 20] if counts else 1
-        for word in UNWANTED:
-            counts[word] = max(usual, counts.get(word, 0))
-        total = sum(counts.values())
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        total = max(1, sum(counts.values()) if total is None else total)
         self.costs = {w: math.log(total) - math.log(n) for w, n in counts.items()}
-        self.unknown = [math.log(total) + 2.3 * length for length in range(_LONGEST + 1)]
-        self.known: dict[str, list[str]] = {}
+        self.base = math.log(total)
+
+    def cost(self, word: str) -> float:
+        return self.costs.get(word, self.base + 2.3 * len(word))
 
     def split(self, run: str) -> list[str]:
-        found = self.known.get(run)
-        if found is None:
-            if len(self.known) > _KEPT_SPLITS:
-                self.known.clear()
-            found = self._viterbi(run)
-            if len(run) <= 64:
-                self.known[run] = found
-        return found
-
-    def _viterbi(self, run: str) -> list[str]:
         best, back = [0.0], [0]
         for end in range(1, len(run) + 1):
-            cost, start = min((best[s] + self.costs.get(run[s:end], self.unknown[end - s]), s)
-                              for s in range(max(0, end - _LONGEST), end))
+            starts = range(max(0, end - LONGEST), end)
+            if end == len(run) > LONGEST:
+                starts = [0, *starts] if run in self.costs else starts
+            cost, start = min((best[s] + self.cost(run[s:end]), s) for s in starts)
             best.append(cost)
             back.append(start)
         words, end = [], len(run)
@@ -126,27 +118,82 @@ class Segmenter:
             end = back[end]
         return words[::-1]
 
-    def words(self, host: str, path: str) -> list[str]:
-        """Words of a host, without its last part, and of a path, marked as such."""
-        parts = host.split(".")
-        runs = [r for part in parts[:-1] or parts for r in _RUNS.findall(part.lower())]
-        return [w for r in runs for w in self.split(r)] + \
-            ["/" + w for r in _RUNS.findall(path.lower()) for w in self.split(r)]
 
+def runs_of(host: str, path: str) -> tuple[list[str], list[str]]:
+    """Runs of letters of a host, without its last part, and of a path."""
+    parts = host.split(".")
+    return [r for part in parts[:-1] or parts for r in _RUNS.findall(part.lower())], _RUNS.findall(path.lower())
+
+
+def with_runs(located: DataFrame) -> DataFrame:
+    """Adds the runs of ``host`` and ``path``, each as one text with spaces between: ``host_runs`` and ``path_runs``."""
+    added = [F.lit(None).cast("string").alias(n) for n in ("host_runs", "path_runs")]
+    schema = located.select("*", *added).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [runs_of(h, p) for h, p in zip(column(batch, "host").to_pylist(), column(batch, "path").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([" ".join(f[i]) for f in found], pa.string()) for i in (0, 1))],
+                                             names=[*batch.schema.names, "host_runs", "path_runs"])
+
+    return map_batches(located, run, schema)
+
+
+def substrings(runs: DataFrame) -> DataFrame:
+    """(run, word): the substrings of two letters or more up to the longest word, and each run itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owners, words = [], []
+
+        def emit() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(owners, pa.string()), pa.array(words, pa.string())], names=["run", "word"])
+            owners.clear()
+            words.clear()
+            return out
+
+        for batch in batches:
+            for text in column(batch, "run").to_pylist():
+                told = {text}
+                owners.append(text)
+                words.append(text)
+                for start in range(len(text) - 1):
+                    for end in range(start + 2, min(len(text), start + LONGEST) + 1):
+                        word = text[start:end]
+                        if word not in told:
+                            if len(told) >= _TOLD:
+                                told.clear()
+                            told.add(word)
+                            owners.append(text)
+                            words.append(word)
+                    if len(words) >= _SENT:
+                        yield emit()
+        yield emit()
+
+    return map_batches(runs, run, "run string, word string")
+
+
+def segmented(runs: DataFrame, counts: DataFrame) -> DataFrame:
+    """(run, words) of distinct ``runs``, by the counts (word, n) of all words."""
+    # Words of one letter are in nearly every run: they go along, at most one per letter that there is.
+    single = {r.word: r.n for r in counts.filter(F.length("word") == 1).collect()}
+    total = counts.agg(F.sum("n")).head()[0] or 0
+    known = substrings(runs).join(counts, "word").groupBy("run").agg(F.collect_set(F.struct("word", "n")).alias("known"))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for text, words in zip(column(batch, "run").to_pylist(), column(batch, "known").to_pylist(), strict=True):
+                found.append(Segmenter(single | {w["word"]: w["n"] for w in words or ()}, total).split(text))
+            yield pa.RecordBatch.from_arrays([column(batch, "run"), pa.array(found, pa.list_(pa.string()))], names=["run", "words"])
 
-class Bayes:
-    """Multinomial model of two classes of like prior. ``counts``: (blocked, allowed) by word."""
+    return map_batches(runs.join(known, "run", "left").select("run", "known"), split, "run string, words array<string>")
 
-    def __init__(self, counts: dict[str, tuple[int, int]]):
-        totals = [sum(c[i] for c in counts.values()) + len(counts) + 1 for i in (0, 1)]
-        shift = math.log(totals[1]) - math.log(totals[0])
-        listed = max(50, totals[0] // 100)  # what a listed word counts for, beside what was seen of it
-        seen = counts | {w: (counts.get(w, (0, 0))[0] + listed, counts.get(w, (0, 0))[1]) for w in UNWANTED}
-        self.odds = {w: math.log(b + 1) - math.log(a + 1) + shift for w, (b, a) in seen.items()}
 
-    def log_odds(self, words: list[str]) -> float:
-        """Of blocking; words that were never seen say nothing."""
-        return sum(self.odds.get(w, 0.0) for w in words)
+def _runs(rows: DataFrame, *kept: str) -> DataFrame:
+    """The given columns, ``mark`` (empty for a run of a host, a slash for one of a path) and ``run``, for every run."""
+    sides = [rows.select(*kept, F.lit(mark).alias("mark"), F.explode(F.split(name, " ")).alias("run"))
+             for name, mark in (("host_runs", ""), ("path_runs", "/"))]
+    return sides[0].unionByName(sides[1]).filter("run <> ''")
 
 
 def words_of_rules(rules: tuple[Rule, ...]) -> frozenset[str]:
@@ -154,54 +201,66 @@ def words_of_rules(rules: tuple[Rule, ...]) -> frozenset[str]:
     return frozenset(w for r in rules for w in [*_RUNS.findall(r.host), *("/" + p for p in _RUNS.findall(r.path.lower()))])
 
 
-def learn(located: DataFrame, segmenter: Segmenter, left_out: frozenset[str] = frozenset(),
-          most: int = MOST_WORDS) -> Bayes:
-    """From all urls that a rule decides: columns host, path and ruled (allow, block or NULL).
+def learn(located: DataFrame, segments: DataFrame, left_out: frozenset[str] = frozenset(),
+          listed: tuple[str, ...] = UNWANTED) -> DataFrame:
+    """(word, odds): log odds of blocking of every word of a url that a rule decides, and of the listed words.
 
-    A word counts once per host and verdict, so a host with many urls weighs no more than another.
+    ``located`` has host, ruled (allow, block or NULL) and the runs. A word counts once per host and verdict, so a host
+    with many urls weighs no more than another; words of a path begin with a slash. Classes are alike beforehand.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = {(host, verdict, word) for host, path, verdict
-                    in zip(*(column(batch, c).to_pylist() for c in ("host", "path", "ruled")), strict=True)
-                    for word in segmenter.words(host, path) if word not in left_out}
-            yield pa.RecordBatch.from_arrays([pa.array([s[i] for s in seen], pa.string()) for i in range(3)],
-                                             names=["host", "ruled", "word"])
-
-    rows = map_batches(located.filter("ruled is not null").select("host", "path", "ruled"), run,
-                       "host string, ruled string, word string").distinct().groupBy("word") \
-        .agg(F.count_if(F.col("ruled") == "block").alias("blocked"), F.count_if(F.col("ruled") == "allow").alias("allowed")) \
-        .orderBy(F.desc(F.col("blocked") + F.col("allowed")), "word").limit(most).collect()
-    return Bayes({r["word"]: (r["blocked"], r["allowed"]) for r in rows})
+    ruled = _runs(located.filter("ruled is not null"), "host", "ruled").distinct()
+    words = ruled.join(segments, "run").select("host", "ruled", "mark", F.explode("words").alias("word")) \
+        .select("host", "ruled", F.concat("mark", "word").alias("word")).distinct()
+    seen = words.filter(~F.col("word").isin(*left_out)) if left_out else words
+    seen = seen.groupBy("word").agg(F.count_if(F.col("ruled") == "block").alias("blocked"),
+                                    F.count_if(F.col("ruled") == "allow").alias("allowed"))
+    seen = stored(seen, "ruled-words")
+    totals = seen.agg(F.coalesce(F.sum("blocked"), F.lit(0)), F.coalesce(F.sum("allowed"), F.lit(0)), F.count("*")).head()
+    shift = math.log(totals[1] + totals[2] + 1) - math.log(totals[0] + totals[2] + 1)
+    spark = located.sparkSession
+    extra = spark.createDataFrame([(w, LISTED, 0) for w in listed], "word string, blocked bigint, allowed bigint")
+    both = seen.unionByName(extra).groupBy("word").agg(F.sum("blocked").alias("b"), F.sum("allowed").alias("a"))
+    return both.select("word", (F.log(F.col("b") + 1.0) - F.log(F.col("a") + 1.0) + F.lit(shift)).alias("odds"))
+
+
+def scored(located: DataFrame, segments: DataFrame, model: DataFrame) -> DataFrame:
+    """``located`` with ``log_odds`` of blocking; words that the model does not have say nothing.
+
+    Sums are made per distinct set of runs, not per url, and rounded, so that their order does not show.
+    """
+    keys = [located.select(F.lit(mark).alias("mark"), F.col(name).alias("key")).distinct() for name, mark in (("host_runs", ""), ("path_runs", "/"))]
+    keys = keys[0].unionByName(keys[1]).filter("key <> ''")
+    parts = keys.select("mark", "key", F.explode(F.split("key", " ")).alias("run"))
+    odds = parts.select("mark", "run").distinct().join(segments, "run") \
+        .select("mark", "run", F.explode("words").alias("word")) \
+        .select("mark", "run", F.concat("mark", "word").alias("word")).join(model, "word") \
+        .groupBy("mark", "run").agg(F.sum("odds").alias("odds"))
+    sums = stored(parts.join(odds, ["mark", "run"]).groupBy("mark", "key").agg(F.sum("odds").alias("odds")), "odds")
+    host, path = (sums.filter(F.col("mark") == mark).select(F.col("key").alias(name), F.col("odds").alias(f"{name}_odds"))
+                  for name, mark in (("host_runs", ""), ("path_runs", "/")))
+    zero = F.lit(0.0)
+    return located.join(host, "host_runs", "left").join(path, "path_runs", "left").withColumn(
+        "log_odds", F.round(F.coalesce("host_runs_odds", zero) + F.coalesce("path_runs_odds", zero), 9))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...], page_id: str = "page_id", url: str = "url",
           text: str = "html", least_odds: float = BLOCK_ODDS) -> DataFrame:
     """Per row: page_id, host, path, rule, verdict (allow or block) and log_odds of blocking.
 
-    The longest rule that fits decides; else the model blocks what has log odds above
-    ``least_odds``. A NULL url, and one
-    without ://, has an empty host and path, fits no rule, and is allowed as there is nothing to score. Repeated rows
-    are judged each; other columns are not read.
+    The longest rule that fits decides; else the model blocks what has log odds above ``least_odds``. A NULL url, and one
+    without ://, has an empty host and path, fits no rule, and is allowed as there is nothing to score. NULL, empty and
+    very long pages count with the words they have. Repeated rows are judged each; other columns are not read, and an
+    empty table gives no rows.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     pages = pick(pages, page_id=page_id, url=url, html=text)
     located = pages.select("page_id", host.alias("host"), path.alias("path")) \
         .withColumn("rule", matched(rules, F.col("host"), F.col("path"), lambda r: r.text)) \
         .withColumn("ruled", matched(rules, F.col("host"), F.col("path"), lambda r: r.verdict))
-    segmenter = Segmenter(page_words(pages, "html"))
-    model = learn(located, segmenter, words_of_rules(rules))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            odds = [model.log_odds(segmenter.words(h, p))
-                    for h, p in zip(column(batch, "host").to_pylist(), column(batch, "path").to_pylist(), strict=True)]
-            verdicts = [r or ("block" if o > least_odds else "allow")
-                        for r, o in zip(column(batch, "ruled").to_pylist(), odds, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*(column(batch, c) for c in ("page_id", "host", "path", "rule")), pa.array(verdicts, pa.string()),
-                 pa.array(odds, pa.float64())], names=["page_id", "host", "path", "rule", "verdict", "log_odds"])
-
-    kind = located.schema["page_id"].dataType.simpleString()
-    return map_batches(located, run, f"page_id {kind}, host string, path string, rule string, verdict string, log_odds double")
+    located = stored(with_runs(located), "located")
+    counts = stored(page_words(pages), "words")
+    runs = stored(_runs(located).select("run").distinct(), "runs")
+    segments = stored(segmented(runs, counts), "segments")
+    model = learn(located, segments, words_of_rules(rules))
+    verdict = F.coalesce("ruled", F.when(F.col("log_odds") > least_odds, "block").otherwise("allow"))
+    return scored(located, segments, model).select("page_id", "host", "path", "rule", verdict.alias("verdict"), "log_odds")
