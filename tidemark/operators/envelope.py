@@ -103,6 +103,10 @@ def event_key(spec: S.TableSpec) -> Column:
     return F.coalesce(F.col(f"after_{spec.key}"), F.col(f"before_{spec.key}"))
 
 
+#: What :func:`problem` can say.
+PROBLEMS = ("missing_op", "truncate", "unknown_op", "missing_key", "missing_after")
+
+
 def problem(spec: S.TableSpec) -> Column:
     """Why a bronze row cannot be applied, NULL if it can: the one rule for mirrors, counts and quarantine.
 

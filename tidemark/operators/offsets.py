@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, functions as F
+from collections.abc import Iterable
 
-from tidemark.operators.envelope import problem
+from pyspark.sql import Column, DataFrame, Row, functions as F
+
+from tidemark.operators.envelope import PROBLEMS, problem
 from tidemark.schemas import TableSpec
 from tidemark.sources.event_log import Offsets
 
@@ -39,6 +41,21 @@ def offset_ranges(gate: list[Row]) -> tuple[Offsets, Offsets]:
     return start, end
 
 
+def event_counts(spec: TableSpec, partitions: Iterable[int] = ()) -> dict[str, Column]:
+    """Aggregates that describe a batch of bronze rows, for a write that counts what it writes.
+
+    Events, their offsets, those applied, those that cannot be by reason, and events and applied ones per partition.
+    """
+    reason, at = problem(spec), F.col("kafka_offset")
+    counts = {"events_read": F.count(F.lit(1)), "from_offset": F.min(at), "to_offset": F.max(at) + 1,
+              "applied": F.count_if(reason.isNull())}
+    counts |= {f"rejected_{name}": F.count_if(reason == name) for name in PROBLEMS}
+    for number in partitions:
+        here = F.col("kafka_partition") == number
+        counts |= {f"events_read_{number}": F.count_if(here), f"applied_{number}": F.count_if(here & reason.isNull())}
+    return counts
+
+
 def run_summary(bronze: DataFrame, mirror: DataFrame, spec: TableSpec) -> DataFrame:
     """One row on a run: events read, offset range, operations applied, rows now live."""
     usable = problem(spec).isNull()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schemas as S
 from tidemark.operators.changelog import fold_state, live_rows
-from tidemark.operators.envelope import problem
+from tidemark.operators.envelope import PROBLEMS, problem
 from tidemark.operators.ids import assign_ids
 from tidemark.operators.quality import reconcile
 from tidemark.operators.tips import (
@@ -18,7 +18,7 @@ from tidemark.operators.trips import clean_trips, enrich_zones
 from tidemark.sinks import deltas
 from tidemark.sinks.kept import keep_state, reached, state_at
 from tidemark.sinks.mirrors import Log, merge_into_mirror, read_mirror, read_state, repair, replace_state
-from tidemark.sinks.runs import list_runs, load_offsets, newest_run, return_to, save_run
+from tidemark.sinks.runs import list_runs, live_rows_after, load_offsets, newest_run, return_to, save_run
 from tidemark.sinks.tables import replace_table, write_run
 from tidemark.sources.event_log import (
     Offsets, complete_start, per_partition, read_event_log, read_kafka, read_offsets)
@@ -106,12 +106,28 @@ def mirror_as_of(spark: SparkSession, layout: Layout, spec: S.TableSpec, run: in
     return live_rows(state_at(bronze, spec, reached(spark, layout.runs, spec, run), layout.kept(spec), layout.runs), spec)
 
 
-def _merge(new: DataFrame, layout: Layout, spec: S.TableSpec, run: int) -> None:
+def _merge(new: DataFrame, layout: Layout, spec: S.TableSpec, run: int) -> int | None:
+    """Merge into a table's mirror; returns by how much its live rows grew, None where the merge does not tell."""
     spark = new.sparkSession
     if layout.fold_share is None:
-        merge_into_mirror(new, layout.mirror(spec), spec, layout.buckets, _bronze_log(spark, layout, spec))
-    else:
-        deltas.append_delta(new, layout.mirror(spec), spec, run)
+        return merge_into_mirror(new, layout.mirror(spec), spec, layout.buckets, _bronze_log(spark, layout, spec))
+    deltas.append_delta(new, layout.mirror(spec), spec, run)
+    return None
+
+
+#: A write counts events of so many partitions of a topic each; with more they are counted by reading them again.
+MOST_COUNTED = 64
+
+
+def _counts(new: DataFrame, spec: S.TableSpec, numbers: list[int], seen: dict[str, int | None] | None) -> tuple[dict, dict]:
+    """(events, applied) per partition, and rejected events by reason, of a run: from its write, else from bronze."""
+    if seen is None or len(numbers) > MOST_COUNTED:
+        reason = problem(spec)
+        seen = new.agg(*[F.count_if(reason == name).alias(f"rejected_{name}") for name in PROBLEMS]).head().asDict()
+        for row in new.groupBy("kafka_partition").agg(F.count(F.lit(1)).alias("n"), F.count_if(reason.isNull()).alias("ok")).collect():
+            seen |= {f"events_read_{row.kafka_partition}": row.n, f"applied_{row.kafka_partition}": row.ok}
+    counts = {n: (seen.get(f"events_read_{n}", 0), seen.get(f"applied_{n}", 0)) for n in numbers}
+    return counts, {name: seen[f"rejected_{name}"] for name in PROBLEMS if seen[f"rejected_{name}"]}
 
 
 def refresh_changes(spark: SparkSession, reader: Reader, layout: Layout, specs: list[S.TableSpec]) -> DataFrame | None:
@@ -133,24 +149,29 @@ def refresh_changes(spark: SparkSession, reader: Reader, layout: Layout, specs:
     end = {p: at for p, at in end.items() if at > start.get(p, 0)}
     if not end:
         return None
-    ingest_messages(read_event_log(reader({p: start.get(p, 0) for p in end}, end), specs), specs, layout.root)
+    numbers = {spec.topic: sorted(number for topic, number in end if topic == spec.topic) for spec in specs}
+    watched = {topic: found for topic, found in numbers.items() if len(found) <= MOST_COUNTED}
+    seen = ingest_messages(read_event_log(reader({p: start.get(p, 0) for p in end}, end), specs), specs, layout.root, watched)
     last = newest_run(spark, layout.runs)
     run = 0 if last is None else last + 1
     counts = {}
     for spec in specs:
-        if not any(topic == spec.topic for topic, _ in end):
+        if not numbers[spec.topic]:
             continue
         new = _in_ranges(_bronze_log(spark, layout, spec)(), end, start)
-        _merge(new, layout, spec, run)
-        live = mirror_of(spark, layout, spec).count()
-        for row in new.groupBy("kafka_partition").agg(F.count(F.lit(1)).alias("n"),
-                                                      F.count(F.when(problem(spec).isNull(), 1)).alias("ok")).collect():
-            counts[spec.topic, row.kafka_partition] = (row.n, row.ok, live)
-            live = None  # once per table
+        grown = _merge(new, layout, spec, run)
+        # What the last run counted holds only if this run's events were new: an earlier attempt may have merged others.
+        before = live_rows_after(spark, layout.runs, spec.topic) if seen[spec.name] is not None and grown is not None else None
+        live = mirror_of(spark, layout, spec).count() if before is None else before + grown
+        of_partition, rejected = _counts(new, spec, numbers[spec.topic], seen[spec.name])
+        for number, (n, ok) in of_partition.items():
+            counts[spec.topic, number] = (n, ok, live, rejected)
+            live, rejected = None, None  # once per table
     rows = [(topic, number, end.get((topic, number), at), at if (topic, number) in end else None,
-             *counts.get((topic, number), (0, 0, None)))
+             *counts.get((topic, number), (0, 0, None, None)))
             for (topic, number), at in sorted(({p: 0 for p in end} | known).items())]
-    columns = "topic string, kafka_partition int, next_offset long, from_offset long, events_read long, applied long, live_rows long"
+    columns = ("topic string, kafka_partition int, next_offset long, from_offset long, events_read long, applied long, "
+               "live_rows long, rejected map<string,bigint>")
     save_run(spark.createDataFrame(rows, columns), layout.runs)
     for spec in specs:
         if layout.fold_share is not None:

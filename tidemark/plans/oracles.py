@@ -201,6 +201,11 @@ def _counts(column: str, **sources: str) -> str:
     return " UNION ALL ".join(f"SELECT '{name}' AS {column}, count(*) AS rows FROM {source}" for name, source in sources.items())
 
 
+_RUN_SUMMARY = """
+SELECT count(*) AS events_read, min(event_id) AS from_offset, max(event_id) + 1 AS to_offset,
+       count(*) FILTER (WHERE usable) AS applied, (SELECT count(*) FROM latest WHERE op <> 'd') AS live_rows
+FROM ev"""
+
 _ROW_DIFF = """
 (SELECT *, CAST(1 AS BIGINT) AS in_a, CAST(0 AS BIGINT) AS in_b FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM n))
 UNION ALL (SELECT *, 0, 1 FROM (SELECT * FROM n EXCEPT ALL SELECT * FROM o))"""
@@ -276,10 +281,8 @@ SELECT user_id AS id, event_type, amount, ts_ms - ts_ms % 86400000 AS updated_ts
             "SELECT user_id AS id FROM latest WHERE op = 'd' INTERSECT SELECT id FROM earlier",
             latest, _state("earlier", f"ts_ms < {DAY_15}")),
         "cdc_offset_order": _with_events(_MIRROR, _latest(place="event_id")),
-        "cdc_run_summary": _with_events("""
-SELECT count(*) AS events_read, min(event_id) AS from_offset, max(event_id) + 1 AS to_offset,
-       count(*) FILTER (WHERE usable) AS applied, (SELECT count(*) FROM latest WHERE op <> 'd') AS live_rows
-FROM ev""", latest),
+        "cdc_run_summary": _with_events(_RUN_SUMMARY, latest),
+        "cdc_observed_run": _with_events(_RUN_SUMMARY, latest),
         "cdc_snapshot_diff": _with_events("""
 SELECT CASE WHEN o.id IS NULL THEN 'c' WHEN n.id IS NULL THEN 'd' ELSE 'u' END AS op, coalesce(n.id, o.id) AS id,
        o.event_type AS before_event_type, o.amount AS before_amount,

@@ -166,6 +166,15 @@ def cdc_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.run_summary(log, C.current_state(log, USERS), USERS)
 
 
+def cdc_observed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of a run, from the jobs that write its bronze and its mirror."""
+    root, log = scratch_dir(spark, "lake"), B.user_log(spark, sf_dir)
+    seen = append_events(log, f"{root}/bronze", counts=O.event_counts(USERS))
+    live = V.merge_into_mirror(spark.read.parquet(f"{root}/bronze"), f"{root}/mirror", USERS, 8)
+    row = tuple(seen[name] for name in ("events_read", "from_offset", "to_offset", "applied"))
+    return spark.createDataFrame([(*row, live)], "events_read long, from_offset long, to_offset long, applied long, live_rows long")
+
+
 def cdc_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     diff = _diff(B.user_log(spark, sf_dir))
     return diff.select("op", C.event_key(USERS).alias("id"), "before_event_type", "before_amount",
@@ -768,7 +777,7 @@ ALL: tuple[Query, ...] = (
     cdc_backfill, cdc_crashed_merge, cdc_marker_horizon, cdc_delta_mirror,
     cdc_mirror_customers, cdc_mirror_drivers, cdc_current_state, cdc_first_rows, cdc_latest_ties, cdc_apply_changes, cdc_replay_equals_batch,
     cdc_state_as_of, cdc_state_as_of_offsets, cdc_deleted_keys, cdc_resurrected_keys, cdc_offset_order,
-    cdc_run_summary, cdc_snapshot_diff, cdc_diff_applied, cdc_pending_offsets, cdc_offset_range,
+    cdc_run_summary, cdc_observed_run, cdc_snapshot_diff, cdc_diff_applied, cdc_pending_offsets, cdc_offset_range,
     cdc_checkpoint_batches, cdc_reconcile, cdc_row_diff, cdc_bucket_diff, cdc_schema_evolution, cdc_reparse,
     quality_counts, quality_describe, source_trip_files, source_drifted_files, source_lookups, trips_text_times,
     trips_clean, trips_rejects, trips_enriched, trips_events_roundtrip, trips_event_text, trips_bad_lines, trips_appended, ids_dense, ids_hash,

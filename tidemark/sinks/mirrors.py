@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidemark import schemas as S
 from tidemark.operators.changelog import (
     ORDER, fold_state, horizons, keyed_events, latest_per_key, live_rows, split_late, without_old_markers)
-from tidemark.sinks.tables import write_run
+from tidemark.sinks.tables import Counted, write_run
 from tidemark.sources.event_log import Offsets
 from tidemark.sources.files import files, finished, folders, read_if_present, remove
 
@@ -108,16 +108,17 @@ def repair(spark: SparkSession, table: str, spec: S.TableSpec, buckets: int, log
 
 
 def merge_into_mirror(bronze: DataFrame, table: str, spec: S.TableSpec, buckets: int = 16, log: Log | None = None,
-                      horizon: Offsets | None = None) -> None:
-    """Merge a batch of events into the stored state.
+                      horizon: Offsets | None = None) -> int:
+    """Merge a batch of events into the stored state; returns by how much its live rows grew.
 
     Merging a batch again, in part or late changes nothing: of what is stored and what arrives, the later event
     wins. A run that dies while it writes is repaired by the next one from ``log``, which has to hold everything merged
     so far; without a log such a mirror is refused. One writer at a time, and no readers meanwhile.
 
-    With a ``horizon``, deletion markers below it leave the buckets that are rewritten.
+    With a ``horizon``, deletion markers below it leave the buckets that are rewritten. Rows are counted by the job that
+    writes them.
     """
-    spark = bronze.sparkSession
+    spark, live = bronze.sparkSession, F.count_if(~F.col("deleted"))
     repair(spark, table, spec, buckets, log)
     events = keyed_events(bronze, spec)
     # A look at the keys alone; at most ``buckets`` numbers, which prune the scan of the state.
@@ -126,13 +127,16 @@ def merge_into_mirror(bronze: DataFrame, table: str, spec: S.TableSpec, buckets:
     changes = latest_per_key(events, spec.key)
     stored = _stored(spark, table, spec, buckets)
     if stored is not None:
-        before = stored.filter(F.col("bucket").isin(touched)).drop("bucket")
-        changes = latest_per_key(before.unionByName(changes).select(*before.columns), spec.key)
+        before = Counted(stored.filter(F.col("bucket").isin(touched)).drop("bucket"), live=live)
+        changes = latest_per_key(before.rows.unionByName(changes).select(*before.rows.columns), spec.key)
     if horizon is not None:
         changes = without_old_markers(changes, spec, horizon)
-    if touched or stored is None:
-        announce(spark, touched, table, buckets)
-        _fill(changes, touched, table, spec, buckets)
+    if not touched and stored is not None:
+        return 0
+    announce(spark, touched, table, buckets)
+    after = Counted(changes, live=live)
+    _fill(after.rows, touched, table, spec, buckets)
+    return after.get()["live"] - (0 if stored is None else before.get()["live"])
 
 
 def drop_markers(spark: SparkSession, table: str, spec: S.TableSpec, run: int, buckets: int = 16) -> list[int]:

@@ -21,6 +21,7 @@ RUN = T.StructType([
     T.StructField("events_read", T.LongType()),
     T.StructField("applied", T.LongType()),
     T.StructField("live_rows", T.LongType()),
+    T.StructField("rejected", T.MapType(T.StringType(), T.LongType())),
     T.StructField("operation", T.StringType()),
     T.StructField("finished_at", T.TimestampType()),
 ])
@@ -64,6 +65,13 @@ def list_runs(spark: SparkSession, path: str) -> DataFrame:
             .orderBy(F.desc("run")))
 
 
+def live_rows_after(spark: SparkSession, path: str, topic: str) -> int | None:
+    """Live rows that the newest run counted for a topic's table, None if it did not."""
+    last = newest_run(spark, path)
+    rows = _runs(spark, path).filter((F.col("run") == F.lit(last).cast("bigint")) & (F.col("topic") == topic))
+    return rows.agg(F.sum("live_rows").alias("n")).head().n
+
+
 def return_to(spark: SparkSession, path: str, run: int) -> int:
     """A new run that stands where an earlier one stood: what came after it is read again by the next refresh."""
     return save_run(load_offsets(spark, path, run), path, "rollback")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
 from tidemark.schemas import EVENT_ID
 from tidemark.sources.event_log import per_partition
@@ -72,6 +73,21 @@ def _tail(bounds: list[Row]) -> Column:
             & (at >= per_partition(lows, *key)) & (at <= per_partition(highs, *key)))
 
 
+class Counted:
+    """Counts rows of a frame in the job that writes them, so that they need not be read again."""
+
+    def __init__(self, df: DataFrame, **counts: Column):
+        self._seen, self._names = Observation(), list(counts)
+        self.rows = df.observe(self._seen, *[count.alias(name) for name, count in counts.items()])
+
+    def get(self) -> dict[str, int | None]:
+        """The counts, after the write. Spark has none for a frame that it finds to be empty while it runs."""
+        try:
+            return self._seen.get
+        except Py4JJavaError:
+            return {name: 0 for name in self._names}
+
+
 def new_events(events: DataFrame, stored: DataFrame | None, bounds: list[Row] | None = None) -> DataFrame:
     """Events that are not stored yet, each once.
 
@@ -79,29 +95,37 @@ def new_events(events: DataFrame, stored: DataFrame | None, bounds: list[Row] |
     the check reads that stretch of the log and not its history. It looks at the three id columns alone; whole rows
     are shuffled only where repeats cannot be ruled out.
     """
-    bounds = batch_bounds(events) if bounds is None else bounds
+    return _new_events(events, stored, batch_bounds(events) if bounds is None else bounds)[0]
+
+
+def _new_events(events: DataFrame, stored: DataFrame | None, bounds: list[Row]) -> tuple[DataFrame, bool]:
+    """The new events, and whether these are all events of the batch's stretch, as none of them is stored."""
     if not all(row.whole for row in bounds):
         events = events.dropDuplicates(EVENT_ID)
     if stored is not None and bounds:
         seen = stored.filter(_tail(bounds)).select(*EVENT_ID)
         if not seen.isEmpty():
-            events = events.join(seen, EVENT_ID, "left_anti")
-    return events
+            return events.join(seen, EVENT_ID, "left_anti"), False
+    return events, True
 
 
-def append_events(events: DataFrame, path: str, partition_by: list[str] | None = None,
-                  bounds: list[Row] | None = None) -> None:
+def append_events(events: DataFrame, path: str, partition_by: list[str] | None = None, bounds: list[Row] | None = None,
+                  counts: dict[str, Column] | None = None) -> dict[str, int | None] | None:
     """Append to an event log. Repeating a batch, or part of it, adds nothing.
 
-    ``bounds``, from :func:`batch_bounds`, saves looking at the batch again.
+    ``bounds``, from :func:`batch_bounds`, saves looking at the batch again. ``counts`` are worked out while the rows
+    are written and returned; None if some of the batch was stored already, so that what was written is not all of it.
     """
     stored = read_if_present(events.sparkSession, path)
     bounds = batch_bounds(events) if bounds is None else bounds
     if stored is not None and not bounds:
-        return
-    fresh = new_events(events, stored, bounds)
+        return None
+    fresh, whole = _new_events(events, stored, bounds)
+    counted = Counted(fresh, **counts) if counts else None
+    fresh = counted.rows if counted else fresh
     if partition_by:
         # Evens out file sizes: a source with most of the events is spread over several tasks.
         fresh.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
     else:
         fresh.write.mode("append").parquet(path)
+    return counted.get() if counted and whole else None

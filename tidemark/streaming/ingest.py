@@ -14,6 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from tidemark import schemas as S
 from tidemark.operators.envelope import bronze_table, message_columns
 from tidemark.operators.ids import assign_ids
+from tidemark.operators.offsets import event_counts
 from tidemark.operators.trips import clean_trips, enrich_zones
 from tidemark.sinks import deltas
 from tidemark.sinks.messages import REJECT_REASON, from_events
@@ -44,17 +45,24 @@ def bronze_path(root: str, spec: S.TableSpec) -> str:
     return f"{root}/bronze_{spec.name}"
 
 
-def ingest_messages(messages: DataFrame, specs: list[S.TableSpec], root: str) -> None:
+def ingest_messages(messages: DataFrame, specs: list[S.TableSpec], root: str,
+                    partitions: dict[str, list[int]] | None = None) -> dict[str, dict[str, int | None] | None]:
     """One batch of messages into the bronze table of each topic.
 
     Safe to repeat: offsets that are stored already are not stored again. Unusable messages are kept
     like all others and can be listed from bronze at any time.
+
+    With ``partitions`` per topic, the write of each table also counts its events (``offsets.event_counts``); the counts
+    come back by table, None where part of the batch had been stored before.
     """
     ids = message_columns(messages).select(*S.EVENT_ID)
     bounds = batch_bounds(ids)
+    found = {}
     for spec in specs:
         of_table = [row for row in bounds if row.topic == spec.topic]
-        append_events(bronze_table(messages, spec), bronze_path(root, spec), bounds=of_table)
+        counts = event_counts(spec, partitions.get(spec.topic, ())) if partitions is not None else None
+        found[spec.name] = append_events(bronze_table(messages, spec), bronze_path(root, spec), bounds=of_table, counts=counts)
+    return found
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> StreamingQuery:
