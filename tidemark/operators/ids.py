@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.session import materialize
@@ -23,7 +25,7 @@ def assign_ids(df: DataFrame, mode: str = "fast", keys: list[str] | None = None,
     if mode == "hash":
         return df.withColumn(name, fingerprint(df))
     if mode == "dense":
-        return _dense_ids(df, keys or df.columns, name)
+        return numbered(df, keys or df.columns, name)
     raise ValueError("mode must be 'fast', 'hash' or 'dense'")
 
 
@@ -35,26 +37,26 @@ def fingerprint(df: DataFrame) -> Column:
     return F.xxhash64(*parts)
 
 
-def _dense_ids(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Range-sort, number the rows inside each partition, add the sizes of the partitions before.
+def numbered(df: DataFrame, keys: list[str] | None, name: str = "trip_id", first: Callable[[int], int] = lambda rows: 0) -> DataFrame:
+    """Adds ids without gaps, in the order of ``keys``, or as the rows come when there are none.
 
-    The sorted rows are written once, so their positions are data and cannot change when a lost task
-    is run again. Row content and input position break ties, which also spreads rows that share one
-    key over several partitions.
+    ``first`` says where ids begin, given the number of rows. The rows are written once, in order, so their positions
+    are data and cannot change when a lost task is run again. Row content and input position break ties, which also
+    spreads rows that share one key over several partitions.
     """
     columns = df.columns
-    order = [*keys, "_content", "_input"]
-    ranged = (df.withColumn("_content", F.xxhash64(*columns))
-              .withColumn("_input", F.monotonically_increasing_id())
-              .repartitionByRange(*order).sortWithinPartitions(*order)
-              .withColumn("_at", F.monotonically_increasing_id())
-              .select(*columns,
-                      F.shiftright("_at", _POSITION_BITS).alias("_part"),
-                      F.col("_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_pos")))
-    stored = materialize(ranged, "ids")
+    rows = df
+    if keys:
+        order = [*keys, "_content", "_input"]
+        rows = (df.withColumn("_content", F.xxhash64(*columns)).withColumn("_input", F.monotonically_increasing_id())
+                .repartitionByRange(*order).sortWithinPartitions(*order))
+    placed = rows.withColumn("_at", F.monotonically_increasing_id()).select(
+        *columns, F.shiftright("_at", _POSITION_BITS).alias("_part"),
+        F.col("_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_pos"))
+    stored = materialize(placed, "ids")
     # One row per partition, so this window and the join stay small however many rows there are.
     sizes = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return (stored.join(starts, "_part")
-            .select(*columns, (F.col("_start") + F.col("_pos")).alias(name)))
+    begin = first(stored.count())  # from the files' footers
+    return stored.join(starts, "_part").select(*columns, (F.col("_start") + F.col("_pos") + F.lit(begin)).alias(name))

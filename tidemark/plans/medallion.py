@@ -10,19 +10,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark import schemas as S
 from tidemark.operators.changelog import fold_state, live_rows
 from tidemark.operators.envelope import PROBLEMS, problem
-from tidemark.operators.ids import assign_ids
+from tidemark.operators.ids import assign_ids, numbered
 from tidemark.operators.quality import reconcile
 from tidemark.operators.tips import (
     behavior_from_totals, daily_totals, driver_tip_report, rankings_from_totals, roll_up)
 from tidemark.operators.trips import clean_trips, enrich_zones
 from tidemark.sinks import deltas
+from tidemark.sinks.allocations import allocate
+from tidemark.sinks.compaction import drop_folded, fold_log, read_log
 from tidemark.sinks.kept import keep_state, reached, state_at
 from tidemark.sinks.mirrors import Log, merge_into_mirror, read_mirror, read_state, repair, replace_state
 from tidemark.sinks.runs import list_runs, live_rows_after, load_offsets, newest_run, return_to, save_run
 from tidemark.sinks.tables import replace_table, write_run
 from tidemark.sources.event_log import (
     Offsets, complete_start, per_partition, read_event_log, read_kafka, read_offsets)
-from tidemark.sources.files import read_if_present
 from tidemark.streaming.ingest import bronze_path, ingest_messages
 
 
@@ -101,7 +102,7 @@ def mirror_as_of(spark: SparkSession, layout: Layout, spec: S.TableSpec, run: in
     """Live rows as a run left them, from the nearest earlier state that is stored and what came after it."""
     if layout.fold_share is not None:
         return deltas.read_mirror(spark, layout.mirror(spec), spec, run)
-    bronze = read_if_present(spark, bronze_path(layout.root, spec), spec.bronze_schema)
+    bronze = read_log(spark, bronze_path(layout.root, spec), spec.bronze_schema)
     bronze = spark.createDataFrame([], spec.bronze_schema) if bronze is None else bronze
     return live_rows(state_at(bronze, spec, reached(spark, layout.runs, spec, run), layout.kept(spec), layout.runs), spec)
 
@@ -158,7 +159,8 @@ def refresh_changes(spark: SparkSession, reader: Reader, layout: Layout, specs:
     for spec in specs:
         if not numbers[spec.topic]:
             continue
-        new = _in_ranges(_bronze_log(spark, layout, spec)(), end, start)
+        here = {p: at for p, at in end.items() if p[0] == spec.topic}
+        new = read_log(spark, bronze_path(layout.root, spec), spec.bronze_schema, here, start)
         grown = _merge(new, layout, spec, run)
         # What the last run counted holds only if this run's events were new: an earlier attempt may have merged others.
         before = live_rows_after(spark, layout.runs, spec.topic) if seen[spec.name] is not None and grown is not None else None
@@ -184,18 +186,24 @@ def refresh_changes(spark: SparkSession, reader: Reader, layout: Layout, specs:
 
 
 def _bronze_log(spark: SparkSession, layout: Layout, spec: S.TableSpec) -> Log:
-    return lambda: spark.read.schema(spec.bronze_schema).parquet(bronze_path(layout.root, spec))
+    return lambda: read_log(spark, bronze_path(layout.root, spec), spec.bronze_schema)
 
 
-def _in_ranges(bronze: DataFrame, end: Offsets, start: Offsets) -> DataFrame:
-    """Bronze rows of the offset ranges of this run."""
-    return read_offsets(bronze, end, start, "kafka_partition", "kafka_offset")
+def fold_bronze(spark: SparkSession, layout: Layout, specs: list[S.TableSpec], drop: bool = False) -> dict[str, int]:
+    """Fold the small files of bronze into large ones, and delete them if asked to; returns the rows folded per table."""
+    found = {}
+    for spec in specs:
+        path = bronze_path(layout.root, spec)
+        found[spec.name] = fold_log(spark, path, spec.bronze_schema)
+        if drop:
+            drop_folded(spark, path)
+    return found
 
 
 def backfill(spark: SparkSession, layout: Layout, specs: list[S.TableSpec], from_log: bool = False) -> None:
     """Rebuild the mirrors from bronze. With ``from_log`` the next run also reads the tables' topics again from the start."""
     for spec in specs:
-        bronze = read_if_present(spark, bronze_path(layout.root, spec), spec.bronze_schema)
+        bronze = read_log(spark, bronze_path(layout.root, spec), spec.bronze_schema)
         if bronze is not None:
             _rebuild(fold_state(bronze, spec), layout, spec)
     if from_log:
@@ -218,7 +226,7 @@ def return_to_run(spark: SparkSession, layout: Layout, specs: list[S.TableSpec],
     Mirrors start from the nearest state that was kept at or before that run; see :func:`mirror_as_of`.
     """
     for spec in specs:
-        bronze = read_if_present(spark, bronze_path(layout.root, spec), spec.bronze_schema)
+        bronze = read_log(spark, bronze_path(layout.root, spec), spec.bronze_schema)
         if layout.fold_share is not None:
             deltas.return_to(spark, layout.mirror(spec), spec, run, newest_run(spark, layout.runs) + 1)
         elif bronze is not None:
@@ -232,8 +240,8 @@ def refresh_trips(spark: SparkSession, trips: DataFrame, zones: DataFrame, layou
     """Trips to bronze with ids, then cleaned and enriched to silver.
 
     Without ``batch`` both tables are replaced, silver by day of pickup. With it, the trips are those of one batch, such
-    as a month: they are added, or replace what that batch brought before, and other batches are not touched. Their
-    ids go on above those of the other batches.
+    as a month: they are added, or replace what that batch brought before, and other batches are not touched. Ids of a
+    batch have no gaps and lie in a range of its own, which it keeps when it is repeated; earlier trips are not read.
     """
     bronze_path, silver_path = layout.trips("bronze"), layout.trips("silver")
     if batch is None:
@@ -242,12 +250,12 @@ def refresh_trips(spark: SparkSession, trips: DataFrame, zones: DataFrame, layou
         silver = silver.withColumn("pickup_date", F.to_date("tpep_pickup_datetime"))
         replace_table(silver.hint("rebalance", "pickup_date"), silver_path, ["pickup_date"])
         return
-    stored = read_if_present(spark, bronze_path)
-    last = None if stored is None else stored.filter(F.col("batch").cast("string") != batch).agg(F.max("trip_id").alias("n")).head().n
-    numbered = assign_ids(trips, id_mode, id_keys)
-    if id_mode != "hash":
-        numbered = numbered.withColumn("trip_id", F.col("trip_id") + F.lit(0 if last is None else last + 1))
-    write_run(numbered, bronze_path, "batch", batch)
+    if id_mode == "hash":
+        rows = assign_ids(trips, id_mode, id_keys)
+    else:
+        keys = id_keys or trips.columns if id_mode == "dense" else None
+        rows = numbered(trips, keys, first=lambda n: allocate(spark, layout.trips("ids"), batch, n))
+    write_run(rows, bronze_path, "batch", batch)
     bronze = spark.read.parquet(f"{bronze_path}/batch={batch}")
     write_run(enrich_zones(clean_trips(bronze), zones), silver_path, "batch", batch)
 

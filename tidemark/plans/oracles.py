@@ -357,6 +357,9 @@ SELECT CAST(trip_id AS VARCHAR) AS key, '{"trip_id":' || trip_id || ',"payment_t
         "ids_dense": _with_trips("""
 SELECT rank() OVER (ORDER BY tpep_pickup_datetime) - 1 AS trip_id, epoch_us(tpep_pickup_datetime) AS tpep_pickup_datetime,
        fare_amount FROM trips"""),
+        "ids_batches": _with_trips("""
+SELECT CASE WHEN tpep_pickup_datetime < '2024-01-15' THEN 1 ELSE 2 END AS batch, rank() OVER (ORDER BY tpep_pickup_datetime) - 1 AS trip_id,
+       epoch_us(tpep_pickup_datetime) AS tpep_pickup_datetime, fare_amount FROM trips"""),
         "ids_hash": _with_trips("""
 SELECT 'rows' AS layer, 2 * count(*) AS rows FROM trips UNION ALL SELECT 'ids', count(*) FROM trips
 UNION ALL SELECT 'ids_in_any_order', count(*) FROM trips"""),
@@ -413,8 +416,9 @@ UNION ALL SELECT user_id, event_type, amount, ts_ms, 1 FROM later WHERE op <> 'd
 UNION ALL SELECT user_id, event_type, amount, ts_ms, 2 FROM latest WHERE op <> 'd'""",
                                          _latest("early", _reached(DAY_8)), _latest("later", _reached(DAY_22)), latest),
         "table_rollback": _with_events(_MIRROR, _latest(where=_reached(DAY_22))),
-        "table_append_twice": _with_events(f"""
-SELECT event_id AS kafka_offset, op, {after.format('user_id')} AS after_id, {before.format('user_id')} AS before_id FROM ev"""),
+        **{name: _with_events(f"""
+SELECT event_id AS kafka_offset, op, {after.format('user_id')} AS after_id, {before.format('user_id')} AS before_id FROM ev""")
+           for name in ("table_append_twice", "table_compacted_log")},
         "table_run_overwrite": _with_events("""
 SELECT CAST(day AS VARCHAR) AS day, op, count(*) AS events FROM (SELECT ts::DATE AS day, op FROM ev)
 WHERE day <> '2024-01-20' AND (op = 'd' OR day >= '2024-01-15') GROUP BY day, op"""),

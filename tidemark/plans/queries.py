@@ -16,7 +16,7 @@ from tidemark.plans import testbed as B
 from tidemark.plans.medallion import Layout, backfill, file_log, refresh_changes, refresh_trips, run_medallion
 from tidemark.plans.testbed import USERS
 from tidemark.session import materialize, scratch_dir
-from tidemark.sinks import deltas as D, kept as K, messages as M, mirrors as V, runs as U
+from tidemark.sinks import compaction as Z, deltas as D, kept as K, messages as M, mirrors as V, runs as U
 from tidemark.sinks.tables import append_events, replace_from_query, replace_table, write_run
 from tidemark.sources import event_log as L
 from tidemark.sources.files import read_dimension, read_source_table, remove
@@ -512,6 +512,16 @@ def ids_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(numbered.select("trip_id", "tpep_pickup_datetime", "fare_amount"))
 
 
+def ids_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of trips, the first of them once more after the second: ids without gaps, the same as before."""
+    layout, zones = Layout(scratch_dir(spark, "lake")), B.zones(spark, sf_dir)
+    trips, early = B.trips(spark, sf_dir).drop("trip_id"), F.col("tpep_pickup_datetime") < "2024-01-15"
+    for batch, part in (("1", trips.filter(early)), ("2", trips.filter(~early)), ("1", trips.filter(early))):
+        refresh_trips(spark, part, zones, layout, "dense", ["tpep_pickup_datetime"], batch)
+    bronze = spark.read.parquet(layout.trips("bronze"))
+    return plain(bronze.select(F.col("batch").cast("int").alias("batch"), "trip_id", "tpep_pickup_datetime", "fare_amount"))
+
+
 def _doubtful(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips of which every other lacks one of two values and the rest the other, each row twice."""
     k = F.col("trip_id") % 2
@@ -665,6 +675,19 @@ def table_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(where).select("kafka_offset", F.col("op").cast("string").alias("op"), "after_id", "before_id")
 
 
+def table_compacted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log that arrives in eight batches, is folded after the sixth, and gets some of its events once more."""
+    where, log = scratch_dir(spark, "log"), B.user_log(spark, sf_dir)
+    part = F.pmod(F.expr("kafka_offset div 200"), F.lit(8))
+    for number in range(8):
+        append_events(log.filter(part == number), where)
+        if number == 5:
+            Z.fold_log(spark, where, file_rows=1000)
+            Z.drop_folded(spark, where)
+    append_events(log.filter(F.col("ts_ms") >= DAY_8), where)
+    return Z.read_log(spark, where).select("kafka_offset", F.col("op").cast("string").alias("op"), "after_id", "before_id")
+
+
 def table_run_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     where = scratch_dir(spark, "runs")
     log = B.user_log(spark, sf_dir).select("kafka_offset", "op", F.to_date("kafka_timestamp").alias("day"))
@@ -780,12 +803,12 @@ ALL: tuple[Query, ...] = (
     cdc_run_summary, cdc_observed_run, cdc_snapshot_diff, cdc_diff_applied, cdc_pending_offsets, cdc_offset_range,
     cdc_checkpoint_batches, cdc_reconcile, cdc_row_diff, cdc_bucket_diff, cdc_schema_evolution, cdc_reparse,
     quality_counts, quality_describe, source_trip_files, source_drifted_files, source_lookups, trips_text_times,
-    trips_clean, trips_rejects, trips_enriched, trips_events_roundtrip, trips_event_text, trips_bad_lines, trips_appended, ids_dense, ids_hash,
+    trips_clean, trips_rejects, trips_enriched, trips_events_roundtrip, trips_event_text, trips_bad_lines, trips_appended, ids_dense, ids_batches, ids_hash,
     ids_fast, layer_counts,
     tips_behavior, tips_mode_payment, tips_rankings, tips_rankings_overlap, tips_rankings_both,
     tips_best_zone_hour, tips_top15, tips_top20, tips_best_hour, tips_driver_report, tips_driver_report_dense,
     tips_top_drivers, tips_driver_by_key, tips_rating_vs_tip, tips_rating_correlation,
-    table_versions, table_as_of, table_as_of_tail, table_rollback, table_append_twice, table_run_overwrite, table_offsets,
+    table_versions, table_as_of, table_as_of_tail, table_rollback, table_append_twice, table_compacted_log, table_run_overwrite, table_offsets,
     stream_bronze, stream_silver, stream_trips, stream_trips_silver, medallion_driver_report, medallion_layers,
 )
 

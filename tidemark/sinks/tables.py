@@ -6,8 +6,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
 from tidemark.schemas import EVENT_ID
+from tidemark.sinks.compaction import read_log
 from tidemark.sources.event_log import per_partition
-from tidemark.sources.files import read_if_present
 
 
 def create_namespace(spark: SparkSession, name: str) -> None:
@@ -116,8 +116,11 @@ def append_events(events: DataFrame, path: str, partition_by: list[str] | None =
     ``bounds``, from :func:`batch_bounds`, saves looking at the batch again. ``counts`` are worked out while the rows
     are written and returned; None if some of the batch was stored already, so that what was written is not all of it.
     """
-    stored = read_if_present(events.sparkSession, path)
     bounds = batch_bounds(events) if bounds is None else bounds
+    # Folded or not, and of segments only the files that overlap the batch.
+    lows, highs = ({(r.topic, r.kafka_partition): at for r, at in zip(bounds, ends)}
+                   for ends in ([r.low for r in bounds], [r.high + 1 for r in bounds]))
+    stored = read_log(events.sparkSession, path, None, highs, lows)
     if stored is not None and not bounds:
         return None
     fresh, whole = _new_events(events, stored, bounds)
