@@ -259,8 +259,10 @@ UNION ALL SELECT 'run 2', count(*) FROM ev WHERE arrived_ms >= {DAY_22}""", late
 SELECT CAST(l_linenumber % 5 AS INT) AS width, count(*) AS values, count(*) AS equal FROM lineitem GROUP BY 1""",
         "cdc_wide_topic": _with_events("""
 SELECT CAST("offset" % 500 AS INT) AS partition, count(*) AS messages, min("offset") AS first_offset, max("offset") AS last_offset
-FROM msgs WHERE topic = 'dbserver1.public.customers' AND "offset" % 500 < 400 AND "offset" >= 10 * ("offset" % 500)
-AND "offset" < 20000 - 10 * ("offset" % 500) GROUP BY 1""", _MESSAGES),
+FROM msgs JOIN (SELECT "offset" % 500 AS p, min("offset") AS low, max("offset") AS high FROM msgs
+                WHERE topic = 'dbserver1.public.customers' GROUP BY 1) ON "offset" % 500 = p
+WHERE topic = 'dbserver1.public.customers' AND p < 400 AND "offset" >= low + (high - low) // 5
+AND "offset" < high - (high - low) // 5 GROUP BY 1""", _MESSAGES),
         "cdc_string_keys": _with_events("""
 SELECT 'live' AS part, count(*) AS n FROM latest WHERE op <> 'd'
 UNION ALL SELECT 'quarantine', count(*) FROM ev WHERE NOT usable""", latest),
@@ -272,6 +274,7 @@ SELECT CAST(event_id % 2 AS INT) AS kafka_partition, count(*) AS events, max(eve
 SELECT user_id AS id, event_type, amount, ts_ms - ts_ms % 86400000 AS updated_ts FROM latest WHERE op <> 'd'""",
                                         _latest(place="((ts_ms // 86400000)::HUGEINT * 10000000000 + event_id)")),
         "cdc_apply_changes": _with_events(_MIRROR, latest),
+        "cdc_variant_table": _with_events(_MIRROR, latest),
         "cdc_crashed_merge": _with_events(_MIRROR, latest),
         "cdc_replay_equals_batch": _with_events(_MIRROR, latest),
         "cdc_state_as_of": _with_events(_MIRROR, _latest(where=f"ts_ms < {DAY_15}")),
@@ -337,7 +340,7 @@ GROUP BY trip_id % 5
 UNION ALL SELECT 'passenger_count ' || ['double', 'string'][trip_id % 25], count(*), NULL, NULL, NULL
 FROM trips WHERE trip_id % 25 IN (1, 2) GROUP BY trip_id % 25"""),
         "source_lookups": """
-SELECT n_nationkey AS LocationID, upper(n_name) AS Zone, n_name AS source_zone FROM nation WHERE n_nationkey > 3""",
+SELECT c_custkey, lower(c_name) AS name, c_name AS source_name FROM customer WHERE c_nationkey > 3""",
         "trips_text_times": _with_trips("""
 SELECT trip_id, epoch_us(tpep_pickup_datetime) AS tpep_pickup_datetime, fare_amount FROM silver WHERE trip_id % 50 <> 0"""),
         "trips_clean": _with_trips(f"SELECT {_CLEAN_COLUMNS} FROM silver"),

@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import schemas as S
-from tidemark.operators import changelog as C, envelope as E, offsets as O, quality as Q, tips, trips as R
+from tidemark.operators import (
+    changelog as C, envelope as E, offsets as O, quality as Q, tips, trips as R, undeclared as N)
 from tidemark.functions.values import typed_value
 from tidemark.operators.ids import assign_ids
 from tidemark.plans import testbed as B
@@ -74,6 +75,14 @@ def cdc_undeclared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("events"), F.min(image.getItem("email")).alias("first_email"))
 
 
+def cdc_variant_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mirror of a table that nobody declared, under the declaration that its changes propose."""
+    sent = M.to_envelope(B.user_log(spark, sf_dir), USERS, F.col("op") != S.UPDATE, tombstones=True)
+    parsed = N.parse_variants(sent)
+    spec = N.propose_spec(parsed, USERS.name, "id")
+    return C.current_state(N.flatten_variants(parsed, spec), spec)
+
+
 def cdc_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = E.quarantine(B.damaged_messages(spark, sf_dir), BOTH)
     return found.select("topic", "kafka_partition", "kafka_offset", "reason", F.col("value").isNotNull().alias("raw_kept"))
@@ -254,11 +263,12 @@ def cdc_decimal_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_wide_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A range of a topic of five hundred partitions, each with bounds of its own."""
+    """A range of a topic of five hundred partitions: the middle of each, by its own least and greatest offset."""
     log = B.messages(spark, sf_dir).select("topic", F.pmod("offset", F.lit(500)).cast("int").alias("partition"), "offset")
-    topic = S.CUSTOMERS.topic
-    start = {(topic, n): 10 * n for n in range(500)}
-    end = {(topic, n): 20_000 - 10 * n for n in range(400)}
+    bounds = L.read_topic(log, S.CUSTOMERS.topic).groupBy("topic", "partition").agg(
+        F.min("offset").alias("low"), F.max("offset").alias("high")).collect()
+    start = {(r.topic, r.partition): r.low + (r.high - r.low) // 5 for r in bounds}
+    end = {(r.topic, r.partition): r.high - (r.high - r.low) // 5 for r in bounds if r.partition < 400}
     return L.read_offsets(log, end, start).groupBy("partition").agg(
         F.count(F.lit(1)).alias("messages"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"))
 
@@ -452,12 +462,12 @@ def source_drifted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table replaced from a query twice, read as a lookup and as a named source."""
-    where = scratch_dir(spark, "lookup") + "/zones"
-    B.zones(spark, sf_dir).createOrReplaceTempView("tidemark_zones")
-    replace_from_query(spark, "SELECT LocationID FROM tidemark_zones", where)
-    replace_from_query(spark, "SELECT LocationID, upper(Zone) AS Zone FROM tidemark_zones WHERE LocationID > 3", where)
-    named = read_source_table(spark, "tidemark_zones").select("LocationID", F.col("Zone").alias("source_zone"))
-    return read_dimension(spark, where).join(named, "LocationID")
+    where = scratch_dir(spark, "lookup") + "/customers"
+    B.table(spark, sf_dir, "customer").createOrReplaceTempView("tidemark_customers")
+    replace_from_query(spark, "SELECT c_custkey FROM tidemark_customers", where)
+    replace_from_query(spark, "SELECT c_custkey, lower(c_name) AS name FROM tidemark_customers WHERE c_nationkey > 3", where)
+    named = read_source_table(spark, "tidemark_customers").select("c_custkey", F.col("c_name").alias("source_name"))
+    return read_dimension(spark, where).join(named, "c_custkey")
 
 
 # Trips
@@ -795,7 +805,7 @@ def trips_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL: tuple[Query, ...] = (
-    cdc_parse_envelope, cdc_route_counts, cdc_undeclared_table, cdc_quarantine, cdc_quarantined_bronze, cdc_all_accounted,
+    cdc_parse_envelope, cdc_route_counts, cdc_undeclared_table, cdc_variant_table, cdc_quarantine, cdc_quarantined_bronze, cdc_all_accounted,
     cdc_batches_two_partitions, cdc_decimal_widths, cdc_wide_topic, cdc_string_keys, cdc_incremental_run, cdc_new_table_later,
     cdc_backfill, cdc_crashed_merge, cdc_marker_horizon, cdc_delta_mirror,
     cdc_mirror_customers, cdc_mirror_drivers, cdc_current_state, cdc_first_rows, cdc_latest_ties, cdc_apply_changes, cdc_replay_equals_batch,
