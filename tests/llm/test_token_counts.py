@@ -1,3 +1,4 @@
+import os
 import re
 from collections import Counter
 
@@ -30,6 +31,27 @@ def test_changes_add_up(spark):
     assert {tuple(r) for r in T.totals(spark, root).collect()} == expected
 
 
+def test_unfinished_and_folded_batches(spark):
+    root = scratch_dir(spark, "rollup")
+    assert T.totals(spark, root).count() == 0 and T.fold(spark, root) == 0
+    one, two = rows(spark, [("a", "en", "v1", 5)]), rows(spark, [("b", "en", "v1", 7)])
+    T.commit(root, "day.1", T.inserts(one))
+    T.commit(root, "day.2", T.inserts(two))
+    expected = {("a", "en", "v1", 1, 5), ("b", "en", "v1", 1, 7)}
+    # An attempt that died: its files are there, but Spark did not mark it as finished.
+    T.commit(root, "day.2", T.inserts(rows(spark, [("b", "en", "v1", 99)])))
+    os.remove(f"{root}/batch=day.2.1/_SUCCESS")
+    assert {tuple(r) for r in T.totals(spark, root).collect()} == expected
+    assert T.fold(spark, root) == 2 and T.fold(spark, root) == 0
+    assert {tuple(r) for r in T.totals(spark, root).collect()} == expected
+    assert not T.commit(root, "day.1", T.inserts(two)) and T.commit(root, "day.3", T.deletes(two))
+    assert {tuple(r) for r in T.totals(spark, root).collect()} == {("a", "en", "v1", 1, 5)}
+    assert T.fold(spark, root) == 1
+    os.remove(f"{root}/folded=1.0/_SUCCESS")  # a fold that died: the one before it and the batch after count
+    assert {tuple(r) for r in T.totals(spark, root).collect()} == {("a", "en", "v1", 1, 5)}
+    assert T.fold(spark, root) == 1 and {tuple(r) for r in T.totals(spark, root).collect()} == {("a", "en", "v1", 1, 5)}
+
+
 def test_history_equals_recount(spark):
     frame = documents(spark)
     texts = {}
