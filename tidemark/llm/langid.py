@@ -110,14 +110,28 @@ def marginals(scores: np.ndarray, moves: np.ndarray, lengths: np.ndarray) -> tup
     return out, pairs
 
 
+def least_hashes(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
+    """The ``most`` rows of least hash of ``key`` in each group, or all.
+
+    A bound on the hash, set from the number of rows so that four times as many lie below it, leaves out the others
+    before rows of a group meet in one task. Hashes are even, so fewer than ``most`` below it do not occur in practice;
+    if they did, the sample would be smaller.
+    """
+    counts = rows.groupBy(group).agg(F.count("*").alias("of"))
+    share = F.least(F.lit(1.0), F.lit(4.0 * most) / F.col("of"))
+    # Hashes run from -2^63 to 2^63 - 1.
+    low = rows.join(counts, group).filter(F.xxhash64(key).cast("double") <= F.lit(-2.0 ** 63) + F.lit(2.0 ** 64) * share).drop("of")
+    ranked = low.withColumn("at", F.expr(f"row_number() over (partition by {group} order by xxhash64({key}), {key})"))
+    return ranked.filter(F.col("at") <= most).drop("at")
+
+
 def sample_chains(docs: DataFrame, per_language: int = SAMPLE_CHAINS, docs_per_language: int = SAMPLE_DOCS) -> DataFrame:
     """(lang, words) of a bounded sample of sentences; documents whose crc32(doc_id) is 1 modulo 3 are held out."""
     known = pick(docs, doc_id="doc_id", lang="lang", text="text").filter("doc_id is not null and lang is not null and text is not null") \
         .filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
-    # Ranks documents without their texts; each task passes on the first few per language only.
-    ranked = known.select("doc_id", "lang").withColumn("at", F.expr(
-        "row_number() over (partition by lang order by xxhash64(doc_id), doc_id)"))
-    chosen = ranked.filter(F.col("at") <= docs_per_language).select("doc_id", F.col("lang").alias("language")).distinct()
+    # Ranks documents without their texts.
+    chosen = least_hashes(known.select("doc_id", "lang"), "lang", "doc_id", docs_per_language) \
+        .select("doc_id", F.col("lang").alias("language")).distinct()
     # At most docs_per_language rows for each language, whatever the size of the table.
     texts = known.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
@@ -130,9 +144,8 @@ def sample_chains(docs: DataFrame, per_language: int = SAMPLE_CHAINS, docs_per_l
                     [pa.array([language] * len(chains), pa.string()), pa.array(chains, pa.list_(pa.string()))],
                     names=["lang", "words"])
 
-    chains = map_batches(texts, run, "lang string, words array<string>")
-    ranked = chains.withColumn("at", F.expr("row_number() over (partition by lang order by xxhash64(words), words)"))
-    return ranked.filter(F.col("at") <= per_language).select("lang", "words")
+    chains = stored(map_batches(texts, run, "lang string, words array<string>"), "langid-chains")
+    return least_hashes(chains, "lang", "words", per_language).select("lang", "words")
 
 
 def fit(docs: DataFrame, rounds: int = 12, per_language: int = SAMPLE_CHAINS) -> Model:
@@ -283,7 +296,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score) per row of ``docs``; only doc_id and text are read.
 
     ``und`` with score 0 is for NULL texts and those without a letter. Of languages with the same mean the first by
-    name is taken. Repeated rows are labelled each.
+    name is taken. Texts of any length are labelled whole, in chains of bounded length. Repeated rows are labelled
+    each, and an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
