@@ -108,7 +108,8 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc_i
     """Per row: doc_id, counts, base_failed, broken (names of broken rules) and kept.
 
     Base: fewer than 50 words, or over half of the words in repeated windows. A text without words fails it; its
-    ratios are NULL. Repeated rows are judged each; an empty table gives an empty result.
+    ratios are NULL. Texts of any length are judged whole, NULL as a text without words. Repeated rows are judged each;
+    other columns play no part, and an empty table gives an empty result.
     """
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = counts(docs, doc_id, text).withColumn("base_failed", base) \

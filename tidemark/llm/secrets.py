@@ -37,10 +37,10 @@ SPANS = "array<struct<kind:string,start:int,end:int>>"
 class EntropyRule:
     """Which candidates look random.
 
-    ``window``: characters in the sliding window, and the least length of a candidate. ``thresholds``: bits per
-    character at which a window counts, by class. Letters of both cases reach their threshold when 15 characters of a window
-    of 20 differ; those of one case need 16, as some long compound words have 15. Digits alone cannot reach theirs, as long numbers look no other than
-    keys (32 digits and more are of kind hex).
+    ``window``: characters in the sliding window, and the least length of a candidate. ``thresholds``: bits per character
+    at which a window counts, by class. Letters of both cases reach their threshold when 15 characters of a window of 20
+    differ; those of one case need 16, as some long compound words have 15. Digits alone are not judged: they cannot
+    reach theirs, as long numbers look no other than keys (32 digits and more are of kind hex).
     ``allowed``: patterns of harmless candidates, matched against the whole candidate.
     """
 

@@ -357,7 +357,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def reject_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more; all columns stay."""
+    """``docs`` without the rows that score ``threshold`` or more; all columns stay, whatever their names.
+
+    A NULL text scores like an empty one, which has no term and so the score of the bare model. Texts of any length are
+    read whole; repeated rows are judged each, and an empty table stays empty.
+    """
 
     def run(batches: Iterator[pa.RecordBatch], named: dict) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
