@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_stages_and_names():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash_near_dedup", "secret_scans", "mixing", "bpe"]
     names = contract.queries()
-    assert "pipeline" in names and [n.split("_")[0] for n in queries.catalog()] == [f"op{i}" for i in range(1, 11)]
+    assert "pipeline" in names and [n.split("_")[0] for n in queries.catalog()] == [f"op{i}" for i in range(1, 14)]
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test data not here")

@@ -88,7 +88,7 @@ def both_present(rows: DataFrame) -> DataFrame:
     """(lang, a, b, value): sums over terms that a and b both have, from rows (lang, row, times), a before b.
 
     A row's items are (source, p, z): the source's share with the term and without. The value of a node b under an
-    ancestor a is |pa - pb| - |pa - zb| - |za - pb| + |za - zb|.
+    ancestor a is |pa - pb| - |pa - zb| - |za - pb| + |za - zb|: less twice what [za, pa] and [zb, pb] have in common.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lang, path, weight, names = None, [], [], {}
@@ -109,12 +109,12 @@ def both_present(rows: DataFrame) -> DataFrame:
                 path.pop()
                 if k:
                     weight[-1] += times
-                    value = np.abs(p[:k] - p[k]) - np.abs(p[:k] - z[k]) - np.abs(z[:k] - p[k]) + np.abs(z[:k] - z[k])
+                    common = np.minimum(p[:k], p[k]) - np.maximum(z[:k], z[k])
                     cells = sums.get(int(place[k]))
                     if cells is None or len(cells) < len(names):
                         cells = np.r_[np.zeros(0, np.int64) if cells is None else cells, np.zeros(2 * len(names), np.int64)]
                         sums[int(place[k])] = cells
-                    cells[place[:k]] += times * value  # the sources of a path are all different
+                    cells[place[:k]] -= 2 * times * np.maximum(common, 0)  # the sources of a path are all different
 
         for batch in batches:
             for name, row, times in zip(*(column(batch, c).to_pylist() for c in ("lang", "row", "times"))):
@@ -196,7 +196,10 @@ def audit(docs: DataFrame, least_docs: int = 30, top: int = 50, text: str = "tex
                 share("everywhere", "lang_total", "terms").alias("q"))
     paths = cells.groupBy("lang", "term").agg(F.array_sort(F.collect_list(F.struct("source", "p", "z"))).alias("row")) \
         .groupBy("lang", "row").agg(F.count("*").alias("times"))
-    shared = both_present(paths.repartitionByRange("lang", "row").sortWithinPartitions("lang", "row"))
+    # Rows go to tasks by their first shares: the driver sees a sample of these, and whole rows would be many times larger.
+    ahead = [F.get("row", F.lit(i)).getField("p") for i in range(4)]
+    paths = paths.repartitionByRange("lang", *ahead, F.xxhash64("row"))
+    shared = both_present(paths.sortWithinPartitions("lang", "row"))
     single = one_present(cells, groups)
     a, b = (groups.select("lang", F.col("source").alias(s), F.col("z").alias(f"z{s}"), F.col("terms").alias(f"v{s}")) for s in "ab")
     start = a.join(b, "lang").filter("a <> b") \
