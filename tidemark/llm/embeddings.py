@@ -2,11 +2,12 @@
 
 Unit vectors with cosine c are sqrt(2 - 2c) apart. Vectors are rotated, which spreads them evenly over coordinates, and
 cut into blocks. The squared distance of a pair is the sum over blocks, so at least one block holds no more than its
-share of the greatest allowed one. Each block is range-joined on its own under that share: the first coordinates of the
-block make a grid with cells as wide as the range, a vector is at home in one cell and visits those neighbours that a
-partner within range can live in. Pairs within range in some block are candidates; all are verified by the cosine.
+share of the greatest allowed one. Each block is range-joined on its own under that share: a k-d tree over all
+coordinates of the block makes cells, a vector is at home in one cell and visits those others whose box lies within its
+range, as a partner may live there. Pairs within range in some block are candidates; all are verified by the cosine.
 
-Crowded cells are cut into chunks, and chunks meet in pairs, so no task holds more than two chunks.
+The splits of the trees are medians of a bounded sample; where they lie decides how much is compared, never what is
+found. Crowded cells are cut into chunks, and chunks meet in pairs, so no task holds more than two chunks.
 """
 
 from __future__ import annotations
@@ -23,8 +24,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import column, map_batches, pick, ship, stored
 from tidemark.llm.graph import components
 
-#: Coordinates in a block, and how many of them make the grid.
-BLOCK, GRID = 8, 2
+#: Coordinates in a block, and rows of the largest label that a cell has, about. Smaller cells mean fewer comparisons and
+#: more visits, which cost a row each; this is where both cost about the same.
+BLOCK, CELL = 8, 512
+#: Vectors that the trees are fitted to at most: those of least id hash. A cell has at least eight of them.
+SAMPLE = 16_384
 #: Rows of a cell that a task compares with as many others.
 CHUNK = 2048
 _SLACK = 1e-9
@@ -44,21 +48,96 @@ def blocks_of(size: int) -> list[slice]:
     return [slice(a, b) for a, b in itertools.pairwise(edges)]
 
 
-def _mixed(cells: np.ndarray) -> np.ndarray:
-    """One number per cell. Cells that share one are merely compared with each other."""
-    out = np.zeros(len(cells), dtype=np.int64)
-    for axis in range(cells.shape[1]):
-        out = out * 1_000_003 + cells[:, axis]
+def fitted(points: np.ndarray, leaves: int, first: int = 0):
+    """A k-d tree over ``points``: (axis, value, left, right, first and last + 1 leaf), or the number of a leaf.
+
+    Nodes are split at the median of their widest axis; points equal to it go right.
+    """
+    if leaves < 2 or len(points) < 2:
+        return first
+    axis = int(np.argmax(points.var(axis=0)))
+    value = float(np.median(points[:, axis]))
+    side = points[:, axis] >= value
+    if side.all():
+        return first
+    half = leaves // 2
+    left = fitted(points[~side], half, first)
+    middle = _end(left)
+    right = fitted(points[side], leaves - half, middle)
+    return axis, value, left, right, first, _end(right)
+
+
+def _end(tree) -> int:
+    return tree + 1 if isinstance(tree, int) else tree[5]
+
+
+def homes(tree, points: np.ndarray) -> np.ndarray:
+    """The leaf that each point falls in."""
+    out = np.zeros(len(points), np.int64)
+    todo = [(tree, np.arange(len(points)))]
+    while todo:
+        node, rows = todo.pop()
+        if isinstance(node, int):
+            out[rows] = node
+        elif len(rows):
+            side = points[rows, node[0]] >= node[1]
+            todo += [(node[2], rows[~side]), (node[3], rows[side])]
     return out
 
 
+def visits(tree, points: np.ndarray, reach: float, home: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(leaf, rows): the points within ``reach`` of the leaf's box that are at home there or in an earlier leaf.
+
+    Of two points in different cells, the one of the earlier cell visits the other.
+    """
+    todo = [(tree, np.arange(len(points)), np.zeros(points.shape), np.zeros(len(points)))]
+    while todo:
+        node, rows, beyond, far = todo.pop()
+        keep = home[rows] < _end(node)
+        rows, beyond, far = rows[keep], beyond[keep], far[keep]
+        if not len(rows):
+            continue
+        if isinstance(node, int):
+            yield node, rows
+            continue
+        axis, gap = node[0], points[rows, node[0]] - node[1]
+        for child, crosses in ((node[2], gap >= 0), (node[3], gap < 0)):
+            # Distance to a box is that to its planes that lie between; a nearer plane of an axis gives way to a farther.
+            new = np.where(crosses, far - beyond[:, axis] ** 2 + gap ** 2, far)
+            near = new <= reach * reach
+            left = beyond[near].copy()
+            left[crosses[near], axis] = gap[near][crosses[near]]
+            todo.append((child, rows[near], left, new[near]))
+
+
 def usable(vector, label):
     """Condition: a label, and a vector of finite components that are not all zero."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return label.isNotNull() & vector.isNotNull() & ~bad & F.exists(vector, lambda x: x != 0)
 
 
-def placed(vectors: DataFrame, threshold: float) -> DataFrame:
+def rotated(vectors: list, size: int) -> np.ndarray:
+    """Unit vectors in the rotated space; scaled by their largest entry first, so that no square overflows."""
+    matrix = np.array(vectors, dtype=np.float64)
+    matrix /= np.abs(matrix).max(axis=1, keepdims=True)
+    return matrix / np.linalg.norm(matrix, axis=1, keepdims=True) @ rotation(size)
+
+
+def trees(vectors: DataFrame, sample: int = SAMPLE, cell: int = CELL) -> dict[int, list]:
+    """A tree per block for each size of vector, fitted to a bounded sample, with cells for the largest label."""
+    sizes = vectors.groupBy("label", F.size("vector").alias("size")).agg(F.count("*").alias("n")) \
+        .groupBy("size").agg(F.max("n").alias("n")).collect()  # a row per size of vector
+    drawn = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).select("vector").collect()
+    found = {}
+    for size, most in sizes:
+        points = [r.vector for r in drawn if len(r.vector) == size]
+        matrix = rotated(points, size) if points else np.zeros((0, size))
+        leaves = max(1, min(most // cell, len(points) // 8))
+        found[size] = [fitted(matrix[:, cut], leaves) for cut in blocks_of(size)]
+    return found
+
+
+def placed(vectors: DataFrame, threshold: float, known: dict[int, list]) -> DataFrame:
     """Rows (label, size, block, cell, id, home, at) of every vector for its own and its visited cells."""
     budget = 2 - 2 * threshold
 
@@ -67,35 +146,23 @@ def placed(vectors: DataFrame, threshold: float) -> DataFrame:
             ids, labels = column(batch, "id").to_numpy(), column(batch, "label").to_numpy(zero_copy_only=False)
             vectors = column(batch, "vector").to_pylist()
             sizes = np.array([len(v) for v in vectors])
-            for size in np.unique(sizes):
+            for size in np.unique(sizes).tolist():
                 chosen = np.flatnonzero(sizes == size)
-                matrix = np.array([vectors[i] for i in chosen], dtype=np.float64)
-                matrix /= np.abs(matrix).max(axis=1, keepdims=True)
-                matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True) @ rotation(int(size))
-                cuts = blocks_of(int(size))
+                matrix = rotated([vectors[i] for i in chosen], size)
+                cuts = blocks_of(size)
                 reach = math.sqrt(budget / len(cuts)) + _SLACK
                 for number, cut in enumerate(cuts):
                     part = np.ascontiguousarray(matrix[:, cut])
-                    lead, short = part[:, :GRID], part.astype(np.float32)
-                    cell = np.floor(lead / reach).astype(np.int64)
-                    inside = lead / reach - cell
-                    for move in itertools.product((-1, 0, 1), repeat=lead.shape[1]):
-                        if move < (0,) * lead.shape[1]:
-                            continue  # of two neighbours, the vector of the smaller cell visits the other
-                        step = np.array(move)
-                        gap = np.where(step > 0, 1 - inside, np.where(step < 0, inside, 0.0))
-                        near = np.flatnonzero((gap ** 2).sum(axis=1) <= 1 + _SLACK)
-                        if not len(near):
-                            continue
-                        cells = cell[near] + step
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(labels[chosen][near], pa.int64()), pa.array(np.full(len(near), size), pa.int32()),
-                             pa.array(np.full(len(near), number), pa.int32()),
-                             pa.array(_mixed(cells), pa.int64()),
-                             pa.array(ids[chosen][near], pa.int64()),
-                             pa.array(np.full(len(near), not any(move)), pa.bool_()),
-                             pa.array([p.tobytes() for p in short[near]], pa.binary())],
-                            names=["label", "size", "block", "cell", "id", "home", "at"])
+                    short, home = part.astype(np.float32), homes(known[size][number], part)
+                    met = [(leaf, rows) for leaf, rows in visits(known[size][number], part, reach, home)]
+                    rows = np.concatenate([rows for _, rows in met])
+                    cells = np.repeat([leaf for leaf, _ in met], [len(rows) for _, rows in met])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(labels[chosen][rows], pa.int64()), pa.array(np.full(len(rows), size), pa.int32()),
+                         pa.array(np.full(len(rows), number), pa.int32()), pa.array(cells, pa.int64()),
+                         pa.array(ids[chosen][rows], pa.int64()), pa.array(home[rows] == cells, pa.bool_()),
+                         pa.array([p.tobytes() for p in short[rows]], pa.binary())],
+                        names=["label", "size", "block", "cell", "id", "home", "at"])
 
     return map_batches(vectors, run, "label bigint, size int, block int, cell bigint, id bigint, home boolean, at binary")
 
@@ -103,7 +170,7 @@ def placed(vectors: DataFrame, threshold: float) -> DataFrame:
 def candidates(vectors: DataFrame, threshold: float, chunk: int = CHUNK) -> DataFrame:
     """Pairs (a, b), a < b, of vectors (id, label, vector) within range in some block. Loses no pair above ``threshold``."""
     budget = 2 - 2 * threshold
-    rows = stored(placed(vectors, threshold), "cells")
+    rows = stored(placed(vectors, threshold, trees(vectors)), "cells")
     key = ["label", "size", "block", "cell"]
     counts = rows.groupBy(*key).agg(F.count("*").alias("rows"), F.sum(F.col("home").cast("long")).alias("homes")) \
         .filter("homes > 0 and rows > 1").withColumn("chunks", F.ceil(F.col("rows") / chunk)).drop("rows", "homes")
