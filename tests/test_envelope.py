@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 import logs
 from logs import PEOPLE, envelope, log, message, rows
@@ -104,3 +104,13 @@ def test_checkpoint_batches(spark, tmp_path):
     (tmp_path / "bronze_2.json").write_text(json.dumps({"from": 14, "to": 14, "events": []}))
     read = L.read_checkpoint_batches(spark, str(tmp_path), PEOPLE.topic, 0)
     assert rows(current_state(E.bronze_table(read, PEOPLE), PEOPLE)) == {(12, "12", 12), (13, "13", 13)}
+
+
+def test_base64_is_decoded_once(spark):
+    from tidemark.functions.values import decimal_from_base64
+
+    texts = ["AV8=", "/qE=", "AA==", "", "!", None, "AAAAAAAAAAAAAAAAAAAAAAAAAA==", "f////////////////////w=="]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(decimal_from_base64(F.col("t"), 2).alias("d"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("unbase64") == 1
+    shown = [None if r.d is None else r.d.lstrip("0") for r in df.collect()]
+    assert shown[:6] == ["3.51", "-" + "0" * 37 + "3.51", ".00", None, None, None] and shown[6] is None and shown[7] is None

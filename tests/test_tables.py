@@ -204,3 +204,17 @@ def test_shared_root():
     assert "tidemark-" in shared_root(Session("local[2]"))
     with pytest.raises(RuntimeError):
         shared_root(Session("yarn"))
+
+
+def test_gaps_are_no_repeats(spark):
+    def batch(offsets):
+        return spark.createDataFrame([("t", p, o) for p in (0, 1) for o in offsets], "topic string, kafka_partition int, kafka_offset long")
+
+    def once(offsets):
+        return [r.once for r in K.batch_bounds(batch(offsets))]
+
+    assert once([1, 3, 64, 65, 2 ** 40]) == [True] * 2 and once([5]) == [True] * 2 and once([]) == []
+    assert once([1, 3, 64, 65, 64]) == [False] * 2 and once([63, None]) == [False] * 2
+    plan = K.new_events(batch([2, 4, 9]), None)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
+    assert K.new_events(batch([2, 4, 4, 9]), None).count() == 6

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -30,20 +31,38 @@ def spelled(df: DataFrame, *wanted: str) -> list[str]:
 _PART, _PARTS = 12, 3
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once a row, however often it is mentioned.
+
+    Spark repeats the expression of a column at each mention below a condition; a lambda's variable is only looked up.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def decimal_from_base64(text: Column, scale: int) -> Column:
     """Decimal sent as base64 of its big-endian two's complement unscaled value, as text; NULL if not that."""
-    digits = F.hex(F.try_to_binary(text, F.lit("base64")))
-    negative = F.substring(digits, 1, 1) >= "8"
-    padded = F.when(negative, F.lpad(digits, _PART * _PARTS, "F")).otherwise(F.lpad(digits, _PART * _PARTS, "0"))
-    unscaled = F.when(negative, F.lit(-1)).otherwise(F.lit(0)).cast("decimal(38,0)")
-    step = F.lit(Decimal(16 ** _PART)).cast("decimal(15,0)")
+    def shown(unscaled: Column) -> Column:
+        figures = F.lpad(F.abs(unscaled).cast("string"), 40, "0")
+        return once(figures, lambda f: F.concat(
+            F.when(unscaled < 0, "-").otherwise(""), F.substring(f, 1, 40 - scale), F.lit("."),
+            F.substring(f, 41 - scale, max(scale, 1)) if scale else F.lit("0")))
+
+    def decoded(digits: Column) -> Column:
+        negative = F.substring(digits, 1, 1) >= "8"
+        padded = F.when(negative, F.lpad(digits, _PART * _PARTS, "F")).otherwise(F.lpad(digits, _PART * _PARTS, "0"))
+        start = F.when(negative, F.lit(-1)).otherwise(F.lit(0)).cast("decimal(38,0)")
+        number = once(padded, lambda p: _unscaled(p, start))
+        return F.when(F.length(digits).between(2, _PART * _PARTS), once(number, shown))
+
+    return once(F.hex(F.try_to_binary(text, F.lit("base64"))), decoded)
+
+
+def _unscaled(padded: Column, start: Column) -> Column:
+    step, unscaled = F.lit(Decimal(16 ** _PART)).cast("decimal(15,0)"), start
     for part in range(_PARTS):
         number = F.conv(F.substring(padded, 1 + part * _PART, _PART), 16, 10).try_cast("decimal(15,0)")
         unscaled = F.try_add(F.try_multiply(unscaled, step).cast("decimal(38,0)"), number).cast("decimal(38,0)")
-    figures = F.lpad(F.abs(unscaled).cast("string"), 40, "0")
-    shown = F.concat(F.when(unscaled < 0, "-").otherwise(""), F.substring(figures, 1, 40 - scale), F.lit("."),
-                     F.substring(figures, 41 - scale, max(scale, 1)) if scale else F.lit("0"))
-    return F.when(F.length(digits).between(2, _PART * _PARTS), shown)
+    return unscaled
 
 
 def typed_value(text: Column, field: T.StructField) -> Column:

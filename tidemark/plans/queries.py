@@ -722,7 +722,8 @@ def table_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stream")
-    B.messages(spark, sf_dir).repartitionByRange(3, "offset").write.parquet(f"{root}/log")
+    # Three files, a batch each, in row groups small enough for many tasks to read one file.
+    B.messages(spark, sf_dir).repartitionByRange(3, "offset").write.option("parquet.block.size", 8 << 20).parquet(f"{root}/log")
     for _ in range(2):  # the second start finds nothing new
         I.stream_bronze(I.message_stream(spark, f"{root}/log", 1), [S.CUSTOMERS, S.DRIVERS], root,
                         f"{root}/checkpoint").awaitTermination()

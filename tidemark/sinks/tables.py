@@ -44,23 +44,26 @@ def write_run(df: DataFrame, path: str, run_key: str, run: str | None = None) ->
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{run_key}={run}")
 
 
+#: So many low bits of an offset tell which bit of a number of 64 bits it sets.
+_SHIFT = 6
+
+
 def batch_bounds(events: DataFrame) -> list[Row]:
-    """Per (topic, kafka_partition): least and greatest offset of a batch, and whether all between occur once.
+    """Per (topic, kafka_partition): least and greatest offset of a batch, whether each offset in it occurs ``once``, and
+    whether all between do (``whole``).
 
-    Count, sum and sum of squares are compared with those of a range without gaps, so one aggregate that combines
-    map-side is enough. ``whole`` is false for a batch with gaps too; that costs a closer look, not a row.
+    Offsets that lie close together set bits of one number, which is combined map-side; an offset is repeated where fewer
+    bits are set than there are rows. So a batch with gaps, as tombstones leave them, is known to be free of repeats.
     """
     at = F.col("kafka_offset")
-    summed = events.groupBy("topic", "kafka_partition").agg(
-        F.min(at).alias("low"), F.max(at).alias("high"), F.count(F.lit(1)).alias("n"),
-        F.sum(at.cast("decimal(38,0)")).alias("s"), F.sum(at.cast("decimal(19,0)") * at.cast("decimal(19,0)")).alias("q"))
-    found = []
-    for row in summed.collect():  # a row per topic partition
-        low, high, n = row.low, row.high, row.n
-        squares = high * (high + 1) * (2 * high + 1) // 6 - (low - 1) * low * (2 * low - 1) // 6
-        whole = n == high - low + 1 and int(row.s) == (low + high) * n // 2 and int(row.q) == squares
-        found.append(Row(topic=row.topic, kafka_partition=row.kafka_partition, low=low, high=high, whole=whole))
-    return found
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(1 << _SHIFT)).cast("int"))
+    words = events.groupBy("topic", "kafka_partition", F.call_function("shiftright", at, F.lit(_SHIFT)).alias("word")).agg(
+        F.min(at).alias("low"), F.max(at).alias("high"), F.count(F.lit(1)).alias("n"), F.bit_or(bit).alias("bits"))
+    once = F.coalesce(F.bit_count("bits") == F.col("n"), F.lit(False))
+    bounds = words.groupBy("topic", "kafka_partition").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), F.bool_and(once).alias("once"))
+    whole = F.coalesce(F.col("once") & (F.col("n") == F.col("high") - F.col("low") + 1), F.lit(False))
+    return bounds.withColumn("whole", whole).collect()  # a row per topic partition
 
 
 def _tail(bounds: list[Row]) -> Column:
@@ -93,14 +96,14 @@ def new_events(events: DataFrame, stored: DataFrame | None, bounds: list[Row] |
 
     Only stored rows within the offsets of the batch can be repeats, and that condition is pushed into the scan, so
     the check reads that stretch of the log and not its history. It looks at the three id columns alone; whole rows
-    are shuffled only where repeats cannot be ruled out.
+    are shuffled only where there are repeats.
     """
     return _new_events(events, stored, batch_bounds(events) if bounds is None else bounds)[0]
 
 
 def _new_events(events: DataFrame, stored: DataFrame | None, bounds: list[Row]) -> tuple[DataFrame, bool]:
     """The new events, and whether these are all events of the batch's stretch, as none of them is stored."""
-    if not all(row.whole for row in bounds):
+    if not all(row.once for row in bounds):
         events = events.dropDuplicates(EVENT_ID)
     if stored is not None and bounds:
         seen = stored.filter(_tail(bounds)).select(*EVENT_ID)
