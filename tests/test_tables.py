@@ -218,3 +218,19 @@ def test_gaps_are_no_repeats(spark):
     plan = K.new_events(batch([2, 4, 9]), None)._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan
     assert K.new_events(batch([2, 4, 4, 9]), None).count() == 6
+
+
+def test_saved_batches_are_few(spark, where, monkeypatch):
+    import datetime
+    import glob
+
+    from tidemark.plans import queries
+
+    day = datetime.datetime(2024, 1, 1)
+    events = [(i * 1000, day, 4, "view", 1.0, '{"k": 1}') for i in range(20)]
+    names = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(events, names).write.parquet(f"{where}/events.parquet")
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, label: f"{where}/{label}")
+    found = queries.cdc_checkpoint_batches(spark, where)
+    assert sorted(r.kafka_offset for r in found.collect()) == [i * 2000 for i in range(20)]
+    assert len(glob.glob(f"{where}/batches/customers/partition=0/*.json")) == 4

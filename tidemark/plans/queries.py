@@ -226,9 +226,10 @@ def cdc_checkpoint_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = []
     for spec in BOTH:
         log = L.read_topic(B.messages(spark, sf_dir), spec.topic).filter(F.col("value").isNotNull())
-        batches = log.groupBy("partition", F.floor(F.col("offset") / 1000).alias("part")).agg(
+        # A batch is a file, and a file costs more than a thousand of its events.
+        batches = log.groupBy("partition", F.floor(F.col("offset") / 10_000).alias("part")).agg(
             F.min("offset").alias("from"), (F.max("offset") + 1).alias("to"), F.collect_list(event).alias("events"))
-        batches.drop("part").repartition(8, "partition", "from").write.option("maxRecordsPerFile", 1) \
+        batches.drop("part").write.option("maxRecordsPerFile", 1) \
             .partitionBy("partition").json(f"{root}/{spec.name}")
         bronze = E.bronze_table(L.read_checkpoint_batches(spark, f"{root}/{spec.name}", spec.topic), spec)
         found.append(bronze.select("topic", "kafka_partition", "kafka_offset", "op", "after_id", "after_name", "before_id"))
