@@ -234,3 +234,28 @@ def test_saved_batches_are_few(spark, where, monkeypatch):
     found = queries.cdc_checkpoint_batches(spark, where)
     assert sorted(r.kafka_offset for r in found.collect()) == [i * 2000 for i in range(20)]
     assert len(glob.glob(f"{where}/batches/customers/partition=0/*.json")) == 4
+
+
+def test_log_of_one_row_group_is_written_by_many_tasks(spark, where):
+    from tidemark.plans import queries
+
+    spark.range(0, 400_000, 1, 1).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01' AS ts", "id % 1500 AS user_id", "'view' AS event_type",
+        "1.0D AS value", "concat('{\"k\": ', id % 100, '}') AS props").write.parquet(f"{where}/events.parquet")
+    log = queries._message_log(spark, where, f"{where}/messages")
+    assert log.count() == 400_000
+    assert len(log.inputFiles()) > 2  # one for each topic before
+
+
+def test_short_decimals_take_no_wide_arithmetic(spark):
+    import base64
+    from decimal import Context, Decimal
+
+    from tidemark.functions.values import decimal_from_base64
+
+    numbers = [sign * (1 << bits) + more for bits in range(0, 113, 7) for sign in (1, -1) for more in (-1, 0, 1)]
+    # One byte more than needed now and then, as a connector with fixed widths sends it.
+    packed = [(str(n), base64.b64encode(n.to_bytes(n.bit_length() // 8 + 1 + n % 2, "big", signed=True)).decode()) for n in numbers]
+    found = spark.createDataFrame(packed, "n string, t string").select("n", decimal_from_base64(F.col("t"), 2).alias("d")).collect()
+    assert all(Decimal(r.d).scaleb(2, Context(prec=50)) == int(r.n) for r in found)
+    assert len(found) == len(numbers)

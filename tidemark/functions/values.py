@@ -30,6 +30,9 @@ def spelled(df: DataFrame, *wanted: str) -> list[str]:
 # Hex digits that conv(), which works on 64 bits, takes at a time, and how many such parts hold any decimal.
 _PART, _PARTS = 12, 3
 
+# Up to so many hex digits a number is a long, and so is its negative.
+_LONG = 14
+
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value worked out once a row, however often it is mentioned.
@@ -52,7 +55,10 @@ def decimal_from_base64(text: Column, scale: int) -> Column:
         padded = F.when(negative, F.lpad(digits, _PART * _PARTS, "F")).otherwise(F.lpad(digits, _PART * _PARTS, "0"))
         start = F.when(negative, F.lit(-1)).otherwise(F.lit(0)).cast("decimal(38,0)")
         number = once(padded, lambda p: _unscaled(p, start))
-        return F.when(F.length(digits).between(2, _PART * _PARTS), once(number, shown))
+        # conv() to base -10 reads 64 bits as a signed number.
+        short = F.conv(F.lpad(digits, 16, F.when(negative, "F").otherwise("0")), 16, -10).cast("bigint")
+        return (F.when(F.length(digits).between(2, _LONG), once(short, shown))
+                .when(F.length(digits).between(_LONG + 1, _PART * _PARTS), once(number, shown)))
 
     return once(F.hex(F.try_to_binary(text, F.lit("base64"))), decoded)
 

@@ -288,11 +288,16 @@ def cdc_string_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.unionByName(bad)
 
 
+def _message_log(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """The messages as a log in files, written by all tasks, in row groups small enough for many tasks to read one file."""
+    B.messages(spark, sf_dir, spread=True).write.option("parquet.block.size", 8 << 20).parquet(path)
+    return spark.read.parquet(path)
+
+
 def _landed(spark: SparkSession, sf_dir: str, *cuts: int | None) -> tuple[Layout, DataFrame]:
     """The messages as a file log, taken in by runs that each see what had arrived by a time."""
     root = scratch_dir(spark, "lake")
-    replace_table(B.messages(spark, sf_dir), f"{root}/messages")
-    log, layout = spark.read.parquet(f"{root}/messages"), Layout(root, 8)
+    log, layout = _message_log(spark, sf_dir, f"{root}/messages"), Layout(root, 8)
     for cut in cuts:
         seen = log if cut is None else log.filter(F.unix_millis("timestamp") < cut)
         refresh_changes(spark, file_log(seen), layout, list(BOTH))
@@ -767,8 +772,7 @@ def stream_trips_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _medallion(spark: SparkSession, sf_dir: str) -> tuple[Layout, dict[str, DataFrame]]:
     root = scratch_dir(spark, "lake")
-    replace_table(B.messages(spark, sf_dir), f"{root}/messages")
-    log = spark.read.parquet(f"{root}/messages")
+    log = _message_log(spark, sf_dir, f"{root}/messages")
     source = C.current_state(E.bronze_table(log, S.CUSTOMERS), S.CUSTOMERS).drop("updated_ts")
     layout = Layout(root)
     checks = run_medallion(spark, file_log(log), B.trips(spark, sf_dir).drop("trip_id"), B.zones(spark, sf_dir), layout,

@@ -90,12 +90,15 @@ def base64_of_decimal(value: Column) -> Column:
     return F.base64(F.unhex(F.regexp_replace(shown, "^(00)+(?=[0-7])|^(FF)+(?=[89A-F])", "")))
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Raw messages of two topics, even users as customers and odd users as drivers.
 
-    Updates come as bare envelopes, the rest wrapped; every delete is followed by a tombstone.
+    Updates come as bare envelopes, the rest wrapped; every delete is followed by a tombstone. With ``spread`` all tasks
+    write them, however few row groups the events come in.
     """
     events = _events(spark, sf_dir)
+    if spread:
+        events = events.hint("repartition")
     offset = F.col("event_id") * 2
     user = F.col("user_id").cast("string")
     k = F.col("k")
