@@ -236,6 +236,27 @@ def test_saved_batches_are_few(spark, where, monkeypatch):
     assert len(glob.glob(f"{where}/batches/customers/partition=0/*.json")) == 4
 
 
+def test_log_read_again_is_cut_by_a_filter(spark, where):
+    def batch(offsets):
+        rows = [("t", p, o, "x") for p in (0, 1) for o in offsets]
+        return spark.createDataFrame(rows, "topic string, kafka_partition int, kafka_offset long, value string")
+
+    def left(again, stored):
+        return K.new_events(again, stored).filter("kafka_partition = 1").select("kafka_offset").orderBy("kafka_offset").collect()
+
+    old, again = batch([0, 2, 62, 63, 64]), batch([0, 2, 62, 63, 64, 66, 127, 130])
+    plan = K.new_events(again, old)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    assert [r.kafka_offset for r in left(again, old)] == [66, 127, 130]
+    assert left(old, old) == []
+    # Nothing of partition 0 is stored, and of partition 1 some above new ones.
+    holes = batch([0, 62, 127]).filter("kafka_partition = 1")
+    assert [r.kafka_offset for r in left(again, holes)] == [2, 63, 64, 66, 130]
+    assert K.new_events(again, holes).count() == 13
+    repeated = again.unionByName(batch([66, 2]))
+    assert [r.kafka_offset for r in left(repeated, old)] == [66, 127, 130]
+
+
 def test_log_of_one_row_group_is_written_by_many_tasks(spark, where):
     from tidemark.plans import queries
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, funct
 
 from tidemark.schemas import EVENT_ID
 from tidemark.sinks.compaction import read_log
-from tidemark.sources.event_log import per_partition
+from tidemark.sources.event_log import Offsets, per_partition
 
 
 def create_namespace(spark: SparkSession, name: str) -> None:
@@ -48,6 +48,15 @@ def write_run(df: DataFrame, path: str, run_key: str, run: str | None = None) ->
 _SHIFT = 6
 
 
+def _word() -> Column:
+    return F.call_function("shiftright", F.col("kafka_offset"), F.lit(_SHIFT))
+
+
+def _bit() -> Column:
+    place = F.pmod(F.col("kafka_offset"), F.lit(1 << _SHIFT)).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+
+
 def batch_bounds(events: DataFrame) -> list[Row]:
     """Per (topic, kafka_partition): least and greatest offset of a batch, whether each offset in it occurs ``once``, and
     whether all between do (``whole``).
@@ -56,9 +65,8 @@ def batch_bounds(events: DataFrame) -> list[Row]:
     bits are set than there are rows. So a batch with gaps, as tombstones leave them, is known to be free of repeats.
     """
     at = F.col("kafka_offset")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(1 << _SHIFT)).cast("int"))
-    words = events.groupBy("topic", "kafka_partition", F.call_function("shiftright", at, F.lit(_SHIFT)).alias("word")).agg(
-        F.min(at).alias("low"), F.max(at).alias("high"), F.count(F.lit(1)).alias("n"), F.bit_or(bit).alias("bits"))
+    words = events.groupBy("topic", "kafka_partition", _word().alias("word")).agg(
+        F.min(at).alias("low"), F.max(at).alias("high"), F.count(F.lit(1)).alias("n"), F.bit_or(_bit()).alias("bits"))
     once = F.coalesce(F.bit_count("bits") == F.col("n"), F.lit(False))
     bounds = words.groupBy("topic", "kafka_partition").agg(
         F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), F.bool_and(once).alias("once"))
@@ -76,6 +84,31 @@ def _tail(bounds: list[Row]) -> Column:
             & (at >= per_partition(lows, *key)) & (at <= per_partition(highs, *key)))
 
 
+def _first_new(events: DataFrame, seen: DataFrame) -> Offsets | None:
+    """Per (topic, kafka_partition) the offset from which a batch's events are new, None unless all stored ones lie below it.
+
+    Both sides set bits of one number per 64 offsets, in one aggregate that combines map-side.
+    """
+    both = events.select(*EVENT_ID, F.lit(False).alias("stored")).unionByName(seen.select(*EVENT_ID, F.lit(True).alias("stored")))
+    words = both.groupBy("topic", "kafka_partition", _word().alias("word")).agg(
+        F.coalesce(F.bit_or(F.when(~F.col("stored"), _bit())), F.lit(0)).alias("batch"),
+        F.coalesce(F.bit_or(F.when(F.col("stored"), _bit())), F.lit(0)).alias("old"))
+    words = words.withColumn("new", F.col("batch").bitwiseAND(F.bitwise_not("old")))
+
+    new, old = F.bin("new"), F.bin("old")  # from the highest bit that is set to the lowest of all
+    first = F.col("word") * (1 << _SHIFT) + F.length(new) - F.length(F.rtrim(new, F.lit("0")))
+    last = F.col("word") * (1 << _SHIFT) + F.length(old) - 1
+    found = words.groupBy("topic", "kafka_partition").agg(
+        F.min(F.when(F.col("new") != 0, first)).alias("first"),
+        F.max(F.when(F.col("old") != 0, last)).alias("last")).collect()  # a row per topic partition
+    starts = {}
+    for row in found:
+        if row.first is not None and row.last is not None and row.last > row.first:
+            return None
+        starts[row.topic, row.kafka_partition] = row.last + 1 if row.first is None else row.first
+    return starts if all(at >= 0 for at in starts.values()) else None
+
+
 class Counted:
     """Counts rows of a frame in the job that writes them, so that they need not be read again."""
 
@@ -96,19 +129,25 @@ def new_events(events: DataFrame, stored: DataFrame | None, bounds: list[Row] |
 
     Only stored rows within the offsets of the batch can be repeats, and that condition is pushed into the scan, so
     the check reads that stretch of the log and not its history. It looks at the three id columns alone; whole rows
-    are shuffled only where there are repeats.
+    are shuffled only where offsets repeat within the batch or stored ones lie above new ones.
     """
     return _new_events(events, stored, batch_bounds(events) if bounds is None else bounds)[0]
 
 
 def _new_events(events: DataFrame, stored: DataFrame | None, bounds: list[Row]) -> tuple[DataFrame, bool]:
     """The new events, and whether these are all events of the batch's stretch, as none of them is stored."""
-    if not all(row.once for row in bounds):
+    once = all(row.once for row in bounds)
+    if not once:
         events = events.dropDuplicates(EVENT_ID)
     if stored is not None and bounds:
         seen = stored.filter(_tail(bounds)).select(*EVENT_ID)
         if not seen.isEmpty():
-            return events.join(seen, EVENT_ID, "left_anti"), False
+            starts = _first_new(events, seen) if once else None
+            if not starts:
+                return events.join(seen, EVENT_ID, "left_anti"), False
+            # A log read again from an earlier point: the filter goes below the parsing, so stored events are not parsed.
+            at, first = F.col("kafka_offset"), per_partition(starts, F.col("topic"), F.col("kafka_partition"))
+            return events.filter((at >= min(starts.values())) & (at >= first)), False
     return events, True
 
 
