@@ -179,3 +179,70 @@ def test_kafka_is_optional(spark):
                  lambda: I.kafka_stream(spark, "localhost:1", [PEOPLE], 1000)):
         with pytest.raises(Exception, match="kafka"):
             read()
+
+
+def test_checked_sources_are_read_once(spark):
+    """The check that fails a run and the differences it hands out come from one reading of the source."""
+    from pyspark.sql import functions as F
+
+    raw = log(spark, FIRST + [message(0, envelope("c", 5, after={"id": 1, "name": "Tom", "rating": "4.85"}), "drivers")])
+    whole = current_state(bronze_table(raw, CUSTOMERS), CUSTOMERS).select(*CUSTOMERS.columns.names)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(name):
+        read.add(1)
+        return name
+
+    source = spark.createDataFrame(whole.collect(), CUSTOMERS.columns)
+    source = source.withColumn("name", F.udf(seen, "string").asNondeterministic()("name"))
+    trips = spark.createDataFrame([trip(trip_id=i) for i in range(4)], COLUMNS).drop("trip_id")
+    zones = spark.createDataFrame([(10, "Ten")], "LocationID int, Zone string")
+    checks = run_medallion(spark, file_log(raw), trips, zones, Layout(scratch_dir(spark, "lake"), 4), sources={"customers": source})
+    assert checks["customers"].count() == 0
+    assert read.value == 3
+
+
+def test_topics_are_taken_in_side_by_side(spark, monkeypatch):
+    import threading
+
+    both, append = threading.Barrier(2, timeout=60), I.append_events
+
+    def watched(*args, **kwargs):
+        both.wait()
+        return append(*args, **kwargs)
+
+    monkeypatch.setattr(I, "append_events", watched)
+    layout = Layout(scratch_dir(spark, "lake"), 2)
+    driver = message(0, envelope("c", 5, after={"id": 1, "name": "Tom", "rating": "4.85"}), "drivers")
+    assert refresh_changes(spark, file_log(log(spark, [*FIRST, driver])), layout, [CUSTOMERS, DRIVERS]).first().events_read == 4
+    assert names(spark, layout) == {"Alice", "Bob", "Carol"}
+
+
+def test_side_by_side_keeps_order_and_fails(spark):
+    from tidemark.session import side_by_side
+
+    assert side_by_side(spark, lambda n: spark.range(n).count(), [3, 1, 2]) == [3, 1, 2]
+    assert side_by_side(spark, lambda n: n, []) == []
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(spark, lambda n: 1 // n, [1, 0])
+
+
+def test_gold_does_not_run_a_task_per_shuffle_partition(spark):
+    from tidemark.plans.medallion import refresh_gold, refresh_trips
+
+    layout, context = Layout(scratch_dir(spark, "lake"), 2), spark.sparkContext
+    trips = spark.createDataFrame([trip(trip_id=i, tip_amount=float(i % 3)) for i in range(20)], COLUMNS).drop("trip_id")
+    refresh_changes(spark, file_log(log(spark, [message(0, envelope("c", 5, after={"id": 1, "name": "Tom"}), "drivers")])), layout, [DRIVERS])
+    refresh_trips(spark, trips, spark.createDataFrame([(10, "Ten")], "LocationID int, Zone string"), layout)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    context.setJobGroup("gold", "gold")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "100")
+        refresh_gold(spark, layout)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = {stage for job in tracker.getJobIdsForGroup("gold") for stage in tracker.getJobInfo(job).stageIds}
+    assert 0 < sum(tracker.getStageInfo(stage).numCompletedTasks for stage in stages) < 100
+    assert spark.read.parquet(layout.gold("tipping_behavior")).first().trips_count == 20

@@ -280,3 +280,43 @@ def test_short_decimals_take_no_wide_arithmetic(spark):
     found = spark.createDataFrame(packed, "n string, t string").select("n", decimal_from_base64(F.col("t"), 2).alias("d")).collect()
     assert all(Decimal(r.d).scaleb(2, Context(prec=50)) == int(r.n) for r in found)
     assert len(found) == len(numbers)
+
+
+def test_events_of_two_topics_are_read_once(spark, where):
+    from plans import total
+    from tidemark.plans import testbed
+
+    spark.range(0, 3000, 1, 2).selectExpr(
+        "if(id % 7 = 0, NULL, id) AS event_id", "timestamp_ntz'2024-01-01' AS ts", "if(id % 11 = 0, NULL, id % 50) AS user_id",
+        "if(id % 3 = 0, 'error', 'view') AS event_type", "1.0D AS value",
+        "concat('{\"k\": ', id % 100, '}') AS props").write.parquet(f"{where}/events.parquet")
+    dealt = testbed.messages(spark, where, spread=True)
+    found = sorted(map(str, dealt.collect()))
+    assert total(dealt, "Scan parquet", "numOutputRows") == 3000
+    assert found == sorted(map(str, testbed.messages(spark, where).collect()))
+
+
+def test_numbers_and_base64_are_told_apart(spark):
+    """What is not cast because it cannot be a number is NULL for the cast as well."""
+    from pyspark.sql import types as T
+
+    from tidemark.functions.values import _number
+
+    texts = ["4.75", " 4.75", "\t2\n", "-1.5", "+.5", "5.", "1e3", "1E-3", "1d", "2F", "0x1p3", "NaN", "nan", " nAn ", "inf", "-Inf",
+             "Infinity", "+infinity", "AfQ=", "AAAB", "IAAA", "iA==", "NQ==", "/w==", "9A==", "1234", "d1", "e5", "x", "=", "1=", "1=\n", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind in (T.DoubleType(), T.FloatType(), T.DecimalType(10, 2), T.IntegerType(), T.StringType()):
+        rows = df.select(_number(F.col("t"), kind).cast("string").alias("a"), F.col("t").try_cast(kind).cast("string").alias("b")).collect()
+        assert [r.a for r in rows] == [r.b for r in rows]
+    plan = df.select(_number(F.col("t"), T.DoubleType()))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan
+
+
+def test_last_word_of_a_topic(spark):
+    from tidemark.operators.envelope import message_columns
+
+    topics = ["a.b.customers", "drivers", "x-y", "a.", "", ".", "a.b\n", "a b_1", "ä.äb", "bä", "a..b", None]
+    log = spark.createDataFrame([(t,) for t in topics], "topic string").selectExpr(
+        "topic", "0 AS partition", "0L AS offset", "current_timestamp() AS timestamp", "binary('x') AS value")
+    rows = message_columns(log).select("source_table", F.regexp_extract("topic", r"(\w+)$", 1).alias("word")).collect()
+    assert [r.source_table for r in rows] == [r.word for r in rows]

@@ -104,6 +104,18 @@ def test_dense_ids(spark):
     assert rows(again) == {tuple(r) for r in got}
 
 
+def test_dense_ids_do_not_shuffle_rows_again(spark):
+    """Where each partition begins is a row per partition, however large Spark takes it to be."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = assign_ids(spark.range(300).selectExpr("id AS k"), "dense", ["k"])
+        assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.trip_id for r in got.collect()) == list(range(300))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_other_ids(spark):
     df = spark.range(100).selectExpr("id AS a", "cast(id AS string) AS b")
     assert assign_ids(df, "fast").select("trip_id").distinct().count() == 100

@@ -71,6 +71,17 @@ def _unscaled(padded: Column, start: Column) -> Column:
     return unscaled
 
 
+#: Text that starts with a letter other than those of infinity and NaN, or ends as padded base64 does, is no number.
+_NO_NUMBER = "^[A-HJ-MO-Za-hj-mo-z]|=$"
+
+
+def _number(text: Column, data_type: T.DataType) -> Column:
+    """Text as a number, NULL if it is none. A cast that fails throws an exception inside, so what cannot be one is not cast."""
+    if not isinstance(data_type, T.FractionalType):
+        return text.try_cast(data_type)
+    return F.when(~text.rlike(_NO_NUMBER), text.try_cast(data_type))
+
+
 def typed_value(text: Column, field: T.StructField) -> Column:
     """JSON text of one field as its declared type; NULL where it does not convert."""
     metadata = field.metadata or {}
@@ -78,7 +89,7 @@ def typed_value(text: Column, field: T.StructField) -> Column:
         return F.timestamp_micros(text.try_cast("bigint"))
     if "decimal_scale" in metadata:
         decoded = decimal_from_base64(text, metadata["decimal_scale"]).try_cast(field.dataType)
-        return decoded if metadata.get("base64_only") else F.coalesce(text.try_cast(field.dataType), decoded)
+        return decoded if metadata.get("base64_only") else F.coalesce(_number(text, field.dataType), decoded)
     return text.try_cast(field.dataType)
 
 

@@ -29,7 +29,8 @@ def message_columns(log: DataFrame) -> DataFrame:
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"),
-        F.regexp_extract("topic", r"(\w+)$", 1).alias("source_table"),
+        # The last word, tried at the starts of words only.
+        F.regexp_extract("topic", r"(?<!\w)(\w++)$", 1).alias("source_table"),
         F.col("value").cast("string").alias("value"),
     )
 

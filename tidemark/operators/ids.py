@@ -54,9 +54,10 @@ def numbered(df: DataFrame, keys: list[str] | None, name: str = "trip_id", first
         *columns, F.shiftright("_at", _POSITION_BITS).alias("_part"),
         F.col("_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_pos"))
     stored = materialize(placed, "ids")
-    # One row per partition, so this window and the join stay small however many rows there are.
+    # One row per partition, so this window and the join stay small however many rows there are. Spark estimates them from
+    # the stored rows, and would shuffle all of these by the few numbers of their partitions.
     sizes = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     begin = first(stored.count())  # from the files' footers
-    return stored.join(starts, "_part").select(*columns, (F.col("_start") + F.col("_pos") + F.lit(begin)).alias(name))
+    return stored.join(F.broadcast(starts), "_part").select(*columns, (F.col("_start") + F.col("_pos") + F.lit(begin)).alias(name))

@@ -41,12 +41,13 @@ def offset_ranges(gate: list[Row]) -> tuple[Offsets, Offsets]:
     return start, end
 
 
-def event_counts(spec: TableSpec, partitions: Iterable[int] = ()) -> dict[str, Column]:
+def event_counts(spec: TableSpec, partitions: Iterable[int] = (), reason: Column | None = None) -> dict[str, Column]:
     """Aggregates that describe a batch of bronze rows, for a write that counts what it writes.
 
     Events, their offsets, those applied, those that cannot be by reason, and events and applied ones per partition.
+    ``reason`` names a column that holds ``problem(spec)``; without it every count works that out again for each row.
     """
-    reason, at = problem(spec), F.col("kafka_offset")
+    reason, at = problem(spec) if reason is None else reason, F.col("kafka_offset")
     counts = {"events_read": F.count(F.lit(1)), "from_offset": F.min(at), "to_offset": F.max(at) + 1,
               "applied": F.count_if(reason.isNull())}
     counts |= {f"rejected_{name}": F.count_if(reason == name) for name in PROBLEMS}

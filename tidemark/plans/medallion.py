@@ -15,6 +15,7 @@ from tidemark.operators.quality import reconcile
 from tidemark.operators.tips import (
     behavior_from_totals, daily_totals, driver_tip_report, rankings_from_totals, roll_up)
 from tidemark.operators.trips import clean_trips, enrich_zones
+from tidemark.session import materialize, scratch_dir, side_by_side
 from tidemark.sinks import deltas
 from tidemark.sinks.allocations import allocate
 from tidemark.sinks.compaction import drop_folded, fold_log, read_log
@@ -24,6 +25,7 @@ from tidemark.sinks.runs import list_runs, live_rows_after, load_offsets, newest
 from tidemark.sinks.tables import replace_table, write_run
 from tidemark.sources.event_log import (
     Offsets, complete_start, per_partition, read_event_log, read_kafka, read_offsets)
+from tidemark.sources.files import remove
 from tidemark.streaming.ingest import bronze_path, ingest_messages
 
 
@@ -155,10 +157,8 @@ def refresh_changes(spark: SparkSession, reader: Reader, layout: Layout, specs:
     seen = ingest_messages(read_event_log(reader({p: start.get(p, 0) for p in end}, end), specs), specs, layout.root, watched)
     last = newest_run(spark, layout.runs)
     run = 0 if last is None else last + 1
-    counts = {}
-    for spec in specs:
-        if not numbers[spec.topic]:
-            continue
+
+    def merge(spec: S.TableSpec) -> dict:
         here = {p: at for p, at in end.items() if p[0] == spec.topic}
         new = read_log(spark, bronze_path(layout.root, spec), spec.bronze_schema, here, start)
         grown = _merge(new, layout, spec, run)
@@ -166,9 +166,15 @@ def refresh_changes(spark: SparkSession, reader: Reader, layout: Layout, specs:
         before = live_rows_after(spark, layout.runs, spec.topic) if seen[spec.name] is not None and grown is not None else None
         live = mirror_of(spark, layout, spec).count() if before is None else before + grown
         of_partition, rejected = _counts(new, spec, numbers[spec.topic], seen[spec.name])
+        found = {}
         for number, (n, ok) in of_partition.items():
-            counts[spec.topic, number] = (n, ok, live, rejected)
+            found[spec.topic, number] = (n, ok, live, rejected)
             live, rejected = None, None  # once per table
+        return found
+
+    counts = {}
+    for found in side_by_side(spark, merge, [spec for spec in specs if numbers[spec.topic]]):
+        counts |= found
     rows = [(topic, number, end.get((topic, number), at), at if (topic, number) in end else None,
              *counts.get((topic, number), (0, 0, None, None)))
             for (topic, number), at in sorted(({p: 0 for p in end} | known).items())]
@@ -263,13 +269,16 @@ def refresh_trips(spark: SparkSession, trips: DataFrame, zones: DataFrame, layou
 def refresh_gold(spark: SparkSession, layout: Layout, drivers: S.TableSpec = S.DRIVERS, mode: str = "id") -> None:
     """The three tipping tables. Behaviour and rankings share one scan of the trips through their totals."""
     silver = spark.read.parquet(layout.trips("silver"))
-    totals = daily_totals(silver).persist()
+    # In files: as many small tasks as a cached shuffle has would each write a part for as many others.
+    stored = scratch_dir(spark, "totals")
+    replace_table(daily_totals(silver), stored)
+    totals = spark.read.parquet(stored)
     try:
         by_payment = roll_up(totals, "PULocationID", "pickup_hour", "payment_type")
         replace_table(behavior_from_totals(by_payment), layout.gold("tipping_behavior"))
         replace_table(rankings_from_totals(totals), layout.gold("tip_rankings"))
     finally:
-        totals.unpersist()
+        remove(spark, stored)
     report = driver_tip_report(silver, mirror_of(spark, layout, drivers), mode)
     replace_table(report, layout.gold("driver_tip_report"))
 
@@ -298,16 +307,18 @@ def run_medallion(spark: SparkSession, reader: Reader, trips: DataFrame, zones:
                   specs: tuple[S.TableSpec, ...] = (S.CUSTOMERS, S.DRIVERS),
                   sources: dict[str, DataFrame] | None = None, must_match: bool = True,
                   **trip_ids) -> dict[str, DataFrame]:
-    """Everything once. Gold comes after the driver mirror, the checks come last and always.
+    """Everything once. Changes and trips are taken in side by side, gold comes after both, the checks come last and always.
 
     Fails with MirrorsDiffer if a source table and its mirror differ, unless ``must_match`` is off; either way the
-    tables are written by then.
+    tables are written by then. With ``must_match`` the differences are stored, so that sources are read once.
     """
     specs = list(specs)
-    refresh_changes(spark, reader, layout, specs)
-    refresh_trips(spark, trips, zones, layout, **trip_ids)
+    # Neither needs the other.
+    side_by_side(spark, lambda refresh: refresh(), [lambda: refresh_changes(spark, reader, layout, specs),
+                                                    lambda: refresh_trips(spark, trips, zones, layout, **trip_ids)])
     refresh_gold(spark, layout, next((s for s in specs if s.name == S.DRIVERS.name), S.DRIVERS))
     differences = check_mirrors(spark, sources or {}, layout, specs)
     if must_match:
+        differences = {name: materialize(found, "differences") for name, found in differences.items()}
         assert_mirrors(differences)
     return differences

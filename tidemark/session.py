@@ -5,7 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -33,6 +37,25 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+Item, Found = TypeVar("Item"), TypeVar("Found")
+
+#: So many jobs at most are run side by side.
+MOST_JOBS = 4
+
+
+def side_by_side(spark: SparkSession, work: Callable[[Item], Found], items: Iterable[Item]) -> list[Found]:
+    """``work`` on every item, results in order. Jobs of one item use the cores that another's last tasks leave idle.
+
+    Waits for all; the first failure, in order of the items, is raised then.
+    """
+    items = list(items)
+    if len(items) < 2:
+        return [work(item) for item in items]
+    with ThreadPoolExecutor(min(MOST_JOBS, len(items))) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(work), item) for item in items]
+    return [job.result() for job in started]
+
+
 def pin_utc(spark: SparkSession) -> None:
     """Hours, days and epoch values are defined in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

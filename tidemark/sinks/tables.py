@@ -110,11 +110,16 @@ def _first_new(events: DataFrame, seen: DataFrame) -> Offsets | None:
 
 
 class Counted:
-    """Counts rows of a frame in the job that writes them, so that they need not be read again."""
+    """Counts rows of a frame in the job that writes them, so that they need not be read again.
 
-    def __init__(self, df: DataFrame, **counts: Column):
+    ``given`` are columns that the counts share, worked out once a row; the rows come without them.
+    """
+
+    def __init__(self, df: DataFrame, given: dict[str, Column] | None = None, **counts: Column):
         self._seen, self._names = Observation(), list(counts)
-        self.rows = df.observe(self._seen, *[count.alias(name) for name, count in counts.items()])
+        given = given or {}
+        watched = df.withColumns(given).observe(self._seen, *[count.alias(name) for name, count in counts.items()])
+        self.rows = watched.drop(*given)
 
     def get(self) -> dict[str, int | None]:
         """The counts, after the write. Spark has none for a frame that it finds to be empty while it runs."""
@@ -152,11 +157,12 @@ def _new_events(events: DataFrame, stored: DataFrame | None, bounds: list[Row])
 
 
 def append_events(events: DataFrame, path: str, partition_by: list[str] | None = None, bounds: list[Row] | None = None,
-                  counts: dict[str, Column] | None = None) -> dict[str, int | None] | None:
+                  counts: dict[str, Column] | None = None, given: dict[str, Column] | None = None) -> dict[str, int | None] | None:
     """Append to an event log. Repeating a batch, or part of it, adds nothing.
 
     ``bounds``, from :func:`batch_bounds`, saves looking at the batch again. ``counts`` are worked out while the rows
     are written and returned; None if some of the batch was stored already, so that what was written is not all of it.
+    ``given`` are columns that only the counts use.
     """
     bounds = batch_bounds(events) if bounds is None else bounds
     # Folded or not, and of segments only the files that overlap the batch.
@@ -166,7 +172,7 @@ def append_events(events: DataFrame, path: str, partition_by: list[str] | None =
     if stored is not None and not bounds:
         return None
     fresh, whole = _new_events(events, stored, bounds)
-    counted = Counted(fresh, **counts) if counts else None
+    counted = Counted(fresh, given, **counts) if counts else None
     fresh = counted.rows if counted else fresh
     if partition_by:
         # Evens out file sizes: a source with most of the events is spread over several tasks.

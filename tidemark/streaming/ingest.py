@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark import schemas as S
-from tidemark.operators.envelope import bronze_table, message_columns
+from tidemark.operators.envelope import bronze_table, message_columns, problem
 from tidemark.operators.ids import assign_ids
 from tidemark.operators.offsets import event_counts
 from tidemark.operators.trips import clean_trips, enrich_zones
+from tidemark.session import side_by_side
 from tidemark.sinks import deltas
 from tidemark.sinks.messages import REJECT_REASON, from_events
 from tidemark.sinks.mirrors import Log, merge_into_mirror
@@ -57,12 +58,14 @@ def ingest_messages(messages: DataFrame, specs: list[S.TableSpec], root: str,
     """
     ids = message_columns(messages).select(*S.EVENT_ID)
     bounds = batch_bounds(ids)
-    found = {}
-    for spec in specs:
+
+    def append(spec: S.TableSpec) -> dict[str, int | None] | None:
         of_table = [row for row in bounds if row.topic == spec.topic]
-        counts = event_counts(spec, partitions.get(spec.topic, ())) if partitions is not None else None
-        found[spec.name] = append_events(bronze_table(messages, spec), bronze_path(root, spec), bounds=of_table, counts=counts)
-    return found
+        counts = event_counts(spec, partitions.get(spec.topic, ()), F.col("_reason")) if partitions is not None else None
+        return append_events(bronze_table(messages, spec), bronze_path(root, spec), bounds=of_table, counts=counts,
+                             given={"_reason": problem(spec)})
+
+    return dict(zip([spec.name for spec in specs], side_by_side(messages.sparkSession, append, specs), strict=True))
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> StreamingQuery:
