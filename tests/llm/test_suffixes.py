@@ -113,3 +113,28 @@ def test_spans_and_bytes(spark):
     got = {r.doc_id: r for r in suffixes.remove_repeats(frame(spark, [(2, f"own {passage} end"), (1, passage)])).collect()}
     assert got[1].spans == [] and bytes(got[1].kept) == passage.encode()
     assert [tuple(s) for s in got[2].spans] == [(4, 4 + len(passage))] and bytes(got[2].kept) == b"own  end"
+
+
+def test_packed_numbers():
+    for values in ([], [0], [7, 7, 1 << 39, (1 << 40) - 1], [(1 << 64) - 1]):
+        assert suffixes.unpacked(suffixes.packed(np.array(values, np.uint64))).tolist() == values
+
+
+def test_different_stretches():
+    passage = prose(3, 60).encode()
+    once, counts = suffixes.different_stretches([passage], 50)
+    again, same = suffixes.different_stretches([passage] * 5, 50)
+    assert once.tolist() == again.tolist() and counts.tolist() == same.tolist()
+    known, many = suffixes.different_stretches([prose(i, 20).encode() + passage for i in range(9)], 50)
+    assert set(once) <= set(known) and max(many) >= 9
+
+
+def test_a_passage_of_every_shard_is_sent_whole(spark):
+    passage = prose(1, 200)
+    shards = spark.createDataFrame([(i, i, i, bytearray((prose(100 + i, 60) + passage).encode())) for i in range(200)],
+                                   "shard int, id long, mark long, text binary")
+    firsts = suffixes.first_of_texts(shards)
+    anchors = suffixes.repeated_anchors(shards, firsts, 50, 200)
+    sent = suffixes.repeated_stretches(shards, firsts, anchors, 50, 1600)
+    moved = [len(s) for r in sent.select("stretch").collect() for s in r.stretch or ()]
+    assert 200 * len(passage) < sum(moved) < 200 * 8 * len(passage)

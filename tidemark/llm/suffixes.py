@@ -13,8 +13,9 @@ Adjacent suffixes with a common prefix of a window's length are equal windows; t
 says which occurrences go. Documents are shuffled once; the anchor and span steps use the same shuffle again. Of equal
 texts only the one of least id takes part, the others go whole.
 
-An anchor in very many shards would bring a task very many different stretches, as what surrounds it differs. Its
-stretches are cut into single windows, which are dealt by their own content.
+An anchor of very many different stretches would bring them all to one task. They are cut into single windows, which are
+dealt by their own content. That moves some ten times the bytes, so it is the stretches that count and not the shards: a
+passage that stands in every shard has few different ones in each.
 """
 
 from __future__ import annotations
@@ -33,11 +34,11 @@ from tidemark.llm.common import pick, ship
 
 #: Text of about so many bytes makes a shard; stretches of a shard go to so many times as many tasks.
 SHARD_BYTES, SPREAD = 8 << 20, 8
-#: An anchor in more shards than this has its stretches cut into windows.
-WIDE = 128
+#: An anchor of more stretches than this, different ones in each shard, has them cut into windows; at least so many a shard.
+WIDE, WIDE_SHARD = 1 << 14, 2
 #: Windows in a stretch at most, and bytes looked at in one go.
 _STRETCH, _SLICE = 64, 1 << 18
-# An anchor travels as the upper bits of its hash, with the number of its shard in the lower ones.
+# An anchor travels as the upper bits of its hash; to be compared, it gets the number of its shard in the lower ones.
 _SHARD_BITS = 24
 _BASE = 0x9E3779B97F4A7C15
 _CODE_BITS = 9
@@ -239,9 +240,39 @@ def _numbers(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Sorted numbers as the steps between them, least bytes first, so that the many zero bytes lie together."""
+    return np.diff(values, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(value: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(value, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def _joined(table: pa.Table, name: str) -> np.ndarray:
-    """Sorted numbers of a column of binary values that hold some each; NULL holds none."""
-    return np.unique(np.frombuffer(b"".join(v for v in table.column(name).to_pylist() if v), np.uint64))
+    """Sorted numbers of a column of packed values; NULL holds none."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *[unpacked(v) for v in table.column(name).to_pylist() if v]]))
+
+
+def _eight(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Eight bytes from each place on, as a number; zeros follow the end."""
+    padded = np.r_[data, np.zeros(8, np.uint8)]
+    return padded[at[:, None] + np.arange(8)].view(np.uint64).ravel()
+
+
+def different_stretches(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors of the ``texts``, sorted, and how many different stretches each has, told by size and both ends."""
+    found = []
+    for data, _, _, place, count, anchor in _found(texts, length):
+        data = np.frombuffer(data, np.uint8)
+        ends = _eight(data, place), _eight(data, place + count + length - 1 - min(8, length))
+        mark = (ends[0] * np.uint64(_BASE) ^ ends[1]) * np.uint64(_BASE) + count.astype(np.uint64)
+        found.append((anchor, mark))
+    anchor, mark = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+    by = np.lexsort((mark, anchor))
+    anchor, mark = anchor[by], mark[by]
+    new = np.r_[True, (anchor[1:] != anchor[:-1]) | (mark[1:] != mark[:-1])][:len(anchor)]
+    return np.unique(anchor[new], return_counts=True)
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -296,36 +327,43 @@ def first_of_texts(shards: DataFrame) -> DataFrame:
 
 
 def repeated_anchors(shards: DataFrame, firsts: DataFrame, length: int, slots: int, wide: int = WIDE) -> DataFrame:
-    """(shard, repeated, wide): upper bits of the anchors that other shards hold too, and of those in very many."""
+    """(shard, repeated, wide): upper bits of the anchors that other shards hold too, and of those of very many stretches."""
     def collect(table: pa.Table, sent: pa.Table) -> pa.Table:
         table = _taking_part(table, sent, length)
         if not len(table):
-            return pa.table({"slot": pa.array([], pa.int32()), "anchors": pa.array([], pa.binary())})
+            return pa.table([pa.array([], k) for k in (pa.int32(), pa.int32(), pa.binary(), pa.binary())],
+                            names=["slot", "shard", "anchors", "counts"])
         shard = table.column("shard")[0].as_py()
-        known = np.unique(np.concatenate([np.unique(anchor) for *_, anchor in _found(table.column("text").to_pylist(), length)]))
+        known, counts = different_stretches(table.column("text").to_pylist(), length)
         slot = (known % np.uint64(slots)).astype(np.int64)
         by = np.argsort(slot, kind="stable")
-        packed = (known[by] >> np.uint64(_SHARD_BITS) << np.uint64(_SHARD_BITS)) | np.uint64(shard)
+        known, counts = known[by] >> np.uint64(_SHARD_BITS), np.minimum(counts[by], 0xFFFF).astype(np.uint16)
         cuts = np.flatnonzero(np.diff(slot[by], prepend=-1))
-        return pa.table({"slot": pa.array(slot[by][cuts], pa.int32()),
-                         "anchors": pa.array([p.tobytes() for p in np.split(packed, cuts[1:])], pa.binary())})
+        return pa.table({"slot": pa.array(slot[by][cuts], pa.int32()), "shard": pa.array(np.full(len(cuts), shard), pa.int32()),
+                         "anchors": pa.array([packed(p) for p in np.split(known, cuts[1:])], pa.binary()),
+                         "counts": pa.array([c.tobytes() for c in np.split(counts, cuts[1:])], pa.binary())})
 
     def compare(table: pa.Table) -> pa.Table:
-        packed = _joined(table, "anchors")
-        anchor = packed >> np.uint64(_SHARD_BITS)
-        shard = (packed & np.uint64((1 << _SHARD_BITS) - 1)).astype(np.int64)
+        lists = [unpacked(v) for v in table.column("anchors").to_pylist()]
+        shard = np.repeat(_numbers(table, "shard").astype(np.uint64), [len(v) for v in lists])
+        both, place = np.unique(np.concatenate(lists) << np.uint64(_SHARD_BITS) | shard, return_inverse=True)
+        counts = np.bincount(place, np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint16))
+        anchor = both >> np.uint64(_SHARD_BITS)
+        shard = (both & np.uint64((1 << _SHARD_BITS) - 1)).astype(np.int64)
         runs = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-        sizes = np.repeat(np.diff(np.r_[runs, len(anchor)]), np.diff(np.r_[runs, len(anchor)]))
-        keep = sizes > 1
-        anchor, shard, sizes = anchor[keep], shard[keep], sizes[keep]
+        sizes = np.diff(np.r_[runs, len(anchor)])
+        broad = np.repeat(np.add.reduceat(counts, runs) > wide, sizes)
+        keep = np.repeat(sizes, sizes) > 1
+        anchor, shard, broad = anchor[keep], shard[keep], broad[keep]
         by = np.argsort(shard, kind="stable")
-        anchor, shard, sizes = anchor[by], shard[by], sizes[by]
+        anchor, shard, broad = anchor[by], shard[by], broad[by]
         cuts = np.flatnonzero(np.diff(shard, prepend=-1))
-        parts = [(anchor[a:b], sizes[a:b] > wide) for a, b in zip(cuts, np.r_[cuts[1:], len(anchor)])]
-        return pa.table({"shard": pa.array(shard[cuts], pa.int32()), "repeated": pa.array([a.tobytes() for a, _ in parts], pa.binary()),
-                         "wide": pa.array([a[w].tobytes() for a, w in parts], pa.binary())})
+        parts = [(anchor[a:b], broad[a:b]) for a, b in zip(cuts, np.r_[cuts[1:], len(anchor)])]
+        return pa.table({"shard": pa.array(shard[cuts], pa.int32()), "repeated": pa.array([packed(a) for a, _ in parts], pa.binary()),
+                         "wide": pa.array([packed(a[w]) for a, w in parts], pa.binary())})
 
-    sent = shards.groupBy("shard").cogroup(firsts.groupBy("shard")).applyInArrow(collect, "slot int, anchors binary")
+    sent = shards.groupBy("shard").cogroup(firsts.groupBy("shard")).applyInArrow(
+        collect, "slot int, shard int, anchors binary, counts binary")
     return sent.groupBy("slot").applyInArrow(compare, "shard int, repeated binary, wide binary")
 
 
@@ -437,7 +475,7 @@ def repeated_spans(sent: DataFrame, length: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text",
-                   shard_bytes: int = SHARD_BYTES, wide: int = WIDE) -> DataFrame:
+                   shard_bytes: int = SHARD_BYTES, wide: int | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, spans removed (array of lo, hi; end exclusive) and the bytes kept.
 
     A byte goes if a string of ``length`` bytes over it, within its text, also starts in a text of smaller id. Texts are
@@ -454,7 +492,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", te
     rows = rows.withColumn("mark", F.xxhash64("text"))
     shards = rows.withColumn("shard", F.pmod(F.xxhash64("id", "mark"), F.lit(count)).cast("int"))
     firsts = first_of_texts(shards)
-    anchors = repeated_anchors(shards, firsts, length, count, wide)
+    anchors = repeated_anchors(shards, firsts, length, count, max(WIDE, WIDE_SHARD * count) if wide is None else wide)
     spans = repeated_spans(repeated_stretches(shards, firsts, anchors, length, SPREAD * count), length)
     # A row of firsts among the spans has no list of them.
     known = spans.unionByName(firsts.select("shard", *[F.array(F.col(c)).alias(c) for c in ("id", "mark")]), allowMissingColumns=True)
