@@ -85,3 +85,11 @@ def test_hexadecimal(spark):
 
     rows = spark.createDataFrame([(-1,), (255,)], "x long").select(simhash.hexadecimal(F.col("x"))).collect()
     assert [r[0] for r in rows] == ["f" * 16, "0" * 14 + "ff"]
+
+
+def test_exploded_rows_are_not_broadcast(spark):
+    nodes = simhash.stored(spark.range(2000).selectExpr("id", "xxhash64(id) AS fingerprint"), "nodes")
+    pairs = simhash.close_pairs(nodes, 2)
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+    pairs.collect()
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()

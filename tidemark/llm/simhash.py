@@ -108,7 +108,8 @@ def close_pairs(prints: DataFrame, distance: int) -> DataFrame:
             spent = spent + F.bit_count(_part(differing, ring[(i + length - 1) % count]))
             within = within & (spent <= length * distance // count)
         chains = chains | ((F.col("start") == i) & within)
-    return left.join(right, "key") \
+    # Spark sizes exploded rows as if they were as many as before, and would broadcast 69 rows per fingerprint.
+    return left.hint("merge").join(right, "key") \
         .filter((F.col("a") < F.col("b")) & chains & (F.bit_count(differing) <= distance)) \
         .select("a", "b").distinct()
 
