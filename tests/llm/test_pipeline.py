@@ -84,3 +84,10 @@ def test_place_in_mixture_outlives_files(spark, tmp_path):
     assert len({r.position for r in rows}) == len(rows) == docs.count()
     last = corpus_pipeline.as_tokens(spark, documents(spark), SF_DIR).collect()
     assert len(last) == documents(spark).count() and {r.doc_id for r in last if r.position is None} == {None}
+
+
+def test_near_copies_are_found_without_broadcasting_exploded_rows(spark, monkeypatch):
+    frames, pairs = [], simhash.close_pairs
+    monkeypatch.setattr(simhash, "close_pairs", lambda *given: frames.append(pairs(*given)) or frames[-1])
+    corpus_pipeline.without_near_copies(spark, documents(spark), SF_DIR).collect()
+    assert frames and all("Broadcast" not in f._jdf.queryExecution().executedPlan().toString() for f in frames)
