@@ -11,7 +11,8 @@ from tidemark.session import build_session
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
-                            spark__ui__showConsoleProgress="false", spark__driver__memory="6g")
+                            spark__ui__showConsoleProgress="false", spark__driver__memory="6g",
+                            spark__ui__retainedStages="100000")  # beyond that many, Spark forgets skipped stages first
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
